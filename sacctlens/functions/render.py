@@ -3,9 +3,10 @@
 The report prints integers plainly and floating-point values in their shortest
 round-trip form, switching to exponent notation only below 1e-4 or from 1e16
 on (``116148.0675``, ``0.0002777777777777778``, ``12345678.5``, ``1e+16``).
-Spark's ``cast(double as string)`` gives the same shortest digits but switches
-to ``E`` notation outside [1e-3, 1e7).  ``float_text`` rewrites Spark's text
-with string functions only, so it stays a JVM expression.
+Spark's ``cast(double as string)`` switches to ``E`` notation outside
+[1e-3, 1e7) and, on JDK 17, is not always the shortest form.  ``float_text``
+picks the shortest ``%.ke`` text that parses back to the same double and lays
+it out with string functions only, so it stays a JVM expression.
 """
 
 from __future__ import annotations
@@ -19,25 +20,28 @@ def int_text(c: Column) -> Column:
 
 
 def float_text(c: Column) -> Column:
-    s = c.cast("double").cast("string")
-    sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    body = F.regexp_replace(s, "^-", "")
-    mant = F.regexp_extract(body, r"^([0-9.]+)E(-?[0-9]+)$", 1)
-    exp = F.regexp_extract(body, r"^([0-9.]+)E(-?[0-9]+)$", 2).try_cast("int")
-    # Mantissa digits without the point; a mantissa "d.0" carries one digit.
-    digits = F.regexp_replace(F.regexp_replace(mant, r"\.0$", ""), r"\.", "")
+    v = c.cast("double")
+    # Shortest "%.ke" form (k = 0..16) that parses back to the same double.
+    candidates = [F.format_string(f"%.{k}e", v) for k in range(17)]
+    shortest = F.coalesce(*[F.when(x.cast("double") == v, x) for x in candidates])
+    pattern = r"^(-?)([0-9])(?:\.([0-9]+))?e([+-][0-9]+)$"
+    sign = F.regexp_extract(shortest, pattern, 1)
+    lead = F.regexp_extract(shortest, pattern, 2)
+    frac = F.regexp_extract(shortest, pattern, 3)
+    exp = F.regexp_extract(shortest, pattern, 4).cast("int")
+    digits = F.concat(lead, frac)
     n = F.length(digits)
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)            # -4 <= e < 0
+    # Positional layout for 1e-4 <= |v| < 1e16, as the report prints it.
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
     big = F.when(n <= exp + 1, F.concat(digits, F.repeat(F.lit("0"), exp + 1 - n), F.lit(".0"))) \
            .otherwise(F.concat(digits.substr(F.lit(1), exp + 1), F.lit("."), digits.substr(exp + 2, n)))
-    sci_mant = F.regexp_replace(mant, r"\.0$", "")
-    sci = F.concat(sci_mant, F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
-                   F.lpad(F.abs(exp).cast("string"), 2, "0"))
-    converted = (F.when(exp.isNull(), body)
-                 .when((exp >= -4) & (exp < 0), small)
-                 .when((exp >= 0) & (exp < 16), big)
-                 .otherwise(sci))
-    special = F.when(F.isnan(c), F.lit("nan")) \
-        .when(c == float("inf"), F.lit("inf")).when(c == float("-inf"), F.lit("-inf"))
-    return F.when(c.isNull(), F.lit(None).cast("string")) \
-        .otherwise(F.coalesce(special, F.concat(sign, converted)))
+    mantissa = F.when(frac == "", lead).otherwise(F.concat(lead, F.lit("."), frac))
+    sci = F.concat(mantissa, F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
+                   F.format_string("%02d", F.abs(exp)))
+    body = (F.when((exp >= -4) & (exp < 0), small)
+            .when((exp >= 0) & (exp < 16), big)
+            .otherwise(sci))
+    special = F.when(F.isnan(v), F.lit("nan")) \
+        .when(v == float("inf"), F.lit("inf")).when(v == float("-inf"), F.lit("-inf"))
+    return F.when(v.isNull(), F.lit(None).cast("string")) \
+        .otherwise(F.coalesce(special, F.concat(sign, body)))

@@ -18,6 +18,7 @@ from sacctlens import schema as S
 from sacctlens.functions import calendar as C
 from sacctlens.functions import render
 from sacctlens.operators import periods as P
+from sacctlens.sources.local import local_rows
 
 _PARAM_COLS = "key string, kind string, num_value double, text_value string, present boolean"
 
@@ -72,7 +73,7 @@ def _fixed_rows(spark) -> DataFrame:
     rows += [("percentaviail", "float", S.AVAILABILITY_RATIO, None, True),
              ("eurohpcavail", "float", S.EUROHPC_SHARE, None, True)]
     rows += [(k, "text", None, v, True) for k, v in S.PARAM_TEX_EXPRESSIONS.items()]
-    return spark.createDataFrame(rows, _PARAM_COLS)
+    return local_rows(spark, rows, _PARAM_COLS)
 
 
 def param_ordinal():

@@ -22,19 +22,20 @@ from pyspark.sql import functions as F
 
 from sacctlens import schema as S
 from sacctlens.functions import calendar as C
+from sacctlens.sources.local import local_rows
 from sacctlens.operators.usage import SIX_METRICS, month_grain, resum_six, with_hours
 
 
 def window_tags(spark, year: int, month: int) -> DataFrame:
     """(tag, year, month) membership rows of one report (<= 1 + 3 + 12 rows)."""
     rows = [(tag, int(year), m) for tag, months in C.window_months(month).items() for m in months]
-    return spark.createDataFrame(rows, "tag string, year int, month int")
+    return local_rows(spark, rows, "tag string, year int, month int")
 
 
 def report_spine(spark) -> DataFrame:
     """The 3 tags x 3 clusters rows every report prints, zero when absent."""
     rows = [(t, c) for t in S.TAGS for c in S.CLUSTERS]
-    return spark.createDataFrame(rows, "tag string, cluster string")
+    return local_rows(spark, rows, "tag string, cluster string")
 
 
 def report_windows(jobs: DataFrame, year: int, month: int) -> DataFrame:
@@ -115,4 +116,4 @@ def period_calendar(jobs: DataFrame) -> DataFrame:
 def report_calendar(spark, year: int, month: int, ytd_start: _dt.date | None = None) -> DataFrame:
     """Calendar rows (3) of one report; ``ytd_start`` changes only YTD label and days."""
     rows = [(int(year), int(month), t) for t in S.TAGS]
-    return with_calendar(spark.createDataFrame(rows, "year int, month int, tag string"), ytd_start)
+    return with_calendar(local_rows(spark, rows, "year int, month int, tag string"), ytd_start)
