@@ -36,6 +36,32 @@ def benchmark_runs(events: DataFrame, samples: DataFrame, n: int = 3) -> DataFra
                     F.coalesce("peak_memory_mb", F.lit(0.0)).alias("peak_memory_mb")))
 
 
+def log_benchmark_runs(spark, logs_dir: str, dstat_dir: str | None, config: str, n: int = 3) -> DataFrame:
+    """Benchmark runs of one configuration straight from its event-log directory.
+
+    The n most recent logs (by application start, file time as fallback) are
+    numbered 1..n oldest-first; run k takes its peak memory from
+    ``dstat_run_<k>.csv`` (0.0 when absent).
+    """
+    from sacctlens.sources import eventlogs as EL
+    from sacctlens.sources import samples as SM
+
+    keys = ("config", "log_id")
+    events = EL.log_run_events(EL.read_event_logs(spark, logs_dir), config)
+    agg = R.run_aggregates(events, keys, extra=[F.max("file_mtime_ms").alias("file_mtime_ms")])
+    picked = R.recent_runs(agg, n=n, run="log_id", fallback="file_mtime_ms")
+    metrics = R.metrics_from_aggregates(agg, keys)
+    runs = picked.join(metrics, list(keys))
+    base_cols = [c for c in S.RUN_METRIC_COLUMNS if c != "peak_memory_mb"]
+    if dstat_dir is None:
+        return runs.select("config", "run_no", F.col("run_no").cast("bigint").alias("run"), "log_id",
+                           *base_cols, F.lit(0.0).alias("peak_memory_mb"))
+    peaks = R.sample_peaks(SM.read_resource_samples(spark, dstat_dir), key="run_no")
+    return (runs.join(peaks, "run_no", "left")
+            .select("config", "run_no", F.col("run_no").cast("bigint").alias("run"), "log_id", *base_cols,
+                    F.coalesce("peak_memory_mb", F.lit(0.0)).alias("peak_memory_mb")))
+
+
 def config_summary(runs: DataFrame, metrics: Sequence[str] = tuple(S.RUN_METRIC_COLUMNS),
                    digits: int = ROUND_DIGITS) -> DataFrame:
     """n_runs, mean_<m>, std_<m> (sample, n-1; null when n = 1) per configuration."""

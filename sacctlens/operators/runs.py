@@ -23,7 +23,8 @@ def _kind(k: str):
     return F.col("kind") == k
 
 
-def run_aggregates(events: DataFrame, keys: Sequence[str] = ("run", "config")) -> DataFrame:
+def run_aggregates(events: DataFrame, keys: Sequence[str] = ("run", "config"),
+                   extra: Sequence = ()) -> DataFrame:
     """One row per run: app start/end, stage and task counts, task span, shuffle bytes.
 
     Zero timestamps are ignored for the task span; a missing application start
@@ -42,6 +43,7 @@ def run_aggregates(events: DataFrame, keys: Sequence[str] = ("run", "config")) -
          .cast("bigint").alias("read_bytes"),
         F.coalesce(F.sum(F.when(_kind("task_end"), F.col("write_bytes"))), F.lit(0).cast("bigint"))
          .cast("bigint").alias("write_bytes"),
+        *extra,
     )
 
 

@@ -1,0 +1,254 @@
+"""File sources and sinks on small files written to a temporary folder."""
+
+import gzip
+import json
+import os
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from sacctlens.operators import compare as CMP
+from sacctlens.operators import params as PRM
+from sacctlens.operators import periods as P
+from sacctlens.operators import runs as R
+from sacctlens.sinks import writers as W
+from sacctlens.sources import eventlogs as EL
+from sacctlens.sources import jobs as J
+from sacctlens.sources import samples as SM
+from sacctlens.sources import summaries as SU
+
+JAN = """JobID|Partition|Account|State|AllocCPUS|AllocTRES|ElapsedRaw|NNodes|User
+1|normal-arm|f001|COMPLETED|48|cpu=48|3600|2|u
+2|dev-a100-40|ee01|CANCELLED by 77|33|cpu=33,gres/gpu=3|7200|1|u
+3|dev-a100-80|x|FAILED|16||100|1|u
+4|dev-a100-80|f|TIMEOUT|32|cpu=32|100|2|u
+5|normal-x86|||8|cpu=8|10|1|u
+6||ee|COMPLETED|8|cpu=8|10|1|u
+7|normal-a100|ee|COMPLETED|8|gres/gpu:a100=4|10|1|u
+"""
+FEB = """JobID|Partition|Account|State|AllocCPUS|AllocTRES|ElapsedRaw|NNodes|User
+8|normal-arm|f001|COMPLETED|48|cpu=48|3600|2|u
+"""
+MAR = """JobID|Partition|Account|State|AllocCPUS|AllocTRES|ElapsedRaw|NNodes|User
+9|normal-x86|ee5|COMPLETED|8|cpu=8|100|1|u
+10|normal-x86|ee5|RUNNING|8|cpu=8|notanumber|1|u
+"""
+
+
+@pytest.fixture(scope="module")
+def datadir(tmp_path_factory):
+    d = tmp_path_factory.mktemp("jobs")
+    (d / "jobs_Jan.txt").write_text(JAN)
+    (d / "jobs_Feb.txt").write_text(FEB)
+    (d / "sub").mkdir()
+    (d / "sub" / "jobs_Mar.txt").write_text(MAR)
+    (d / "notes.txt").write_text("not a job file\n")
+    return str(d)
+
+
+def test_read_all_job_files(spark, datadir):
+    df = J.read_jobs(spark, datadir, 2025)
+    rows = df.collect()
+    assert len(rows) == 10
+    by_period = {}
+    for r in rows:
+        by_period[r.period] = by_period.get(r.period, 0) + 1
+        assert r.year == 2025
+    assert by_period == {"Jan": 7, "Feb": 1, "Mar": 2}
+    assert dict(df.dtypes)["ElapsedRaw"] == "bigint"
+    bad = [r for r in rows if r.period == "Mar" and r.State == "RUNNING"][0]
+    assert bad.ElapsedRaw is None
+    nulls = [r for r in rows if r.Partition is None]
+    assert len(nulls) == 1
+
+
+def test_month_selection_lists_only_those_files(spark, datadir):
+    df = J.read_jobs(spark, datadir, 2025, months=["Jan", "Feb"])
+    assert sorted(os.path.basename(f) for f in df.inputFiles()) == ["jobs_Feb.txt", "jobs_Jan.txt"]
+    assert df.count() == 8
+    assert {r.month for r in df.select("month").distinct().collect()} == {1, 2}
+
+
+def test_month_selection_without_files_fails(spark, datadir):
+    with pytest.raises(AnalysisException):
+        J.read_jobs(spark, datadir, 2025, months=["Apr"]).count()
+    with pytest.raises(ValueError):
+        J.read_jobs(spark, datadir, 2025, months=["April"])
+
+
+def test_report_from_files(spark, datadir):
+    jobs = J.read_enriched_jobs(spark, datadir, 2025, months=J.months_for_report(2))
+    rows = {(r.tag, r.cluster): r for r in P.report_windows(jobs, 2025, 2).collect()}
+    assert rows[("ytd", "GPU")].seconds_nonlocal == 22440
+    assert rows[("ytd", "ARM")].seconds_nonlocal == 14400
+    assert rows[("ytd", "AMD")].seconds_nonlocal == 10
+    assert rows[("month", "ARM")].seconds_nonlocal == 7200
+    assert rows[("month", "GPU")].completed_jobs == 0
+    assert J.months_for_report(2) == ["Jan", "Feb"]
+    assert J.months_for_report(5) == ["Jan", "Feb", "Mar", "Apr", "May"]
+
+
+def test_parquet_layout_prunes_partitions(spark, datadir, tmp_path):
+    out = str(tmp_path / "jobs_parquet")
+    J.write_jobs_parquet(J.read_jobs(spark, datadir, 2025), out)
+    jobs = J.read_jobs_parquet(spark, out)
+    report = P.report_windows(jobs, 2025, 2)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
+    rows = {(r.tag, r.cluster): r.seconds_nonlocal for r in report.collect()}
+    assert rows[("ytd", "GPU")] == 22440 and rows[("ytd", "ARM")] == 14400
+    assert sorted(os.listdir(out + "/year=2025")) == ["month=1", "month=2", "month=3"]
+
+
+def _events_plain(start, end, extra):
+    lines = []
+    if start is not None:
+        lines.append({"Event": "SparkListenerApplicationStart", "App ID": "a", "Timestamp": start})
+    lines += extra
+    if end is not None:
+        lines.append({"Event": "SparkListenerApplicationEnd", "Timestamp": end})
+    return "\n".join(json.dumps(x) for x in lines) + "\n"
+
+
+def _stage(kind, n):
+    return {"Event": kind, "Stage Info": {"Stage ID": 0, "Number of Tasks": n}}
+
+
+def _task_start(t):
+    return {"Event": "SparkListenerTaskStart", "Task Info": {"Launch Time": t}}
+
+
+def _task_end(t, remote=None, local=None, written=None):
+    m = {}
+    if remote is not None or local is not None:
+        m["Shuffle Read Metrics"] = {k: v for k, v in (("Remote Bytes Read", remote),
+                                                        ("Local Bytes Read", local)) if v is not None}
+    if written is not None:
+        m["Shuffle Write Metrics"] = {"Shuffle Bytes Written": written}
+    ev = {"Event": "SparkListenerTaskEnd", "Task Info": {"Finish Time": t}}
+    if m:
+        ev["Task Metrics"] = m
+    return ev
+
+
+@pytest.fixture(scope="module")
+def logs_dir(tmp_path_factory):
+    d = tmp_path_factory.mktemp("logs")
+    a = _events_plain(1000, 11000, [_stage("SparkListenerStageSubmitted", 4),
+                                    _stage("SparkListenerStageCompleted", 4),
+                                    _task_start(2000), _task_start(2500),
+                                    _task_end(3000, remote=100, local=50, written=1000),
+                                    _task_end(6000)])
+    a = a.replace("\n", "\n\nnot json at all\n", 1)            # a blank and a malformed line
+    (d / "app-001").write_text(a)
+    with gzip.open(d / "app-002.gz", "wt") as f:
+        f.write(_events_plain(20000, 25000, [_stage("SparkListenerStageSubmitted", 1)]))
+    v2 = d / "eventlog_v2_app-003"
+    v2.mkdir()
+    (v2 / "events_1_app-003").write_text(_events_plain(30000, None, [
+        _stage("SparkListenerStageSubmitted", 2), _task_start(31000)]))
+    (v2 / "events_2_app-003").write_text(_events_plain(None, 40000, [_task_end(33000, written=500)]))
+    (v2 / "appstatus_app-003").write_text("")
+    (v2 / ".events_1_app-003.crc").write_text("crc")
+    (d / "app-004").write_text(_events_plain(None, 50000, []))
+    return str(d)
+
+
+@pytest.fixture(scope="module")
+def dstat_dir(tmp_path_factory):
+    d = tmp_path_factory.mktemp("dstat")
+    banner = ('"Dstat 0.7.4 CSV output"\n"Author:","someone",,,,"URL:","x"\n'
+              '"Host:","node1",,,,"User:","u"\n\n')
+    header = '"usr","sys","idl","wai","hiq","siq","used","free","used","free","buff","cach"\n'
+    (d / "dstat_run_1.csv").write_text(
+        banner + '"total cpu usage",,,,,,"swap",,"memory usage",,,\n' + header
+        + "1,2,97,0,0,0,999999999999,5,1048576000,2,3,4\n" + header
+        + "1,2,97,0,0,0,5,5,2097152000,2,3,4\n")
+    (d / "dstat_run_2.csv").write_text(
+        banner + '"memory usage",,,,"swap",\n"used","free","buff","cach","used","free"\n'
+        + "536870912,1,1,1,7777777777,1\n")
+    return str(d)
+
+
+def test_event_log_metrics(spark, logs_dir):
+    logs = EL.read_event_logs(spark, logs_dir)
+    bad = {r.log_id: r.bad_lines for r in EL.malformed_lines(logs).collect()}
+    assert bad["app-001"] == 1 and set(bad) == {"app-001", "app-002", "eventlog_v2_app-003", "app-004"}
+    events = EL.log_run_events(logs, "cfg")
+    m = {r.log_id: r for r in R.run_metrics(events, keys=("log_id", "config")).collect()}
+    a = m["app-001"]
+    assert (a.wall_time_s, a.stages, a.tasks) == (10.0, 1, 4)
+    assert a.shuffle_read_mb == 150 / 1048576 and a.shuffle_write_mb == 1000 / 1048576
+    assert a.driver_time_s == 6.0
+    b = m["app-002"]
+    assert (b.wall_time_s, b.stages, b.tasks, b.driver_time_s) == (5.0, 1, 1, 0.0)
+    c = m["eventlog_v2_app-003"]
+    assert (c.wall_time_s, c.stages, c.tasks, c.driver_time_s) == (10.0, 1, 2, 8.0)
+    assert c.shuffle_write_mb == 500 / 1048576
+    d = m["app-004"]                                   # no start event: start counts as 0
+    assert d.wall_time_s == 50.0 and d.driver_time_s == 0.0
+
+
+def test_resource_samples(spark, dstat_dir):
+    peaks = {r.run_no: r.peak_memory_mb
+             for r in R.sample_peaks(SM.read_resource_samples(spark, dstat_dir), key="run_no").collect()}
+    assert peaks == {1: 2000.0, 2: 512.0}
+
+
+def test_log_benchmark_runs_and_documents(spark, logs_dir, dstat_dir, tmp_path):
+    runs = CMP.log_benchmark_runs(spark, logs_dir, dstat_dir, "final", n=3)
+    got = sorted((r.run_no, r.log_id, r.peak_memory_mb) for r in runs.collect())
+    # app-004 has no start: its file time (now) makes it the most recent.
+    assert got == [(1, "app-002", 2000.0), (2, "eventlog_v2_app-003", 512.0), (3, "app-004", 0.0)]
+    docs = CMP.summary_document(runs)
+    out = str(tmp_path / "docs")
+    W.write_summary_documents(docs, out)
+    back = SU.read_summary_documents(spark, out + "/*.json")
+    assert SU.summary_runs(back).count() == 3
+    table = SU.summary_table(back).collect()[0]
+    assert table.config == "final" and table.n_runs == 3
+    assert table.mean_wall_time_s == round((5.0 + 10.0 + 50.0) / 3, 6)
+
+
+def test_summary_documents_skip_unreadable(spark, tmp_path):
+    good = {"runs": [{"run": 1, "config": "v2", "wall_time_s": 52.77, "stages": 55, "tasks": 55,
+                      "shuffle_read_mb": 0.01, "shuffle_write_mb": 0.01, "driver_time_s": 20.9,
+                      "peak_memory_mb": 3300.0}],
+            "summary": {"config": "v2", "n_runs": 1, "mean": {"wall_time_s": 52.77}, "std": {"wall_time_s": None}}}
+    (tmp_path / "v2.json").write_text(json.dumps(good, indent=4))
+    (tmp_path / "broken.json").write_text("{not json")
+    docs = SU.read_summary_documents(spark, str(tmp_path / "*.json"))
+    assert [r.source_file for r in SU.unreadable_summaries(docs).collect()] == ["broken.json"]
+    runs = SU.summary_runs(docs).collect()
+    assert len(runs) == 1 and runs[0].config == "v2" and runs[0].wall_time_s == 52.77
+
+
+def test_sinks(spark, datadir, tmp_path):
+    jobs = J.read_enriched_jobs(spark, datadir, 2026, months=["Jan"])
+    tex = PRM.report_tex_lines(jobs, 2026, 1)
+    W.write_params_tex(tex, str(tmp_path / "params"))
+    part = [f for f in os.listdir(tmp_path / "params") if f.startswith("part-")]
+    assert len(part) == 1
+    lines = (tmp_path / "params" / part[0]).read_text().splitlines()
+    assert len(lines) == 70
+    assert lines[0] == "\\def\\reportPeriod{01/01/2026 - 31/01/2026}"
+    assert "\\def\\armusedhours{2.0}" in lines            # 7200 s non-local ARM
+    assert "\\def\\gpuusedhours{6.233333333333333}" in lines
+    assert lines[-3] == "\\def\\monthhours{{\\inteval{\\ndays * 24}}}"
+
+    rows = [("baseline", 3, 66.0967, 0.3958), ("v2", 3, 52.3833, 0.6101), ("x_y", 1, 1.0, None)]
+    summ = spark.createDataFrame(rows, "config string, n_runs bigint, mean_wall_time_s double, "
+                                      "std_wall_time_s double")
+    for m in ["stages", "tasks", "shuffle_read_mb", "shuffle_write_mb", "peak_memory_mb", "driver_time_s"]:
+        summ = summ.selectExpr("*", f"1.0 AS mean_{m}", f"0.0 AS std_{m}")
+    display = CMP.config_summary_display(summ)
+    W.write_summary_csv(display, str(tmp_path / "csv"))
+    csv_part = [f for f in os.listdir(tmp_path / "csv") if f.startswith("part-")][0]
+    csv_lines = (tmp_path / "csv" / csv_part).read_text().splitlines()
+    assert csv_lines[0].startswith("Configuration,Runtime (s),# Stages")
+    assert csv_lines[1].startswith("baseline,66.10 ± 0.40,1.0")
+    W.write_summary_latex(display, str(tmp_path / "tex"))
+    tex_part = [f for f in os.listdir(tmp_path / "tex") if f.startswith("part-")][0]
+    tex_lines = (tmp_path / "tex" / tex_part).read_text().splitlines()
+    assert tex_lines[0] == "\\begin{table}" and tex_lines[-1] == "\\end{table}"
+    assert any(line.startswith("x\\_y & 1.00 ± 0.00") for line in tex_lines)
