@@ -45,9 +45,14 @@ def report_windows(jobs: DataFrame, year: int, month: int) -> DataFrame:
     (partition pruning when the jobs are month-partitioned), one partial +
     final aggregate to the month grain, then tiny joins.
     """
-    spark = jobs.sparkSession
     grain = month_grain(jobs.where((F.col("year") == year) & (F.col("month") <= month)
                                    & (F.col("month") >= 1)))
+    return windows_from_grain(grain, year, month)
+
+
+def windows_from_grain(grain: DataFrame, year: int, month: int) -> DataFrame:
+    """The 3 x 3 window report from a month-grain frame (e.g. a streamed table)."""
+    spark = grain.sparkSession
     members = window_tags(spark, year, month)
     per_window = (grain.join(F.broadcast(members), ["year", "month"])
                   .groupBy("tag", "cluster").agg(*resum_six()))
