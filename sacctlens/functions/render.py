@@ -4,14 +4,14 @@ The report prints integers plainly and floating-point values in their shortest
 round-trip form, switching to exponent notation only below 1e-4 or from 1e16
 on (``116148.0675``, ``0.0002777777777777778``, ``12345678.5``, ``1e+16``).
 Spark's ``cast(double as string)`` switches to ``E`` notation outside
-[1e-3, 1e7) and, on JDK 17, is not always the shortest form.  ``float_text``
+[1e-3, 1e7) and, on JDK 17, is not always the shortest form.  ``with_float_text``
 picks the shortest ``%.ke`` text that parses back to the same double and lays
 it out with string functions only, so it stays a JVM expression.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,19 +19,31 @@ def int_text(c: Column) -> Column:
     return c.cast("bigint").cast("string")
 
 
-def float_text(c: Column) -> Column:
-    v = c.cast("double")
-    # Shortest "%.ke" form (k = 0..16) that parses back to the same double.
+def with_float_text(df: DataFrame, source: str, out: str) -> DataFrame:
+    """Add ``out`` = ``source`` (double) printed in shortest round-trip form.
+
+    Staged as successive projections: the shortest-form search runs once per
+    row and its parts are parsed once, which keeps each generated method far
+    below the JVM's 64 KB limit (one nested expression would re-expand the
+    search in every branch).
+    """
+    v = F.col(source).cast("double")
+    # 1. Shortest "%.ke" form (k = 0..16) that parses back to the same double.
     candidates = [F.format_string(f"%.{k}e", v) for k in range(17)]
     shortest = F.coalesce(*[F.when(x.cast("double") == v, x) for x in candidates])
     pattern = r"^(-?)([0-9])(?:\.([0-9]+))?e([+-][0-9]+)$"
-    sign = F.regexp_extract(shortest, pattern, 1)
-    lead = F.regexp_extract(shortest, pattern, 2)
-    frac = F.regexp_extract(shortest, pattern, 3)
-    exp = F.regexp_extract(shortest, pattern, 4).cast("int")
-    digits = F.concat(lead, frac)
+    staged = df.withColumn("_ft_s", shortest)
+    # 2. Sign, leading digit, fraction digits, exponent.
+    staged = staged.withColumns({
+        "_ft_sign": F.regexp_extract("_ft_s", pattern, 1),
+        "_ft_lead": F.regexp_extract("_ft_s", pattern, 2),
+        "_ft_frac": F.regexp_extract("_ft_s", pattern, 3),
+        "_ft_exp": F.regexp_extract("_ft_s", pattern, 4).cast("int"),
+    })
+    staged = staged.withColumn("_ft_digits", F.concat("_ft_lead", "_ft_frac"))
+    # 3. Positional layout for 1e-4 <= |v| < 1e16, exponent form otherwise.
+    lead, frac, exp, digits = (F.col("_ft_lead"), F.col("_ft_frac"), F.col("_ft_exp"), F.col("_ft_digits"))
     n = F.length(digits)
-    # Positional layout for 1e-4 <= |v| < 1e16, as the report prints it.
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
     big = F.when(n <= exp + 1, F.concat(digits, F.repeat(F.lit("0"), exp + 1 - n), F.lit(".0"))) \
            .otherwise(F.concat(digits.substr(F.lit(1), exp + 1), F.lit("."), digits.substr(exp + 2, n)))
@@ -43,5 +55,7 @@ def float_text(c: Column) -> Column:
             .otherwise(sci))
     special = F.when(F.isnan(v), F.lit("nan")) \
         .when(v == float("inf"), F.lit("inf")).when(v == float("-inf"), F.lit("-inf"))
-    return F.when(v.isNull(), F.lit(None).cast("string")) \
-        .otherwise(F.coalesce(special, F.concat(sign, body)))
+    text = F.when(v.isNull(), F.lit(None).cast("string")) \
+        .otherwise(F.coalesce(special, F.concat(F.col("_ft_sign"), body)))
+    return staged.withColumn(out, text).drop("_ft_s", "_ft_sign", "_ft_lead", "_ft_frac", "_ft_exp",
+                                             "_ft_digits")

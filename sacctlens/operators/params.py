@@ -97,22 +97,23 @@ def report_params_long(jobs: DataFrame, year: int, month: int,
     return report_params(jobs, year, month, ytd_start).select("ordinal", "key", "num_value", "text_value")
 
 
-def value_text(kind="kind", num="num_value", text="text_value", present="present"):
+def value_text(kind="kind", num="num_value", text="text_value", present="present", num_text="_num_text"):
     """Render a parameter value the way the macro file prints it.
 
-    Integers print plainly, floats in shortest round-trip form; a metric of a
-    cluster absent from the window keeps its default ``0``.
+    Integers print plainly, floats in shortest round-trip form (``num_text``,
+    see ``render.with_float_text``); a metric of a cluster absent from the
+    window keeps its default ``0``.
     """
     k, n = F.col(kind), F.col(num)
     return (F.when(k == "text", F.col(text))
             .when(k == "int", render.int_text(n))
             .when(~F.col(present), F.lit("0"))
-            .otherwise(render.float_text(n)))
+            .otherwise(F.col(num_text)))
 
 
 def report_tex_lines(jobs: DataFrame, year: int, month: int,
                      ytd_start: _dt.date | None = None) -> DataFrame:
     """(ordinal, line) with ``\\def\\<key>{<value>}`` per parameter."""
-    params = report_params(jobs, year, month, ytd_start)
+    params = render.with_float_text(report_params(jobs, year, month, ytd_start), "num_value", "_num_text")
     return params.select("ordinal", F.concat(F.lit("\\def\\"), F.col("key"), F.lit("{"), value_text(),
                                              F.lit("}")).alias("line"))

@@ -13,7 +13,7 @@ FIXED = [0.0, 0.8, 0.35, 1.0, 116148.0675, 22844.77666666667, 39.87555555555556,
 
 def _spark_render(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    return [r[0] for r in df.select(render.float_text(F.col("v"))).collect()]
+    return [r[0] for r in render.with_float_text(df, "v", "t").select("t").collect()]
 
 
 def test_fixed_values(spark):
