@@ -30,7 +30,8 @@ def with_float_text(df: DataFrame, source: str, out: str) -> DataFrame:
     v = F.col(source).cast("double")
     # 1. Shortest "%.ke" form (k = 0..16) that parses back to the same double.
     candidates = [F.format_string(f"%.{k}e", v) for k in range(17)]
-    shortest = F.coalesce(*[F.when(x.cast("double") == v, x) for x in candidates])
+    shortest = F.when(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")),
+                      F.coalesce(*[F.when(x.try_cast("double") == v, x) for x in candidates]))
     pattern = r"^(-?)([0-9])(?:\.([0-9]+))?e([+-][0-9]+)$"
     staged = df.withColumn("_ft_s", shortest)
     # 2. Sign, leading digit, fraction digits, exponent.
