@@ -8,9 +8,10 @@ window logic runs on that:
 * ``report_windows``: one report month; the month grain is joined to a
   (tag, year, month) membership frame of at most 16 rows (built from the
   parameters, so its size is bounded by construction) and re-aggregated.
-* ``report_all_months``: every month at once with range frames over the
-  month number, partitioned by (year, cluster) — partitioning by year *is*
-  the January clip of the quarter.
+* ``report_all_months``: every month at once; one aggregate per month with
+  cluster-conditional metrics, then range frames over the month number,
+  partitioned by (year, cluster) — partitioning by year *is* the January clip
+  of the quarter.
 """
 
 from __future__ import annotations
@@ -62,24 +63,44 @@ def windows_from_grain(grain: DataFrame, year: int, month: int) -> DataFrame:
     return with_hours(dense)
 
 
-def _month_spine(grain: DataFrame) -> DataFrame:
-    """Every (year, month, cluster) from the first to the last month present."""
-    bounds = grain.agg(F.min(F.make_date("year", "month", F.lit(1))).alias("lo"),
-                       F.max(F.make_date("year", "month", F.lit(1))).alias("hi"))
-    months = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("d"))
-    return months.select(F.year("d").alias("year"), F.month("d").alias("month"),
-                         F.explode(F.array(*[F.lit(c) for c in S.CLUSTERS])).alias("cluster"))
+def dense_month_grain(jobs: DataFrame) -> DataFrame:
+    """(year, month, cluster) -> six metrics, with every cluster present in every month.
+
+    One aggregate keyed by (year, month) computes the six metrics for each
+    cluster conditionally (18 partial sums before the shuffle); each month row
+    is then split into its three cluster rows, zeros included.  A separate
+    spine would need a second pass over the jobs, since Catalyst cannot share
+    an aggregate whose columns are pruned differently in two branches.
+    """
+    aggs = []
+    for c in S.CLUSTERS:
+        in_c = F.col("cluster") == c
+        aggs += [
+            F.count_if(in_c & (F.col("outcome") == "COMPLETED")).alias(f"{c}__completed_jobs"),
+            F.count_if(in_c & (F.col("outcome") == "FAILED")).alias(f"{c}__failed_jobs"),
+            F.count_if(in_c & (F.col("agency") != "LOCAL")).alias(f"{c}__jobs_nonlocal"),
+            F.coalesce(F.sum(F.when(in_c & (F.col("agency") != "LOCAL"), F.col("job_seconds"))),
+                       F.lit(0).cast("bigint")).alias(f"{c}__seconds_nonlocal"),
+            F.count_if(in_c & (F.col("agency") == "EHPC")).alias(f"{c}__jobs_ehpc"),
+            F.coalesce(F.sum(F.when(in_c & (F.col("agency") == "EHPC"), F.col("job_seconds"))),
+                       F.lit(0).cast("bigint")).alias(f"{c}__seconds_ehpc"),
+        ]
+    wide = jobs.groupBy("year", "month").agg(*aggs)
+    per_cluster = [F.struct(F.lit(c).alias("cluster"), *[F.col(f"{c}__{m}").alias(m) for m in SIX_METRICS])
+                   for c in S.CLUSTERS]
+    return wide.select("year", "month", F.explode(F.array(*per_cluster)).alias("r")) \
+               .select("year", "month", "r.*")
 
 
 def report_all_months(jobs: DataFrame) -> DataFrame:
-    """Month, quarter and YTD metrics for every month of the data, long format.
+    """Month, quarter and YTD metrics for every month present in the data, long format.
 
-    Rows: (year, month, tag, cluster, six metrics, hours).  Months without jobs
-    are present with zeros, so quarter / YTD values are defined for them.
+    Rows: (year, month, tag, cluster, six metrics, hours); every cluster has a
+    row in every month (zeros when it ran nothing), so quarter / YTD values
+    are defined for it.  One scan, one aggregate, then range frames over the
+    month number partitioned by (year, cluster).
     """
-    grain = month_grain(jobs)
-    dense = _month_spine(grain).join(grain, ["year", "month", "cluster"], "left") \
-                               .fillna(0, subset=SIX_METRICS)
+    dense = dense_month_grain(jobs)
     w = Window.partitionBy("year", "cluster").orderBy("month")
     quarter = w.rangeBetween(-2, 0)
     ytd = w.rangeBetween(Window.unboundedPreceding, 0)
