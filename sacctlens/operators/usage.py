@@ -113,31 +113,52 @@ def gpu_allocation_rules(jobs: DataFrame) -> DataFrame:
                  F.sum("vnodes").cast("bigint").alias("sum_vnodes")))
 
 
-def separate_aggregates_long(jobs: DataFrame) -> DataFrame:
+def usage_base(jobs: DataFrame) -> DataFrame:
+    """(cluster, outcome, agency) -> jobs, seconds: at most 3 x 2 x 3 rows.
+
+    Every report metric is a sum over these cells, so both ways of computing
+    the metrics below can start from it instead of re-reading the jobs.
+    """
+    return jobs.groupBy("cluster", "outcome", "agency").agg(
+        F.count(F.lit(1)).alias("n_jobs"),
+        F.coalesce(F.sum("job_seconds"), F.lit(0).cast("bigint")).alias("seconds"))
+
+
+def separate_aggregates_long(base: DataFrame) -> DataFrame:
     """The six metrics computed the multi-pass way, as (cluster, metric, value) rows.
 
-    Outcome counts per cluster, non-local count+sum, EHPC count+sum: three
-    independent aggregates, unioned.  Groups absent from an aggregate produce
-    no row (they are zero).
+    Three independent filter-then-aggregate steps over ``usage_base``:
+    outcome counts per cluster, non-local count + sum, EHPC count + sum.
+    Groups absent from an aggregate produce no row (they are zero).
     """
-    outcomes = (outcome_by_cluster(jobs)
+    outcomes = (base.groupBy("cluster", "outcome").agg(F.sum("n_jobs").cast("bigint").alias("value"))
                 .select("cluster",
                         F.when(F.col("outcome") == "COMPLETED", F.lit("completed_jobs"))
-                         .otherwise(F.lit("failed_jobs")).alias("metric"),
-                        F.col("n_jobs").alias("value")))
-    nl = usage_nonlocal(jobs).select(
-        "cluster", F.lit("jobs_nonlocal").alias("j"), F.col("jobs"),
-        F.lit("seconds_nonlocal").alias("s"), F.col("seconds"))
-    eh = usage_ehpc(jobs).select(
-        "cluster", F.lit("jobs_ehpc").alias("j"), F.col("jobs"),
-        F.lit("seconds_ehpc").alias("s"), F.col("seconds"))
-    pairs = nl.unionByName(eh)
-    counted = pairs.select("cluster", F.col("j").alias("metric"), F.col("jobs").alias("value"))
-    summed = pairs.select("cluster", F.col("s").alias("metric"), F.col("seconds").alias("value"))
-    return outcomes.unionByName(counted).unionByName(summed)
-
-
-def single_pass_long(jobs: DataFrame) -> DataFrame:
+                         .otherwise(F.lit("failed_jobs")).alias("metric"), "value"))
+
+    def count_and_sum(pred, jobs_name, seconds_name):
+        agg = base.where(pred).groupBy("cluster").agg(F.sum("n_jobs").cast("bigint").alias("j"),
+                                                       F.sum("seconds").cast("bigint").alias("s"))
+        return agg.select("cluster", F.explode(F.array(
+            F.struct(F.lit(jobs_name).alias("metric"), F.col("j").alias("value")),
+            F.struct(F.lit(seconds_name).alias("metric"), F.col("s").alias("value")))).alias("r")) \
+            .select("cluster", "r.metric", "r.value")
+
+    nonlocal_ = count_and_sum(_nonlocal(), "jobs_nonlocal", "seconds_nonlocal")
+    ehpc = count_and_sum(_ehpc(), "jobs_ehpc", "seconds_ehpc")
+    return outcomes.unionByName(nonlocal_).unionByName(ehpc)
+
+
+def single_pass_long(base: DataFrame) -> DataFrame:
     """The six metrics from one conditional aggregate, as (cluster, metric, value) rows."""
-    wide = jobs.groupBy("cluster").agg(*six_metric_aggs())
+    n, sec = F.col("n_jobs"), F.col("seconds")
+    zero = F.lit(0).cast("bigint")
+    wide = base.groupBy("cluster").agg(
+        F.sum(F.when(F.col("outcome") == "COMPLETED", n).otherwise(zero)).cast("bigint").alias("completed_jobs"),
+        F.sum(F.when(F.col("outcome") == "FAILED", n).otherwise(zero)).cast("bigint").alias("failed_jobs"),
+        F.sum(F.when(_nonlocal(), n).otherwise(zero)).cast("bigint").alias("jobs_nonlocal"),
+        F.sum(F.when(_nonlocal(), sec).otherwise(zero)).cast("bigint").alias("seconds_nonlocal"),
+        F.sum(F.when(_ehpc(), n).otherwise(zero)).cast("bigint").alias("jobs_ehpc"),
+        F.sum(F.when(_ehpc(), sec).otherwise(zero)).cast("bigint").alias("seconds_ehpc"),
+    )
     return wide.unpivot("cluster", SIX_METRICS, "metric", "value")

@@ -21,6 +21,7 @@ from sacctlens.operators import params as PRM
 from sacctlens.operators import periods as P
 from sacctlens.operators import runs as R
 from sacctlens.operators import usage as U
+from sacctlens.session import checkpoint_dir
 from sacctlens.sources import testtables as TT
 
 # Report month used by the report queries (the data spans 1995-01 .. 2001-11).
@@ -153,8 +154,14 @@ def q_speedup_vs_baseline(spark, sf_dir):
 
 # ---------------------------------------------------------------- equality
 def q_output_diff(spark, sf_dir):
-    jobs = TT.jobs(spark, sf_dir)
-    return CMP.multiset_diff(U.separate_aggregates_long(jobs), U.single_pass_long(jobs), drop_zero="value")
+    """Multi-pass aggregates vs the single conditional pass, from one scan of the jobs.
+
+    The (cluster, outcome, agency) base has at most 18 rows; it is checkpointed
+    to the shared checkpoint folder so both paths read it instead of the jobs.
+    """
+    checkpoint_dir(spark)
+    base = U.usage_base(TT.jobs(spark, sf_dir)).checkpoint(eager=True)
+    return CMP.multiset_diff(U.separate_aggregates_long(base), U.single_pass_long(base), drop_zero="value")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -68,3 +68,11 @@ def test_recent_runs_limits_before_shuffle(spark):
 def test_month_grain_aggregates_before_shuffle(spark):
     plan = _plan(QUERIES["single_pass_metrics"](spark, SF01))
     assert re.search(r"HashAggregate\(keys=\[year#\d+, month#\d+, cluster#\d+\], functions=\[partial_", plan)
+
+
+def test_output_diff_reads_the_jobs_once(spark):
+    # The 18-row base is checkpointed eagerly (one scan); the returned plan reads only it.
+    df = QUERIES["output_diff"](spark, SF01)
+    plan = _plan(df)
+    assert "lineitem" not in plan and "orders.parquet" not in plan
+    assert df.collect()[0].identical

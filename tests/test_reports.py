@@ -73,13 +73,14 @@ def test_january_clips_quarter(all_months):
 
 
 def test_separate_aggregates_equal_single_pass(jobs):
-    diff = CMP.multiset_diff(U.separate_aggregates_long(jobs), U.single_pass_long(jobs),
+    base = U.usage_base(jobs)
+    diff = CMP.multiset_diff(U.separate_aggregates_long(base), U.single_pass_long(base),
                              drop_zero="value").collect()
     assert len(diff) == 1 and diff[0].identical and diff[0].left_only == 0
 
 
 def test_multiset_diff_detects_changes(spark, jobs):
-    left = U.single_pass_long(jobs)
+    left = U.single_pass_long(U.usage_base(jobs))
     right = left.where(F.col("metric") != "jobs_ehpc")
     r = CMP.multiset_diff(left, right).collect()[0]
     assert (r.left_only, r.right_only, r.identical) == (3, 0, False)
