@@ -36,31 +36,30 @@ def window_months(month: int) -> dict[str, list[int]]:
     }
 
 
-def window_start(tag: Column, year: Column, month: Column, ytd_start: _dt.date | None = None) -> Column:
-    """First day of a window."""
-    first = F.make_date(year, month, F.lit(1))
-    next_month = F.add_months(first, 1)
-    ytd = F.make_date(year, F.lit(1), F.lit(1)) if ytd_start is None else F.lit(ytd_start)
-    return (F.when(tag == "month", first)
-            .when(tag == "quarter", F.add_months(next_month, -F.least(F.lit(3), month)))
-            .when(tag == "ytd", ytd))
+# The calendar is written as SQL expressions over columns ``tag``, ``year``
+# and ``month``: each is parsed JVM-side in one call.
+_FIRST = "make_date(year, month, 1)"
+_NEXT = f"add_months({_FIRST}, 1)"
 
 
-def window_end(year: Column, month: Column) -> Column:
-    """Last day of the report month (all windows end there)."""
-    return F.last_day(F.make_date(year, month, F.lit(1)))
+def window_start_sql(ytd_start: _dt.date | None = None) -> str:
+    """First day of a window (quarter clipped at January)."""
+    ytd = "make_date(year, 1, 1)" if ytd_start is None else f"DATE'{ytd_start.isoformat()}'"
+    return (f"CASE tag WHEN 'month' THEN {_FIRST} "
+            f"WHEN 'quarter' THEN add_months({_NEXT}, -least(3, month)) "
+            f"WHEN 'ytd' THEN {ytd} END")
 
 
-def window_days(start: Column, year: Column, month: Column) -> Column:
-    """Days from the window start to the first day after the report month."""
-    return F.datediff(F.add_months(F.make_date(year, month, F.lit(1)), 1), start)
+WINDOW_END_SQL = f"last_day({_FIRST})"
+WINDOW_DAYS_SQL = f"datediff({_NEXT}, start_date)"
+PERIOD_LABEL_SQL = "concat(date_format(start_date, 'dd/MM/yyyy'), ' - ', date_format(end_date, 'dd/MM/yyyy'))"
+MONTH_NAME_SQL = f"date_format({_FIRST}, 'MMMM')"
 
 
-def period_label(start: Column, end: Column) -> Column:
-    """``dd/MM/yyyy - dd/MM/yyyy``."""
-    return F.concat(F.date_format(start, "dd/MM/yyyy"), F.lit(" - "), F.date_format(end, "dd/MM/yyyy"))
+def window_start(ytd_start: _dt.date | None = None) -> Column:
+    return F.expr(window_start_sql(ytd_start))
 
 
-def month_name(year: Column, month: Column) -> Column:
-    """Full English month name (``January`` ..)."""
-    return F.date_format(F.make_date(year, month, F.lit(1)), "MMMM")
+def month_name() -> Column:
+    """Full English month name (``January`` ..) of columns year, month."""
+    return F.expr(MONTH_NAME_SQL)

@@ -76,6 +76,7 @@ def job_seconds(elapsed="ElapsedRaw", units: Column | None = None) -> Column:
 
 def enrich(raw) -> "DataFrame":  # noqa: F821
     """Add the derived columns to a frame holding the seven raw job columns."""
+    units = vnodes()
     return raw.select(
         "*",
         normalised_state().alias("estate"),
@@ -83,5 +84,6 @@ def enrich(raw) -> "DataFrame":  # noqa: F821
         cluster().alias("cluster"),
         agency().alias("agency"),
         old_vnodes().alias("old_vnodes"),
-        vnodes().alias("vnodes"),
-    ).withColumn("job_seconds", F.col("ElapsedRaw").cast("bigint") * F.col("vnodes"))
+        units.alias("vnodes"),
+        job_seconds(units=units).alias("job_seconds"),
+    )

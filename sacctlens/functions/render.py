@@ -25,38 +25,38 @@ def with_float_text(df: DataFrame, source: str, out: str) -> DataFrame:
     Staged as successive projections: the shortest-form search runs once per
     row and its parts are parsed once, which keeps each generated method far
     below the JVM's 64 KB limit (one nested expression would re-expand the
-    search in every branch).
+    search in every branch).  Each stage is one SQL expression list.
     """
-    v = F.col(source).cast("double")
+    v = f"CAST(`{source}` AS DOUBLE)"
     # 1. Shortest "%.ke" form (k = 0..16) that parses back to the same double.
-    candidates = [F.format_string(f"%.{k}e", v) for k in range(17)]
-    shortest = F.when(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")),
-                      F.coalesce(*[F.when(x.try_cast("double") == v, x) for x in candidates]))
-    pattern = r"^(-?)([0-9])(?:\.([0-9]+))?e([+-][0-9]+)$"
-    staged = df.withColumn("_ft_s", shortest)
+    tries = ", ".join(
+        f"CASE WHEN try_cast(format_string('%.{k}e', {v}) AS DOUBLE) = {v} "
+        f"THEN format_string('%.{k}e', {v}) END" for k in range(17))
+    finite = f"{v} IS NOT NULL AND NOT isnan({v}) AND abs({v}) != double('inf')"
+    pattern = "'^(-?)([0-9])(?:[.]([0-9]+))?e([+-][0-9]+)$'"
+    keep = [f"`{c}`" for c in df.columns]
+    staged = df.selectExpr(*keep, f"CASE WHEN {finite} THEN coalesce({tries}) END AS _ft_s")
     # 2. Sign, leading digit, fraction digits, exponent.
-    staged = staged.withColumns({
-        "_ft_sign": F.regexp_extract("_ft_s", pattern, 1),
-        "_ft_lead": F.regexp_extract("_ft_s", pattern, 2),
-        "_ft_frac": F.regexp_extract("_ft_s", pattern, 3),
-        "_ft_exp": F.regexp_extract("_ft_s", pattern, 4).cast("int"),
-    })
-    staged = staged.withColumn("_ft_digits", F.concat("_ft_lead", "_ft_frac"))
+    staged = staged.selectExpr(
+        *keep,
+        f"regexp_extract(_ft_s, {pattern}, 1) AS _ft_sign",
+        f"regexp_extract(_ft_s, {pattern}, 2) AS _ft_lead",
+        f"regexp_extract(_ft_s, {pattern}, 3) AS _ft_frac",
+        f"CAST(regexp_extract(_ft_s, {pattern}, 4) AS INT) AS _ft_exp",
+        f"{v} AS _ft_v")
+    staged = staged.selectExpr("*", "concat(_ft_lead, _ft_frac) AS _ft_digits")
     # 3. Positional layout for 1e-4 <= |v| < 1e16, exponent form otherwise.
-    lead, frac, exp, digits = (F.col("_ft_lead"), F.col("_ft_frac"), F.col("_ft_exp"), F.col("_ft_digits"))
-    n = F.length(digits)
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
-    big = F.when(n <= exp + 1, F.concat(digits, F.repeat(F.lit("0"), exp + 1 - n), F.lit(".0"))) \
-           .otherwise(F.concat(digits.substr(F.lit(1), exp + 1), F.lit("."), digits.substr(exp + 2, n)))
-    mantissa = F.when(frac == "", lead).otherwise(F.concat(lead, F.lit("."), frac))
-    sci = F.concat(mantissa, F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
-                   F.format_string("%02d", F.abs(exp)))
-    body = (F.when((exp >= -4) & (exp < 0), small)
-            .when((exp >= 0) & (exp < 16), big)
-            .otherwise(sci))
-    special = F.when(F.isnan(v), F.lit("nan")) \
-        .when(v == float("inf"), F.lit("inf")).when(v == float("-inf"), F.lit("-inf"))
-    text = F.when(v.isNull(), F.lit(None).cast("string")) \
-        .otherwise(F.coalesce(special, F.concat(F.col("_ft_sign"), body)))
-    return staged.withColumn(out, text).drop("_ft_s", "_ft_sign", "_ft_lead", "_ft_frac", "_ft_exp",
-                                             "_ft_digits")
+    n = "length(_ft_digits)"
+    small = "concat('0.', repeat('0', -_ft_exp - 1), _ft_digits)"
+    big = (f"CASE WHEN {n} <= _ft_exp + 1 THEN concat(_ft_digits, repeat('0', _ft_exp + 1 - {n}), '.0') "
+           f"ELSE concat(substring(_ft_digits, 1, _ft_exp + 1), '.', substring(_ft_digits, _ft_exp + 2)) END")
+    mantissa = "CASE WHEN _ft_frac = '' THEN _ft_lead ELSE concat(_ft_lead, '.', _ft_frac) END"
+    sci = (f"concat({mantissa}, 'e', CASE WHEN _ft_exp < 0 THEN '-' ELSE '+' END, "
+           f"format_string('%02d', abs(_ft_exp)))")
+    body = (f"CASE WHEN _ft_exp >= -4 AND _ft_exp < 0 THEN {small} "
+            f"WHEN _ft_exp >= 0 AND _ft_exp < 16 THEN {big} ELSE {sci} END")
+    text = ("CASE WHEN _ft_v IS NULL THEN CAST(NULL AS STRING) "
+            "WHEN isnan(_ft_v) THEN 'nan' "
+            "WHEN _ft_v = double('inf') THEN 'inf' WHEN _ft_v = double('-inf') THEN '-inf' "
+            f"ELSE concat(_ft_sign, {body}) END")
+    return staged.selectExpr(*keep, f"{text} AS `{out}`")

@@ -22,49 +22,36 @@ from sacctlens.sources.local import local_rows
 
 _PARAM_COLS = "key string, kind string, num_value double, text_value string, present boolean"
 
+# Key suffix of each window tag, as SQL over the ``tag`` column.
+_SUFFIX = "CASE tag " + " ".join(f"WHEN '{t}' THEN '{x}'" for t, x in S.TAG_SUFFIX.items()) + " END"
+_NO_TEXT = "CAST(NULL AS STRING)"
+_NO_NUM = "CAST(NULL AS DOUBLE)"
 
-def _suffix(tag_col):
-    m = F.create_map(*[x for t, s in S.TAG_SUFFIX.items() for x in (F.lit(t), F.lit(s))])
-    return m[tag_col]
+
+def _entry(key: str, kind: str, num: str, text: str) -> str:
+    return f"named_struct('key', {key}, 'kind', '{kind}', 'num_value', {num}, 'text_value', {text})"
 
 
 def _metric_rows(windows: DataFrame) -> DataFrame:
-    present = (F.col("completed_jobs") + F.col("failed_jobs")) > 0
-    entries = []
-    for metric_key, column in S.PARAM_METRICS.items():
-        kind = "float" if column.startswith("hours") else "int"
-        entries.append(F.struct(F.lit(metric_key).alias("metric"), F.lit(kind).alias("kind"),
-                                F.col(column).cast("double").alias("num_value")))
-    exploded = windows.select("tag", "cluster", present.alias("present"),
-                              F.explode(F.array(*entries)).alias("e"))
-    return exploded.select(
-        F.concat(F.lower("cluster"), F.col("e.metric"), _suffix(F.col("tag"))).alias("key"),
-        F.col("e.kind").alias("kind"),
-        F.col("e.num_value").alias("num_value"),
-        F.lit(None).cast("string").alias("text_value"),
-        F.col("present"),
-    )
+    entries = ", ".join(
+        _entry(f"concat(lower(cluster), '{metric_key}', {_SUFFIX})",
+               "float" if column.startswith("hours") else "int", f"CAST({column} AS DOUBLE)", _NO_TEXT)
+        for metric_key, column in S.PARAM_METRICS.items())
+    return windows.selectExpr("(completed_jobs + failed_jobs) > 0 AS present", f"inline(array({entries}))") \
+                  .select("key", "kind", "num_value", "text_value", "present")
 
 
 def _calendar_rows(cal: DataFrame) -> DataFrame:
-    entries = [
-        F.struct(F.concat(F.lit("reportPeriod"), _suffix(F.col("tag"))).alias("key"),
-                 F.lit("text").alias("kind"), F.lit(None).cast("double").alias("num_value"),
-                 F.col("label").alias("text_value")),
-        F.struct(F.concat(F.lit("ndays"), _suffix(F.col("tag"))).alias("key"),
-                 F.lit("int").alias("kind"), F.col("ndays").cast("double").alias("num_value"),
-                 F.lit(None).cast("string").alias("text_value")),
-    ]
-    rows = cal.select(F.explode(F.array(*entries)).alias("e")).select("e.*", F.lit(True).alias("present"))
-    month_rows = cal.where(F.col("tag") == "month").select(
-        F.explode(F.array(
-            F.struct(F.lit("reportMonth").alias("key"), F.lit("text").alias("kind"),
-                     F.lit(None).cast("double").alias("num_value"),
-                     C.month_name(F.col("year"), F.col("month")).alias("text_value")),
-            F.struct(F.lit("reportYear").alias("key"), F.lit("int").alias("kind"),
-                     F.col("year").cast("double").alias("num_value"),
-                     F.lit(None).cast("string").alias("text_value")),
-        )).alias("e")).select("e.*", F.lit(True).alias("present"))
+    per_window = ", ".join([
+        _entry(f"concat('reportPeriod', {_SUFFIX})", "text", _NO_NUM, "label"),
+        _entry(f"concat('ndays', {_SUFFIX})", "int", "CAST(ndays AS DOUBLE)", _NO_TEXT),
+    ])
+    per_report = ", ".join([
+        _entry("'reportMonth'", "text", _NO_NUM, C.MONTH_NAME_SQL),
+        _entry("'reportYear'", "int", "CAST(year AS DOUBLE)", _NO_TEXT),
+    ])
+    rows = cal.selectExpr(f"inline(array({per_window}))", "TRUE AS present")
+    month_rows = cal.where("tag = 'month'").selectExpr(f"inline(array({per_report}))", "TRUE AS present")
     return rows.unionByName(month_rows)
 
 
@@ -77,8 +64,9 @@ def _fixed_rows(spark) -> DataFrame:
 
 
 def param_ordinal():
-    pos = F.array_position(F.array(*[F.lit(k) for k in S.PARAM_KEYS]), F.col("key"))
-    return pos.cast("int")
+    """1-based position of ``key`` in the fixed key order (one SQL expression)."""
+    keys = ", ".join(f"'{k}'" for k in S.PARAM_KEYS)
+    return F.expr(f"CAST(array_position(array({keys}), key) AS INT)")
 
 
 def report_params(jobs: DataFrame, year: int, month: int,
@@ -97,23 +85,21 @@ def report_params_long(jobs: DataFrame, year: int, month: int,
     return report_params(jobs, year, month, ytd_start).select("ordinal", "key", "num_value", "text_value")
 
 
-def value_text(kind="kind", num="num_value", text="text_value", present="present", num_text="_num_text"):
-    """Render a parameter value the way the macro file prints it.
+def value_text_sql(kind="kind", num="num_value", text="text_value", present="present",
+                   num_text="_num_text") -> str:
+    """Render a parameter value the way the macro file prints it (SQL expression).
 
     Integers print plainly, floats in shortest round-trip form (``num_text``,
     see ``render.with_float_text``); a metric of a cluster absent from the
     window keeps its default ``0``.
     """
-    k, n = F.col(kind), F.col(num)
-    return (F.when(k == "text", F.col(text))
-            .when(k == "int", render.int_text(n))
-            .when(~F.col(present), F.lit("0"))
-            .otherwise(F.col(num_text)))
+    return (f"CASE WHEN {kind} = 'text' THEN {text} "
+            f"WHEN {kind} = 'int' THEN CAST(CAST({num} AS BIGINT) AS STRING) "
+            f"WHEN NOT {present} THEN '0' ELSE {num_text} END")
 
 
 def report_tex_lines(jobs: DataFrame, year: int, month: int,
                      ytd_start: _dt.date | None = None) -> DataFrame:
     """(ordinal, line) with ``\\def\\<key>{<value>}`` per parameter."""
     params = render.with_float_text(report_params(jobs, year, month, ytd_start), "num_value", "_num_text")
-    return params.select("ordinal", F.concat(F.lit("\\def\\"), F.col("key"), F.lit("{"), value_text(),
-                                             F.lit("}")).alias("line"))
+    return params.selectExpr("ordinal", f"concat('\\\\def\\\\', key, '{{', {value_text_sql()}, '}}') AS line")

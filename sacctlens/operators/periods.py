@@ -121,14 +121,10 @@ def report_all_months(jobs: DataFrame) -> DataFrame:
 
 def with_calendar(df: DataFrame, ytd_start: _dt.date | None = None) -> DataFrame:
     """Add start/end dates, label, day and hour counts to (year, month, tag) rows."""
-    y, m, t = F.col("year"), F.col("month"), F.col("tag")
-    start = C.window_start(t, y, m, ytd_start)
-    end = C.window_end(y, m)
-    return (df.withColumn("start_date", start)
-              .withColumn("end_date", end)
-              .withColumn("label", C.period_label(F.col("start_date"), F.col("end_date")))
-              .withColumn("ndays", C.window_days(F.col("start_date"), y, m))
-              .withColumn("hours", F.col("ndays") * F.lit(24)))
+    return (df.selectExpr("*", f"{C.window_start_sql(ytd_start)} AS start_date",
+                          f"{C.WINDOW_END_SQL} AS end_date")
+              .selectExpr("*", f"{C.PERIOD_LABEL_SQL} AS label", f"{C.WINDOW_DAYS_SQL} AS ndays")
+              .selectExpr("*", "ndays * 24 AS hours"))
 
 
 def period_calendar(jobs: DataFrame) -> DataFrame:

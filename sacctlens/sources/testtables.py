@@ -22,12 +22,36 @@ from pyspark.sql import functions as F
 from sacctlens.functions import enrich as E
 
 
+_FRAMES: dict[tuple, DataFrame] = {}
+
+
+def _memo(fn):
+    """Build an adapter frame once per (session, arguments).
+
+    A DataFrame is an immutable plan over read-only tables, so queries of one
+    session can share it; each query still plans its own scans, pruning and
+    pushed filters.  This only saves the driver-side cost of resolving files
+    and constructing the (large) column expressions again.
+    """
+    def wrapper(spark: SparkSession, sf_dir: str, *args):
+        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args)
+        df = _FRAMES.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = _FRAMES[key] = fn(spark, sf_dir, *args)
+        return df
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
+@_memo
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def raw_jobs(spark: SparkSession, sf_dir: str,
-             ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
+@_memo
+def _raw_jobs(spark: SparkSession, sf_dir: str,
+              ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
     """Raw accounting rows (the seven job columns + ids + end date).
 
     ``ship_range`` (inclusive dates) is applied to the raw timestamp column so
@@ -82,10 +106,24 @@ def raw_jobs(spark: SparkSession, sf_dir: str,
     )
 
 
+def raw_jobs(spark: SparkSession, sf_dir: str,
+             ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
+    return _raw_jobs(spark, sf_dir, ship_range)
+
+
+raw_jobs.__doc__ = _raw_jobs.__doc__
+
+
+@_memo
+def _jobs(spark: SparkSession, sf_dir: str,
+          ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
+    return E.enrich(raw_jobs(spark, sf_dir, ship_range))
+
+
 def jobs(spark: SparkSession, sf_dir: str,
          ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
     """Enriched accounting rows from the test tables."""
-    return E.enrich(raw_jobs(spark, sf_dir, ship_range))
+    return _jobs(spark, sf_dir, ship_range)
 
 
 # Event kinds of the run-event model and the test event types that play them.
@@ -103,6 +141,7 @@ def _event_ms(ts: str = "ts"):
     return F.expr(f"timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', `{ts}`)")
 
 
+@_memo
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> normalised run events (run = user, config = 'v' || user % 8)."""
     ev = _table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value", "props")
@@ -123,6 +162,7 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Memory samples as text (``used`` marks a repeated header row)."""
     ev = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
