@@ -43,8 +43,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is respected as is.
-    Only when it is unset (local tests) a private scratch folder is created.
+    On a cluster this setting points at shared storage and is respected as is;
+    if it is missing there, this fails rather than fall back to a local folder.
+    Only in local mode (tests) is a private scratch folder created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -52,6 +53,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system); "
+                           "a machine-local folder does not survive executor loss")
     local = tempfile.mkdtemp(prefix="sacctlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local

@@ -44,9 +44,20 @@ def _memo(fn):
     return wrapper
 
 
+# Only the columns the adapters use, with their stored types: the Parquet
+# reader then needs no footer inference at analysis time and reads only these.
+_SCHEMAS = {
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 @_memo
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(_SCHEMAS[name]) if name in _SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 @_memo
