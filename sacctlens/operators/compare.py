@@ -36,6 +36,32 @@ def benchmark_runs(events: DataFrame, samples: DataFrame, n: int = 3) -> DataFra
                     F.coalesce("peak_memory_mb", F.lit(0.0)).alias("peak_memory_mb")))
 
 
+def log_run_aggregates(spark, logs_dir: str, config: str) -> DataFrame:
+    """Run aggregates of every log in ``logs_dir``; unreadable logs get all-zero figures.
+
+    The log listing (no contents read) is left-joined to the aggregates of the
+    readable events, so a log that cannot be decoded still counts as a run
+    with zero metrics, ordered by its file time.
+    """
+    from sacctlens.sources import eventlogs as EL
+
+    keys = ["config", "log_id"]
+    events = EL.log_run_events(EL.read_event_logs(spark, logs_dir), config)
+    agg = R.run_aggregates(events, keys)
+    listed = EL.list_event_logs(spark, logs_dir).select(F.lit(config).alias("config"), "log_id", "file_mtime_ms")
+    zero = F.lit(0).cast("bigint")
+    return listed.join(agg, keys, "left").select(
+        *keys, "file_mtime_ms",
+        *[F.coalesce(c, zero).alias(c) for c in ("app_start_ms", "app_end_ms", "stages", "tasks",
+                                                 "read_bytes", "write_bytes")],
+        "first_launch_ms", "last_finish_ms")
+
+
+def log_run_metrics(spark, logs_dir: str, config: str) -> DataFrame:
+    """Metrics of every log of one configuration (zeros for unreadable ones)."""
+    return R.metrics_from_aggregates(log_run_aggregates(spark, logs_dir, config), ("config", "log_id"))
+
+
 def log_benchmark_runs(spark, logs_dir: str, dstat_dir: str | None, config: str, n: int = 3) -> DataFrame:
     """Benchmark runs of one configuration straight from its event-log directory.
 
@@ -43,12 +69,10 @@ def log_benchmark_runs(spark, logs_dir: str, dstat_dir: str | None, config: str,
     numbered 1..n oldest-first; run k takes its peak memory from
     ``dstat_run_<k>.csv`` (0.0 when absent).
     """
-    from sacctlens.sources import eventlogs as EL
     from sacctlens.sources import samples as SM
 
     keys = ("config", "log_id")
-    events = EL.log_run_events(EL.read_event_logs(spark, logs_dir), config)
-    agg = R.run_aggregates(events, keys, extra=[F.max("file_mtime_ms").alias("file_mtime_ms")])
+    agg = log_run_aggregates(spark, logs_dir, config)
     picked = R.recent_runs(agg, n=n, run="log_id", fallback="file_mtime_ms")
     metrics = R.metrics_from_aggregates(agg, keys)
     runs = picked.join(metrics, list(keys))

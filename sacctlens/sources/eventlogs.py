@@ -32,20 +32,29 @@ EVENT_KINDS = {
 }
 
 
+def _log_file_filter_and_id(path, name):
+    parent = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
+    in_v2 = parent.startswith(V2_DIR_PREFIX)
+    keep = (~name.endswith(".crc")) & (~name.startswith(".")) & \
+        F.when(in_v2, name.startswith("events_")).otherwise(~name.startswith("appstatus_"))
+    log_id = F.when(in_v2, parent).otherwise(F.regexp_replace(name, _COMPRESSION_SUFFIX, ""))
+    return keep, log_id
+
+
 def read_event_logs(spark: SparkSession, logs_dir: str) -> DataFrame:
-    """Raw event rows with ``log_id``, ``file_name`` and ``file_mtime_ms`` attached."""
+    """Raw event rows with ``log_id``, ``file_name`` and ``file_mtime_ms`` attached.
+
+    Files that cannot be decoded (e.g. a truncated ``.gz``) are skipped by the
+    reader instead of failing the job; ``list_event_logs`` still lists them.
+    """
     df = (spark.read.schema(S.EVENT_LOG_SCHEMA)
           .option("recursiveFileLookup", True)
+          .option("ignoreCorruptFiles", True)
           .option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_bad")
           .json(logs_dir.rstrip("/")))
-    path = F.col("_metadata.file_path")
     name = F.col("_metadata.file_name")
-    parent = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
-    in_v2 = parent.startswith(V2_DIR_PREFIX)
-    keep = (~name.endswith(".crc")) & (~name.startswith(".")) & \
-        F.when(in_v2, name.startswith("events_")).otherwise(~name.startswith("appstatus_"))
-    log_id = F.when(in_v2, parent).otherwise(F.regexp_replace(name, _COMPRESSION_SUFFIX, ""))
+    keep, log_id = _log_file_filter_and_id(F.col("_metadata.file_path"), name)
     return df.where(keep).select(
         "*",
         log_id.alias("log_id"),
@@ -54,6 +63,21 @@ def read_event_logs(spark: SparkSession, logs_dir: str) -> DataFrame:
     )
 
 
+def list_event_logs(spark: SparkSession, logs_dir: str) -> DataFrame:
+    """Every log (readable or not): ``log_id``, ``file_mtime_ms`` (latest part).
+
+    A file listing only: the binary-file source does not read file contents
+    when just the path and modification time are selected.
+    """
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .load(logs_dir.rstrip("/")).select("path", "modificationTime"))
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    keep, log_id = _log_file_filter_and_id(F.col("path"), name)
+    return (files.where(keep)
+            .groupBy(log_id.alias("log_id"))
+            .agg(F.max(F.unix_millis("modificationTime")).alias("file_mtime_ms")))
+
+
 def malformed_lines(logs: DataFrame) -> DataFrame:
     """Per log: lines that were not valid JSON (the reader's warnings) and valid events."""
     # Counting parsed events alongside keeps the query from touching only the

@@ -252,3 +252,15 @@ def test_sinks(spark, datadir, tmp_path):
     tex_lines = (tmp_path / "tex" / tex_part).read_text().splitlines()
     assert tex_lines[0] == "\\begin{table}" and tex_lines[-1] == "\\end{table}"
     assert any(line.startswith("x\\_y & 1.00 ± 0.00") for line in tex_lines)
+
+
+def test_unreadable_log_counts_with_zero_metrics(spark, tmp_path):
+    d = tmp_path / "logs"
+    d.mkdir()
+    (d / "app-good").write_text(_events_plain(1000, 3000, [_stage("SparkListenerStageSubmitted", 2)]))
+    (d / "app-broken.gz").write_bytes(b"\x1f\x8b\x08\x00this is not a gzip stream at all")
+    m = {r.log_id: r for r in CMP.log_run_metrics(spark, str(d), "cfg").collect()}
+    assert set(m) == {"app-good", "app-broken"}
+    assert (m["app-good"].wall_time_s, m["app-good"].stages, m["app-good"].tasks) == (2.0, 1, 2)
+    b = m["app-broken"]
+    assert (b.wall_time_s, b.stages, b.tasks, b.shuffle_read_mb, b.driver_time_s) == (0.0, 0, 0, 0.0, 0.0)
