@@ -264,3 +264,19 @@ def test_unreadable_log_counts_with_zero_metrics(spark, tmp_path):
     assert (m["app-good"].wall_time_s, m["app-good"].stages, m["app-good"].tasks) == (2.0, 1, 2)
     b = m["app-broken"]
     assert (b.wall_time_s, b.stages, b.tasks, b.shuffle_read_mb, b.driver_time_s) == (0.0, 0, 0, 0.0, 0.0)
+
+
+def test_same_month_of_two_years_stays_apart(spark, tmp_path):
+    d24, d25 = tmp_path / "2024", tmp_path / "2025"
+    d24.mkdir()
+    d25.mkdir()
+    (d24 / "jobs_Feb.txt").write_text(JAN)                    # 7 jobs, Feb 2024
+    (d25 / "jobs_Feb.txt").write_text(FEB)                    # 1 job, Feb 2025
+    jobs = J.read_enriched_jobs(spark, str(d24), 2024).unionByName(
+        J.read_enriched_jobs(spark, str(d25), 2025))
+    r25 = {(r.tag, r.cluster): r for r in P.report_windows(jobs, 2025, 2).collect()}
+    r24 = {(r.tag, r.cluster): r for r in P.report_windows(jobs, 2024, 2).collect()}
+    assert sum(r.completed_jobs + r.failed_jobs for k, r in r25.items() if k[0] == "ytd") == 1
+    assert sum(r.completed_jobs + r.failed_jobs for k, r in r24.items() if k[0] == "ytd") == 7
+    assert r25[("month", "ARM")].seconds_nonlocal == 7200
+    assert r24[("month", "GPU")].seconds_nonlocal == 22440
