@@ -51,6 +51,17 @@ def report_windows(jobs: DataFrame, year: int, month: int) -> DataFrame:
     return windows_from_grain(grain, year, month)
 
 
+def save_month_grain(jobs: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
+    """Write the month grain once (a few hundred rows per decade) and return it read back.
+
+    For several reports over the same jobs (e.g. every month of a year): one
+    scan of the jobs, then each report reads the small table.  ``path`` should
+    be in shared storage (it also cuts lineage, so lost executors only re-read it).
+    """
+    month_grain(jobs).write.mode(mode).parquet(path)
+    return jobs.sparkSession.read.parquet(path)
+
+
 def windows_from_grain(grain: DataFrame, year: int, month: int) -> DataFrame:
     """The 3 x 3 window report from a month-grain frame (e.g. a streamed table)."""
     spark = grain.sparkSession

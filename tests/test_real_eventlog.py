@@ -33,6 +33,8 @@ def test_real_event_log(spark, tmp_path):
     env = dict(os.environ)
     subprocess.run([sys.executable, str(script), str(logdir)], check=True, timeout=300, env=env,
                    stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
+    files = [f for _, _, fs in os.walk(logdir) for f in fs]
+    assert any(f.startswith("events_") and f.endswith(".zstd") for f in files), files  # compressed, rolling
     logs = EL.read_event_logs(spark, str(logdir))
     events = EL.log_run_events(logs, "child")
     rows = R.run_metrics(events, keys=("log_id", "config")).collect()

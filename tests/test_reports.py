@@ -145,3 +145,11 @@ def test_params_absent_cluster_prints_integer_zero(spark):
              PRM.report_tex_lines(TT.jobs(spark, SF01), 2001, 12).collect()}
     assert lines["gpuusedhours"] == "\\def\\gpuusedhours{0}"
     assert lines["gpuJobs"] == "\\def\\gpuJobs{0}"
+
+
+def test_reports_from_saved_grain(spark, jobs, tmp_path):
+    grain = P.save_month_grain(jobs, str(tmp_path / "grain"))
+    for y, m in [(1998, 5), (1996, 1), (2001, 11)]:
+        a = sorted(tuple(r) for r in P.windows_from_grain(grain, y, m).collect())
+        b = sorted(tuple(r) for r in P.report_windows(jobs, y, m).collect())
+        assert a == b
