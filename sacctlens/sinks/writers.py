@@ -58,5 +58,11 @@ def write_summary_latex(display: DataFrame, path: str, **kw) -> None:
 
 
 def write_summary_documents(docs: DataFrame, path: str) -> None:
-    """One JSON line per configuration: runs + summary (from ``summary_document``)."""
-    docs.repartition(1).sortWithinPartitions("config").write.mode("overwrite").json(path)
+    """One JSON document per configuration (``path/config=<name>/part-*.json``).
+
+    Documents are read back in multi-line mode (which also accepts pretty-printed
+    files), where a file holds exactly one document — hence one file per
+    configuration.
+    """
+    (docs.repartition("config").write.mode("overwrite")
+         .partitionBy("config").json(path))

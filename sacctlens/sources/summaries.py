@@ -33,13 +33,17 @@ SUMMARY_DOC_SCHEMA = T.StructType([
 
 
 def read_summary_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per document file, with ``source_file``; malformed ones keep ``_corrupt_record``."""
-    return (spark.read.schema(SUMMARY_DOC_SCHEMA)
-            .option("multiLine", True)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .json(path)
-            .select("*", F.col("_metadata.file_name").alias("source_file")))
+    """One row per document file, with ``source_file``; malformed ones keep ``_corrupt_record``.
+
+    ``path`` is a glob, a file, or a folder searched recursively for ``*.json``.
+    """
+    reader = (spark.read.schema(SUMMARY_DOC_SCHEMA)
+              .option("multiLine", True)
+              .option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", "_corrupt_record"))
+    if not any(ch in path for ch in "*?[{"):
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    return reader.json(path).select("*", F.col("_metadata.file_name").alias("source_file"))
 
 
 def unreadable_summaries(docs: DataFrame) -> DataFrame:

@@ -175,7 +175,13 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_memo
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Memory samples as text (``used`` marks a repeated header row)."""
+    """Memory samples as text (``used`` marks a repeated header row).
+
+    Every click event is one sample of its run.  Runs of users with
+    ``user_id % 7 = 0`` have no sample file, modelling a monitor that did not
+    run: they must still appear in ``resource_peaks`` with a peak of 0.0.  No
+    run is dropped; only their (absent) sample rows are.
+    """
     ev = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     return ev.where((F.col("event_type") == "click") & (F.col("user_id") % 7 != 0)).select(
         F.col("user_id").alias("run"),
