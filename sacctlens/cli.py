@@ -20,6 +20,7 @@ from sacctlens import schema as S
 from sacctlens.functions import calendar as C
 from sacctlens.operators import compare as CMP
 from sacctlens.operators import params as PRM
+from sacctlens.session import checkpoint_dir
 from sacctlens.sinks import writers as W
 from sacctlens.sources import jobs as J
 from sacctlens.sources import summaries as SU
@@ -65,6 +66,7 @@ def build_parser() -> argparse.ArgumentParser:
 def main(argv=None, spark: SparkSession | None = None) -> None:
     args = build_parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"sacctlens-{args.command}").getOrCreate()
+    checkpoint_dir(spark)
     if args.command == "report":
         if args.parquet:
             jobs = J.read_jobs_parquet(spark, args.datadir)
@@ -76,7 +78,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         W.write_summary_documents(CMP.summary_document(runs), args.out)
     else:
         docs = SU.read_summary_documents(spark, args.summaries)
-        summary = SU.summary_table(docs)
+        summary = SU.summary_table(docs).checkpoint(eager=True)
         display = CMP.config_summary_display(summary, args.order.split(","))
         W.write_summary_csv(display, f"{args.out}/csv")
         W.write_summary_latex(display, f"{args.out}/tex")

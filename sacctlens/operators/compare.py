@@ -23,15 +23,14 @@ ROUND_DIGITS = 6
 def benchmark_runs(events: DataFrame, samples: DataFrame, n: int = 3) -> DataFrame:
     """(config, run_no, run, metrics..., peak_memory_mb) for the n most recent runs.
 
-    The run aggregate is computed once and shared by the recency pick and the
-    metrics; the peak join only sees the picked runs.
+    One pass: the per-run aggregate feeds the recency pick, whose rows carry
+    everything the metrics need (no join back, so the events are read once);
+    the peak join only sees the picked runs.
     """
-    agg = R.run_aggregates(events)
-    picked = R.recent_runs(agg, n=n)
-    metrics = R.metrics_from_aggregates(agg)
+    picked = R.pick_recent(R.run_aggregates(events), n=n)
+    metrics = R.metrics_from_aggregates(picked, ("config", "run_no", "run"))
     peaks = R.sample_peaks(samples)
-    return (picked.join(metrics, ["config", "run"])
-            .join(peaks, "run", "left")
+    return (metrics.join(peaks, "run", "left")
             .select("config", "run_no", "run", *[c for c in S.RUN_METRIC_COLUMNS if c != "peak_memory_mb"],
                     F.coalesce("peak_memory_mb", F.lit(0.0)).alias("peak_memory_mb")))
 
@@ -71,11 +70,9 @@ def log_benchmark_runs(spark, logs_dir: str, dstat_dir: str | None, config: str,
     """
     from sacctlens.sources import samples as SM
 
-    keys = ("config", "log_id")
-    agg = log_run_aggregates(spark, logs_dir, config)
-    picked = R.recent_runs(agg, n=n, run="log_id", fallback="file_mtime_ms")
-    metrics = R.metrics_from_aggregates(agg, keys)
-    runs = picked.join(metrics, list(keys))
+    picked = R.pick_recent(log_run_aggregates(spark, logs_dir, config), n=n, run="log_id",
+                           fallback="file_mtime_ms")
+    runs = R.metrics_from_aggregates(picked, ("config", "log_id", "run_no"))
     base_cols = [c for c in S.RUN_METRIC_COLUMNS if c != "peak_memory_mb"]
     if dstat_dir is None:
         return runs.select("config", "run_no", F.col("run_no").cast("bigint").alias("run"), "log_id",
@@ -86,22 +83,31 @@ def log_benchmark_runs(spark, logs_dir: str, dstat_dir: str | None, config: str,
                     F.coalesce("peak_memory_mb", F.lit(0.0)).alias("peak_memory_mb")))
 
 
-def config_summary(runs: DataFrame, metrics: Sequence[str] = tuple(S.RUN_METRIC_COLUMNS),
-                   digits: int = ROUND_DIGITS) -> DataFrame:
-    """n_runs, mean_<m>, std_<m> (sample, n-1; null when n = 1) per configuration."""
+def _summary_aggs(metrics: Sequence[str], digits: int) -> list:
     aggs = [F.count(F.lit(1)).alias("n_runs")]
     for m in metrics:
         aggs.append(F.round(F.avg(m), digits).alias(f"mean_{m}"))
         aggs.append(F.round(F.stddev_samp(m), digits).alias(f"std_{m}"))
-    return runs.groupBy("config").agg(*aggs)
+    return aggs
+
+
+def config_summary(runs: DataFrame, metrics: Sequence[str] = tuple(S.RUN_METRIC_COLUMNS),
+                   digits: int = ROUND_DIGITS) -> DataFrame:
+    """n_runs, mean_<m>, std_<m> (sample, n-1; null when n = 1) per configuration."""
+    return runs.groupBy("config").agg(*_summary_aggs(metrics, digits))
 
 
-def summary_document(runs: DataFrame, metrics: Sequence[str] = tuple(S.RUN_METRIC_COLUMNS)) -> DataFrame:
-    """One row per configuration: runs (array of structs, at most n each) + summary."""
+def summary_document(runs: DataFrame, metrics: Sequence[str] = tuple(S.RUN_METRIC_COLUMNS),
+                     digits: int = ROUND_DIGITS) -> DataFrame:
+    """One row per configuration: runs (array of structs, at most n each) + summary.
+
+    Runs and summary come from the same single aggregate, so the runs are
+    computed once.
+    """
     run_struct = F.struct("run_no", "run", *metrics)
-    summary = config_summary(runs, metrics)
-    docs = runs.groupBy("config").agg(F.sort_array(F.collect_list(run_struct)).alias("runs"))
-    return docs.join(summary, "config").select(
+    agg = runs.groupBy("config").agg(F.sort_array(F.collect_list(run_struct)).alias("runs"),
+                                     *_summary_aggs(metrics, digits))
+    return agg.select(
         "config", "runs",
         F.struct(F.col("config"), F.col("n_runs"),
                  F.struct(*[F.col(f"mean_{m}").alias(m) for m in metrics]).alias("mean"),
@@ -113,7 +119,9 @@ def speedup_vs_baseline(summary: DataFrame, baseline: str = "baseline",
     """config, mean wall time and speedup relative to the baseline configuration.
 
     The baseline mean enters as a scalar subquery (Spark checks it is one row),
-    so no join or global window is needed.
+    so no join or global window is needed.  ``summary`` is read twice: pass a
+    materialised one (``checkpoint()`` or a table; it has one row per
+    configuration) so the runs are not aggregated twice.
     """
     base = summary.where(F.col("config") == baseline).select("mean_wall_time_s").scalar()
     return summary.select(

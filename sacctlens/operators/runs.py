@@ -91,22 +91,27 @@ def resource_peaks(runs: DataFrame, samples: DataFrame, key: str = "run",
             .select(key, F.coalesce("peak_memory_mb", F.lit(0.0)).alias("peak_memory_mb")))
 
 
-def recent_runs(agg: DataFrame, n: int = 3, group: str = "config", run: str = "run",
+def pick_recent(agg: DataFrame, n: int = 3, group: str = "config", run: str = "run",
                 start: str = "app_start_ms", fallback: str | None = None) -> DataFrame:
-    """The ``n`` most recent runs per group by application start, numbered oldest-first.
+    """Rows of the ``n`` most recent runs per group (all columns kept) + ``run_no``.
 
-    ``fallback`` (e.g. the log file's modification time in ms) orders runs whose
-    log has no application start.  Ties on the start go to the smaller run key.
-    ``row_number() <= n`` over a window lets Spark insert a partial
+    Recency is the application start (``fallback``, e.g. the log's file time,
+    when a log has none); ties go to the smaller run key.  Runs are numbered
+    1..n oldest-first.  ``row_number() <= n`` lets Spark insert a partial
     WindowGroupLimit before the shuffle, so each map task ships at most ``n``
     rows per group even when one group holds most runs.
     """
     order_ts = F.col(start) if fallback is None else \
         F.when(F.col(start) != 0, F.col(start)).otherwise(F.col(fallback))
     newest_first = Window.partitionBy(group).orderBy(order_ts.desc(), F.col(run).asc())
-    picked = agg.select(group, run, order_ts.alias("_order_ts"),
-                        F.row_number().over(newest_first).alias("_recency")) \
+    picked = agg.select("*", F.row_number().over(newest_first).alias("_recency")) \
                 .where(F.col("_recency") <= n)
     # Renumber oldest-first: reverse recency within the (at most n) picked rows.
     oldest_first = Window.partitionBy(group).orderBy(F.col("_recency").desc())
-    return picked.select(group, run, F.row_number().over(oldest_first).alias("run_no"))
+    return picked.select("*", F.row_number().over(oldest_first).alias("run_no")).drop("_recency")
+
+
+def recent_runs(agg: DataFrame, n: int = 3, group: str = "config", run: str = "run",
+                start: str = "app_start_ms", fallback: str | None = None) -> DataFrame:
+    """(group, run, run_no) of the ``n`` most recent runs per group, numbered oldest-first."""
+    return pick_recent(agg, n, group, run, start, fallback).select(group, run, "run_no")

@@ -76,3 +76,12 @@ def test_output_diff_reads_the_jobs_once(spark):
     plan = _plan(df)
     assert "lineitem" not in plan and "orders.parquet" not in plan
     assert df.collect()[0].identical
+
+
+def test_run_jobs_read_each_input_once(spark):
+    # run events and samples are two inputs (both derived from `events` here)
+    plan = _plan(QUERIES["config_summary"](spark, SF01))
+    assert len(re.findall(r"FileScan parquet", plan)) == 2
+    assert len(re.findall(r"FileScan parquet", _plan(QUERIES["run_metrics"](spark, SF01)))) == 1
+    # the speedup reads the checkpointed summary only
+    assert "FileScan parquet" not in _plan(QUERIES["speedup_vs_baseline"](spark, SF01))
