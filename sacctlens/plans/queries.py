@@ -62,13 +62,15 @@ def q_month_pruned_scan(spark, sf_dir):
 
 
 def q_union_months(spark, sf_dir):
-    """Per-month frames of the report quarter, unioned by name, counted per period."""
+    """Per-month source frames of the report quarter, unioned by name, counted per period.
+
+    The month slices (each a pushed date range) are unioned before the join,
+    so the orders side is joined once for all months.
+    """
     months = C.window_months(REPORT_MONTH)["quarter"]
-    frames = [TT.raw_jobs(spark, sf_dir, ship_range=_month_range(REPORT_YEAR, m, m))
-              .select("year", F.lit(C.MONTH_ABBR[m - 1]).alias("period"))
-              for m in months]
-    return reduce(DataFrame.unionByName, frames).groupBy("year", "period") \
-        .agg(F.count(F.lit(1)).alias("n_jobs"))
+    slices = TT.month_slices(spark, sf_dir, REPORT_YEAR, months, lambda m: C.MONTH_ABBR[m - 1])
+    rows = TT.accounting_rows(spark, sf_dir, reduce(DataFrame.unionByName, slices), keep=("period",))
+    return rows.groupBy("year", "period").agg(F.count(F.lit(1)).alias("n_jobs"))
 
 
 # ---------------------------------------------------------------- aggregates

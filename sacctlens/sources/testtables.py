@@ -60,14 +60,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@_memo
-def _raw_jobs(spark: SparkSession, sf_dir: str,
+def _lineitem(spark: SparkSession, sf_dir: str,
               ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
-    """Raw accounting rows (the seven job columns + ids + end date).
-
-    ``ship_range`` (inclusive dates) is applied to the raw timestamp column so
-    it reaches the Parquet scan as a pushed filter and skips row groups.
-    """
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
@@ -76,9 +70,17 @@ def _raw_jobs(spark: SparkSession, sf_dir: str,
         li = li.where((F.col("l_shipdate") >= F.lit(_dt.datetime.combine(lo, _dt.time())).cast("timestamp_ntz"))
                       & (F.col("l_shipdate") < F.lit(_dt.datetime.combine(hi + _dt.timedelta(days=1), _dt.time()))
                          .cast("timestamp_ntz")))
+    return li
+
+
+def accounting_rows(spark: SparkSession, sf_dir: str, lines: DataFrame, keep: tuple = ()) -> DataFrame:
+    """Lines (a lineitem slice) joined to their orders -> the raw accounting columns.
+
+    ``keep`` names extra columns of ``lines`` to carry through.
+    """
     od = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
+    j = lines.join(od, lines.l_orderkey == od.o_orderkey, "inner")
 
     line = F.col("l_linenumber")
     cust_digit = (F.col("o_custkey") % 10).cast("string")
@@ -114,9 +116,31 @@ def _raw_jobs(spark: SparkSession, sf_dir: str,
         line.cast("bigint").alias("NNodes"),
         F.year(end_date).alias("year"),
         F.month(end_date).alias("month"),
+        *keep,
     )
 
 
+@_memo
+def _raw_jobs(spark: SparkSession, sf_dir: str,
+              ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
+    """Raw accounting rows (the seven job columns + ids + year, month).
+
+    ``ship_range`` (inclusive dates) is applied to the raw timestamp column so
+    it reaches the Parquet scan as a pushed filter and skips row groups.
+    """
+    return accounting_rows(spark, sf_dir, _lineitem(spark, sf_dir, ship_range))
+
+
+def month_slices(spark: SparkSession, sf_dir: str, year: int, months, label) -> list[DataFrame]:
+    """One lineitem frame per month (pushed date range each), tagged ``period``."""
+    out = []
+    for m in months:
+        lo = _dt.date(year, m, 1)
+        hi = _dt.date(year + (m == 12), m % 12 + 1, 1) - _dt.timedelta(days=1)
+        out.append(_lineitem(spark, sf_dir, (lo, hi)).withColumn("period", F.lit(label(m))))
+    return out
+
+
 def raw_jobs(spark: SparkSession, sf_dir: str,
              ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
     return _raw_jobs(spark, sf_dir, ship_range)
