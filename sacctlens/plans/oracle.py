@@ -169,18 +169,19 @@ summary AS (
 )"""
 
 
-def _params_long_sql() -> str:
+def _params_rows_sql() -> str:
+    """CTEs ending in ``rows(key, kind, num_value, text_value, present)`` for the report month."""
     suffix = "CASE tag WHEN 'month' THEN '' WHEN 'quarter' THEN 'Trimester' ELSE 'Year' END"
     metric_vals = _values([(k, c) for k, c in S.PARAM_METRICS.items()])
     pick = " ".join(f"WHEN '{c}' THEN CAST({c} AS DOUBLE)" for c in S.PARAM_METRICS.values())
-    keys = ", ".join(f"'{k}'" for k in S.PARAM_KEYS)
-    fixed = [(f"{c.lower()}nodes", float(n), None) for c, n in S.MACHINE_NODES.items()]
-    fixed += [("percentaviail", S.AVAILABILITY_RATIO, None), ("eurohpcavail", S.EUROHPC_SHARE, None)]
+    fixed = [(f"{c.lower()}nodes", "int", float(n)) for c, n in S.MACHINE_NODES.items()]
+    fixed += [("percentaviail", "float", S.AVAILABILITY_RATIO), ("eurohpcavail", "float", S.EUROHPC_SHARE)]
     fixed_sql = " UNION ALL ".join(
-        f"SELECT '{k}' AS key, CAST({v} AS DOUBLE) AS num_value, CAST(NULL AS VARCHAR) AS text_value"
-        for k, v, _ in fixed)
+        f"SELECT '{k}' AS key, '{kind}' AS kind, CAST({v} AS DOUBLE) AS num_value, "
+        f"CAST(NULL AS VARCHAR) AS text_value, TRUE AS present"
+        for k, kind, v in fixed)
     tex_sql = " UNION ALL ".join(
-        f"SELECT '{k}' AS key, CAST(NULL AS DOUBLE) AS num_value, '{v}' AS text_value"
+        f"SELECT '{k}', 'text', CAST(NULL AS DOUBLE), '{v}', TRUE"
         for k, v in S.PARAM_TEX_EXPRESSIONS.items())
     y, m = REPORT_YEAR, REPORT_MONTH
     return _report_windows_ctes() + f""",
@@ -196,22 +197,43 @@ cal AS (
   FROM (VALUES ('month'), ('quarter'), ('ytd')) t(tag)
 ),
 rows AS (
-  SELECT lower(cluster) || metric || {suffix} AS key,
-    CASE col {pick} END AS num_value, CAST(NULL AS VARCHAR) AS text_value
+  {fixed_sql}
+  UNION ALL {tex_sql}
+  UNION ALL
+  SELECT lower(cluster) || metric || {suffix},
+    CASE WHEN col LIKE 'hours%' THEN 'float' ELSE 'int' END,
+    CASE col {pick} END, CAST(NULL AS VARCHAR), (completed_jobs + failed_jobs) > 0
   FROM rwh CROSS JOIN metric_keys
   UNION ALL
-  SELECT 'reportPeriod' || {suffix}, CAST(NULL AS DOUBLE),
-         strftime(start_date, '%d/%m/%Y') || ' - ' || strftime(end_date, '%d/%m/%Y') FROM cal
+  SELECT 'reportPeriod' || {suffix}, 'text', CAST(NULL AS DOUBLE),
+         strftime(start_date, '%d/%m/%Y') || ' - ' || strftime(end_date, '%d/%m/%Y'), TRUE FROM cal
   UNION ALL
-  SELECT 'ndays' || {suffix}, CAST(datediff('day', start_date, next_month) AS DOUBLE), CAST(NULL AS VARCHAR) FROM cal
+  SELECT 'ndays' || {suffix}, 'int', CAST(datediff('day', start_date, next_month) AS DOUBLE),
+         CAST(NULL AS VARCHAR), TRUE FROM cal
   UNION ALL
-  SELECT 'reportMonth', CAST(NULL AS DOUBLE), strftime(make_date({y}, {m}, 1), '%B')
+  SELECT 'reportMonth', 'text', CAST(NULL AS DOUBLE), strftime(make_date({y}, {m}, 1), '%B'), TRUE
   UNION ALL
-  SELECT 'reportYear', CAST({y} AS DOUBLE), CAST(NULL AS VARCHAR)
-  UNION ALL {fixed_sql}
-  UNION ALL {tex_sql}
-)
-SELECT CAST(list_position([{keys}], key) AS INTEGER) AS ordinal, key, num_value, text_value FROM rows"""
+  SELECT 'reportYear', 'int', CAST({y} AS DOUBLE), CAST(NULL AS VARCHAR), TRUE
+)"""
+
+
+def _ordinal_sql() -> str:
+    keys = ", ".join(f"'{k}'" for k in S.PARAM_KEYS)
+    return f"CAST(list_position([{keys}], key) AS INTEGER)"
+
+
+def _params_long_sql() -> str:
+    return _params_rows_sql() + f"""
+SELECT {_ordinal_sql()} AS ordinal, key, num_value, text_value FROM rows"""
+
+
+def _tex_lines_sql() -> str:
+    # DuckDB prints doubles in shortest round-trip form, as the macro file does.
+    value = ("CASE WHEN kind = 'text' THEN text_value "
+             "WHEN kind = 'int' THEN CAST(CAST(num_value AS BIGINT) AS VARCHAR) "
+             "WHEN NOT present THEN '0' ELSE CAST(num_value AS VARCHAR) END")
+    return _params_rows_sql() + f"""
+SELECT {_ordinal_sql()} AS ordinal, '\\def\\' || key || '{{' || {value} || '}}' AS line FROM rows"""
 
 
 def _all_months_sql() -> str:
@@ -326,6 +348,7 @@ def oracle_sql() -> dict[str, str]:
                    CAST(datediff('day', start_date, next_month) AS INTEGER) * 24 AS hours
             FROM c""",
         "report_params_long": _params_long_sql(),
+        "report_tex_lines": _tex_lines_sql(),
         "run_metrics": _run_ctes() + "\nSELECT * FROM metrics",
         "resource_peaks": _run_ctes() + """
             SELECT a.run, COALESCE(p.peak_memory_mb, CAST(0 AS DOUBLE)) AS peak_memory_mb
