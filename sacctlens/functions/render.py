@@ -15,6 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def fixed_text(c: Column, digits: int) -> Column:
+    """``c`` with ``digits`` decimals, rounded like C / Python ``%.Nf``.
+
+    ``format_number`` rounds half-even on the exact binary value (as printf
+    does); ``format_string('%.2f')`` rounds the shortest decimal form half-up
+    and disagrees on ties (0.125 -> 0.13, 1.005 -> 1.01).  The grouping commas
+    of ``format_number`` are removed.
+    """
+    return F.regexp_replace(F.format_number(c.cast("double"), digits), ",", "")
+
+
 def int_text(c: Column) -> Column:
     return c.cast("bigint").cast("string")
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sacctlens import schema as S
+from sacctlens.functions.render import fixed_text
 from sacctlens.operators import runs as R
 
 ROUND_DIGITS = 6
@@ -138,8 +139,8 @@ def config_ordinal(order: Sequence[str] = tuple(S.CONFIG_ORDER)):
 
 
 def _pm(mean: str, std: str):
-    return F.format_string("%.2f ± %.2f", F.coalesce(F.col(mean), F.lit(0.0)),
-                           F.coalesce(F.col(std), F.lit(0.0)))
+    return F.concat(fixed_text(F.coalesce(F.col(mean), F.lit(0.0)), 2), F.lit(" ± "),
+                    fixed_text(F.coalesce(F.col(std), F.lit(0.0)), 2))
 
 
 def config_summary_display(summary: DataFrame, order: Sequence[str] = tuple(S.CONFIG_ORDER)) -> DataFrame:
@@ -148,8 +149,8 @@ def config_summary_display(summary: DataFrame, order: Sequence[str] = tuple(S.CO
         config_ordinal(order).alias("ordinal"),
         F.col("config").alias("Configuration"),
         _pm("mean_wall_time_s", "std_wall_time_s").alias("Runtime (s)"),
-        F.format_string("%.1f", F.coalesce("mean_stages", F.lit(0.0))).alias("# Stages"),
-        F.format_string("%.1f", F.coalesce("mean_tasks", F.lit(0.0))).alias("# Tasks"),
+        fixed_text(F.coalesce("mean_stages", F.lit(0.0)), 1).alias("# Stages"),
+        fixed_text(F.coalesce("mean_tasks", F.lit(0.0)), 1).alias("# Tasks"),
         _pm("mean_shuffle_read_mb", "std_shuffle_read_mb").alias("Shuffle Read (MB)"),
         _pm("mean_shuffle_write_mb", "std_shuffle_write_mb").alias("Shuffle Write (MB)"),
         _pm("mean_peak_memory_mb", "std_peak_memory_mb").alias("Peak Memory (MB)"),

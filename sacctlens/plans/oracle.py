@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from sacctlens import schema as S
 from sacctlens.functions import calendar as C
-from sacctlens.plans.queries import (ADAPTER_BASELINE, RECENT_RUNS, REPORT_MONTH, REPORT_YEAR)
+from sacctlens.plans.queries import (ADAPTER_BASELINE, ADAPTER_CONFIG_ORDER, RECENT_RUNS, REPORT_MONTH,
+                                     REPORT_YEAR)
 
 
 def _jobs_cte(where: str = "") -> str:
@@ -292,6 +293,26 @@ ro AS (SELECT COUNT(*) AS n FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l))
 SELECT lo.n AS left_only, ro.n AS right_only, (lo.n = 0 AND ro.n = 0) AS identical FROM lo, ro"""
 
 
+def _display_sql() -> str:
+    order = ", ".join(f"'{c}'" for c in ADAPTER_CONFIG_ORDER)
+
+    def pm(m):
+        return (f"printf('%.2f ± %.2f', COALESCE(mean_{m}, CAST(0 AS DOUBLE)), "
+                f"COALESCE(std_{m}, CAST(0 AS DOUBLE)))")
+    return f"""SELECT
+  CAST(CASE WHEN list_position([{order}], config) > 0 THEN list_position([{order}], config) - 1
+            ELSE {len(ADAPTER_CONFIG_ORDER)} END AS INTEGER) AS ordinal,
+  config AS "Configuration",
+  {pm("wall_time_s")} AS "Runtime (s)",
+  printf('%.1f', COALESCE(mean_stages, CAST(0 AS DOUBLE))) AS "# Stages",
+  printf('%.1f', COALESCE(mean_tasks, CAST(0 AS DOUBLE))) AS "# Tasks",
+  {pm("shuffle_read_mb")} AS "Shuffle Read (MB)",
+  {pm("shuffle_write_mb")} AS "Shuffle Write (MB)",
+  {pm("peak_memory_mb")} AS "Peak Memory (MB)",
+  {pm("driver_time_s")} AS "Driver Time (s)"
+FROM summary"""
+
+
 def oracle_sql() -> dict[str, str]:
     J = _jobs_cte()
     y, m = REPORT_YEAR, REPORT_MONTH
@@ -361,5 +382,6 @@ def oracle_sql() -> dict[str, str]:
                          / mean_wall_time_s, 6) AS speedup
             FROM summary""",
         "output_diff": _output_diff_sql(),
+        "config_summary_display": _run_ctes() + "\n" + _display_sql(),
     }
     return out
