@@ -34,3 +34,14 @@ def test_random_values(spark):
 def test_int_text(spark):
     df = spark.createDataFrame([(9135.0,), (0.0,), (2026.0,)], "v double")
     assert [r[0] for r in df.select(render.int_text(F.col("v"))).collect()] == ["9135", "0", "2026"]
+
+
+def test_fixed_text_rounds_like_printf(spark):
+    """%.2f / %.1f as Python prints them, ties included (0.125 -> 0.12, 1.005 -> 1.00)."""
+    rng = np.random.default_rng(3)
+    values = [0.125, 1.005, 2.675, 0.375, -0.0, 0.0, 1234567.125, 3936.7291666666665]
+    values += np.round(rng.uniform(0, 100, 2000), 3).tolist() + (rng.integers(0, 100000, 1000) / 8).tolist()
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    rows = df.select(render.fixed_text(F.col("v"), 2).alias("a"), render.fixed_text(F.col("v"), 1).alias("b")).collect()
+    assert [r.a for r in rows] == [f"{v:.2f}" for v in values]
+    assert [r.b for r in rows] == [f"{v:.1f}" for v in values]
