@@ -85,3 +85,24 @@ def test_run_jobs_read_each_input_once(spark):
     assert len(re.findall(r"FileScan parquet", _plan(QUERIES["run_metrics"](spark, SF01)))) == 1
     # the speedup reads the checkpointed summary only
     assert "FileScan parquet" not in _plan(QUERIES["speedup_vs_baseline"](spark, SF01))
+
+
+def test_only_bounded_frames_are_broadcast_at_scale(spark):
+    """With automatic broadcasts off (as for tables far above the threshold), the
+    report's only broadcasts are the <= 16-row window membership and the <= 9-row
+    window result; the jobs join is a sort-merge join."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("report_windows", "report_tex_lines"):
+            df = QUERIES[name](spark, SF01)
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            assert plan.count("BroadcastExchange") == 2, (name, plan)
+            assert "SortMergeJoin" in plan
+        for name in ("single_pass_metrics", "report_all_months", "run_metrics", "recent_runs"):
+            df = QUERIES[name](spark, SF01)
+            df.collect()
+            assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString(), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
