@@ -17,7 +17,6 @@ SECONDS_PER_HOUR = 3600
 # The six report metrics, in output order.
 SIX_METRICS = ["completed_jobs", "failed_jobs", "jobs_nonlocal", "seconds_nonlocal",
                "jobs_ehpc", "seconds_ehpc"]
-COUNT_METRICS = ["completed_jobs", "failed_jobs", "jobs_nonlocal", "jobs_ehpc"]
 
 
 def _nonlocal() -> Column:

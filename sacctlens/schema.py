@@ -6,8 +6,8 @@ from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Job accounting file (pipe separated, header row, one row per job).
-# Only the seven columns below are read; any other column in the file is
-# ignored by the CSV reader because the schema is applied by name.
+# Only the seven columns below are used: they are picked by header name and
+# typed with try_cast; any other column of the file is never parsed.
 # ---------------------------------------------------------------------------
 JOB_COLUMNS = ["Partition", "Account", "State", "AllocCPUS", "AllocTRES", "ElapsedRaw", "NNodes"]
 
@@ -120,6 +120,8 @@ EVENT_LOG_SCHEMA = T.StructType([
 
 # Normalised run-event rows: what both the log reader and the test adapter emit.
 #   kind in {app_start, app_end, stage_submitted, task_start, task_end}
+#   The run key is ``run`` (bigint) from the test adapter and ``log_id``
+#   (string: log file or rolling-log folder) from the event-log reader.
 RUN_EVENT_SCHEMA = T.StructType([
     T.StructField("run", T.LongType()),
     T.StructField("config", T.StringType()),
