@@ -40,14 +40,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is respected as is;
     if it is missing there, this fails rather than fall back to a local folder.
     Only in local mode (tests) is a private scratch folder created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
