@@ -86,3 +86,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
                       .selectExpr("config AS ordinal",
                                   "concat_ws(',', config, CAST(mean_wall AS STRING), CAST(speedup AS STRING)) AS line"),
                       f"{args.out}/speedup")
+
+
+if __name__ == "__main__":
+    main()
