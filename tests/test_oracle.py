@@ -36,3 +36,15 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) == 9
     assert df.columns[:2] == ["tag", "cluster"]
+
+
+_TYPE_PAIRS = {("bigint", "BIGINT"), ("int", "INTEGER"), ("double", "DOUBLE"), ("string", "VARCHAR"),
+               ("date", "DATE"), ("boolean", "BOOLEAN")}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_column_types_match_oracle(spark, con, name):
+    spark_types = dict(QUERIES[name](spark, SF01).dtypes)
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    assert set(spark_types) == set(duck_types)
+    assert all((spark_types[c], duck_types[c]) in _TYPE_PAIRS for c in spark_types), (spark_types, duck_types)
