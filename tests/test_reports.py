@@ -153,3 +153,13 @@ def test_reports_from_saved_grain(spark, jobs, tmp_path):
         a = sorted(tuple(r) for r in P.windows_from_grain(grain, y, m).collect())
         b = sorted(tuple(r) for r in P.report_windows(jobs, y, m).collect())
         assert a == b
+
+
+def test_ytd_start_override_changes_label_and_days_only(spark, jobs):
+    plain = {r.key: r for r in PRM.report_params(jobs, 1998, 3).collect()}
+    moved = {r.key: r for r in PRM.report_params(jobs, 1998, 3, ytd_start=dt.date(1997, 12, 1)).collect()}
+    assert plain["reportPeriodYear"].text_value == "01/01/1998 - 31/03/1998"
+    assert moved["reportPeriodYear"].text_value == "01/12/1997 - 31/03/1998"
+    assert (plain["ndaysYear"].num_value, moved["ndaysYear"].num_value) == (90.0, 121.0)
+    changed = {k for k in plain if plain[k] != moved[k]}
+    assert changed == {"reportPeriodYear", "ndaysYear"}
