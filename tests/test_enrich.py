@@ -1,6 +1,7 @@
 """Expression tests on hand-made accounting rows with expected derived values."""
 
 from sacctlens.functions import enrich as E
+from sacctlens.plans.explain import plan_text
 from sacctlens.schema import JOB_SCHEMA
 from sacctlens.sources.local import local_rows
 
@@ -56,5 +57,5 @@ def test_enrich_types(spark):
 def test_enrich_is_codegen_friendly(spark):
     """No Python UDF in the derivation: the plan only holds built-in expressions."""
     raw = local_rows(spark, [c[0] for c in CASES], RAW_DDL)
-    plan = E.enrich(raw)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(E.enrich(raw))
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from sacctlens.plans.explain import final_plan_text, plan_text
 from conftest import SF01
 
 QUERIES = E.queries()
@@ -13,7 +14,7 @@ QUERIES = E.queries()
 def _plan(df, run=False):
     if run:
         df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(df)
 
 
 def _scans(plan, table):
@@ -31,7 +32,7 @@ def test_no_python_udf_no_cross_join(spark, name):
 
 def _formatted(spark, df):
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
-    return spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return plan_text(df, "formatted")
 
 
 def test_report_reads_each_table_once_with_pushdown(spark):
@@ -97,12 +98,12 @@ def test_only_bounded_frames_are_broadcast_at_scale(spark):
         for name in ("report_windows", "report_tex_lines"):
             df = QUERIES[name](spark, SF01)
             df.collect()
-            plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            plan = final_plan_text(df)
             assert plan.count("BroadcastExchange") == 2, (name, plan)
             assert "SortMergeJoin" in plan
         for name in ("single_pass_metrics", "report_all_months", "run_metrics", "recent_runs"):
             df = QUERIES[name](spark, SF01)
             df.collect()
-            assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString(), name
+            assert "BroadcastExchange" not in plan_text(df), name
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

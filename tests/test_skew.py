@@ -8,6 +8,7 @@ import pytest
 from conftest import SF01
 from oracle_check import compare, duck
 import __spark_entry__ as E
+from sacctlens.plans.explain import final_plan_text
 
 HOT_ORDER = 7
 
@@ -62,5 +63,5 @@ def test_hot_order_key(spark, skewed_dir, skew_conf, name):
 def test_skewed_join_is_split(spark, skewed_dir, skew_conf):
     df = E.queries()["single_pass_metrics"](spark, skewed_dir)
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = final_plan_text(df)
     assert "SortMergeJoin(skew=true)" in plan, plan

@@ -11,6 +11,7 @@ from sacctlens.operators import compare as CMP
 from sacctlens.operators import params as PRM
 from sacctlens.operators import periods as P
 from sacctlens.operators import runs as R
+from sacctlens.plans.explain import plan_text
 from sacctlens.sinks import writers as W
 from sacctlens.sources import eventlogs as EL
 from sacctlens.sources import jobs as J
@@ -93,7 +94,7 @@ def test_parquet_layout_prunes_partitions(spark, datadir, tmp_path):
     J.write_jobs_parquet(J.read_jobs(spark, datadir, 2025), out)
     jobs = J.read_jobs_parquet(spark, out)
     report = P.report_windows(jobs, 2025, 2)
-    plan = report._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(report)
     assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
     rows = {(r.tag, r.cluster): r.seconds_nonlocal for r in report.collect()}
     assert rows[("ytd", "GPU")] == 22440 and rows[("ytd", "ARM")] == 14400
