@@ -168,6 +168,9 @@ def dstat_dir(tmp_path_factory):
     (d / "dstat_run_2.csv").write_text(
         banner + '"memory usage",,,,"swap",\n"used","free","buff","cach","used","free"\n'
         + "536870912,1,1,1,7777777777,1\n")
+    # no "memory usage" section: no memory column, so no peak (0.0 downstream)
+    (d / "dstat_run_4.csv").write_text(
+        banner + '"swap",,"disk",\n"used","free","read"\n' + "999,1,2\n")
     return str(d)
 
 
