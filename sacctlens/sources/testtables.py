@@ -33,11 +33,11 @@ def _memo(fn):
     pushed filters.  This only saves the driver-side cost of resolving files
     and constructing the (large) column expressions again.
     """
-    def wrapper(spark: SparkSession, sf_dir: str, *args):
-        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args)
+    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
+        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args, tuple(sorted(kwargs.items())))
         df = _FRAMES.get(key)
         if df is None or df.sparkSession is not spark:
-            df = _FRAMES[key] = fn(spark, sf_dir, *args)
+            df = _FRAMES[key] = fn(spark, sf_dir, *args, **kwargs)
         return df
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__
@@ -121,8 +121,8 @@ def accounting_rows(spark: SparkSession, sf_dir: str, lines: DataFrame, keep: tu
 
 
 @_memo
-def _raw_jobs(spark: SparkSession, sf_dir: str,
-              ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
+def raw_jobs(spark: SparkSession, sf_dir: str,
+             ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
     """Raw accounting rows (the seven job columns + ids + year, month).
 
     ``ship_range`` (inclusive dates) is applied to the raw timestamp column so
@@ -141,24 +141,11 @@ def month_slices(spark: SparkSession, sf_dir: str, year: int, months, label) ->
     return out
 
 
-def raw_jobs(spark: SparkSession, sf_dir: str,
-             ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
-    return _raw_jobs(spark, sf_dir, ship_range)
-
-
-raw_jobs.__doc__ = _raw_jobs.__doc__
-
-
 @_memo
-def _jobs(spark: SparkSession, sf_dir: str,
-          ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
-    return E.enrich(raw_jobs(spark, sf_dir, ship_range))
-
-
 def jobs(spark: SparkSession, sf_dir: str,
          ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
     """Enriched accounting rows from the test tables."""
-    return _jobs(spark, sf_dir, ship_range)
+    return E.enrich(raw_jobs(spark, sf_dir, ship_range))
 
 
 # Event kinds of the run-event model and the test event types that play them.
