@@ -24,7 +24,9 @@ from sacctlens import schema as S
 from sacctlens.functions import calendar as C
 from sacctlens.functions import enrich as E
 
-FILE_PATTERN = r"^jobs_(\w+)\.txt$"
+# jobs_<Mon>.txt, optionally compressed (jobs_<Mon>.txt.gz, .bz2, .zst ...):
+# Spark picks the codec from the extension.
+FILE_PATTERN = r"^jobs_([A-Za-z]+)\.txt(\.\w+)?$"
 
 
 def _reader(spark: SparkSession):
@@ -46,6 +48,8 @@ def read_jobs(spark: SparkSession, datadir: str, year: int,
 
     ``months`` are abbreviations (``Jan`` .. ``Dec``).  Without it every
     ``jobs_*.txt`` below ``datadir`` is read (sub-directories included).
+    Compressed exports (``jobs_Jan.txt.gz``) are read the same way; note that
+    a compressed file is one task (codecs are not splittable).
     Columns are picked by header name (extra columns are ignored and never
     parsed); all files of one read must share the header of the first file,
     as monthly exports of one system do.  Numbers that do not parse become null.
@@ -55,9 +59,9 @@ def read_jobs(spark: SparkSession, datadir: str, year: int,
         bad = [m for m in months if m not in C.MONTH_ABBR]
         if bad:
             raise ValueError(f"unknown month abbreviations: {bad}")
-        df = _reader(spark).csv(f"{base}/jobs_{{{','.join(sorted(set(months)))}}}.txt")
+        df = _reader(spark).csv(f"{base}/jobs_{{{','.join(sorted(set(months)))}}}.txt*")
     else:
-        df = (_reader(spark).option("pathGlobFilter", "jobs_*.txt")
+        df = (_reader(spark).option("pathGlobFilter", "jobs_*.txt*")
               .option("recursiveFileLookup", True).csv(base))
     name = F.col("_metadata.file_name")
     period = F.regexp_extract(name, FILE_PATTERN, 1)

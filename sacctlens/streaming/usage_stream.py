@@ -29,6 +29,7 @@ from sacctlens.functions import calendar as C
 from sacctlens.functions import enrich as E
 from sacctlens.operators.usage import six_metric_aggs
 from sacctlens.session import checkpoint_dir
+from sacctlens.sources.jobs import FILE_PATTERN
 
 
 def _stream_schema(file_columns: Sequence[str]) -> T.StructType:
@@ -47,11 +48,11 @@ def job_file_stream(spark: SparkSession, landing_dir: str, year: int,
         raise ValueError(f"file_columns lacks {missing}")
     reader = (spark.readStream.schema(_stream_schema(file_columns))
               .option("sep", "|").option("header", True)
-              .option("pathGlobFilter", "jobs_*.txt"))
+              .option("pathGlobFilter", "jobs_*.txt*"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.csv(landing_dir.rstrip("/"))
-    period = F.regexp_extract(F.col("_metadata.file_name"), r"^jobs_(\w+)\.txt$", 1)
+    period = F.regexp_extract(F.col("_metadata.file_name"), FILE_PATTERN, 1)
     typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in S.JOB_SCHEMA.fields]
     return df.select(*typed, F.lit(int(year)).alias("year"), C.month_from_abbr(period).alias("month"))
 

@@ -294,3 +294,15 @@ def test_summary_documents_round_trip_several_configs(spark, tmp_path):
     back = SU.read_summary_documents(spark, out)
     got = sorted((r.config, r.run, r.wall_time_s) for r in SU.summary_runs(back).collect())
     assert got == [("a", 1, 1.0), ("a", 2, 3.0), ("b", 7, 5.0)]
+
+
+def test_compressed_monthly_export(spark, tmp_path):
+    d = tmp_path / "gz"
+    d.mkdir()
+    with gzip.open(d / "jobs_Jan.txt.gz", "wt") as f:
+        f.write(JAN)
+    (d / "jobs_Feb.txt").write_text(FEB)
+    df = J.read_jobs(spark, str(d), 2025, months=["Jan", "Feb"])
+    got = {r.period: r.n for r in df.groupBy("period").count().withColumnRenamed("count", "n").collect()}
+    assert got == {"Jan": 7, "Feb": 1}
+    assert J.read_jobs(spark, str(d), 2025).count() == 8
