@@ -98,6 +98,11 @@ EVENT_LOG_SCHEMA = T.StructType([
     T.StructField("Event", T.StringType()),
     T.StructField("Timestamp", T.LongType()),
     T.StructField("App ID", T.StringType()),
+    # job start: its stages and properties (job group); task end: its stage
+    T.StructField("Job ID", T.LongType()),
+    T.StructField("Stage IDs", T.ArrayType(T.LongType())),
+    T.StructField("Properties", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("Stage ID", T.LongType()),
     T.StructField("Stage Info", T.StructType([
         T.StructField("Stage ID", T.LongType()),
         T.StructField("Number of Tasks", T.LongType()),

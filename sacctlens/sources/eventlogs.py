@@ -109,3 +109,34 @@ def log_run_events(logs: DataFrame, config: str) -> DataFrame:
         written.cast("bigint").alias("write_bytes"),
         F.col("file_mtime_ms"),
     )
+
+
+def shuffle_by_job_group(logs: DataFrame) -> DataFrame:
+    """Per log and job group: stages run, tasks and shuffle MiB read / written.
+
+    Job-start events name their stages and carry the job group
+    (``spark.jobGroup.id``); task-end events carry their stage and shuffle
+    bytes.  Tasks are aggregated per (log, stage) first, then joined to the
+    stage -> group rows, so the join sees one row per stage.
+    """
+    ok = logs.where(F.col("_bad").isNull())
+    # A stage listed by several jobs (a reused shuffle) counts once per group.
+    stages = (ok.where(F.col("Event") == "SparkListenerJobStart")
+              .select("log_id",
+                      F.col("Properties").getItem("spark.jobGroup.id").alias("job_group"),
+                      F.explode("Stage IDs").alias("stage_id"))
+              .distinct())
+    srm = "`Task Metrics`.`Shuffle Read Metrics`"
+    per_stage = (ok.where(F.col("Event") == "SparkListenerTaskEnd")
+                 .groupBy("log_id", F.col("Stage ID").alias("stage_id"))
+                 .agg(F.count(F.lit(1)).alias("tasks"),
+                      F.sum(F.coalesce(F.col(f"{srm}.`Remote Bytes Read`"), F.lit(0))
+                            + F.coalesce(F.col(f"{srm}.`Local Bytes Read`"), F.lit(0))).alias("read_bytes"),
+                      F.sum(F.coalesce(F.col("`Task Metrics`.`Shuffle Write Metrics`.`Shuffle Bytes Written`"),
+                                       F.lit(0))).alias("write_bytes")))
+    return (stages.join(per_stage, ["log_id", "stage_id"], "left")
+            .groupBy("log_id", "job_group")
+            .agg(F.count_if(F.col("tasks").isNotNull()).alias("stages_run"),
+                 F.coalesce(F.sum("tasks"), F.lit(0)).cast("bigint").alias("tasks"),
+                 (F.coalesce(F.sum("read_bytes"), F.lit(0)) / F.lit(1048576)).alias("shuffle_read_mb"),
+                 (F.coalesce(F.sum("write_bytes"), F.lit(0)) / F.lit(1048576)).alias("shuffle_write_mb")))

@@ -46,3 +46,20 @@ def test_real_event_log(spark, tmp_path):
     assert m.shuffle_write_mb > 0 and m.shuffle_read_mb > 0
     bad = EL.malformed_lines(logs).collect()[0]
     assert bad.bad_lines == 0 and bad.events > 10
+
+
+def test_shuffle_by_job_group(spark, tmp_path):
+    logdir = tmp_path / "events"
+    logdir.mkdir()
+    script = tmp_path / "child.py"
+    script.write_text(CHILD.replace('df.groupBy("k").agg(F.sum("id")).collect()',
+                                    'spark.sparkContext.setJobGroup("g1", "g1")\n'
+                                    'df.groupBy("k").agg(F.sum("id")).collect()\n'
+                                    'spark.sparkContext.setJobGroup("g2", "g2")\n'
+                                    'spark.range(10).count()'))
+    subprocess.run([sys.executable, str(script), str(logdir)], check=True, timeout=300,
+                   stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
+    rows = {r.job_group: r for r in EL.shuffle_by_job_group(EL.read_event_logs(spark, str(logdir))).collect()}
+    assert rows["g1"].stages_run == 2 and rows["g1"].tasks == 7
+    assert rows["g1"].shuffle_write_mb > 0 and rows["g1"].shuffle_read_mb > 0
+    assert rows["g2"].tasks >= 1
