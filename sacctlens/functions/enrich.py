@@ -23,8 +23,13 @@ def outcome(state="State") -> Column:
 
 
 def normalised_state(state="State") -> Column:
-    """Collapse ``CANCELLED by <uid>`` variants to ``CANCELLED``; other states unchanged."""
-    return F.regexp_replace(_c(state), S.CANCELLED_PATTERN, "CANCELLED")
+    """Collapse ``CANCELLED by <uid>`` variants to ``CANCELLED``; other states unchanged.
+
+    The regex only runs on states containing ``CANCELLED`` (it cannot match others).
+    """
+    st = _c(state)
+    return F.when(st.contains("CANCELLED"), F.regexp_replace(st, S.CANCELLED_PATTERN, "CANCELLED")) \
+            .otherwise(st)
 
 
 def cluster(partition="Partition") -> Column:
@@ -61,9 +66,10 @@ def vnodes(partition="Partition", alloc_tres="AllocTRES", nnodes="NNodes") -> Co
     """
     tres = _c(alloc_tres)
     n = _c(nnodes).cast("bigint")
-    gpus = F.regexp_extract(tres, S.GPU_TRES_PATTERN, 1).try_cast("bigint")
+    # One regex evaluation: the captured digits are non-empty exactly when it matches.
+    digits = F.regexp_extract(tres, S.GPU_TRES_PATTERN, 1)
     gpu_units = (F.when(tres.isNull(), n)
-                 .when(tres.rlike(S.GPU_TRES_PATTERN), gpus)
+                 .when(digits != "", digits.try_cast("bigint"))
                  .otherwise(n * F.lit(S.GPUS_PER_NODE)))
     return F.when(is_gpu_partition(partition), gpu_units).otherwise(n)
 
