@@ -1,7 +1,9 @@
 """Configuration comparison and output equality.
 
-* ``benchmark_runs``   — the n most recent runs per configuration with all metrics;
-* ``config_summary``   — mean and sample standard deviation per configuration;
+* ``benchmark_runs``   — the n most recent runs per configuration with all metrics
+  (``log_benchmark_runs`` / ``log_run_metrics`` do the same from event-log folders);
+* ``config_summary``   — mean and sample standard deviation per configuration
+  (``summary_document``: the same plus the runs, in one aggregate);
 * ``speedup_vs_baseline`` — baseline mean wall time / configuration mean wall time;
 * ``config_summary_display`` — the ordered, formatted comparison table;
 * ``multiset_diff``    — rows only in one of two frames, as one count row.
