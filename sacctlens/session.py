@@ -29,6 +29,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
+    if "spark.sql.warehouse.dir" not in conf:
+        # Local runs only: tables written by tests go to a scratch folder.
+        conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(
+            prefix="sacctlens-warehouse-", dir=os.environ.get("TMPDIR", "/tmp"))
     if "spark.checkpoint.dir" not in conf:
         # Local runs only: a cluster session names its shared folder itself.
         conf["spark.checkpoint.dir"] = tempfile.mkdtemp(

@@ -73,12 +73,14 @@ def _lineitem(spark: SparkSession, sf_dir: str,
     return li
 
 
-def accounting_rows(spark: SparkSession, sf_dir: str, lines: DataFrame, keep: tuple = ()) -> DataFrame:
+def accounting_rows(spark: SparkSession, sf_dir: str, lines: DataFrame, keep: tuple = (),
+                    orders: DataFrame | None = None) -> DataFrame:
     """Lines (a lineitem slice) joined to their orders -> the raw accounting columns.
 
-    ``keep`` names extra columns of ``lines`` to carry through.
+    ``keep`` names extra columns of ``lines`` to carry through; ``orders``
+    replaces the orders table (e.g. a bucketed copy).
     """
-    od = _table(spark, sf_dir, "orders").select(
+    od = (orders if orders is not None else _table(spark, sf_dir, "orders")).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     j = lines.join(od, lines.l_orderkey == od.o_orderkey, "inner")
 
@@ -131,6 +133,35 @@ def raw_jobs(spark: SparkSession, sf_dir: str,
     return accounting_rows(spark, sf_dir, _lineitem(spark, sf_dir, ship_range))
 
 
+def save_bucketed_copies(spark: SparkSession, sf_dir: str, database: str, buckets: int) -> tuple[str, str]:
+    """Write the adapter's two join inputs once as tables bucketed and sorted by order key.
+
+    Joins of the copies then need no shuffle: both sides are already
+    hash-partitioned into the same ``buckets`` on the key (a sort-merge join
+    reading matching buckets).  Meant for a catalog whose tables persist
+    (the warehouse in shared storage); returns the two table names.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = (f"{database}.lineitem_by_order", f"{database}.orders_by_order")
+    (_lineitem(spark, sf_dir).write.mode("overwrite")
+        .bucketBy(buckets, "l_orderkey").sortBy("l_orderkey").saveAsTable(names[0]))
+    (_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+        .write.mode("overwrite").bucketBy(buckets, "o_orderkey").sortBy("o_orderkey").saveAsTable(names[1]))
+    return names
+
+
+def raw_jobs_from_copies(spark: SparkSession, lineitem_table: str, orders_table: str,
+                         ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
+    """``raw_jobs`` over bucketed copies (see ``save_bucketed_copies``)."""
+    li = spark.table(lineitem_table)
+    if ship_range is not None:
+        lo, hi = ship_range
+        li = li.where((F.col("l_shipdate") >= F.lit(_dt.datetime.combine(lo, _dt.time())).cast("timestamp_ntz"))
+                      & (F.col("l_shipdate") < F.lit(_dt.datetime.combine(hi + _dt.timedelta(days=1), _dt.time()))
+                         .cast("timestamp_ntz")))
+    return accounting_rows(spark, "", li, orders=spark.table(orders_table))
+
+
 def month_slices(spark: SparkSession, sf_dir: str, year: int, months, label) -> list[DataFrame]:
     """One lineitem frame per month (pushed date range each), tagged ``period``."""
     out = []

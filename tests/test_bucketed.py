@@ -1,0 +1,24 @@
+"""Bucketed copies of the join inputs: the same results without a join shuffle."""
+
+from conftest import SF01
+from sacctlens.functions import enrich as E
+from sacctlens.operators import usage as U
+from sacctlens.plans.explain import final_plan_text
+from sacctlens.sources import testtables as TT
+
+
+def test_bucketed_join_has_no_shuffle(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        li, od = TT.save_bucketed_copies(spark, SF01, "sacct_test", 8)
+        grain = U.single_pass_metrics(E.enrich(TT.raw_jobs_from_copies(spark, li, od)))
+        rows = sorted(tuple(r) for r in grain.collect())
+        plan = final_plan_text(grain)
+        assert "SortMergeJoin" in plan
+        assert "hashpartitioning(l_orderkey" not in plan and "hashpartitioning(o_orderkey" not in plan, plan
+        expected = sorted(tuple(r) for r in U.single_pass_metrics(TT.jobs(spark, SF01)).collect())
+        assert rows == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP DATABASE IF EXISTS sacct_test CASCADE")
