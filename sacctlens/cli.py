@@ -15,11 +15,13 @@ import argparse
 import datetime as _dt
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from sacctlens import schema as S
 from sacctlens.functions import calendar as C
 from sacctlens.operators import compare as CMP
 from sacctlens.operators import params as PRM
+from sacctlens.operators import periods as P
 from sacctlens.session import checkpoint_dir
 from sacctlens.sinks import writers as W
 from sacctlens.sources import jobs as J
@@ -42,7 +44,8 @@ def build_parser() -> argparse.ArgumentParser:
     r = sub.add_parser("report", help="usage report for one month -> macro file")
     r.add_argument("--datadir", required=True, help="folder of jobs_<Mon>.txt files, or the Parquet layout")
     r.add_argument("--year", type=int, required=True)
-    r.add_argument("--month", type=_month, required=True, help="Jan..Dec or 1..12")
+    r.add_argument("--month", type=_month, help="Jan..Dec or 1..12")
+    r.add_argument("--months", help="several months, e.g. Jan,Feb,Mar: one scan, one folder per month")
     r.add_argument("--ytd-start", type=_dt.date.fromisoformat, default=None,
                    help="label/day-count start of the year window (rows stay Jan..month)")
     r.add_argument("--parquet", action="store_true", help="datadir is the (year, month) Parquet layout")
@@ -68,11 +71,23 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     spark = spark or SparkSession.builder.appName(f"sacctlens-{args.command}").getOrCreate()
     checkpoint_dir(spark)
     if args.command == "report":
+        months = [_month(m) for m in args.months.split(",")] if args.months else [args.month]
+        if months == [None]:
+            raise SystemExit("report: give --month or --months")
         if args.parquet:
             jobs = J.read_jobs_parquet(spark, args.datadir)
         else:
-            jobs = J.read_enriched_jobs(spark, args.datadir, args.year, J.months_for_report(args.month))
-        W.write_params_tex(PRM.report_tex_lines(jobs, args.year, args.month, args.ytd_start), args.out)
+            jobs = J.read_enriched_jobs(spark, args.datadir, args.year, J.months_for_report(max(months)))
+        if len(months) == 1:
+            W.write_params_tex(PRM.report_tex_lines(jobs, args.year, months[0], args.ytd_start), args.out)
+        else:
+            # One scan: the month grain is written once, every report reads it.
+            grain = P.save_month_grain(jobs.where((F.col("year") == args.year) & (F.col("month") <= max(months))),
+                                       f"{args.out}/_month_grain")
+            for m in months:
+                windows = P.windows_from_grain(grain, args.year, m)
+                W.write_params_tex(PRM.report_tex_lines(None, args.year, m, args.ytd_start, windows),
+                                   f"{args.out}/{C.MONTH_ABBR[m - 1]}")
     elif args.command == "runs":
         runs = CMP.log_benchmark_runs(spark, args.logs_dir, args.dstat_dir, args.config_name, n=args.runs)
         W.write_summary_documents(CMP.summary_document(runs), args.out)

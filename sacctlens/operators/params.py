@@ -70,10 +70,14 @@ def param_ordinal():
 
 
 def report_params(jobs: DataFrame, year: int, month: int,
-                  ytd_start: _dt.date | None = None) -> DataFrame:
-    """(ordinal, key, kind, num_value, text_value, present) — 70 rows in key order."""
-    spark = jobs.sparkSession
-    windows = P.report_windows(jobs, year, month)
+                  ytd_start: _dt.date | None = None, windows: DataFrame | None = None) -> DataFrame:
+    """(ordinal, key, kind, num_value, text_value, present) — 70 rows in key order.
+
+    ``windows`` may pass a precomputed window report (e.g. from a saved month
+    grain, ``periods.windows_from_grain``); ``jobs`` is then not read.
+    """
+    spark = (windows if windows is not None else jobs).sparkSession
+    windows = P.report_windows(jobs, year, month) if windows is None else windows
     cal = P.report_calendar(spark, year, month, ytd_start)
     rows = _metric_rows(windows).unionByName(_calendar_rows(cal)).unionByName(_fixed_rows(spark))
     return rows.select(param_ordinal().alias("ordinal"), "*")
@@ -98,8 +102,9 @@ def value_text_sql(kind="kind", num="num_value", text="text_value", present="pre
             f"WHEN NOT {present} THEN '0' ELSE {num_text} END")
 
 
-def report_tex_lines(jobs: DataFrame, year: int, month: int,
-                     ytd_start: _dt.date | None = None) -> DataFrame:
+def report_tex_lines(jobs: DataFrame | None, year: int, month: int,
+                     ytd_start: _dt.date | None = None, windows: DataFrame | None = None) -> DataFrame:
     """(ordinal, line) with ``\\def\\<key>{<value>}`` per parameter."""
-    params = render.with_float_text(report_params(jobs, year, month, ytd_start), "num_value", "_num_text")
+    params = render.with_float_text(report_params(jobs, year, month, ytd_start, windows),
+                                    "num_value", "_num_text")
     return params.selectExpr("ordinal", f"concat('\\\\def\\\\', key, '{{', {value_text_sql()}, '}}') AS line")

@@ -41,3 +41,17 @@ def test_runs_and_compare_commands(spark, tmp_path):
     assert csv[2].startswith("final,5.00 ± 1.41")
     speed = dict(line.split(",")[0::2] for line in open(_part(out + "/speedup")).read().splitlines())
     assert speed == {"baseline": "1.0", "final": "2.2"}
+
+
+def test_report_several_months_one_scan(spark, tmp_path):
+    d = tmp_path / "data"
+    d.mkdir()
+    (d / "jobs_Jan.txt").write_text(JAN)
+    (d / "jobs_Feb.txt").write_text(FEB)
+    out = str(tmp_path / "out")
+    main(["report", "--datadir", str(d), "--year", "2026", "--months", "Jan,Feb", "--out", out], spark=spark)
+    single = str(tmp_path / "single")
+    main(["report", "--datadir", str(d), "--year", "2026", "--month", "Feb", "--out", single], spark=spark)
+    assert open(_part(out + "/Feb")).read() == open(_part(single)).read()
+    jan = open(_part(out + "/Jan")).read().splitlines()
+    assert jan[0] == "\\def\\reportPeriod{01/01/2026 - 31/01/2026}" and "\\def\\armusedhours{2.0}" in jan
