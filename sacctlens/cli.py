@@ -37,14 +37,19 @@ def _month(text: str) -> int:
     return m
 
 
+def previous_month(today: _dt.date) -> tuple[int, int]:
+    """(year, month) of the month before ``today``; January rolls back to December."""
+    return (today.year - 1, 12) if today.month == 1 else (today.year, today.month - 1)
+
+
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sacctlens")
     sub = p.add_subparsers(dest="command", required=True)
 
     r = sub.add_parser("report", help="usage report for one month -> macro file")
     r.add_argument("--datadir", required=True, help="folder of jobs_<Mon>.txt files, or the Parquet layout")
-    r.add_argument("--year", type=int, required=True)
-    r.add_argument("--month", type=_month, help="Jan..Dec or 1..12")
+    r.add_argument("--year", type=int, help="default: the year of the previous month")
+    r.add_argument("--month", type=_month, help="Jan..Dec or 1..12; default: the previous month")
     r.add_argument("--months", help="several months, e.g. Jan,Feb,Mar: one scan, one folder per month")
     r.add_argument("--ytd-start", type=_dt.date.fromisoformat, default=None,
                    help="label/day-count start of the year window (rows stay Jan..month)")
@@ -71,9 +76,13 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     spark = spark or SparkSession.builder.appName(f"sacctlens-{args.command}").getOrCreate()
     checkpoint_dir(spark)
     if args.command == "report":
-        months = [_month(m) for m in args.months.split(",")] if args.months else [args.month]
-        if months == [None]:
-            raise SystemExit("report: give --month or --months")
+        default_year, default_month = previous_month(_dt.date.today())
+        if args.months:
+            months = [_month(m) for m in args.months.split(",")]
+        else:
+            months = [args.month if args.month is not None else default_month]
+        if args.year is None:
+            args.year = default_year if (args.month is None and not args.months) else _dt.date.today().year
         if args.parquet:
             jobs = J.read_jobs_parquet(spark, args.datadir)
         else:

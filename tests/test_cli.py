@@ -55,3 +55,11 @@ def test_report_several_months_one_scan(spark, tmp_path):
     assert open(_part(out + "/Feb")).read() == open(_part(single)).read()
     jan = open(_part(out + "/Jan")).read().splitlines()
     assert jan[0] == "\\def\\reportPeriod{01/01/2026 - 31/01/2026}" and "\\def\\armusedhours{2.0}" in jan
+
+
+def test_previous_month_default():
+    import datetime as dt
+
+    from sacctlens.cli import previous_month
+    assert previous_month(dt.date(2026, 1, 15)) == (2025, 12)
+    assert previous_month(dt.date(2026, 3, 1)) == (2026, 2)
