@@ -75,7 +75,8 @@ def windows_from_grain(grain: DataFrame, year: int, month: int) -> DataFrame:
 
 
 def dense_month_grain(jobs: DataFrame) -> DataFrame:
-    """(year, month, cluster) -> six metrics, with every cluster present in every month.
+    """(year, month, cluster) -> six metrics for every cluster and every month from the
+    first to the last month with jobs (zeros where nothing ran).
 
     One aggregate keyed by (year, month) computes the six metrics for each
     cluster conditionally (18 partial sums before the shuffle); each month row
@@ -97,18 +98,31 @@ def dense_month_grain(jobs: DataFrame) -> DataFrame:
                        F.lit(0).cast("bigint")).alias(f"{c}__seconds_ehpc"),
         ]
     wide = jobs.groupBy("year", "month").agg(*aggs)
-    per_cluster = [F.struct(F.lit(c).alias("cluster"), *[F.col(f"{c}__{m}").alias(m) for m in SIX_METRICS])
+    # Months with no job at all, between the first and last month present, get
+    # zero rows: each month row also emits the empty months up to the next
+    # present one.  The ordering window sees one row per calendar month of
+    # data (a few hundred rows per decade), never the jobs.
+    first = F.make_date("year", "month", F.lit(1))
+    nxt = F.lead(first).over(Window.orderBy(first))
+    spans = wide.select("*", first.alias("_d"), nxt.alias("_next"))
+    spans = spans.select("*", F.explode(F.sequence(
+        "_d", F.coalesce(F.add_months("_next", -1), F.col("_d")), F.expr("interval 1 month"))).alias("_m"))
+    real = F.col("_m") == F.col("_d")
+    zero = F.lit(0).cast("bigint")
+    per_cluster = [F.struct(F.lit(c).alias("cluster"),
+                            *[F.when(real, F.col(f"{c}__{m}")).otherwise(zero).alias(m) for m in SIX_METRICS])
                    for c in S.CLUSTERS]
-    return wide.select("year", "month", F.explode(F.array(*per_cluster)).alias("r")) \
-               .select("year", "month", "r.*")
+    return spans.select(F.year("_m").alias("year"), F.month("_m").alias("month"),
+                        F.explode(F.array(*per_cluster)).alias("r")) \
+                .select("year", "month", "r.*")
 
 
 def report_all_months(jobs: DataFrame) -> DataFrame:
     """Month, quarter and YTD metrics for every month present in the data, long format.
 
     Rows: (year, month, tag, cluster, six metrics, hours); every cluster has a
-    row in every month (zeros when it ran nothing), so quarter / YTD values
-    are defined for it.  One scan, one aggregate, then range frames over the
+    row in every month from the first to the last month of the data (zeros
+    when it ran nothing), so quarter / YTD values are defined for it.  One scan, one aggregate, then range frames over the
     month number partitioned by (year, cluster).
     """
     dense = dense_month_grain(jobs)

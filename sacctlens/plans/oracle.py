@@ -252,7 +252,10 @@ def _all_months_sql() -> str:
         for t in S.TAGS)
     return f"""WITH {_jobs_cte()},
 grain AS (SELECT year, month, cluster, {_SIX} FROM jobs GROUP BY year, month, cluster),
-months AS (SELECT DISTINCT year, month FROM jobs),
+bounds AS (SELECT min(make_date(year, month, 1)) AS lo, max(make_date(year, month, 1)) AS hi FROM jobs),
+months AS (SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month
+           FROM (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 MONTH)) AS d
+                 FROM bounds)),
 clusters(cluster) AS (VALUES {clusters}),
 dense AS (SELECT m.year, m.month, c.cluster FROM months m CROSS JOIN clusters c),
 filled AS (SELECT d.year, d.month, d.cluster, {filled}

@@ -19,7 +19,9 @@ METRICS = U.SIX_METRICS
 
 @pytest.fixture(scope="module")
 def jobs(spark):
-    return TT.jobs(spark, SF01).cache()
+    df = TT.jobs(spark, SF01).cache()
+    yield df
+    df.unpersist()        # the frame is shared by later queries of the session
 
 
 @pytest.fixture(scope="module")
@@ -163,3 +165,20 @@ def test_ytd_start_override_changes_label_and_days_only(spark, jobs):
     assert (plain["ndaysYear"].num_value, moved["ndaysYear"].num_value) == (90.0, 121.0)
     changed = {k for k in plain if plain[k] != moved[k]}
     assert changed == {"reportPeriodYear", "ndaysYear"}
+
+
+def test_all_months_fills_months_without_jobs(spark):
+    ddl = ("Partition string, Account string, State string, AllocCPUS bigint, AllocTRES string, "
+           "ElapsedRaw bigint, NNodes bigint, year int, month int")
+    rows = [("normal-arm", "f1", "COMPLETED", 1, None, 100, 1, 2024, 11),
+            ("normal-arm", "f1", "FAILED", 1, None, 10, 2, 2025, 2)]
+    from sacctlens.functions import enrich as EN
+    from sacctlens.sources.local import local_rows
+    got = {(r.year, r.month, r.tag, r.cluster): r for r in
+           P.report_all_months(EN.enrich(local_rows(spark, rows, ddl))).collect()}
+    assert sorted({(y, m) for y, m, _, _ in got}) == [(2024, 11), (2024, 12), (2025, 1), (2025, 2)]
+    assert got[(2024, 12, "month", "ARM")].completed_jobs == 0
+    assert got[(2024, 12, "quarter", "ARM")].completed_jobs == 1        # Oct..Dec 2024
+    assert got[(2025, 1, "quarter", "ARM")].completed_jobs == 0         # clipped at January
+    assert got[(2025, 2, "ytd", "ARM")].seconds_nonlocal == 20
+    assert got[(2025, 2, "ytd", "ARM")].failed_jobs == 1
