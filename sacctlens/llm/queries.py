@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sacctlens.llm import bitsliced, langid, mixing
+from sacctlens.llm import bitsliced, langid, linechunks, mixing, quality, superkmers
 from sacctlens.llm.common import table
 from sacctlens.llm.oracle import MIX
 
@@ -13,16 +13,30 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmers.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return bitsliced.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op5_language_id, op9_exact_top_k)}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linechunks.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed_lines", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_mix_sources, op4_substring_dedup, op5_language_id, op8_quality, op9_exact_top_k, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -83,7 +83,7 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     padded[:len(buf)] = buf
     eight = np.ndarray(shape=(len(buf) + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
     size = ends - starts
-    h = mix(size.astype(np.uint64) + np.uint64(seed) * _M1 + _M2)
+    h = mix(size.astype(np.uint64) + np.uint64((seed * int(_M1) + int(_M2)) % (1 << 64)))
     if not len(h):
         return h
     h = mix(h ^ (eight[starts] & _MASK[np.minimum(size, 8)]))
