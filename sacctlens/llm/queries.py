@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sacctlens.llm import bitsliced, langid, linechunks, mixing, quality, superkmers
+from sacctlens.llm import bitsliced, langid, linechunks, mixing, parityjoin, quality, superkmers
 from sacctlens.llm.common import table
 from sacctlens.llm.oracle import MIX
 
@@ -21,6 +21,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parityjoin.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,7 +40,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op4_substring_dedup, op5_language_id, op8_quality, op9_exact_top_k, op10_line_dedup)}
+    op1_mix_sources, op4_substring_dedup, op5_language_id, op6_jaccard_join, op8_quality, op9_exact_top_k, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
