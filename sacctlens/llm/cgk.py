@@ -42,7 +42,7 @@ RECALL = 0.95
 EDIT_RATE = 0.08
 SAMPLED = 3
 #: Embeddings of related strings differ in at most this share of the steps.
-FAR = 0.75
+FAR = 0.6
 GROUP_BYTES = 8 << 20
 _PAD = np.uint64(0x5BD1E995A3C59AC3)
 _ONE = np.uint64(1)
@@ -69,15 +69,6 @@ def walk(place: np.ndarray, bits: np.ndarray, t: int, to: int) -> np.ndarray:
     return place
 
 
-def embedding(words: np.ndarray, bits: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
-    """[walks, length] words written by walks from ``place``."""
-    out = np.empty((len(place), length), np.uint64)
-    for step in range(length):
-        out[:, step] = words[place]
-        place = walk(place, bits, step, step + 1)
-    return out
-
-
 def padded_words(texts: pa.Array, pad: int):
     """Word hashes with ``pad`` blanks after each row; word spans; row offsets in words
     and in the padded array; the plain bytes."""
@@ -117,8 +108,16 @@ class Index:
         return mix(words ^ np.uint64(0x9E37 + 0x51ED27 * (r + 1)))
 
     def prepare(self) -> None:
-        """Tables of each plan: the key sets after each sampled step, and the final keys."""
+        """Tables of each plan: the key sets after each sampled step, and the final keys;
+        the items' words as one matrix per class."""
         self.tables = []
+        self.lengths = np.array([len(w) for _, w, _, _ in self.items], np.int64)
+        self.place, self.matrix = np.zeros(len(self.items), np.int64), {}
+        for c, members in self.classes.items():
+            self.matrix[c] = np.full((len(members), 2 << c), _PAD, np.uint64)
+            for i, m in enumerate(members):
+                self.place[m] = i
+                self.matrix[c][i, :self.lengths[m]] = self.items[m][1]
         length = self.pad
         for c, r, sampled, members in self.plans:
             levels = [np.zeros(1 << 18, bool) for _ in sampled]
@@ -134,14 +133,14 @@ class Index:
             order = np.argsort(np.array(final, np.uint64), kind="stable")
             self.tables.append((levels, np.array(final, np.uint64)[order], np.array(members)[order]))
 
-    def candidates(self, words: np.ndarray, starts: np.ndarray):
-        """(start, item) pairs that agree in a round and whose embeddings are near."""
-        found = set()
-        bits_of = {}
+    def candidates(self, words: np.ndarray, starts: np.ndarray) -> dict[tuple[int, int], int]:
+        """(start, item) pairs that agree in a round and whose embeddings are near, with their distance."""
+        found: dict[tuple[int, int], int] = {}
+        rounds = {}
         for (c, r, sampled, _), (levels, final, members) in zip(self.plans, self.tables):
-            if r not in bits_of:
-                bits_of = {r: self.bits(words, r)} if r else {0: self.bits(words, 0)}
-            bits = bits_of[r]
+            if r not in rounds:
+                rounds[r] = self.bits(words, r)
+            bits = rounds[r]
             begin, place, t = starts, starts, 0
             key = np.zeros(len(begin), np.uint64)
             for level, step in zip(levels, sampled):
@@ -149,22 +148,33 @@ class Index:
                 key = mix(key ^ words[place])
                 live = level[(key >> np.uint64(46)).astype(np.int64)]
                 begin, place, key = begin[live], place[live], key[live]
-            lo, hi = np.searchsorted(final, key), np.searchsorted(final, key, side="right")
-            for b, x, y in zip(begin[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
-                for m in members[x:y].tolist():
-                    if (b, m) not in found and self.near(words, bits, b, m, r):
-                        found.add((b, m))
+            lo = np.searchsorted(final, key)
+            n = np.searchsorted(final, key, side="right") - lo
+            begin, item = np.repeat(begin, n), members[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            for at in range(0, len(begin), 4096):
+                b, m = begin[at:at + 4096], item[at:at + 4096]
+                apart = self.apart(words, b, m, c, r)
+                near = apart <= FAR * 2 * self.lengths[m]
+                for key_of, d in zip(zip(b[near].tolist(), m[near].tolist()), apart[near].tolist()):
+                    found[key_of] = min(d, found.get(key_of, d))
         return found
 
-    def near(self, words, bits, begin: int, m: int, r: int) -> bool:
-        own = self.items[m][1]
-        n = len(own)
-        item = np.concatenate((own, np.full(2 * n, _PAD, np.uint64)))
-        window = np.concatenate((words[begin:begin + n], np.full(2 * n, _PAD, np.uint64)))
-        zero = np.zeros(1, np.int64)
-        a = embedding(item, self.bits(item, r), zero, 2 * n)
-        b = embedding(window, self.bits(window, r), zero, 2 * n)
-        return int((a != b).sum()) <= FAR * 2 * n
+    def apart(self, words: np.ndarray, begin: np.ndarray, item: np.ndarray, c: int, r: int) -> np.ndarray:
+        """Hamming distances between the embeddings of windows and items, over twice the item's length."""
+        span = 2 << c                       # longest item of the class
+        width = 3 * span
+        own = np.arange(span) < self.lengths[item][:, None]
+        both = np.full((2, len(begin), width), _PAD, np.uint64)
+        both[0, :, :span][own] = words[np.minimum(begin[:, None] + np.arange(span), len(words) - 1)][own]
+        both[1, :, :span][own] = self.matrix[c][self.place[item]][own]
+        flat = both.reshape(-1)
+        bits, place = self.bits(flat, r), width * np.arange(2 * len(begin))
+        out = np.zeros(len(begin), np.int64)
+        for step in range(2 * span):
+            w = flat[place]
+            out += (w[:len(begin)] != w[len(begin):]) & (step < 2 * self.lengths[item])
+            place = walk(place, bits, step, step + 1)
+        return out
 
     def leaks(self, texts: pa.Array) -> list[tuple[int, int, int, int, int]]:
         """(row, item_id, distance, item length, first word) of each leak, closest window per row and item."""
@@ -175,16 +185,22 @@ class Index:
         row_of = np.repeat(np.arange(len(n)), n)
         begins = np.arange(len(starts)) + self.pad * row_of
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for begin, m in sorted(self.candidates(words, begins)):
+        done: dict[tuple[int, int], list[int]] = {}
+        # Nearest first: a stretch that was found unchanged needs no second look.
+        for (begin, m), _ in sorted(self.candidates(words, begins).items(), key=lambda x: (x[1], x[0])):
             row = int(np.searchsorted(at, begin, side="right")) - 1
             first = begin - int(at[row])
             item_id, own, plain, peq = self.items[m]
             slack = len(own) // 4 + 1
+            if any(abs(first - x) <= slack for x in done.get((row, m), ())):
+                continue
             lo, hi = int(rows[row]) + max(0, first - slack), int(rows[row]) + min(int(n[row]), first + len(own) + slack)
             text = b" ".join(buf[a:b].tobytes() for a, b in zip(starts[lo:hi], ends[lo:hi])).decode("utf-8", "replace")
             distance = closest(plain, peq, text)
             if distance <= int(MAX_EDITS * len(plain)):
                 key = (row, m)
+                if distance == 0:
+                    done.setdefault(key, []).append(first)
                 if key not in best or (distance, first) < best[key]:
                     best[key] = (distance, first)
         return [(row, self.items[m][0], d, len(self.items[m][2]), first) for (row, m), (d, first) in sorted(best.items())]
