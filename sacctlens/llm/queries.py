@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sacctlens.llm import bitsliced, cgk, langid, linechunks, mixing, parityjoin, quality, superkmers
+from sacctlens.llm import bitsliced, cgk, langid, linechunks, maskedlm, mixing, parityjoin, quality, superkmers
 from sacctlens.llm.common import table
 from sacctlens.llm.oracle import MIX
 
@@ -29,6 +29,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parityjoin.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op7_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return maskedlm.score(docs, *maskedlm.fit(docs))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,7 +49,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op3_decontaminate, op4_substring_dedup, op5_language_id, op6_jaccard_join, op8_quality, op9_exact_top_k, op10_line_dedup)}
+    op1_mix_sources, op3_decontaminate, op4_substring_dedup, op5_language_id, op6_jaccard_join, op7_masked_lm, op8_quality, op9_exact_top_k, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
