@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sacctlens.llm import bitsliced, cgk, langid, linechunks, maskedlm, mixing, parityjoin, quality, superkmers
+from sacctlens.llm import bitsliced, cgk, langid, linechunks, maskedlm, mixing, parityjoin, quality, superkmers, surrogates
 from sacctlens.llm.common import table
 from sacctlens.llm.oracle import MIX
 
@@ -13,6 +13,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.pseudonymise(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cgk.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,7 +53,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op3_decontaminate, op4_substring_dedup, op5_language_id, op6_jaccard_join, op7_masked_lm, op8_quality, op9_exact_top_k, op10_line_dedup)}
+    op1_mix_sources, op2_pii_surrogates, op3_decontaminate, op4_substring_dedup, op5_language_id, op6_jaccard_join, op7_masked_lm, op8_quality, op9_exact_top_k, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
