@@ -1,11 +1,69 @@
-"""The corpus pipeline: language ID and source mixing (more stages follow)."""
+"""The corpus pipeline: documents through five stages, each an operator of sacctlens.llm.
 
-STAGES: list = []
+Every stage is (spark, docs, sf_dir) -> DataFrame, works on all rows that its
+predecessor kept, and returns the columns of ``documents`` (the last one returns
+the mixing plan).  ``run`` writes each stage's rows as Parquet into the session's
+shared checkpoint folder and reads them back as the next stage's documents, so a
+lost executor repeats one stage at most.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from sacctlens.llm import cgk, langid, linechunks, mixing, parityjoin
+from sacctlens.llm.common import held_out, table
+from sacctlens.session import checkpoint_dir
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or with no language's prototype at a positive cosine, go; all others stay as they are."""
+    langs, prototypes = langid.learn(docs.filter(~held_out(F.col("doc_id"))))
+    return langid.accepted(docs, langs, prototypes)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated line chunks go from the texts; documents of which nothing is left go."""
+    lines, removed = "_lines_before", "_lines_removed"
+    return (linechunks.dedup(docs, counts=(lines, removed)).filter((F.col(removed) < F.col(lines)) | (F.col(removed) == 0))
+            .withColumn("n_chars", F.when(F.col(removed) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+            .select(*docs.columns))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: the one with the smallest id."""
+    return parityjoin.one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return cgk.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of what is left: how many words are taken of each document."""
+    return mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("mix_sources", mix_sources),
+]
+
+#: SQL cannot express the language and benchmark stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        path = f"{folder}/{k}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

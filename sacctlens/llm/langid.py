@@ -132,6 +132,21 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dim:
     return langs, proto / np.where(norms > 0, norms, 1)
 
 
+def nearest_prototype(text: str | None, vectors: Vectors, langs: list[str], matrix: np.ndarray) -> tuple[str, float]:
+    """The language whose prototype (column of ``matrix``) is nearest, and the cosine (0 to 1)."""
+    codes = np.sort(trigrams(text or ""))
+    if not len(codes) or not langs:
+        return UNKNOWN, 0.0
+    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+    v = vectors.bundle(codes[first], np.diff(first, append=len(codes)))
+    norm = float(np.sqrt(v.astype(np.float64) @ v))
+    if norm == 0:
+        return UNKNOWN, 0.0
+    cosines = v @ matrix / norm
+    best = int(np.argmax(cosines))
+    return langs[best], min(1.0, max(0.0, float(cosines[best])))
+
+
 def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score: the nearest prototype and its cosine (0 to 1)."""
     dim = prototypes.shape[1] if len(langs) else DIM
@@ -140,21 +155,8 @@ def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, id_col: s
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, matrix = Vectors(dim), prototypes.T.astype(np.float32)
         for batch in batches:
-            names, scores = [], []
-            for text in batch.column("text"):
-                label, score = UNKNOWN, 0.0
-                codes = np.sort(trigrams(text.as_py() or ""))
-                if len(codes) and langs:
-                    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
-                    v = vectors.bundle(codes[first], np.diff(first, append=len(codes)))
-                    norm = float(np.sqrt(v.astype(np.float64) @ v))
-                    if norm > 0:
-                        cosines = v @ matrix / norm
-                        best = int(np.argmax(cosines))
-                        label, score = langs[best], min(1.0, max(0.0, float(cosines[best])))
-                names.append(label)
-                scores.append(score)
-            yield record(schema, doc_id=batch.column("doc_id"), lang_pred=names, score=scores)
+            names, scores = zip(*(nearest_prototype(t.as_py(), vectors, langs, matrix) for t in batch.column("text"))) if len(batch) else ((), ())
+            yield record(schema, doc_id=batch.column("doc_id"), lang_pred=list(names), score=list(scores))
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         nearest, "doc_id long, lang_pred string, score double")
@@ -164,3 +166,14 @@ def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score; learned from the documents that are not held out."""
     langs, prototypes = learn(docs.filter(~held_out(F.col("doc_id"))))
     return predict(docs, langs, prototypes).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, langs: list[str], prototypes: np.ndarray, text_col: str = "text", least: float = 0.0) -> DataFrame:
+    """The documents, all columns, whose nearest prototype has a cosine above ``least``."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, matrix = Vectors(prototypes.shape[1]), prototypes.T.astype(np.float32)
+        for batch in batches:
+            got = [nearest_prototype(text.as_py(), vectors, langs, matrix) for text in batch.column(text_col)]
+            yield batch.filter(pa.array([label != UNKNOWN and score > least for label, score in got], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -105,7 +105,7 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Hash groups that repeat; most chunks end here without sending their bytes.
     again = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
     here = materialize(found.join(again, ["h1", "h2"], "left_semi").select("doc_id", "text_hash", "first_line", "n_lines", "h1", "h2", "lo", "hi"))
-    ranges = here.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "first_line", "n_lines"))).alias("chunks"))
+    ranges = here.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("lo", "hi", "first_line", "n_lines")).alias("chunks"))
     texts = docs.select(*_identity(id_col, text_col)).filter("text is not null")
     owners = (texts.join(ranges.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}),
                          F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select("doc_id", "text_hash", "text", "chunks"))
@@ -117,15 +117,21 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select("doc_id", "text_hash", "first_line", "n_lines", "lo", "hi"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
-    """The documents' own columns with the text cleaned, plus n_lines and n_removed_lines."""
-    gone = (repeated_chunks(docs, id_col, text_col, window, divisor).dropDuplicates(["doc_id", "text_hash", "lo"])
-            .groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("_cuts"), F.sum("n_lines").alias("_n"))
-            .withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}))
-    joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash")), "left")
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, divisor: int = DIVISOR,
+          counts: tuple[str, str] = ("n_lines", "n_removed_lines")) -> DataFrame:
+    """The documents' own columns with the text cleaned, plus two counts of lines.
+
+    A column that bears the name of a count is replaced; ``counts`` renames them.
+    """
+    gone = (repeated_chunks(docs, id_col, text_col, window, divisor)
+            .groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("_cuts"),
+                                                F.collect_set(F.struct("lo", "n_lines")).alias("_counts"))
+            .select(F.col("doc_id").alias("_cut_id"), F.col("text_hash").alias("_cut_hash"), "_cuts",
+                    F.aggregate("_counts", F.lit(0), lambda n, x: n + x["n_lines"]).cast("long").alias("_cut_lines")))
+    joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_cut_id")) & (F.xxhash64(text_col) == F.col("_cut_hash")), "left")
     raw = F.col(text_col).cast("binary")
     size = F.octet_length(text_col).cast("long")
-    # What is kept lies between the cuts; a cut also takes the newline after it (or before it, at the end).
+    # What is kept lies between the cuts; a cut takes one newline with it.
     edges = F.concat(F.array(F.struct(F.lit(-1).cast("long").alias("lo"), F.lit(-1).cast("long").alias("hi"))), F.col("_cuts"),
                      F.array(F.struct((size + 1).alias("lo"), (size + 1).alias("hi"))))
     spans = F.transform(F.sequence(F.lit(1), F.size("_cuts") + 1),
@@ -133,5 +139,6 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     kept = F.transform(F.filter(spans, lambda s: s["b"] >= s["a"]),
                        lambda s: F.substring(raw, s["a"].cast("int") + 1, (s["b"] - s["a"]).cast("int")).cast("string"))
     cleaned = F.when(F.col("_cuts").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    lines = F.when(F.col(text_col).isNotNull(), F.size(F.split(F.col(text_col), "\n", -1))).otherwise(F.lit(0))
-    return joined.withColumns({text_col: cleaned, "n_lines": lines.cast("long"), "n_removed_lines": F.coalesce("_n", F.lit(0)).cast("long")}).drop("_id", "_hash", "_cuts", "_n")
+    lines = F.when(F.col(text_col).isNotNull(), F.length(F.col(text_col)) - F.length(F.translate(F.col(text_col), "\n", "")) + 1).otherwise(F.lit(0))
+    return joined.withColumns({counts[0]: lines.cast("long"), counts[1]: F.coalesce("_cut_lines", F.lit(0)).cast("long"), "_cleaned": cleaned}).select(
+        *[F.col("_cleaned").alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in counts], *counts)

@@ -364,3 +364,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         labels = (nodes.join(merged, nodes.component == merged._n, "left").select("node", F.coalesce("_c", "component").alias("component")))
     return (every.join(labels, every.doc_id == labels.node, "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, num: int = NUM) -> DataFrame:
+    """The documents, all columns, without those that are near copies of a smaller id.
+
+    Rows without an id stay; of several rows with the id that stays, all stay.
+    """
+    gone = (near_copies(docs, id_col, text_col, size, num).filter("component_id <> doc_id")
+            .select(F.col("doc_id").alias("_gone")).distinct())
+    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
