@@ -55,8 +55,10 @@ def chunk_edges(text_rows: pa.Array, window: int = WINDOW, divisor: int = DIVISO
     ends[~last] = breaks
     hashes = span_hashes(buf, starts, ends)
     rolling = hashes.copy()
+    number = np.arange(len(starts)) - np.repeat(row_first, np.diff(line_offs))      # within its text
     for back in range(1, window):
-        rolling[back:] = mix(rolling[back:]) ^ hashes[:-back] if back < len(hashes) else rolling[back:]
+        at = np.flatnonzero(number >= back)
+        rolling[at] = mix(rolling[at]) ^ hashes[at - back]
     cut = mix(rolling) % np.uint64(divisor) == 0  # closes a chunk after this line
     cut |= last
     begins = np.flatnonzero(np.concatenate(([True], cut[:-1]))) if len(cut) else np.zeros(0, np.int64)

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sacctlens.llm.common import held_out
+from sacctlens.llm.linechunks import chunk_edges
 from sacctlens.llm.textkit import blobs, buffers, record, span_hashes, steps, word_spans
 
 BUCKETS = 1 << 15
@@ -40,7 +41,8 @@ DECAY = 1e-5
 THRESHOLD = 0.3
 
 STATISTICS = ("log_bytes", "log_words", "log_lines", "bytes_per_word", "words_per_line", "letters", "upper", "digits",
-              "spaces", "marks", "high_bytes", "marks_alone", "words_all_upper", "words_end_marked", "distinct_words", "top_word")
+              "spaces", "marks", "high_bytes", "marks_alone", "words_all_upper", "words_end_marked", "distinct_words", "top_word",
+              "same_as_before", "lines_again")
 
 _KIND = np.zeros(256, np.uint8)  # 1 lower, 2 upper, 3 digit, 4 space, 5 mark, 6 byte of a non-ASCII letter
 _KIND[33:127] = 5
@@ -88,10 +90,18 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     per_word, per_byte = np.maximum(words, 1), np.maximum(size, 1)
     most = np.zeros(n)
     np.maximum.at(most, owner, count)
+    again = np.zeros(len(hashes), bool)
+    if len(hashes):
+        again[1:] = (hashes[1:] == hashes[:-1]) & (doc[1:] == doc[:-1])
+    *_, line_starts, line_ends, line_rows, _ = chunk_edges(texts)
+    line_doc = np.repeat(np.arange(n), np.diff(line_rows))
+    line_hash = span_hashes(buf, line_starts, line_ends)
+    distinct_lines = np.bincount(np.unique(np.stack((line_doc.astype(np.uint64), line_hash)), axis=1)[0].astype(np.int64), minlength=n)
     stats = np.column_stack((
         np.log1p(size), np.log1p(words), np.log1p(lines), size / per_word, words / lines, (lower + upper + high) / per_byte,
         upper / per_byte, digit / per_byte, space / per_byte, mark / per_byte, high / per_byte, alone / per_word,
-        shout / per_word, marked / per_word, np.diff(ptr) / per_word, most / per_word))
+        shout / per_word, marked / per_word, np.diff(ptr) / per_word, most / per_word,
+        _sums(again, rows) / per_word, 1 - distinct_lines / lines))
     return ptr, idx, val, stats
 
 
