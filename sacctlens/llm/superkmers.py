@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from sacctlens.llm.common import materialize
-from sacctlens.llm.textkit import buffers, mix, span_hashes, steps, word_spans, _SPACE
+from sacctlens.llm.textkit import STEP_BYTES, buffers, mix, span_hashes, steps, word_spans, _SPACE
 
 WINDOW = 35
 M = 4
@@ -40,6 +40,8 @@ HOT_MOST = 1_000_000
 #: Distinct hot windows a task remembers before it starts anew.
 REMEMBERED = 100_000
 NO_ID = -(1 << 63)
+#: Compression of what travels.
+LEVEL = 3
 
 
 def canonical(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +156,7 @@ def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 def _pack(doc, check, start, sizes, body: bytes, marks: np.ndarray) -> bytes:
     head = np.array([len(doc), len(marks)], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(b"".join((
+    return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join((
         head, doc.astype("<i8").tobytes(), check.astype("<i4").tobytes(), start.astype("<i4").tobytes(), sizes.astype("<i4").tobytes(),
         marks.astype("<i8").tobytes(), body)))
 
@@ -321,14 +323,27 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M, id_col: st
     spans = repeated_spans(docs, window, m, id_col, text_col, hot_runs, part_runs)
     cuts = (spans.groupBy("doc_id", "check").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
             .withColumnsRenamed({"doc_id": "_id", "check": "_check"}))
-    texts = _texts(docs, id_col, text_col)
-    joined = texts.join(cuts, (F.col("doc_id") == F.col("_id")) & (F.col("check") == F.col("_check")), "left").select("doc_id", "text", "lo", "hi")
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zip_ = zstandard.ZstdCompressor(level=LEVEL)
+        for batch in batches:
+            body = pa.array([zip_.compress(x.as_buffer()) if x.is_valid else None for x in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("check"), body], names=["doc_id", "check", "body"])
+
+    # The texts meet their cuts compressed: they are most of what this shuffle moves.
+    texts = _texts(docs, id_col, text_col).mapInArrow(shrink, "doc_id long, check int, body binary")
+    joined = texts.join(cuts, (F.col("doc_id") == F.col("_id")) & (F.col("check") == F.col("_check")), "left").select("doc_id", "body", "lo", "hi")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unzip = zstandard.ZstdDecompressor()
         for batch in batches:
-            for a, b in steps(batch):
+            # A step's worth of texts at a time; sizes are read from the frames.
+            size = np.cumsum([zstandard.frame_content_size(x.as_py()) if x.is_valid else 0 for x in batch.column("body")])
+            edges = np.unique(np.concatenate(([0], np.searchsorted(size, np.arange(STEP_BYTES, size[-1] if len(size) else 0, STEP_BYTES)) + 1, [len(size)])))
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
                 part = batch.slice(a, b - a)
-                buf, offs = canonical(part.column("text"))
+                text = pa.array([unzip.decompress(x.as_py()) if x.is_valid else None for x in part.column("body")], pa.large_binary()).cast(pa.large_string())
+                buf, offs = canonical(text)
                 starts, ends, rows = word_spans(buf, offs)
                 removed, digests, kept = [], [], []
                 los, his = part.column("lo"), part.column("hi")
