@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as _dt
+import sys
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from sacctlens.operators import params as PRM
 from sacctlens.operators import periods as P
 from sacctlens.session import checkpoint_dir
 from sacctlens.sinks import writers as W
+from sacctlens.sources import eventlogs as EL
 from sacctlens.sources import jobs as J
 from sacctlens.sources import summaries as SU
 
@@ -42,6 +44,10 @@ def previous_month(today: _dt.date) -> tuple[int, int]:
     return (today.year - 1, 12) if today.month == 1 else (today.year, today.month - 1)
 
 
+def _warn(text: str) -> None:
+    print(f"warning: {text}", file=sys.stderr)
+
+
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sacctlens")
     sub = p.add_subparsers(dest="command", required=True)
@@ -99,17 +105,31 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
                                    f"{args.out}/{C.MONTH_ABBR[m - 1]}")
     elif args.command == "runs":
         runs = CMP.log_benchmark_runs(spark, args.logs_dir, args.dstat_dir, args.config_name, n=args.runs)
+        picked = runs.select("log_id", "readable").orderBy("run_no").collect()      # at most --runs rows
+        if not picked:
+            raise SystemExit(f"error: no event log in {args.logs_dir}")
+        if len(picked) < args.runs:
+            _warn(f"{len(picked)} of {args.runs} runs found in {args.logs_dir}")
+        broken = [r.log_id for r in picked if not r.readable]
+        for log_id in broken:
+            _warn(f"{log_id} cannot be decoded; its metrics are 0")
+        logs = EL.read_event_logs(spark, args.logs_dir, EL.undecodable_logs(spark, args.logs_dir))
+        for r in EL.malformed_lines(logs).where("bad_lines > 0").orderBy("log_id").collect():
+            _warn(f"{r.log_id}: {r.bad_lines} malformed lines skipped")
         W.write_summary_documents(CMP.summary_document(runs), args.out)
     else:
-        docs = SU.read_summary_documents(spark, args.summaries)
-        summary = SU.summary_table(docs).checkpoint(eager=True)
+        docs = SU.read_summary_documents(spark, args.summaries).cache()
+        for r in SU.unreadable_summaries(docs).orderBy("source_file").collect():
+            _warn(f"{r.source_file} is no summary document; skipped")
+        summary = SU.summary_table(docs)
         display = CMP.config_summary_display(summary, args.order.split(","))
         W.write_summary_csv(display, f"{args.out}/csv")
         W.write_summary_latex(display, f"{args.out}/tex")
         W.write_lines(CMP.speedup_vs_baseline(summary, args.baseline)
-                      .selectExpr("config AS ordinal",
-                                  "concat_ws(',', config, CAST(mean_wall AS STRING), CAST(speedup AS STRING)) AS line"),
-                      f"{args.out}/speedup")
+                      .select(CMP.config_ordinal(args.order.split(",")).alias("ordinal"), F.col("config").alias("name"),
+                              F.concat_ws(",", "config", F.col("mean_wall").cast("string"), F.col("speedup").cast("string")).alias("line")),
+                      f"{args.out}/speedup", order=("ordinal", "name"))
+        docs.unpersist()
 
 
 if __name__ == "__main__":

@@ -54,12 +54,3 @@ WINDOW_END_SQL = f"last_day({_FIRST})"
 WINDOW_DAYS_SQL = f"datediff({_NEXT}, start_date)"
 PERIOD_LABEL_SQL = "concat(date_format(start_date, 'dd/MM/yyyy'), ' - ', date_format(end_date, 'dd/MM/yyyy'))"
 MONTH_NAME_SQL = f"date_format({_FIRST}, 'MMMM')"
-
-
-def window_start(ytd_start: _dt.date | None = None) -> Column:
-    return F.expr(window_start_sql(ytd_start))
-
-
-def month_name() -> Column:
-    """Full English month name (``January`` ..) of columns year, month."""
-    return F.expr(MONTH_NAME_SQL)

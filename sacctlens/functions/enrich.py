@@ -70,14 +70,17 @@ def vnodes(partition="Partition", alloc_tres="AllocTRES", nnodes="NNodes") -> Co
     digits = F.regexp_extract(tres, S.GPU_TRES_PATTERN, 1)
     gpu_units = (F.when(tres.isNull(), n)
                  .when(digits != "", digits.try_cast("bigint"))
-                 .otherwise(n * F.lit(S.GPUS_PER_NODE)))
+                 .otherwise(F.try_multiply(n, F.lit(S.GPUS_PER_NODE).cast("bigint"))))
     return F.when(is_gpu_partition(partition), gpu_units).otherwise(n)
 
 
 def job_seconds(elapsed="ElapsedRaw", units: Column | None = None) -> Column:
-    """Allocated unit-seconds: elapsed seconds x billing units (bigint)."""
+    """Allocated unit-seconds: elapsed seconds x billing units (bigint).
+
+    A product beyond bigint is null, as numbers that do not parse are.
+    """
     u = vnodes() if units is None else units
-    return _c(elapsed).cast("bigint") * u
+    return F.try_multiply(_c(elapsed).cast("bigint"), u)
 
 
 def enrich(raw) -> "DataFrame":  # noqa: F821

@@ -26,10 +26,6 @@ def fixed_text(c: Column, digits: int) -> Column:
     return F.regexp_replace(F.format_number(c.cast("double"), digits), ",", "")
 
 
-def int_text(c: Column) -> Column:
-    return c.cast("bigint").cast("string")
-
-
 def with_float_text(df: DataFrame, source: str, out: str) -> DataFrame:
     """Add ``out`` = ``source`` (double) printed in shortest round-trip form.
 

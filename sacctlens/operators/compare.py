@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sacctlens import schema as S
@@ -27,33 +27,40 @@ def benchmark_runs(events: DataFrame, samples: DataFrame, n: int = 3) -> DataFra
     """(config, run_no, run, metrics..., peak_memory_mb) for the n most recent runs.
 
     One pass: the per-run aggregate feeds the recency pick, whose rows carry
-    everything the metrics need (no join back, so the events are read once);
-    the peak join only sees the picked runs.
+    everything the metrics need (no join back, so the events are read once).
+    Samples are cut to the picked runs (at most ``n`` per configuration) by a
+    semi-join before they are aggregated.
     """
-    picked = R.pick_recent(R.run_aggregates(events), n=n)
-    metrics = R.metrics_from_aggregates(picked, ("config", "run_no", "run"))
-    peaks = R.sample_peaks(samples)
+    metrics = recent_metrics(events, n)
+    peaks = R.sample_peaks(samples.join(metrics.select("run"), "run", "left_semi"))
     return (metrics.join(peaks, "run", "left")
             .select("config", "run_no", "run", *[c for c in S.RUN_METRIC_COLUMNS if c != "peak_memory_mb"],
                     F.coalesce("peak_memory_mb", F.lit(0.0)).alias("peak_memory_mb")))
 
 
+def recent_metrics(events: DataFrame, n: int = 3) -> DataFrame:
+    """(config, run_no, run, metrics without peak memory) of the n most recent runs per configuration."""
+    return R.metrics_from_aggregates(R.pick_recent(R.run_aggregates(events), n=n), ("config", "run_no", "run"))
+
+
 def log_run_aggregates(spark, logs_dir: str, config: str) -> DataFrame:
     """Run aggregates of every log in ``logs_dir``; unreadable logs get all-zero figures.
 
     The log listing (no contents read) is left-joined to the aggregates of the
-    readable events, so a log that cannot be decoded still counts as a run
-    with zero metrics, ordered by its file time.
+    readable events, so a log of which any part cannot be decoded still counts
+    as a run, with zero metrics throughout and ``readable`` false, ordered by
+    its file time.
     """
     from sacctlens.sources import eventlogs as EL
 
     keys = ["config", "log_id"]
-    events = EL.log_run_events(EL.read_event_logs(spark, logs_dir), config)
+    broken = EL.undecodable_logs(spark, logs_dir)
+    events = EL.log_run_events(EL.read_event_logs(spark, logs_dir, broken), config)
     agg = R.run_aggregates(events, keys)
     listed = EL.list_event_logs(spark, logs_dir).select(F.lit(config).alias("config"), "log_id", "file_mtime_ms")
     zero = F.lit(0).cast("bigint")
     return listed.join(agg, keys, "left").select(
-        *keys, "file_mtime_ms",
+        *keys, "file_mtime_ms", (~F.col("log_id").isin(broken)).alias("readable"),
         *[F.coalesce(c, zero).alias(c) for c in ("app_start_ms", "app_end_ms", "stages", "tasks",
                                                  "read_bytes", "write_bytes")],
         "first_launch_ms", "last_finish_ms")
@@ -61,7 +68,7 @@ def log_run_aggregates(spark, logs_dir: str, config: str) -> DataFrame:
 
 def log_run_metrics(spark, logs_dir: str, config: str) -> DataFrame:
     """Metrics of every log of one configuration (zeros for unreadable ones)."""
-    return R.metrics_from_aggregates(log_run_aggregates(spark, logs_dir, config), ("config", "log_id"))
+    return R.metrics_from_aggregates(log_run_aggregates(spark, logs_dir, config), ("config", "log_id", "readable"))
 
 
 def log_benchmark_runs(spark, logs_dir: str, dstat_dir: str | None, config: str, n: int = 3) -> DataFrame:
@@ -75,14 +82,14 @@ def log_benchmark_runs(spark, logs_dir: str, dstat_dir: str | None, config: str,
 
     picked = R.pick_recent(log_run_aggregates(spark, logs_dir, config), n=n, run="log_id",
                            fallback="file_mtime_ms")
-    runs = R.metrics_from_aggregates(picked, ("config", "log_id", "run_no"))
+    runs = R.metrics_from_aggregates(picked, ("config", "log_id", "run_no", "readable"))
     base_cols = [c for c in S.RUN_METRIC_COLUMNS if c != "peak_memory_mb"]
     if dstat_dir is None:
-        return runs.select("config", "run_no", F.col("run_no").cast("bigint").alias("run"), "log_id",
+        return runs.select("config", "run_no", F.col("run_no").cast("bigint").alias("run"), "log_id", "readable",
                            *base_cols, F.lit(0.0).alias("peak_memory_mb"))
     peaks = R.sample_peaks(SM.read_resource_samples(spark, dstat_dir), key="run_no")
     return (runs.join(peaks, "run_no", "left")
-            .select("config", "run_no", F.col("run_no").cast("bigint").alias("run"), "log_id", *base_cols,
+            .select("config", "run_no", F.col("run_no").cast("bigint").alias("run"), "log_id", "readable", *base_cols,
                     F.coalesce("peak_memory_mb", F.lit(0.0)).alias("peak_memory_mb")))
 
 
@@ -121,12 +128,10 @@ def speedup_vs_baseline(summary: DataFrame, baseline: str = "baseline",
                         digits: int = ROUND_DIGITS) -> DataFrame:
     """config, mean wall time and speedup relative to the baseline configuration.
 
-    The baseline mean enters as a scalar subquery (Spark checks it is one row),
-    so no join or global window is needed.  ``summary`` is read twice: pass a
-    materialised one (``checkpoint()`` or a table; it has one row per
-    configuration) so the runs are not aggregated twice.
+    The baseline mean comes from a window over ``summary``, which has one row
+    per configuration, so ``summary`` is computed once.
     """
-    base = summary.where(F.col("config") == baseline).select("mean_wall_time_s").scalar()
+    base = F.max(F.when(F.col("config") == baseline, F.col("mean_wall_time_s"))).over(Window.partitionBy())
     return summary.select(
         "config",
         F.col("mean_wall_time_s").alias("mean_wall"),
@@ -140,24 +145,22 @@ def config_ordinal(order: Sequence[str] = tuple(S.CONFIG_ORDER)):
     return F.when(pos > 0, (pos - 1).cast("int")).otherwise(F.lit(len(order)))
 
 
+def _shown(column: str):
+    """A figure for display: absent and NaN (a deviation of one run) show as 0."""
+    return F.coalesce(F.nanvl(F.col(column).cast("double"), F.lit(0.0)), F.lit(0.0))
+
+
 def _pm(mean: str, std: str):
-    return F.concat(fixed_text(F.coalesce(F.col(mean), F.lit(0.0)), 2), F.lit(" ± "),
-                    fixed_text(F.coalesce(F.col(std), F.lit(0.0)), 2))
+    return F.concat(fixed_text(_shown(mean), 2), F.lit(" ± "), fixed_text(_shown(std), 2))
 
 
 def config_summary_display(summary: DataFrame, order: Sequence[str] = tuple(S.CONFIG_ORDER)) -> DataFrame:
     """The comparison table: formatted mean ± std per metric, in display order."""
-    return summary.select(
-        config_ordinal(order).alias("ordinal"),
-        F.col("config").alias("Configuration"),
-        _pm("mean_wall_time_s", "std_wall_time_s").alias("Runtime (s)"),
-        fixed_text(F.coalesce("mean_stages", F.lit(0.0)), 1).alias("# Stages"),
-        fixed_text(F.coalesce("mean_tasks", F.lit(0.0)), 1).alias("# Tasks"),
-        _pm("mean_shuffle_read_mb", "std_shuffle_read_mb").alias("Shuffle Read (MB)"),
-        _pm("mean_shuffle_write_mb", "std_shuffle_write_mb").alias("Shuffle Write (MB)"),
-        _pm("mean_peak_memory_mb", "std_peak_memory_mb").alias("Peak Memory (MB)"),
-        _pm("mean_driver_time_s", "std_driver_time_s").alias("Driver Time (s)"),
-    )
+    cells = [F.col("config"), _pm("mean_wall_time_s", "std_wall_time_s"),
+             fixed_text(_shown("mean_stages"), 1), fixed_text(_shown("mean_tasks"), 1),
+             *[_pm(f"mean_{m}", f"std_{m}") for m in ("shuffle_read_mb", "shuffle_write_mb", "peak_memory_mb", "driver_time_s")]]
+    return summary.select(config_ordinal(order).alias("ordinal"),
+                          *[c.alias(name) for c, name in zip(cells, S.DISPLAY_COLUMNS, strict=True)])
 
 
 def multiset_diff(left: DataFrame, right: DataFrame, drop_zero: str | None = None) -> DataFrame:

@@ -1,8 +1,9 @@
 """Per-run metrics from normalised run events and resource samples.
 
-Input of ``run_aggregates`` is the run-event model (see ``schema.RUN_EVENT_SCHEMA``):
-one row per event with a ``kind`` among app_start, app_end, stage_submitted,
-task_start, task_end.  Both the event-log reader and the test adapter emit it.
+Input of ``run_aggregates`` is the run-event model: one row per event with a run
+key, ``config``, ``kind`` (app_start, app_end, stage_submitted, task_start,
+task_end), ``ts_ms``, ``n_tasks``, ``read_bytes`` and ``write_bytes``.  Both the
+event-log reader and the test adapter emit it.
 
 All per-run figures are min / max / sum / count, so a run holding a third of
 all events is reduced map-side before the shuffle on the run key.

@@ -9,7 +9,7 @@ shuffles move kilobytes whatever the input size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SECONDS_PER_HOUR = 3600
@@ -65,11 +65,12 @@ def single_pass_metrics(jobs: DataFrame) -> DataFrame:
 def state_histogram(jobs: DataFrame) -> DataFrame:
     """Jobs per normalised state, with the overall total on every row.
 
-    The total is a window over the already aggregated histogram (one row per
-    distinct state), not over the jobs.
+    The total is a scalar subquery over the histogram, so however many raw
+    states a site has, they never meet in one task.
     """
     hist = jobs.groupBy("estate").agg(F.count(F.lit(1)).alias("n_jobs"))
-    return hist.withColumn("total_jobs", F.sum("n_jobs").over(Window.partitionBy()).cast("bigint"))
+    total = hist.agg(F.sum("n_jobs").cast("bigint").alias("total")).scalar()
+    return hist.withColumn("total_jobs", total)
 
 
 def outcome_by_cluster(jobs: DataFrame) -> DataFrame:
@@ -112,52 +113,26 @@ def gpu_allocation_rules(jobs: DataFrame) -> DataFrame:
                  F.sum("vnodes").cast("bigint").alias("sum_vnodes")))
 
 
-def usage_base(jobs: DataFrame) -> DataFrame:
-    """(cluster, outcome, agency) -> jobs, seconds: at most 3 x 2 x 3 rows.
+def separate_aggregates_long(jobs: DataFrame) -> DataFrame:
+    """The six metrics the multi-pass way, as (cluster, metric, value) rows.
 
-    Every report metric is a sum over these cells, so both ways of computing
-    the metrics below can start from it instead of re-reading the jobs.
+    The library's separate aggregates over the jobs, reshaped: outcome counts,
+    non-local count and sum, EHPC count and sum.  A group absent from an
+    aggregate has no row (it is zero).
     """
-    return jobs.groupBy("cluster", "outcome", "agency").agg(
-        F.count(F.lit(1)).alias("n_jobs"),
-        F.coalesce(F.sum("job_seconds"), F.lit(0).cast("bigint")).alias("seconds"))
-
-
-def separate_aggregates_long(base: DataFrame) -> DataFrame:
-    """The six metrics computed the multi-pass way, as (cluster, metric, value) rows.
-
-    Three independent filter-then-aggregate steps over ``usage_base``:
-    outcome counts per cluster, non-local count + sum, EHPC count + sum.
-    Groups absent from an aggregate produce no row (they are zero).
-    """
-    outcomes = (base.groupBy("cluster", "outcome").agg(F.sum("n_jobs").cast("bigint").alias("value"))
-                .select("cluster",
-                        F.when(F.col("outcome") == "COMPLETED", F.lit("completed_jobs"))
-                         .otherwise(F.lit("failed_jobs")).alias("metric"), "value"))
-
-    def count_and_sum(pred, jobs_name, seconds_name):
-        agg = base.where(pred).groupBy("cluster").agg(F.sum("n_jobs").cast("bigint").alias("j"),
-                                                       F.sum("seconds").cast("bigint").alias("s"))
-        return agg.select("cluster", F.explode(F.array(
-            F.struct(F.lit(jobs_name).alias("metric"), F.col("j").alias("value")),
-            F.struct(F.lit(seconds_name).alias("metric"), F.col("s").alias("value")))).alias("r")) \
-            .select("cluster", "r.metric", "r.value")
-
-    nonlocal_ = count_and_sum(_nonlocal(), "jobs_nonlocal", "seconds_nonlocal")
-    ehpc = count_and_sum(_ehpc(), "jobs_ehpc", "seconds_ehpc")
-    return outcomes.unionByName(nonlocal_).unionByName(ehpc)
-
-
-def single_pass_long(base: DataFrame) -> DataFrame:
-    """The six metrics from one conditional aggregate, as (cluster, metric, value) rows."""
-    n, sec = F.col("n_jobs"), F.col("seconds")
-    zero = F.lit(0).cast("bigint")
-    wide = base.groupBy("cluster").agg(
-        F.sum(F.when(F.col("outcome") == "COMPLETED", n).otherwise(zero)).cast("bigint").alias("completed_jobs"),
-        F.sum(F.when(F.col("outcome") == "FAILED", n).otherwise(zero)).cast("bigint").alias("failed_jobs"),
-        F.sum(F.when(_nonlocal(), n).otherwise(zero)).cast("bigint").alias("jobs_nonlocal"),
-        F.sum(F.when(_nonlocal(), sec).otherwise(zero)).cast("bigint").alias("seconds_nonlocal"),
-        F.sum(F.when(_ehpc(), n).otherwise(zero)).cast("bigint").alias("jobs_ehpc"),
-        F.sum(F.when(_ehpc(), sec).otherwise(zero)).cast("bigint").alias("seconds_ehpc"),
-    )
-    return wide.unpivot("cluster", SIX_METRICS, "metric", "value")
+    def long(agg: DataFrame, columns: dict[str, str]) -> DataFrame:
+        return (agg.select("cluster", *[F.col(c).cast("bigint").alias(m) for c, m in columns.items()])
+                .unpivot("cluster", list(columns.values()), "metric", "value"))
+
+    outcomes = outcome_by_cluster(jobs).select(
+        "cluster",
+        F.when(F.col("outcome") == "COMPLETED", F.lit("completed_jobs")).otherwise(F.lit("failed_jobs")).alias("metric"),
+        F.col("n_jobs").alias("value"))
+    return (outcomes
+            .unionByName(long(usage_nonlocal(jobs), {"jobs": "jobs_nonlocal", "seconds": "seconds_nonlocal"}))
+            .unionByName(long(usage_ehpc(jobs), {"jobs": "jobs_ehpc", "seconds": "seconds_ehpc"})))
+
+
+def single_pass_long(jobs: DataFrame) -> DataFrame:
+    """The six metrics from one conditional aggregate over the jobs, as (cluster, metric, value) rows."""
+    return jobs.groupBy("cluster").agg(*six_metric_aggs()).unpivot("cluster", SIX_METRICS, "metric", "value")

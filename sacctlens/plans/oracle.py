@@ -141,9 +141,8 @@ metrics AS (
 ),
 samples AS (
   SELECT user_id AS run,
-    CASE WHEN event_id % 10 = 0 THEN 'used'
-         ELSE CAST(CAST(floor(value * 1048576) AS BIGINT) AS VARCHAR) END AS used_raw
-  FROM events WHERE event_type = 'click' AND user_id % 7 <> 0
+    CAST(CAST(floor(value * 1048576) AS BIGINT) AS VARCHAR) AS used_raw
+  FROM events WHERE event_type = 'click'
 ),
 peaks AS (
   SELECT run, greatest(CAST(0 AS DOUBLE), COALESCE(MAX(TRY_CAST(used_raw AS DOUBLE)), CAST(0 AS DOUBLE)))
@@ -320,7 +319,6 @@ def oracle_sql() -> dict[str, str]:
     J = _jobs_cte()
     y, m = REPORT_YEAR, REPORT_MONTH
     needed = sorted({x for ms in C.window_months(m).values() for x in ms})
-    quarter = C.window_months(m)["quarter"]
     job_cols = ("job_id, line_no, year, month, estate, outcome, cluster, agency, "
                 "old_vnodes, vnodes, job_seconds")
     out = {
@@ -328,10 +326,9 @@ def oracle_sql() -> dict[str, str]:
         "month_pruned_scan": f"""WITH {_jobs_cte(_report_where(min(needed), max(needed)))}
             SELECT year, month, COUNT(*) AS n_jobs FROM jobs
             WHERE year = {y} AND month IN ({", ".join(map(str, needed))}) GROUP BY year, month""",
-        "union_months": f"""WITH {_jobs_cte(_report_where(min(quarter), max(quarter)))}
+        "union_months": f"""WITH {J}
             SELECT year, strftime(make_date(year, month, 1), '%b') AS period, COUNT(*) AS n_jobs
-            FROM jobs WHERE year = {y} AND month IN ({", ".join(map(str, quarter))})
-            GROUP BY year, period""",
+            FROM jobs GROUP BY year, period""",
         "state_histogram": f"""WITH {J}, h AS (SELECT estate, COUNT(*) AS n_jobs FROM jobs GROUP BY estate)
             SELECT estate, n_jobs, CAST(SUM(n_jobs) OVER () AS BIGINT) AS total_jobs FROM h""",
         "outcome_by_cluster": f"""WITH {J}

@@ -10,18 +10,17 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sacctlens.functions import calendar as C
+from sacctlens.functions import enrich as E
 from sacctlens.operators import compare as CMP
 from sacctlens.operators import params as PRM
 from sacctlens.operators import periods as P
 from sacctlens.operators import runs as R
 from sacctlens.operators import usage as U
-from sacctlens.session import checkpoint_dir
 from sacctlens.sources import testtables as TT
 
 # Report month used by the report queries (the data spans 1995-01 .. 2001-11).
@@ -54,23 +53,18 @@ def q_jobs_enriched(spark, sf_dir):
 
 
 def q_month_pruned_scan(spark, sf_dir):
-    """Rows per month for exactly the months the report's windows need."""
+    """Rows per month for exactly the months the report's windows need; lineitem alone decides them."""
     needed = sorted({m for ms in C.window_months(REPORT_MONTH).values() for m in ms})
-    jobs = TT.jobs(spark, sf_dir, ship_range=_month_range(REPORT_YEAR, min(needed), max(needed)))
+    jobs = TT.line_jobs(spark, sf_dir, ship_range=_month_range(REPORT_YEAR, min(needed), max(needed)))
     return (jobs.where((F.col("year") == REPORT_YEAR) & F.col("month").isin(needed))
             .groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_jobs")))
 
 
 def q_union_months(spark, sf_dir):
-    """Per-month source frames of the report quarter, unioned by name, counted per period.
-
-    The month slices (each a pushed date range) are unioned before the join,
-    so the orders side is joined once for all months.
-    """
-    months = C.window_months(REPORT_MONTH)["quarter"]
-    slices = TT.month_slices(spark, sf_dir, REPORT_YEAR, months, lambda m: C.MONTH_ABBR[m - 1])
-    rows = TT.accounting_rows(spark, sf_dir, reduce(DataFrame.unionByName, slices), keep=("period",))
-    return rows.groupBy("year", "period").agg(F.count(F.lit(1)).alias("n_jobs"))
+    """The union of all monthly frames, counted per period: one scan with the period as a column."""
+    period = F.element_at(F.array(*map(F.lit, C.MONTH_ABBR)), F.col("month"))
+    return (TT.line_jobs(spark, sf_dir).withColumn("period", period)
+            .groupBy("year", "period").agg(F.count(F.lit(1)).alias("n_jobs")))
 
 
 # ---------------------------------------------------------------- aggregates
@@ -95,7 +89,8 @@ def q_usage_by_agency_cluster(spark, sf_dir):
 
 
 def q_gpu_allocation_rules(spark, sf_dir):
-    return U.gpu_allocation_rules(TT.jobs(spark, sf_dir))
+    jobs = TT.line_jobs(spark, sf_dir).select("*", E.cluster().alias("cluster"), E.old_vnodes().alias("old_vnodes"), E.vnodes().alias("vnodes"))
+    return U.gpu_allocation_rules(jobs)
 
 
 def q_single_pass_metrics(spark, sf_dir):
@@ -112,7 +107,7 @@ def q_report_all_months(spark, sf_dir):
 
 
 def q_period_calendar(spark, sf_dir):
-    return P.period_calendar(TT.raw_jobs(spark, sf_dir))
+    return P.period_calendar(TT.line_jobs(spark, sf_dir))
 
 
 def q_report_params_long(spark, sf_dir):
@@ -151,23 +146,16 @@ def q_config_summary_display(spark, sf_dir):
 
 
 def q_speedup_vs_baseline(spark, sf_dir):
-    """The summary (one row per configuration) is checkpointed to the shared
-    folder, so the speedup's two reads of it do not aggregate the events twice."""
-    checkpoint_dir(spark)
-    summary = _summary(spark, sf_dir).checkpoint(eager=True)
-    return CMP.speedup_vs_baseline(summary, baseline=ADAPTER_BASELINE)
+    """Wall times of the recent runs only: no samples, one scan of the events."""
+    runs = CMP.recent_metrics(TT.run_events(spark, sf_dir), n=RECENT_RUNS)
+    return CMP.speedup_vs_baseline(CMP.config_summary(runs, metrics=("wall_time_s",)), baseline=ADAPTER_BASELINE)
 
 
 # ---------------------------------------------------------------- equality
 def q_output_diff(spark, sf_dir):
-    """Multi-pass aggregates vs the single conditional pass, from one scan of the jobs.
-
-    The (cluster, outcome, agency) base has at most 18 rows; it is checkpointed
-    to the shared checkpoint folder so both paths read it instead of the jobs.
-    """
-    checkpoint_dir(spark)
-    base = U.usage_base(TT.jobs(spark, sf_dir)).checkpoint(eager=True)
-    return CMP.multiset_diff(U.separate_aggregates_long(base), U.single_pass_long(base), drop_zero="value")
+    """The separate aggregates against the single conditional pass, each from the job rows."""
+    jobs = TT.jobs(spark, sf_dir)
+    return CMP.multiset_diff(U.separate_aggregates_long(jobs), U.single_pass_long(jobs), drop_zero="value")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

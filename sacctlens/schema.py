@@ -26,8 +26,6 @@ JOB_SCHEMA = T.StructType([
 # ---------------------------------------------------------------------------
 # Cluster labels, in report order, and their lower-case key prefixes.
 CLUSTERS = ["ARM", "AMD", "GPU"]
-# Agency labels.
-AGENCIES = ["FCT", "EHPC", "LOCAL"]
 # Classification substrings / prefixes (case sensitive, first rule wins).
 ARM_MARK = "arm"
 GPU_MARK = "a100"
@@ -90,6 +88,11 @@ PARAM_TEX_EXPRESSIONS = {
 }
 # Configuration display order of the comparison table; unknown names go last.
 CONFIG_ORDER = ["baseline", "v2", "v3", "v4", "v5", "v6", "v7", "final"]
+# Column headings of the comparison table, its caption and label.
+DISPLAY_COLUMNS = ["Configuration", "Runtime (s)", "# Stages", "# Tasks", "Shuffle Read (MB)", "Shuffle Write (MB)",
+                   "Peak Memory (MB)", "Driver Time (s)"]
+TABLE_CAPTION = "Benchmark results across configurations."
+TABLE_LABEL = "tab:benchmark"
 
 # ---------------------------------------------------------------------------
 # Spark event log: the subset of fields the run metrics need.
@@ -123,20 +126,6 @@ EVENT_LOG_SCHEMA = T.StructType([
     T.StructField("_bad", T.StringType()),
 ])
 
-# Normalised run-event rows: what both the log reader and the test adapter emit.
-#   kind in {app_start, app_end, stage_submitted, task_start, task_end}
-#   The run key is ``run`` (bigint) from the test adapter and ``log_id``
-#   (string: log file or rolling-log folder) from the event-log reader.
-RUN_EVENT_SCHEMA = T.StructType([
-    T.StructField("run", T.LongType()),
-    T.StructField("config", T.StringType()),
-    T.StructField("kind", T.StringType()),
-    T.StructField("ts_ms", T.LongType()),
-    T.StructField("n_tasks", T.LongType()),
-    T.StructField("read_bytes", T.LongType()),
-    T.StructField("write_bytes", T.LongType()),
-])
-
 RUN_METRIC_COLUMNS = ["wall_time_s", "stages", "tasks", "shuffle_read_mb",
                       "shuffle_write_mb", "driver_time_s", "peak_memory_mb"]
 

@@ -22,22 +22,24 @@ _DEFAULTS = {
 }
 
 
+def _is_local(master: str) -> bool:
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
+def settings(master: str, shuffle_partitions: int, extra: dict) -> dict:
+    """Configuration of a session; scratch folders only where the master is local."""
+    conf = {**_DEFAULTS, "spark.sql.shuffle.partitions": str(shuffle_partitions), "spark.driver.memory": "8g", **extra}
+    if _is_local(master):
+        for key, name in (("spark.sql.warehouse.dir", "warehouse"), ("spark.checkpoint.dir", "ckpt")):
+            if key not in conf:
+                conf[key] = tempfile.mkdtemp(prefix=f"sacctlens-{name}-", dir=os.environ.get("TMPDIR", "/tmp"))
+    return conf
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "sacctlens", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
-    conf = dict(_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = "8g"
-    conf.update(extra or {})
-    if "spark.sql.warehouse.dir" not in conf:
-        # Local runs only: tables written by tests go to a scratch folder.
-        conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(
-            prefix="sacctlens-warehouse-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if "spark.checkpoint.dir" not in conf:
-        # Local runs only: a cluster session names its shared folder itself.
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(
-            prefix="sacctlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    for k, v in conf.items():
+    for k, v in settings(master, shuffle_partitions, extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -60,7 +62,7 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
+    if not _is_local(sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system); "
                            "a machine-local folder does not survive executor loss")
     local = tempfile.mkdtemp(prefix="sacctlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sacctlens import schema as S
 from sacctlens.sources.local import local_rows
 
 
-def write_lines(lines: DataFrame, path: str, order: str = "ordinal", column: str = "line",
+def write_lines(lines: DataFrame, path: str, order: str | tuple[str, ...] = "ordinal", column: str = "line",
                 mode: str = "overwrite") -> None:
     """Write one text line per row in ``order`` as a single part file."""
-    (lines.repartition(1).sortWithinPartitions(order).select(column)
+    order = (order,) if isinstance(order, str) else order
+    (lines.repartition(1).sortWithinPartitions(*order).select(column)
           .write.mode(mode).text(path))
 
 
@@ -36,25 +38,28 @@ def _tex_escape(c):
     return F.regexp_replace(c, r"([&%$#_{}])", "\\\\$1")
 
 
-def latex_table_lines(display: DataFrame, caption: str = "Benchmark results across configurations.",
-                      label: str = "tab:benchmark") -> DataFrame:
-    """(ordinal, line) rows of a booktabs table for the comparison table."""
+def latex_table_lines(display: DataFrame, caption: str = S.TABLE_CAPTION, label: str = S.TABLE_LABEL) -> DataFrame:
+    """(section, ordinal, name, line) rows of a booktabs table; head 0, body 1, foot 2.
+
+    The body follows the display order; unknown configurations, which share
+    the last ordinal, follow their name.
+    """
     spark = display.sparkSession
     cols = [c for c in display.columns if c != "ordinal"]
     header = " & ".join(c.replace("#", "\\#").replace("%", "\\%") for c in cols) + " \\\\"
-    head = [(-6, "\\begin{table}"), (-5, f"\\caption{{{caption}}}"), (-4, f"\\label{{{label}}}"),
-            (-3, "\\begin{tabular}{" + "l" * len(cols) + "}"), (-2, "\\toprule"), (-1, header),
-            (0, "\\midrule")]
-    tail = [(1_000_001, "\\bottomrule"), (1_000_002, "\\end{tabular}"), (1_000_003, "\\end{table}")]
-    body = display.select((F.col("ordinal") + 1).cast("int").alias("ordinal"),
+    head = ["\\begin{table}", f"\\caption{{{caption}}}", f"\\label{{{label}}}",
+            "\\begin{tabular}{" + "l" * len(cols) + "}", "\\toprule", header, "\\midrule"]
+    foot = ["\\bottomrule", "\\end{tabular}", "\\end{table}"]
+    body = display.select(F.lit(1).alias("section"), F.col("ordinal").cast("int").alias("ordinal"), F.col("Configuration").alias("name"),
                           F.concat(F.concat_ws(" & ", *[_tex_escape(F.col(f"`{c}`")) for c in cols]),
                                    F.lit(" \\\\")).alias("line"))
-    fixed = local_rows(spark, head + tail, "ordinal int, line string")
+    rows = [(section, i, "", line) for section, lines in ((0, head), (2, foot)) for i, line in enumerate(lines)]
+    fixed = local_rows(spark, rows, "section int, ordinal int, name string, line string")
     return fixed.unionByName(body)
 
 
 def write_summary_latex(display: DataFrame, path: str, **kw) -> None:
-    write_lines(latex_table_lines(display, **kw), path)
+    write_lines(latex_table_lines(display, **kw), path, order=("section", "ordinal", "name"))
 
 
 def write_summary_documents(docs: DataFrame, path: str) -> None:

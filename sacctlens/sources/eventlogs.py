@@ -3,24 +3,35 @@
 Layouts accepted under one directory:
 
 * flat log files (``app-20250101…``, ``…​.gz``, ``…​.zst`` / ``…​.zstd``, plain);
-* rolling v2 directories ``eventlog_v2_<app>/events_<n>_<app>[.zstd]`` — all
-  parts of a directory belong to one run (the directory is the run id).
+* rolling logs ``<folder>/events_<n>_<app>[.zstd]`` in a folder of any name — all
+  parts of a folder belong to one run (the folder is the run id); parts directly
+  in the log directory belong to the application in their name.
 
 Compression is chosen by Spark from the file extension.  Lines are parsed
 with an explicit schema; malformed lines land in ``_bad`` and are counted and
 dropped, blank lines are skipped by the reader, ``.crc`` and ``appstatus_``
 files are ignored.  Everything is distributed: files are split across tasks
 and the per-run figures are algebraic aggregates (see ``operators.runs``).
+
+A read error is never ignored.  Logs whose compressed stream is cut off or
+damaged are found beforehand by ``undecodable_logs`` and left out as a whole, so
+a log gives either all of its figures or none.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sacctlens import schema as S
 
-V2_DIR_PREFIX = "eventlog_v2_"
+ROLLED_PART = r"^events_\d+_"
+#: Suffixes of the streams that can be checked before reading.
+CHECKED_SUFFIXES = ("gz", "zst", "zstd")
 _COMPRESSION_SUFFIX = r"\.(gz|zst|zstd|lz4|snappy|lzf|inprogress)$"
 
 EVENT_KINDS = {
@@ -32,29 +43,33 @@ EVENT_KINDS = {
 }
 
 
-def _log_file_filter_and_id(path, name):
+def _log_file_filter_and_id(path, name, logs_dir: str):
+    top = logs_dir.rstrip("/").rsplit("/", 1)[-1]
     parent = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
-    in_v2 = parent.startswith(V2_DIR_PREFIX)
-    keep = (~name.endswith(".crc")) & (~name.startswith(".")) & \
-        F.when(in_v2, name.startswith("events_")).otherwise(~name.startswith("appstatus_"))
-    log_id = F.when(in_v2, parent).otherwise(F.regexp_replace(name, _COMPRESSION_SUFFIX, ""))
+    rolled = name.rlike(ROLLED_PART)
+    keep = ~name.endswith(".crc") & ~name.startswith(".") & ~name.startswith("appstatus_")
+    plain = F.regexp_replace(name, _COMPRESSION_SUFFIX, "")
+    log_id = F.when(rolled & (parent != top), parent).otherwise(F.regexp_replace(plain, ROLLED_PART, ""))
     return keep, log_id
 
 
-def read_event_logs(spark: SparkSession, logs_dir: str) -> DataFrame:
+def read_event_logs(spark: SparkSession, logs_dir: str, leave_out: Sequence[str] = ()) -> DataFrame:
     """Raw event rows with ``log_id``, ``file_name`` and ``file_mtime_ms`` attached.
 
-    Files that cannot be decoded (e.g. a truncated ``.gz``) are skipped by the
-    reader instead of failing the job; ``list_event_logs`` still lists them.
+    The files of the logs in ``leave_out`` are not opened (a filter on file
+    metadata).  A file that cannot be read to its end fails the job.
     """
     df = (spark.read.schema(S.EVENT_LOG_SCHEMA)
           .option("recursiveFileLookup", True)
-          .option("ignoreCorruptFiles", True)
+          .option("ignoreCorruptFiles", False)
+          .option("ignoreMissingFiles", False)
           .option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_bad")
           .json(logs_dir.rstrip("/")))
     name = F.col("_metadata.file_name")
-    keep, log_id = _log_file_filter_and_id(F.col("_metadata.file_path"), name)
+    keep, log_id = _log_file_filter_and_id(F.col("_metadata.file_path"), name, logs_dir)
+    if leave_out:
+        keep = keep & ~log_id.isin(list(leave_out))
     return df.where(keep).select(
         "*",
         log_id.alias("log_id"),
@@ -63,6 +78,54 @@ def read_event_logs(spark: SparkSession, logs_dir: str) -> DataFrame:
     )
 
 
+def stream_is_whole(suffix: str, pieces: Iterator[bytes]) -> bool:
+    """Whether a compressed stream (one or more members) decodes to its end."""
+    if suffix == "gz":
+        new, errors = (lambda: zlib.decompressobj(wbits=31)), (zlib.error,)
+    else:
+        import zstandard
+        new, errors = (lambda: zstandard.ZstdDecompressor().decompressobj()), (zstandard.ZstdError,)
+    member, open_ = None, False
+    try:
+        for piece in pieces:
+            while piece:
+                if member is None:
+                    member = new()
+                member.decompress(piece)
+                open_, piece = not member.eof, member.unused_data if member.eof else b""
+                if member.eof:
+                    member = None
+    except errors:
+        return False
+    return not open_
+
+
+def undecodable_logs(spark: SparkSession, logs_dir: str) -> list[str]:
+    """Ids of the logs with a compressed file that is cut off or damaged, in order.
+
+    Each compressed file is decoded once by a task (a codec stream is one task
+    anyway); only the names of the broken logs reach the driver.  Spark hands a
+    file over whole, so a compressed file above its binary-file limit (2 GiB)
+    fails the job rather than pass unchecked.  Plain files cannot be undecodable.
+    """
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", f"*.{{{','.join(CHECKED_SUFFIXES)}}}").load(logs_dir.rstrip("/")))
+    keep, log_id = _log_file_filter_and_id(F.col("path"), F.regexp_extract("path", r"([^/]+)$", 1), logs_dir)
+    rows = files.where(keep).select(log_id.alias("log_id"), F.regexp_extract("path", r"\.(\w+)$", 1).alias("suffix"), "content")
+
+    def broken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = 1 << 20
+        for batch in batches:
+            bad = []
+            for i, (name, suffix) in enumerate(zip(batch.column("log_id").to_pylist(), batch.column("suffix").to_pylist())):
+                body = memoryview(batch.column("content")[i].as_buffer())
+                if not stream_is_whole(suffix, (bytes(body[at:at + step]) for at in range(0, len(body), step))):
+                    bad.append(name)
+            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], names=["log_id"])
+
+    return [r.log_id for r in rows.mapInArrow(broken, "log_id string").distinct().orderBy("log_id").collect()]
+
+
 def list_event_logs(spark: SparkSession, logs_dir: str) -> DataFrame:
     """Every log (readable or not): ``log_id``, ``file_mtime_ms`` (latest part).
 
@@ -72,7 +135,7 @@ def list_event_logs(spark: SparkSession, logs_dir: str) -> DataFrame:
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .load(logs_dir.rstrip("/")).select("path", "modificationTime"))
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    keep, log_id = _log_file_filter_and_id(F.col("path"), name)
+    keep, log_id = _log_file_filter_and_id(F.col("path"), name, logs_dir)
     return (files.where(keep)
             .groupBy(log_id.alias("log_id"))
             .agg(F.max(F.unix_millis("modificationTime")).alias("file_mtime_ms")))

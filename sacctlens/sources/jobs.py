@@ -4,9 +4,9 @@ Two layouts:
 
 * ``read_jobs`` — the raw monthly files ``jobs_<Mon>.txt`` (pipe separated,
   header row).  The month comes from the file name, the year is a parameter
-  (the files do not carry one).  Only the files of the requested months are
-  listed (a Hadoop brace glob), so a report for one month never opens the
-  others; an empty selection fails like a missing path.
+  (the files do not carry one).  One listing (names only) decides what is read,
+  with and without a choice of months: nested folders included, exact names
+  only, one file per month, each file by its own header.
 * ``write_jobs_parquet`` / ``read_jobs_parquet`` — the scalable layout: the
   same rows as Parquet partitioned by (year, month).  Reports then prune
   partitions from their (year, month) filters and read only the seven
@@ -15,59 +15,83 @@ Two layouts:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sacctlens import schema as S
 from sacctlens.functions import calendar as C
 from sacctlens.functions import enrich as E
 
-# jobs_<Mon>.txt, optionally compressed (jobs_<Mon>.txt.gz, .bz2, .zst ...):
-# Spark picks the codec from the extension.
-FILE_PATTERN = r"^jobs_([A-Za-z]+)\.txt(\.\w+)?$"
+# jobs_<Mon>.txt, plain or with the suffix of a codec that Spark reads.
+CODECS = ("gz", "bz2", "zst", "zstd", "lz4", "snappy", "deflate")
+FILE_PATTERN = rf"^jobs_([^.]*)\.txt(?:\.(?:{'|'.join(CODECS)}))?$"
+FILE_GLOB = f"jobs_*.txt{{,{','.join('.' + c for c in CODECS)}}}"
 
 
-def _reader(spark: SparkSession):
-    # Header names, all columns as strings: no inference pass over the data;
-    # only the header line of one file is read to learn the column names.
-    return (spark.read.option("sep", "|")
-            .option("header", True)
-            .option("inferSchema", False)
-            .option("mode", "PERMISSIVE"))
+def list_job_files(spark: SparkSession, datadir: str, months: Sequence[str] | None = None) -> dict[str, str]:
+    """Month abbreviation -> path of its file, for all files below ``datadir``.
 
-
-def _typed(df: DataFrame) -> list:
-    return [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in S.JOB_SCHEMA.fields]
+    Monthly files are few, so their names are gathered on the driver; contents
+    are not read.  A file whose month is not ``Jan`` .. ``Dec``, and a month with
+    two files (a copy, a second folder, a compressed twin), raise ``ValueError``,
+    as either would give a wrong report; so does a selection without any file.
+    Other names (``.bak``, notes) are not accounting files.
+    """
+    unknown = [m for m in months or () if m not in C.MONTH_ABBR]
+    if unknown:
+        raise ValueError(f"unknown month abbreviations: {unknown}")
+    paths = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", FILE_GLOB).load(datadir.rstrip("/")).select("path").collect()]
+    found: dict[str, str] = {}
+    for path in sorted(paths):
+        month = re.match(FILE_PATTERN, path.rsplit("/", 1)[-1])[1]
+        if month not in C.MONTH_ABBR:
+            raise ValueError(f"{path}: {month!r} is no month (Jan .. Dec)")
+        if month in found:
+            raise ValueError(f"two files for {month}: {found[month]} and {path}")
+        found[month] = path
+    chosen = {m: p for m, p in found.items() if not months or m in months}
+    if not chosen:
+        raise ValueError(f"no accounting file in {datadir} for {list(months) if months else 'any month'}")
+    return chosen
+
+
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names of one file: its first line."""
+    line = spark.read.text(path).first()
+    names = tuple(n.strip().strip('"') for n in line.value.split("|")) if line else ()
+    missing = [c for c in S.JOB_COLUMNS if c not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    return names
 
 
 def read_jobs(spark: SparkSession, datadir: str, year: int,
               months: Sequence[str] | None = None) -> DataFrame:
     """Raw accounting rows of ``datadir`` with ``year``, ``month``, ``period``, ``source_file``.
 
-    ``months`` are abbreviations (``Jan`` .. ``Dec``).  Without it every
-    ``jobs_*.txt`` below ``datadir`` is read (sub-directories included).
-    Compressed exports (``jobs_Jan.txt.gz``) are read the same way; note that
-    a compressed file is one task (codecs are not splittable).
-    Columns are picked by header name (extra columns are ignored and never
-    parsed); all files of one read must share the header of the first file,
-    as monthly exports of one system do.  Numbers that do not parse become null.
+    ``months`` are abbreviations (``Jan`` .. ``Dec``); only their files are
+    opened.  Columns are picked by each file's own header, in any order (extra
+    columns are ignored and never parsed): files with equal headers are one scan,
+    and the scans are unioned by name.  Numbers that do not parse become null.
+    A compressed file is one task (codecs are not splittable).
     """
-    base = datadir.rstrip("/")
-    if months:
-        bad = [m for m in months if m not in C.MONTH_ABBR]
-        if bad:
-            raise ValueError(f"unknown month abbreviations: {bad}")
-        df = _reader(spark).csv(f"{base}/jobs_{{{','.join(sorted(set(months)))}}}.txt*")
-    else:
-        df = (_reader(spark).option("pathGlobFilter", "jobs_*.txt*")
-              .option("recursiveFileLookup", True).csv(base))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in list_job_files(spark, datadir, months).values():
+        by_header.setdefault(_header(spark, path), []).append(path)
     name = F.col("_metadata.file_name")
-    period = F.regexp_extract(name, FILE_PATTERN, 1)
-    out = df.select(*_typed(df), period.alias("period"), name.alias("source_file"))
-    if months:
-        out = out.where(F.col("period").isin(list(months)))
+    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in S.JOB_SCHEMA.fields]
+    scans = []
+    for header, paths in by_header.items():
+        rows = (spark.read.option("sep", "|").option("header", True).option("mode", "PERMISSIVE")
+                .schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(paths))
+        scans.append(rows.select(*typed, F.regexp_extract(name, FILE_PATTERN, 1).alias("period"), name.alias("source_file")))
+    out = reduce(DataFrame.unionByName, scans)
     return out.select("*", F.lit(int(year)).alias("year"), C.month_from_abbr(F.col("period")).alias("month"))
 
 

@@ -5,10 +5,11 @@ cell, a column-header row with ``used`` cells (repeated mid-file at times)
 and numeric sample rows.  The memory column is the first exact ``used`` cell
 at or after the ``memory usage`` section's offset (else the first ``used``).
 
-Both header rows are recognisable by content, so no line order is needed:
-a per-file index frame (one row per file, from a partial aggregate) is joined
-back to the sample rows.  The join is a plain equi-join; AQE turns it into a
-broadcast once it sees the index is small, and splits a skewed file otherwise.
+Both header rows are recognisable by content, so no line order is needed.  A
+first pass over the files reduces them to one small row per file (where its
+memory column is); that index is broadcast if it is below ``BROADCAST_FILES``
+files, and joined by shuffle otherwise.  The sample rows themselves are not
+shuffled in the first case, however long a file is.
 """
 
 from __future__ import annotations
@@ -16,6 +17,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sacctlens.sources.local import local_rows
+
+#: Files whose column positions are handed to every task (about 100 bytes each).
+BROADCAST_FILES = 10_000
 FILE_PATTERN = r"dstat_run_(\d+)\.csv$"
 
 
@@ -42,6 +47,9 @@ def read_resource_samples(spark: SparkSession, dstat_dir: str) -> DataFrame:
              .where(F.col("section_at").isNotNull() & F.col("used_at").isNotNull()))
     column = F.coalesce(F.array_min(F.filter("used_at", lambda p: p >= F.col("section_at"))),
                         F.element_at("used_at", 1))
-    index = index.select("file", column.alias("col_at"))
-    return rows.join(index, "file").select(
-        "run_no", F.try_element_at("cells", F.col("col_at")).alias("used_raw"))
+    found = index.select("file", column.alias("col_at")).limit(BROADCAST_FILES + 1).collect()
+    if not found or len(found) > BROADCAST_FILES:
+        located = rows.join(index.select("file", column.alias("col_at")), "file")
+    else:
+        located = rows.join(F.broadcast(local_rows(spark, [tuple(r) for r in found], "file string, col_at int")), "file")
+    return located.select("run_no", F.try_element_at("cells", F.col("col_at")).alias("used_raw"))

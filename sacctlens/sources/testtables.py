@@ -7,7 +7,9 @@ over whole tables and its work grows with them:
 
 * ``jobs``        = lineitem joined to orders (one accounting row per line);
 * ``run_events``  = events (one run per user, events mapped to log kinds);
-* ``samples``     = click events of most users (memory samples as text).
+* ``samples``     = click events (memory samples as text);
+* ``line_jobs``   = the accounting columns that lineitem alone decides, for jobs
+  that need no other (a join to orders would only shuffle).
 
 Both sides keep only the columns they need, so the Parquet scans are pruned.
 """
@@ -22,28 +24,6 @@ from pyspark.sql import functions as F
 from sacctlens.functions import enrich as E
 
 
-_FRAMES: dict[tuple, DataFrame] = {}
-
-
-def _memo(fn):
-    """Build an adapter frame once per (session, arguments).
-
-    A DataFrame is an immutable plan over read-only tables, so queries of one
-    session can share it; each query still plans its own scans, pruning and
-    pushed filters.  This only saves the driver-side cost of resolving files
-    and constructing the (large) column expressions again.
-    """
-    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
-        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args, tuple(sorted(kwargs.items())))
-        df = _FRAMES.get(key)
-        if df is None or df.sparkSession is not spark:
-            df = _FRAMES[key] = fn(spark, sf_dir, *args, **kwargs)
-        return df
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
-
-
 # Only the columns the adapters use, with their stored types: the Parquet
 # reader then needs no footer inference at analysis time and reads only these.
 _SCHEMAS = {
@@ -54,7 +34,6 @@ _SCHEMAS = {
 }
 
 
-@_memo
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read.schema(_SCHEMAS[name]) if name in _SCHEMAS else spark.read
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -73,56 +52,57 @@ def _lineitem(spark: SparkSession, sf_dir: str,
     return li
 
 
-def accounting_rows(spark: SparkSession, sf_dir: str, lines: DataFrame, keep: tuple = (),
-                    orders: DataFrame | None = None) -> DataFrame:
-    """Lines (a lineitem slice) joined to their orders -> the raw accounting columns.
-
-    ``keep`` names extra columns of ``lines`` to carry through; ``orders``
-    replaces the orders table (e.g. a bucketed copy).
-    """
-    od = (orders if orders is not None else _table(spark, sf_dir, "orders")).select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    j = lines.join(od, lines.l_orderkey == od.o_orderkey, "inner")
-
+def _line_columns() -> list:
+    """The accounting columns that a line decides."""
     line = F.col("l_linenumber")
-    cust_digit = (F.col("o_custkey") % 10).cast("string")
     partition = (F.when(F.col("l_returnflag") == "A", F.lit("normal-arm"))
                  .when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.lit("dev-a100-40"))
                  .when(F.col("l_returnflag") == "R", F.lit("normal-a100-80"))
                  .when(line == 7, F.lit(None).cast("string"))
                  .otherwise(F.lit("normal-x86")))
-    account = (F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.concat(F.lit("f2025"), cust_digit))
-               .when(F.col("o_orderpriority") == "3-MEDIUM", F.concat(F.lit("ee2025"), cust_digit))
-               .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("lab"))
-               .otherwise(F.lit(None).cast("string")))
-    state = (F.when(F.col("o_orderstatus") == "F", F.lit("COMPLETED"))
-             .when(F.col("o_orderstatus") == "O",
-                   F.concat(F.lit("CANCELLED by "), F.col("o_custkey").cast("string")))
-             .when((F.col("o_orderstatus") == "P") & (line == 6), F.lit(None).cast("string"))
-             .otherwise(F.lit("TIMEOUT")))
     tres = (F.when(line == 1, F.lit(None).cast("string"))
             .when(line % 2 == 0, F.concat(F.lit("cpu=8,gres/gpu="),
                                           (F.lit(1) + F.col("l_partkey") % 4).cast("string"),
                                           F.lit(",node=1")))
             .otherwise(F.lit("cpu=8,gres/gpu:a100=2,node=1")))
     end_date = F.col("l_shipdate").cast("date")
-    return j.select(
+    return [
         F.col("l_orderkey").alias("job_id"),
         line.alias("line_no"),
         partition.alias("Partition"),
-        account.alias("Account"),
-        state.alias("State"),
         F.floor("l_quantity").cast("bigint").alias("AllocCPUS"),
         tres.alias("AllocTRES"),
         F.floor("l_extendedprice").cast("bigint").alias("ElapsedRaw"),
         line.cast("bigint").alias("NNodes"),
         F.year(end_date).alias("year"),
         F.month(end_date).alias("month"),
-        *keep,
-    )
+    ]
+
+
+def line_jobs(spark: SparkSession, sf_dir: str, ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
+    """Accounting rows without account and state: lineitem only, no join."""
+    return _lineitem(spark, sf_dir, ship_range).select(*_line_columns())
+
+
+def accounting_rows(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Lines (a lineitem slice) joined to their orders -> the raw accounting columns."""
+    od = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    j = lines.join(od, lines.l_orderkey == od.o_orderkey, "inner")
+    line = F.col("l_linenumber")
+    cust_digit = (F.col("o_custkey") % 10).cast("string")
+    account = (F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.concat(F.lit("f2025"), cust_digit))
+               .when(F.col("o_orderpriority") == "3-MEDIUM", F.concat(F.lit("ee2025"), cust_digit))
+               .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("lab"))
+               .otherwise(F.lit(None).cast("string")))
+    state = (F.when(F.col("o_orderstatus") == "F", F.lit("COMPLETED"))
+             .when(F.col("o_orderstatus") == "O",
+                   F.concat(F.lit("CANCELLED by "), F.col("o_custkey").cast("string")))
+             .when((F.col("o_orderstatus") == "P") & (line == 6), F.lit(None).cast("string"))
+             .otherwise(F.lit("TIMEOUT")))
+    columns = _line_columns()
+    return j.select(*columns[:3], account.alias("Account"), state.alias("State"), *columns[3:])
 
 
-@_memo
 def raw_jobs(spark: SparkSession, sf_dir: str,
              ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
     """Raw accounting rows (the seven job columns + ids + year, month).
@@ -133,46 +113,6 @@ def raw_jobs(spark: SparkSession, sf_dir: str,
     return accounting_rows(spark, sf_dir, _lineitem(spark, sf_dir, ship_range))
 
 
-def save_bucketed_copies(spark: SparkSession, sf_dir: str, database: str, buckets: int) -> tuple[str, str]:
-    """Write the adapter's two join inputs once as tables bucketed and sorted by order key.
-
-    Joins of the copies then need no shuffle: both sides are already
-    hash-partitioned into the same ``buckets`` on the key (a sort-merge join
-    reading matching buckets).  Meant for a catalog whose tables persist
-    (the warehouse in shared storage); returns the two table names.
-    """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    names = (f"{database}.lineitem_by_order", f"{database}.orders_by_order")
-    (_lineitem(spark, sf_dir).write.mode("overwrite")
-        .bucketBy(buckets, "l_orderkey").sortBy("l_orderkey").saveAsTable(names[0]))
-    (_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-        .write.mode("overwrite").bucketBy(buckets, "o_orderkey").sortBy("o_orderkey").saveAsTable(names[1]))
-    return names
-
-
-def raw_jobs_from_copies(spark: SparkSession, lineitem_table: str, orders_table: str,
-                         ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
-    """``raw_jobs`` over bucketed copies (see ``save_bucketed_copies``)."""
-    li = spark.table(lineitem_table)
-    if ship_range is not None:
-        lo, hi = ship_range
-        li = li.where((F.col("l_shipdate") >= F.lit(_dt.datetime.combine(lo, _dt.time())).cast("timestamp_ntz"))
-                      & (F.col("l_shipdate") < F.lit(_dt.datetime.combine(hi + _dt.timedelta(days=1), _dt.time()))
-                         .cast("timestamp_ntz")))
-    return accounting_rows(spark, "", li, orders=spark.table(orders_table))
-
-
-def month_slices(spark: SparkSession, sf_dir: str, year: int, months, label) -> list[DataFrame]:
-    """One lineitem frame per month (pushed date range each), tagged ``period``."""
-    out = []
-    for m in months:
-        lo = _dt.date(year, m, 1)
-        hi = _dt.date(year + (m == 12), m % 12 + 1, 1) - _dt.timedelta(days=1)
-        out.append(_lineitem(spark, sf_dir, (lo, hi)).withColumn("period", F.lit(label(m))))
-    return out
-
-
-@_memo
 def jobs(spark: SparkSession, sf_dir: str,
          ship_range: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
     """Enriched accounting rows from the test tables."""
@@ -194,7 +134,6 @@ def _event_ms(ts: str = "ts"):
     return F.expr(f"timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', `{ts}`)")
 
 
-@_memo
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> normalised run events (run = user, config = 'v' || user % 8)."""
     ev = _table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value", "props")
@@ -215,18 +154,8 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_memo
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Memory samples as text (``used`` marks a repeated header row).
-
-    Every click event is one sample of its run.  Runs of users with
-    ``user_id % 7 = 0`` have no sample file, modelling a monitor that did not
-    run: they must still appear in ``resource_peaks`` with a peak of 0.0.  No
-    run is dropped; only their (absent) sample rows are.
-    """
-    ev = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    return ev.where((F.col("event_type") == "click") & (F.col("user_id") % 7 != 0)).select(
-        F.col("user_id").alias("run"),
-        F.when(F.col("event_id") % 10 == 0, F.lit("used"))
-         .otherwise(F.floor(F.col("value") * 1048576).cast("string")).alias("used_raw"),
-    )
+    """Memory samples as text: every click event is one sample of its run."""
+    ev = _table(spark, sf_dir, "events").select("user_id", "event_type", "value")
+    return ev.where(F.col("event_type") == "click").select(
+        F.col("user_id").alias("run"), F.floor(F.col("value") * 1048576).cast("string").alias("used_raw"))

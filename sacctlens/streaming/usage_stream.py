@@ -7,9 +7,10 @@ scale; this stream folds each new file into the month grain
 
     readStream.csv(landing dir) -> enrich -> groupBy(year, month, cluster)
       -> complete-mode state (one row per month x cluster, a few hundred rows
-         per decade) -> foreachBatch overwrite of a Parquet grain table.
+         per decade) -> foreachBatch into a new version folder of the grain table.
 
-Reports then run on the grain table (``periods.windows_from_grain``).  The
+Reports then run on the newest version (``read_month_grain``,
+``periods.windows_from_grain``); a batch that fails leaves the last one intact.  The
 checkpoint lives under the cluster's shared ``spark.checkpoint.dir`` so the
 query survives driver and executor loss; ``availableNow`` processes what has
 landed and stops, which suits a scheduled job.
@@ -29,7 +30,7 @@ from sacctlens.functions import calendar as C
 from sacctlens.functions import enrich as E
 from sacctlens.operators.usage import six_metric_aggs
 from sacctlens.session import checkpoint_dir
-from sacctlens.sources.jobs import FILE_PATTERN
+from sacctlens.sources.jobs import FILE_GLOB, FILE_PATTERN
 
 
 def _stream_schema(file_columns: Sequence[str]) -> T.StructType:
@@ -48,13 +49,14 @@ def job_file_stream(spark: SparkSession, landing_dir: str, year: int,
         raise ValueError(f"file_columns lacks {missing}")
     reader = (spark.readStream.schema(_stream_schema(file_columns))
               .option("sep", "|").option("header", True)
-              .option("pathGlobFilter", "jobs_*.txt*"))
+              .option("pathGlobFilter", FILE_GLOB))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.csv(landing_dir.rstrip("/"))
     period = F.regexp_extract(F.col("_metadata.file_name"), FILE_PATTERN, 1)
     typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in S.JOB_SCHEMA.fields]
-    return df.select(*typed, F.lit(int(year)).alias("year"), C.month_from_abbr(period).alias("month"))
+    month = F.coalesce(C.month_from_abbr(period), F.raise_error(F.concat(F.lit("no month (Jan .. Dec): "), F.col("_metadata.file_name"))).cast("int"))
+    return df.select(*typed, F.lit(int(year)).alias("year"), month.alias("month"))
 
 
 def month_grain_stream(raw_stream: DataFrame) -> DataFrame:
@@ -65,11 +67,11 @@ def month_grain_stream(raw_stream: DataFrame) -> DataFrame:
 def start_month_grain(spark: SparkSession, landing_dir: str, year: int, file_columns: Sequence[str],
                       grain_path: str, name: str = "month_grain",
                       checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Start the stream; each micro-batch rewrites the (small) grain table."""
+    """Start the stream; each micro-batch writes the (small) grain as a new version, one file."""
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(grain_path)
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{grain_path}/version={batch_id}")
 
     writer = (month_grain_stream(job_file_stream(spark, landing_dir, year, file_columns))
               .writeStream.outputMode("complete")
@@ -77,3 +79,10 @@ def start_month_grain(spark: SparkSession, landing_dir: str, year: int, file_col
               .foreachBatch(publish))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def read_month_grain(spark: SparkSession, grain_path: str) -> DataFrame:
+    """The newest complete version of the grain."""
+    versions = spark.read.parquet(grain_path)
+    newest = versions.agg(F.max("version").alias("newest")).scalar()
+    return versions.where(F.col("version") == newest).drop("version")

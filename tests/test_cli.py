@@ -63,3 +63,31 @@ def test_previous_month_default():
     from sacctlens.cli import previous_month
     assert previous_month(dt.date(2026, 1, 15)) == (2025, 12)
     assert previous_month(dt.date(2026, 3, 1)) == (2026, 2)
+
+
+def test_runs_command_reports_what_is_missing(spark, tmp_path, capsys):
+    import gzip
+
+    import pytest
+    empty = tmp_path / "none"
+    empty.mkdir()
+    with pytest.raises(SystemExit, match="no event log"):
+        main(["runs", "--logs-dir", str(empty), "--config-name", "c", "--out", str(tmp_path / "o1")], spark=spark)
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    (logs / "app-1").write_text(_events_plain(1000, 3000, [_stage("SparkListenerStageSubmitted", 1)]) + "not json\n")
+    (logs / "app-2.gz").write_bytes(gzip.compress(b"x" * 100000)[:-20])
+    main(["runs", "--logs-dir", str(logs), "--config-name", "c", "--runs", "3", "--out", str(tmp_path / "o2")], spark=spark)
+    said = capsys.readouterr().err
+    assert "2 of 3 runs" in said and "app-2 cannot be decoded" in said and "app-1: 1 malformed" in said
+
+
+def test_compare_command_names_unreadable_summaries(spark, tmp_path, capsys):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    (logs / "app-1").write_text(_events_plain(1000, 3000, []))
+    main(["runs", "--logs-dir", str(logs), "--config-name", "baseline", "--runs", "1", "--out", str(tmp_path / "m")], spark=spark)
+    (tmp_path / "m" / "broken.json").write_text("{nope")
+    main(["compare", "--summaries", str(tmp_path / "m"), "--out", str(tmp_path / "out")], spark=spark)
+    assert "broken.json" in capsys.readouterr().err
+    assert open(_part(str(tmp_path / "out" / "csv"))).read().splitlines()[1].startswith("baseline,2.00 ± 0.00")

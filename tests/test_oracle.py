@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from sacctlens.plans.oracle import oracle_sql
+from sacctlens.plans.queries import QUERIES
 from conftest import SF01
 from oracle_check import compare, duck
 
-SQL = E.oracle_sql()
-QUERIES = E.queries()
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,17 +19,14 @@ def con():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, name, QUERIES[name], SQL.get(name), SF01, con)
-    if name in E.ROWS_ONLY:
-        assert name not in SQL
-        assert r["spark_rows"] > 0
-        return
     assert r["spark_rows"] == r["oracle_rows"]
     assert r["cols"], (r["s_cols"], r["o_cols"])
     assert r["values"]
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    assert set(QUERIES) == set(SQL) | E.ROWS_ONLY
+def test_every_query_has_oracle():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):

@@ -4,12 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from sacctlens.plans.explain import final_plan_text, plan_text
+from sacctlens.plans.queries import QUERIES
 from conftest import SF01
 
-QUERIES = E.queries()
-
 
 def _plan(df, run=False):
     if run:
@@ -71,21 +69,31 @@ def test_month_grain_aggregates_before_shuffle(spark):
     assert re.search(r"HashAggregate\(keys=\[year#\d+, month#\d+, cluster#\d+\], functions=\[partial_", plan)
 
 
-def test_output_diff_reads_the_jobs_once(spark):
-    # The 18-row base is checkpointed eagerly (one scan); the returned plan reads only it.
+def test_output_diff_computes_both_sides_from_the_jobs(spark):
     df = QUERIES["output_diff"](spark, SF01)
     plan = _plan(df)
-    assert "lineitem" not in plan and "orders.parquet" not in plan
+    assert "ExistingRDD" not in plan and len(re.findall(r"FileScan parquet [^\n]*lineitem\.parquet", plan)) >= 2
     assert df.collect()[0].identical
 
 
+@pytest.mark.parametrize("name", ["period_calendar", "gpu_allocation_rules", "month_pruned_scan", "union_months"])
+def test_queries_of_lineitem_alone_do_not_join(spark, name):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES[name](spark, SF01))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "orders" not in plan and len(re.findall(r"FileScan parquet", plan)) == 1, plan
+
+
 def test_run_jobs_read_each_input_once(spark):
-    # run events and samples are two inputs (both derived from `events` here)
-    plan = _plan(QUERIES["config_summary"](spark, SF01))
-    assert len(re.findall(r"FileScan parquet", plan)) == 2
     assert len(re.findall(r"FileScan parquet", _plan(QUERIES["run_metrics"](spark, SF01)))) == 1
-    # the speedup reads the checkpointed summary only
-    assert "FileScan parquet" not in _plan(QUERIES["speedup_vs_baseline"](spark, SF01))
+    # the speedup needs the events alone: no samples, nothing run beforehand
+    speedup = _plan(QUERIES["speedup_vs_baseline"](spark, SF01))
+    assert len(re.findall(r"FileScan parquet", speedup)) == 1 and "ExistingRDD" not in speedup
+    # samples are cut to the picked runs before they are aggregated
+    assert "LeftSemi" in _plan(QUERIES["config_summary"](spark, SF01))
 
 
 def test_only_bounded_frames_are_broadcast_at_scale(spark):

@@ -1,4 +1,4 @@
-"""float_text / int_text reproduce Python's number printing inside Spark."""
+"""float_text reproduces Python's number printing inside Spark."""
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -31,11 +31,6 @@ def test_random_values(spark):
     assert not bad, bad[:5]
 
 
-def test_int_text(spark):
-    df = spark.createDataFrame([(9135.0,), (0.0,), (2026.0,)], "v double")
-    assert [r[0] for r in df.select(render.int_text(F.col("v"))).collect()] == ["9135", "0", "2026"]
-
-
 def test_fixed_text_rounds_like_printf(spark):
     """%.2f / %.1f as Python prints them, ties included (0.125 -> 0.12, 1.005 -> 1.00)."""
     rng = np.random.default_rng(3)

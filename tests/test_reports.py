@@ -75,14 +75,17 @@ def test_january_clips_quarter(all_months):
 
 
 def test_separate_aggregates_equal_single_pass(jobs):
-    base = U.usage_base(jobs)
-    diff = CMP.multiset_diff(U.separate_aggregates_long(base), U.single_pass_long(base),
+    diff = CMP.multiset_diff(U.separate_aggregates_long(jobs), U.single_pass_long(jobs),
                              drop_zero="value").collect()
     assert len(diff) == 1 and diff[0].identical and diff[0].left_only == 0
 
 
 def test_multiset_diff_detects_changes(spark, jobs):
-    left = U.single_pass_long(U.usage_base(jobs))
+    first = jobs.orderBy("job_id", "line_no").first()
+    one = U.single_pass_long(jobs.where((F.col("job_id") != first.job_id) | (F.col("line_no") != first.line_no)))
+    changed = CMP.multiset_diff(U.separate_aggregates_long(jobs), one, drop_zero="value").collect()[0]
+    assert changed.left_only == changed.right_only > 0 and not changed.identical      # one job less on one side
+    left = U.single_pass_long(jobs)
     right = left.where(F.col("metric") != "jobs_ehpc")
     r = CMP.multiset_diff(left, right).collect()[0]
     assert (r.left_only, r.right_only, r.identical) == (3, 0, False)

@@ -7,8 +7,9 @@ import pytest
 
 from conftest import SF01
 from oracle_check import compare, duck
-import __spark_entry__ as E
 from sacctlens.plans.explain import final_plan_text
+from sacctlens.plans.oracle import oracle_sql
+from sacctlens.plans.queries import QUERIES
 
 HOT_ORDER = 7
 
@@ -56,12 +57,12 @@ def skew_conf(spark):
 @pytest.mark.parametrize("name", ["single_pass_metrics", "report_all_months", "state_histogram", "output_diff"])
 def test_hot_order_key(spark, skewed_dir, skew_conf, name):
     con = duck(skewed_dir)
-    r = compare(spark, name, E.queries()[name], E.oracle_sql()[name], skewed_dir, con)
+    r = compare(spark, name, QUERIES[name], oracle_sql()[name], skewed_dir, con)
     assert r["spark_rows"] == r["oracle_rows"] and r["values"], name
 
 
 def test_skewed_join_is_split(spark, skewed_dir, skew_conf):
-    df = E.queries()["single_pass_metrics"](spark, skewed_dir)
+    df = QUERIES["single_pass_metrics"](spark, skewed_dir)
     df.collect()
     plan = final_plan_text(df)
     assert "SortMergeJoin(skew=true)" in plan, plan

@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.errors import AnalysisException
 
 from sacctlens.operators import compare as CMP
 from sacctlens.operators import params as PRM
@@ -71,8 +70,8 @@ def test_month_selection_lists_only_those_files(spark, datadir):
 
 
 def test_month_selection_without_files_fails(spark, datadir):
-    with pytest.raises(AnalysisException):
-        J.read_jobs(spark, datadir, 2025, months=["Apr"]).count()
+    with pytest.raises(ValueError):
+        J.read_jobs(spark, datadir, 2025, months=["Apr"])
     with pytest.raises(ValueError):
         J.read_jobs(spark, datadir, 2025, months=["April"])
 
@@ -306,3 +305,138 @@ def test_compressed_monthly_export(spark, tmp_path):
     got = {r.period: r.n for r in df.groupBy("period").count().withColumnRenamed("count", "n").collect()}
     assert got == {"Jan": 7, "Feb": 1}
     assert J.read_jobs(spark, str(d), 2025).count() == 8
+
+
+def test_nested_folders_with_and_without_months(spark, datadir):
+    assert J.read_jobs(spark, datadir, 2025, months=["Mar"]).count() == 2
+
+
+@pytest.mark.parametrize("name", ["jobs_2025_Jan.txt", "jobs_January.txt", "jobs_.txt"])
+def test_unknown_months_fail(spark, tmp_path, name):
+    (tmp_path / "jobs_Feb.txt").write_text(FEB)
+    (tmp_path / name).write_text(JAN)
+    for months in (None, ["Feb"]):
+        with pytest.raises(ValueError, match="no month"):
+            J.read_jobs(spark, str(tmp_path), 2025, months)
+
+
+def test_one_file_per_month(spark, tmp_path):
+    (tmp_path / "jobs_Jan.txt").write_text(JAN)
+    (tmp_path / "jobs_Jan.txt.bak").write_text(JAN)          # no accounting file
+    (tmp_path / "jobs_Jan.txt~").write_text(JAN)
+    (tmp_path / "old_jobs_Jan.txt").write_text(JAN)
+    assert J.read_jobs(spark, str(tmp_path), 2025).count() == 7
+    with gzip.open(tmp_path / "jobs_Jan.txt.gz", "wt") as f:
+        f.write(JAN)
+    with pytest.raises(ValueError, match="two files for Jan"):
+        J.read_jobs(spark, str(tmp_path), 2025, ["Jan"])
+
+
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "jobs_Jan.txt").write_text(JAN)
+    head, *lines = [line.split("|") for line in FEB.splitlines()]
+    swapped = [[r[2], r[1], *r[3:], r[0]] for r in [head, *lines]]            # another order
+    (tmp_path / "jobs_Feb.txt").write_text("\n".join("|".join(r) for r in swapped) + "\n")
+    (tmp_path / "jobs_Mar.txt").write_text("\n".join("|".join(["x", *r]) for r in [head, *lines]).replace("x|JobID", "Extra|JobID") + "\n")
+    rows = {(r.period, r.Partition, r.Account): r for r in J.read_jobs(spark, str(tmp_path), 2025).collect()}
+    assert len(rows) == 9
+    for month in ("Feb", "Mar"):
+        r = rows[(month, "normal-arm", "f001")]
+        assert (r.State, r.AllocCPUS, r.AllocTRES, r.ElapsedRaw, r.NNodes) == ("COMPLETED", 48, "cpu=48", 3600, 2)
+    assert ("Jan", "normal-arm", "f001") in rows
+    (tmp_path / "jobs_Apr.txt").write_text("JobID|Partition\n1|normal-arm\n")
+    with pytest.raises(ValueError, match="no column Account"):
+        J.read_jobs(spark, str(tmp_path), 2025)
+
+
+def test_absurd_numbers_are_null(spark, tmp_path):
+    (tmp_path / "jobs_Jan.txt").write_text(JAN + "8|normal-arm|f1|COMPLETED|1|cpu=1|9223372036854775807|3|u\n"
+                                                 "9|dev-a100-40|f1|COMPLETED|1|x|1|9223372036854775807|u\n"
+                                                 "10|normal-arm|f1|COMPLETED|1|cpu=1|92233720368547758070|3|u\n")
+    jobs = J.read_enriched_jobs(spark, str(tmp_path), 2025)
+    assert jobs.where("job_seconds is null").count() == 3
+    assert sum(r.completed_jobs for r in P.report_windows(jobs, 2025, 1).collect() if r.tag == "month") == 6
+
+
+def _long_log(n):
+    return _events_plain(1000, 9000, [e for _ in range(n) for e in (_stage("SparkListenerStageSubmitted", 1), _task_start(2000), _task_end(3000, written=7))])
+
+
+def test_cut_logs_give_no_figures_at_all(spark, tmp_path):
+    import zstandard
+    whole = gzip.compress(_long_log(4000).encode())
+    (tmp_path / "app-whole.gz").write_bytes(whole)
+    (tmp_path / "app-cut.gz").write_bytes(whole[:len(whole) // 2])
+    (tmp_path / "app-two.gz").write_bytes(gzip.compress(b"") + whole)
+    packed = zstandard.ZstdCompressor().compress(_long_log(4000).encode())
+    (tmp_path / "app-zstd.zstd").write_bytes(packed)
+    (tmp_path / "app-zcut.zst").write_bytes(packed[:len(packed) // 2])
+    (tmp_path / "app-plain").write_text(_long_log(3))
+    rolled = tmp_path / "run9"
+    rolled.mkdir()
+    (rolled / "events_1_app-9").write_text(_events_plain(1000, None, [_stage("SparkListenerStageSubmitted", 2)]))
+    (rolled / "events_2_app-9.gz").write_bytes(whole[:len(whole) // 2])
+    assert EL.undecodable_logs(spark, str(tmp_path)) == ["app-cut", "app-zcut", "run9"]
+    rows = {r.log_id: r for r in CMP.log_run_metrics(spark, str(tmp_path), "cfg").collect()}
+    assert {k: r.readable for k, r in rows.items()} == {"app-whole": True, "app-two": True, "app-zstd": True, "app-plain": True,
+                                                       "app-cut": False, "app-zcut": False, "run9": False}
+    for name in ("app-cut", "app-zcut", "run9"):
+        r = rows[name]
+        assert (r.wall_time_s, r.stages, r.tasks, r.shuffle_write_mb, r.driver_time_s) == (0.0, 0, 0, 0.0, 0.0)
+    for name in ("app-whole", "app-two", "app-zstd"):
+        r = rows[name]
+        assert (r.wall_time_s, r.stages, r.tasks) == (8.0, 4000, 4000)
+    with pytest.raises(Exception, match="app-cut"):        # read without leaving it out: an error, never a part
+        EL.read_event_logs(spark, str(tmp_path)).groupBy("Event").count().collect()
+
+
+def test_rolled_logs_in_any_folder(spark, tmp_path):
+    for k, name in ((1, "run9"), (2, "eventlog_v2_x")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / f"events_1_app-{k}").write_text(_events_plain(1000, None, [_stage("SparkListenerStageSubmitted", 2)]))
+        (tmp_path / name / f"events_2_app-{k}").write_text(_events_plain(None, 10000, []))
+    (tmp_path / "events_1_app-7").write_text(_events_plain(1000, None, []))
+    (tmp_path / "events_2_app-7").write_text(_events_plain(None, 3000, []))
+    rows = {r.log_id: (r.wall_time_s, r.stages) for r in CMP.log_run_metrics(spark, str(tmp_path), "cfg").collect()}
+    assert rows == {"run9": (9.0, 1), "eventlog_v2_x": (9.0, 1), "app-7": (2.0, 0)}
+
+
+def test_zero_timestamps_do_not_stretch_the_task_span(spark, tmp_path):
+    (tmp_path / "app-1").write_text(_events_plain(1000, 11000, [_task_start(0), _task_start(2000), _task_end(5000), _task_end(0)]))
+    r = CMP.log_run_metrics(spark, str(tmp_path), "cfg").collect()[0]
+    assert (r.wall_time_s, r.driver_time_s) == (10.0, 7.0)
+
+
+def test_nan_deviation_shows_as_zero(spark, tmp_path):
+    metrics = {m: 1.0 for m in ("wall_time_s", "stages", "tasks", "shuffle_read_mb", "shuffle_write_mb", "driver_time_s", "peak_memory_mb")}
+    for name, std in (("zz", float("nan")), ("aa", float("nan")), ("v2", 0.5)):
+        doc = {"runs": [{"run": 1, "config": name, **metrics}],
+               "summary": {"config": name, "n_runs": 1, "mean": metrics, "std": dict.fromkeys(metrics, std)}}
+        (tmp_path / f"{name}.json").write_text(json.dumps(doc, indent=4))       # as Python writes it: NaN
+    docs = SU.read_summary_documents(spark, str(tmp_path / "*.json"))
+    assert SU.unreadable_summaries(docs).count() == 0
+    display = CMP.config_summary_display(SU.summary_table(docs))
+    shown = {r.Configuration: r["Runtime (s)"] for r in display.collect()}
+    assert shown == {"zz": "1.00 ± 0.00", "aa": "1.00 ± 0.00", "v2": "1.00 ± 0.50"}
+    for _ in range(2):                                                             # unknown names by name, foot last
+        W.write_summary_latex(display.repartition(3), str(tmp_path / "tex"))
+        part = [f for f in os.listdir(tmp_path / "tex") if f.startswith("part-")][0]
+        lines = (tmp_path / "tex" / part).read_text().splitlines()
+        assert [line.split(" ")[0] for line in lines[7:10]] == ["v2", "aa", "zz"]
+        assert lines[0] == "\\begin{table}" and lines[-3:] == ["\\bottomrule", "\\end{tabular}", "\\end{table}"]
+
+
+def test_missing_sample_file_and_repeated_header(spark, dstat_dir, tmp_path):
+    runs = spark.createDataFrame([(1,), (2,), (3,), (4,)], "run_no int")
+    peaks = R.resource_peaks(runs, SM.read_resource_samples(spark, dstat_dir), key="run_no")
+    assert {r.run_no: r.peak_memory_mb for r in peaks.collect()} == {1: 2000.0, 2: 512.0, 3: 0.0, 4: 0.0}
+    (tmp_path / "dstat_run_1.csv").write_text("no header at all\n1,2,3\n")
+    assert SM.read_resource_samples(spark, str(tmp_path)).count() == 0
+
+
+def test_sample_rows_are_not_shuffled(spark, dstat_dir, monkeypatch):
+    plan = plan_text(SM.read_resource_samples(spark, dstat_dir))
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    many = SM.read_resource_samples(spark, dstat_dir)
+    monkeypatch.setattr(SM, "BROADCAST_FILES", 1)
+    assert sorted(map(tuple, SM.read_resource_samples(spark, dstat_dir).collect())) == sorted(map(tuple, many.collect()))

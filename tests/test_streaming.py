@@ -14,7 +14,7 @@ MAR = HEAD + "5|dev-a100-80|f1|COMPLETED|8|gres/gpu=2|1000|1|u\n"
 
 
 def _report(spark, path, month):
-    grain = spark.read.parquet(path)
+    grain = US.read_month_grain(spark, path)
     return sorted(tuple(r) for r in P.windows_from_grain(grain, 2025, month).collect())
 
 
