@@ -41,7 +41,7 @@ def deduped(rows):
 
 
 def plain(text):
-    return " ".join(re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text.translate(X.LOWER)))
+    return " ".join(re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text.lower()))
 
 
 def key(rows):
