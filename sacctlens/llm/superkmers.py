@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from sacctlens.llm.common import materialize
-from sacctlens.llm.textkit import STEP_BYTES, buffers, mix, span_hashes, steps, word_spans, _SPACE
+from sacctlens.llm.textkit import SPACE, STEP_BYTES, buffers, mix, span_hashes, steps, word_spans
 
 WINDOW = 35
 M = 4
@@ -49,7 +49,7 @@ def canonical(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     buf, offs = buffers(column)
     if not len(buf):
         return buf, offs
-    solid = ~_SPACE[buf]
+    solid = ~SPACE[buf]
     keep = solid.copy()
     keep[1:] |= solid[:-1]          # the first space after a word
     full = offs[1:] > offs[:-1]

@@ -15,8 +15,9 @@ import pyarrow.compute as pc
 #: Text bytes that one numpy step works on; a longer single text is one step.
 STEP_BYTES = 4 << 20
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Bytes that separate words.
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xD6E8FEB86659FD93)
@@ -62,7 +63,7 @@ def word_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Start and end byte of every word, and the word offsets (n + 1) of the rows."""
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
-    solid = ~_SPACE[buf]
+    solid = ~SPACE[buf]
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
     last[:-1] &= ~solid[1:]
@@ -95,10 +96,6 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     return h
 
 
-def spans_equal(buf: np.ndarray, a: int, b: int, n: int) -> bool:
-    return bool(np.array_equal(buf[a:a + n], buf[b:b + n]))
-
-
 def record(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c := columns[f.name], pa.Array) else pa.array(c, f.type) for f in schema], schema=schema)
@@ -107,9 +104,3 @@ def record(schema: pa.Schema, **columns) -> pa.RecordBatch:
 def blobs(chunks) -> pa.Array:
     """A binary column of byte strings."""
     return pa.array([bytes(c) for c in chunks], pa.binary())
-
-
-def word_count(text: str) -> int:
-    """Words of one text, for tests and small helpers."""
-    buf = np.frombuffer(text.encode(), np.uint8)
-    return len(word_spans(buf, np.array([0, len(buf)]))[0])
