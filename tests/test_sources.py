@@ -3,6 +3,7 @@
 import gzip
 import json
 import os
+from collections import Counter
 
 import pytest
 
@@ -386,7 +387,7 @@ def test_cut_logs_give_no_figures_at_all(spark, tmp_path):
     for name in ("app-whole", "app-two", "app-zstd"):
         r = rows[name]
         assert (r.wall_time_s, r.stages, r.tasks) == (8.0, 4000, 4000)
-    with pytest.raises(Exception, match="app-cut"):        # read without leaving it out: an error, never a part
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):        # read without leaving it out: an error, never a part
         EL.read_event_logs(spark, str(tmp_path)).groupBy("Event").count().collect()
 
 
@@ -439,4 +440,4 @@ def test_sample_rows_are_not_shuffled(spark, dstat_dir, monkeypatch):
     assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
     many = SM.read_resource_samples(spark, dstat_dir)
     monkeypatch.setattr(SM, "BROADCAST_FILES", 1)
-    assert sorted(map(tuple, SM.read_resource_samples(spark, dstat_dir).collect())) == sorted(map(tuple, many.collect()))
+    assert Counter(map(tuple, SM.read_resource_samples(spark, dstat_dir).collect())) == Counter(map(tuple, many.collect()))
