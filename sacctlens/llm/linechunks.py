@@ -102,7 +102,7 @@ def line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
     """doc_id, text_hash, lo, hi, n_lines of every chunk occurrence to remove."""
-    found = line_chunks(docs, id_col, text_col, window, divisor)
+    found = materialize(line_chunks(docs, id_col, text_col, window, divisor))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "first_line")
     # Hash groups that repeat; most chunks end here without sending their bytes.
     again = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
@@ -114,7 +114,8 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     body = (owners.withColumn("raw", F.col("text").cast("binary")).withColumn("c", F.explode("chunks"))
             .select("doc_id", "text_hash", "c.*", F.substring("raw", F.col("c.lo").cast("int") + 1, (F.col("c.hi") - F.col("c.lo")).cast("int")).alias("body")))
     body = materialize(body)
-    first = body.groupBy("body").agg(F.min(place).alias("first"))
+    # Written before it is joined back, so that the join may split a hot chunk's occurrences.
+    first = materialize(body.groupBy("body").agg(F.min(place).alias("first")))
     return (body.join(first, "body").filter(~F.col("first").eqNullSafe(place))
             .select("doc_id", "text_hash", "first_line", "n_lines", "lo", "hi"))
 
