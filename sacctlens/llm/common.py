@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sacctlens.session import checkpoint_dir
@@ -12,9 +14,16 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: a reliable checkpoint in the shared folder of the session."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: the rows as a written table in the session's shared checkpoint folder.
+
+    A table rather than ``checkpoint()``: a checkpointed frame carries the
+    constraints of its plan along, and in loops these outgrow the driver.  Tables
+    stay until the folder is cleaned.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/sacctlens-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -12,7 +12,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round takes the smallest label among a node's neighbours and then the
     label's own label, until nothing changes.  A hub's neighbours are combined
-    before they shuffle; every round is cut off by a reliable checkpoint.
+    before they shuffle; every round is cut off by a written table.
     """
     both = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("component")).withColumnRenamed("a", "node"))

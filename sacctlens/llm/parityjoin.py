@@ -16,13 +16,15 @@ partners can lie there, for the band below.
 candidates (all to the smallest id) and, from three sets on, its member list, for
 later.  Sets that are equal form classes first, and one member stands for each.
 
-*Filter and verification.*  A second parity sketch of about two bits a shingle
+*Filter and verification.*  A second parity sketch of four to eight bits a shingle
 travels with each set: its Hamming distance never exceeds the difference, so pairs
 beyond D are dropped unseen.  The rest are verified on the whole texts.
 
 *What the stars left out.*  After the components of the verified pairs are known,
-member lists that still span several components are compared in blocks, all pairs
-across components, through the same filter and verification.  So no link between
+member lists that still span several components get ``ROUNDS`` further stars, each
+around another member and only for members outside its component.  Lists that
+span several components even then are compared in blocks, all pairs across
+components, through the same filter and verification.  So no link between
 components is lost, and no group is expanded into all its pairs.
 
 Defined results: a null text, or one without words, has an empty set, links with
@@ -54,6 +56,15 @@ PART_SHARE = 0.7
 BUCKET_KEYS = 1_000_000
 BLOCK = 512
 HUB_ROWS = 256
+#: Pairs compared at once in a task, and bytes of sketches gathered for them.
+PAIRS_AT_ONCE = 1 << 20
+SKETCH_BYTES = 16 << 20
+#: Open pairs that a task gathers before it passes them on.
+OPEN_PAIRS = 1 << 19
+#: Further stars per member list before its components are compared pair by pair.
+ROUNDS = 2
+#: Up to this many pairs, the ids they name (16 bytes a pair) are sent to every task.
+SENT_PAIRS = 500_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
@@ -128,8 +139,8 @@ def keys_of(shingles: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def sketch_of(shingles: np.ndarray) -> np.ndarray:
-    """Parity bits: each shingle flips one of the 2n (next power of two) bits."""
-    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    """Parity bits: each shingle flips one of the 4n (next power of two) bits."""
+    bits = max(64, 1 << (4 * len(shingles) - 1).bit_length())
     flips = np.bincount((mix(shingles) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8), bitorder="little")
 
@@ -242,8 +253,21 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(doc, count), key.view("<u8").ravel()
 
 
+def named_by(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows whose ``doc_id`` a pair names, found without a shuffle of the rows
+    while the pairs are few enough to be sent to every task; else all rows."""
+    if pairs.count() > SENT_PAIRS:
+        return rows
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    return rows.join(F.broadcast(ids), "doc_id", "left_semi")
+
+
 def filtered(pairs: DataFrame, sets: DataFrame, num: int = NUM) -> DataFrame:
-    """The pairs (a, b) that the sizes and the parity sketches leave open."""
+    """The pairs (a, b) that the sizes and the parity sketches leave open.
+
+    ``pairs`` is read several times: pass a materialised one.
+    """
+    sets = named_by(pairs, sets)
     of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     near = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * num)
     rows = pairs.join(of("a"), "a").join(of("b"), "b").filter(near).select("a", "b", "n_a", "n_b", "s_a", "s_b")
@@ -262,9 +286,14 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int = SIZE, num: int = NUM
     """The pairs (a, b) that are links, by their whole texts.
 
     The texts of b travel to a; a hub's partners are dealt over several tasks,
-    each of which gets the hub's text once.
+    each of which gets the hub's text once.  Texts that no pair names stay where
+    they are while the pairs are few enough to be sent to every task; beyond
+    that, all texts meet the pairs by shuffle.  ``pairs`` is read several times:
+    pass a materialised one.
     """
-    hubs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_ROWS).cast("int").alias("lots"))
+    docs = named_by(pairs, docs)
+    # Written first, so that the join below may split a hub's pairs.
+    hubs = materialize(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_ROWS).cast("int").alias("lots")))
     partners = pairs.join(hubs, "a").select("a", F.pmod(F.xxhash64("b"), F.col("lots")).cast("int").alias("lot"), "b")
     own = hubs.select("a", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), F.col("a").alias("b"))
     needed = partners.unionByName(own)
@@ -291,46 +320,127 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int = SIZE, num: int = NUM
     return dealt.mapInArrow(test, "a long, b long")
 
 
+def star_around(runs: DataFrame, labels: DataFrame, nth: int) -> tuple[DataFrame, DataFrame]:
+    """The member lists that span several components, and pairs (a, b), a < b, of one
+    member of each (another one for each ``nth``) with the members outside its component."""
+    named = materialize(runs.join(labels, runs.b == labels.node, "left").select("run", "b", F.coalesce("component", "b").alias("label")))
+    spans = materialize(named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                                 F.min(F.struct(F.xxhash64("b", F.lit(nth)).alias("h"), "b", "label")).alias("hub"))
+                        .filter("low <> high").select("run", F.col("hub.b").alias("hub"), F.col("hub.label").alias("hub_label")))
+    rows = named.join(spans, "run")
+    pairs = rows.filter("label <> hub_label").select(F.least("b", "hub").alias("a"), F.greatest("b", "hub").alias("b")).distinct()
+    return rows.select("run", "b"), pairs
+
+
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, component) after further edges (a, b)."""
+    name = labels.withColumnsRenamed({"node": "_n", "component": "_c"})
+    lift = lambda e, c: e.join(name, e[c] == name._n, "left").withColumn(c, F.coalesce("_c", c)).drop("_n", "_c")
+    joined = components(lift(lift(edges, "a"), "b").filter("a <> b")).withColumnsRenamed({"node": "_n", "component": "_c"})
+    nodes = (labels.unionByName(joined.select(F.col("_n").alias("node"), F.col("_n").alias("component")))
+             .groupBy("node").agg(F.min("component").alias("component")))
+    return materialize(nodes.join(joined, nodes.component == joined._n, "left").select("node", F.coalesce("_c", "component").alias("component")))
+
+
 def across(runs: DataFrame, labels: DataFrame, sets: DataFrame, num: int = NUM) -> DataFrame:
-    """Candidate pairs (a, b), a < b, between the components that one member list spans."""
-    named = runs.join(labels, runs.b == labels.node, "left").select("run", "b", F.coalesce("component", "b").alias("label"))
-    named = materialize(named)
-    spans = (named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"))
-             .filter("low <> high").select("run", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
+    """The pairs (a, b), a < b, between the components that one member list spans, as far
+    as sizes and parity sketches leave them open.
+
+    Lists are cut into blocks of about ``BLOCK`` members; two blocks meet at a time.
+    """
+    named = materialize(runs.join(labels, runs.b == labels.node, "left").select("run", "b", F.coalesce("component", "b").alias("label")))
+    spans = materialize(named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"))
+                        .filter("low <> high").select("run", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
     rows = (named.join(spans, "run").join(sets.select(F.col("doc_id").alias("b"), "n", "sketch"), "b")
             .withColumn("mine", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("run", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "b", "label", "n", "sketch"))
+    met = rows.repartition(spread(rows), "run", "x", "y").sortWithinPartitions("run", "x", "y", "mine")
 
-    def compare(t: pa.Table) -> pa.Table:
-        x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
-        mine, doc, label, n = (t.column(c).to_numpy() for c in ("mine", "b", "label", "n"))
-        raw = [np.frombuffer(s.as_py(), np.uint8) for s in t.column("sketch")]
-        length = np.array([len(s) for s in raw])
-        out = []
-        left = np.flatnonzero(mine == x)
-        right = left if x == y else np.flatnonzero(mine == y)
-        for size in np.unique(length):      # pairs whose shorter sketch has this size
-            here = np.flatnonzero((length == size) | (length == 2 * size))
-            if len(here) < 2:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            if held is not None:
+                t = pa.concat_tables([held, t])
+            if not len(t):
                 continue
-            flat = np.stack([folded(raw[k], size) for k in here]).view("<u8")
-            place = np.full(len(doc), -1)
-            place[here] = np.arange(len(here))
-            to = right[place[right] >= 0]
-            for k in left[place[left] >= 0]:
-                near = to[(label[to] != label[k]) & (doc[to] != doc[k]) & (np.minimum(length[to], length[k]) == size)
-                          & (np.minimum(n[to], n[k]) * 100 >= np.maximum(n[to], n[k]) * num)]
-                if x == y:
-                    near = near[near > k]
-                if len(near):
-                    apart = np.bitwise_count(flat[place[near]] ^ flat[place[k]]).sum(axis=1)
-                    near = near[apart <= (100 - num) * (n[near] + n[k]) // (100 + num)]
-                    out.extend((min(doc[k], doc[j]), max(doc[k], doc[j])) for j in near)
-        got = np.array(out, np.int64).reshape(-1, 2)
-        return pa.table({"a": got[:, 0], "b": got[:, 1]})
-
-    return rows.groupBy("run", "x", "y").applyInArrow(compare, "a long, b long").distinct()
+            start = _group_starts(t)
+            held = t.slice(start[-1])           # the last group may go on
+            if start[-1]:
+                yield from _open_pairs(t.slice(0, start[-1]), num)
+        if held is not None:
+            yield from _open_pairs(held, num)
+
+    def compare_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The same pair is open in many lists: drop what a task has just said.
+        kept, n = [], 0
+        for batch in compare(batches):
+            kept.append(np.column_stack([c.to_numpy() for c in batch.columns]))
+            n += len(batch)
+            if n > OPEN_PAIRS:
+                kept = [np.unique(np.concatenate(kept), axis=0)]
+                n = len(kept[0])
+                if n > OPEN_PAIRS // 2:
+                    yield _pairs(kept[0])
+                    kept, n = [], 0
+        if kept:
+            yield _pairs(np.unique(np.concatenate(kept), axis=0))
+
+    return met.mapInArrow(compare_once, "a long, b long").distinct()
+
+
+def _pairs(pairs: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def _group_starts(t: pa.Table) -> np.ndarray:
+    run, x, y = (t.column(c).to_numpy() for c in ("run", "x", "y"))
+    return np.flatnonzero(np.concatenate(([True], (run[1:] != run[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))))
+
+
+def _open_pairs(t: pa.Table, num: int) -> Iterator[pa.RecordBatch]:
+    """Pairs across labels, within each group (run, x, y), that the filters leave open."""
+    start = _group_starts(t)
+    x, y, mine, doc, label, n = (t.column(c).to_numpy() for c in ("x", "y", "mine", "b", "label", "n"))
+    raw = [np.frombuffer(s.as_py(), np.uint8) for s in t.column("sketch")]
+    length = np.array([len(s) for s in raw])
+    group_end = np.repeat(np.append(start[1:], len(doc)), np.diff(start, append=len(doc)))
+    # A row meets the rows after it; where two blocks meet, a left row meets the right ones.
+    lefts = np.repeat(np.add.reduceat((mine == x).astype(np.int64), start), np.diff(start, append=len(doc)))
+    group_start = np.repeat(start, np.diff(start, append=len(doc)))
+    lo = np.where(x == y, np.arange(len(doc)) + 1, group_start + lefts)
+    count = np.where((x == y) | (mine == x), group_end - lo, 0)
+    # Sketches of each size: a set's own, or folded from the next larger.
+    place, matrix = {}, {}
+    for size in np.unique(length):
+        here = np.flatnonzero((length == size) | (length == 2 * size))
+        place[size] = np.full(len(doc), -1)
+        place[size][here] = np.arange(len(here))
+        matrix[size] = np.stack([folded(raw[k], size) for k in here]).view("<u8")
+    total = np.cumsum(count)
+    at = 0
+    while at < len(doc):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS_AT_ONCE, side="right")))
+        c = count[at:to]
+        i = np.repeat(np.arange(at, to), c)
+        j = np.repeat(lo[at:to] - np.cumsum(c) + c, c) + np.arange(int(c.sum()))
+        at = to
+        small, large = np.minimum(length[i], length[j]), np.maximum(length[i], length[j])
+        ok = ((label[i] != label[j]) & (doc[i] != doc[j]) & (large <= 2 * small)
+              & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * num))
+        i, j, small = i[ok], j[ok], small[ok]
+        found = []
+        for size in np.unique(small):
+            p, q = i[small == size], j[small == size]
+            step = max(1, SKETCH_BYTES // int(size))
+            for k in range(0, len(p), step):
+                a, b = p[k:k + step], q[k:k + step]
+                apart = np.bitwise_count(matrix[size][place[size][a]] ^ matrix[size][place[size][b]]).sum(axis=1, dtype=np.int64)
+                near = apart <= (100 - num) * (n[a] + n[b]) // (100 + num)
+                found.append(np.column_stack((np.minimum(doc[a], doc[b])[near], np.maximum(doc[a], doc[b])[near])))
+        if found:
+            yield _pairs(np.unique(np.concatenate(found), axis=0))
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, num: int = NUM,
@@ -349,19 +459,31 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     low, high = members.withColumnsRenamed({"doc_id": "a", "rep": "ra"}), members.withColumnsRenamed({"doc_id": "b", "rep": "rb"})
     pairs = (found.filter("run is null").select("a", "b").distinct().join(low, "a").join(high, "b").filter("ra <> rb")
              .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+    pairs = materialize(pairs)
     unique_sets = sets.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     known = texts.filter("doc_id is not null and text is not null")
     first = materialize(verified(materialize(filtered(pairs, unique_sets, num)), known, size, num).unionByName(equal))
     labels = components(first)
-    runs = (found.filter("run is not null").select("run", "b").join(members.withColumnsRenamed({"doc_id": "b"}), "b")
-            .select("run", F.col("rep").alias("b")).distinct())
-    more = materialize(verified(materialize(across(runs, labels, unique_sets, num)), known, size, num))
-    if more.limit(1).count():
-        name = labels.withColumnsRenamed({"node": "_n", "component": "_c"})
-        lift = lambda e, c: e.join(name, e[c] == name._n, "left").withColumn(c, F.coalesce("_c", c)).drop("_n", "_c")
-        merged = components(lift(lift(more, "a"), "b").filter("a <> b")).withColumnsRenamed({"node": "_n", "component": "_c"})
-        nodes = labels.unionByName(merged.select(F.col("_n").alias("node"), F.col("_n").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))
-        labels = (nodes.join(merged, nodes.component == merged._n, "left").select("node", F.coalesce("_c", "component").alias("component")))
+    # Most lists lie within one component by now; only the others go on, by representatives.
+    lists = found.filter("run is not null").select("run", "b")
+    spans = materialize(lists.join(labels, lists.b == labels.node, "left").groupBy("run")
+                        .agg(F.min(F.coalesce("component", "b")).alias("low"), F.max(F.coalesce("component", "b")).alias("high"))
+                        .filter("low <> high").select("run"))
+    if spans.count() <= SENT_PAIRS:
+        spans = F.broadcast(spans)
+    runs = materialize(lists.join(spans, "run", "left_semi").join(members.withColumnsRenamed({"doc_id": "b"}), "b")
+                       .select("run", F.col("rep").alias("b")).distinct())
+    for step in range(ROUNDS + 1):
+        if step < ROUNDS:
+            runs, candidates = star_around(runs, labels, step)
+            runs, candidates = materialize(runs), materialize(candidates)
+            if not runs.limit(1).count():       # every list lies within one component
+                break
+        else:
+            candidates = across(runs, labels, unique_sets, num)
+        candidates = materialize(filtered(candidates, unique_sets, num) if step < ROUNDS else candidates)
+        if candidates.limit(1).count():
+            labels = merged(labels, materialize(verified(candidates, known, size, num)))
     return (every.join(labels, every.doc_id == labels.node, "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")))
 

@@ -1,10 +1,15 @@
 import pytest
 
+#: The operators run many small jobs here: few partitions, one job a query and no
+#: code generation keep them short.
+SETTINGS = {"spark.sql.shuffle.partitions": "3", "spark.sql.adaptive.enabled": "false", "spark.sql.codegen.wholeStage": "false"}
+
 
 @pytest.fixture(scope="package", autouse=True)
-def few_partitions(spark):
-    """The operators run many small jobs here; few partitions keep them short."""
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "3")
+def small_jobs(spark):
+    old = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
     yield
-    spark.conf.set("spark.sql.shuffle.partitions", old)
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -227,3 +227,26 @@ def test_several_groups_of_items(spark, monkeypatch):
     monkeypatch.setattr(cgk, "GROUP_BYTES", 200)
     assert {(r.doc_id, r.item_id) for r in cgk.leaks(docs, bench).collect()} == {(i, i) for i in range(20)}
     assert cgk.decontaminate(docs, bench).count() == 0
+
+
+def test_pairs_across_components_equal_brute_force(monkeypatch):
+    monkeypatch.setattr(parityjoin, "PAIRS_AT_ONCE", 50)
+    monkeypatch.setattr(parityjoin, "SKETCH_BYTES", 1000)
+    rng = np.random.default_rng(0)
+    base = np.unique(rng.integers(0, 1 << 63, 400).astype(np.uint64))
+    sets = []
+    for k in range(120):
+        keep = rng.permutation(len(base))[:int(rng.integers(250, 400) if k % 3 else rng.integers(20, 60))]
+        sets.append(np.unique(np.concatenate((base[keep], rng.integers(0, 1 << 63, int(rng.integers(0, 90))).astype(np.uint64)))))
+    rows, want = [], set()
+    for run in range(40):
+        members, blocks = rng.permutation(120)[:int(rng.integers(2, 40))].tolist(), int(rng.integers(1, 4))
+        for d in members:
+            for other in range(blocks):
+                rows.append((run, min(d % blocks, other), max(d % blocks, other), d % blocks, d, d // 3, len(sets[d]), parityjoin.sketch_of(sets[d]).tobytes()))
+            want |= {(d, e) for e in members if d < e and d // 3 != e // 3 and parityjoin.may_link(
+                len(sets[d]), len(sets[e]), parityjoin.sketch_of(sets[d]).tobytes(), parityjoin.sketch_of(sets[e]).tobytes())}
+    rows.sort(key=lambda r: r[:4])
+    table = pa.table(dict(zip(("run", "x", "y", "mine", "b", "label", "n", "sketch"), map(pa.array, zip(*rows)))))
+    got = [(a, b) for batch in parityjoin._open_pairs(table, 75) for a, b in zip(*(c.to_pylist() for c in batch.columns))]
+    assert set(got) == want and want
