@@ -63,8 +63,8 @@ SKETCH_BYTES = 16 << 20
 OPEN_PAIRS = 1 << 19
 #: Further stars per member list before its components are compared pair by pair.
 ROUNDS = 2
-#: Up to this many pairs, the ids they name (16 bytes a pair) are sent to every task.
-SENT_PAIRS = 500_000
+#: Up to this many ids (8 bytes each) are sent to every task.
+SENT_IDS = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
@@ -255,10 +255,10 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def named_by(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The rows whose ``doc_id`` a pair names, found without a shuffle of the rows
-    while the pairs are few enough to be sent to every task; else all rows."""
-    if pairs.count() > SENT_PAIRS:
-        return rows
+    while their ids are few enough to be sent to every task; else all rows."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    if ids.count() > SENT_IDS:
+        return rows
     return rows.join(F.broadcast(ids), "doc_id", "left_semi")
 
 
@@ -469,7 +469,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spans = materialize(lists.join(labels, lists.b == labels.node, "left").groupBy("run")
                         .agg(F.min(F.coalesce("component", "b")).alias("low"), F.max(F.coalesce("component", "b")).alias("high"))
                         .filter("low <> high").select("run"))
-    if spans.count() <= SENT_PAIRS:
+    if spans.count() <= SENT_IDS:
         spans = F.broadcast(spans)
     runs = materialize(lists.join(spans, "run", "left_semi").join(members.withColumnsRenamed({"doc_id": "b"}), "b")
                        .select("run", F.col("rep").alias("b")).distinct())

@@ -67,7 +67,7 @@ def test_near_copies_equal_brute_force(docs, rows):
 def test_near_copies_around_a_hub_that_is_not_the_smallest(spark, monkeypatch):
     """The copies link with the original only, which has the largest id."""
     monkeypatch.setattr(parityjoin, "BLOCK", 4)
-    monkeypatch.setattr(parityjoin, "SENT_PAIRS", 0)        # the way for many pairs
+    monkeypatch.setattr(parityjoin, "SENT_IDS", 0)        # the way for many ids
     rng = random.Random(5)
     base = [f"w{i}" for i in range(200)]
     rows = []
