@@ -83,6 +83,20 @@ def test_stages_equal_brute_force(spark, tmp_path):
         docs = out
 
 
+def test_line_dedup_leaves_nothing_of_copies(spark):
+    """Whole copies go without debris, repeated passages go from the lines around them."""
+    schema = spark.read.parquet(f"{SF001}/documents.parquet").schema
+    rows = []
+    for n in range(2, 12):
+        text = "\n".join(f"own line {n} {k}" for k in range(n))
+        rows += [(100 * n, text, "en", "src0", len(text)), (100 * n + 1, text, "en", "src1", len(text)),
+                 (100 * n + 2, f"before {n}\n{text}\nafter {n}", "en", "src2", len(text) + 20)]
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, schema), SF001).collect()}
+    want = {i: (t, c) for i, t, _, _, c in rows if i % 100 == 0}
+    want |= {100 * n + 2: (t := f"before {n}\nafter {n}", len(t)) for n in range(2, 12)}
+    assert got == want
+
+
 def test_run_and_empty_documents(spark, tmp_path):
     assert corpus_pipeline.run(spark, SF001).count() > 0
     empty = spark.read.parquet(f"{SF001}/documents.parquet").limit(0)

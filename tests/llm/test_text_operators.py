@@ -142,6 +142,47 @@ def test_line_dedup_equals_brute_force(docs, rows, window, divisor):
     assert [c for c in out.columns if c not in ("n_lines", "n_removed_lines")] == docs.columns
 
 
+def runs_removed(texts):
+    """The line numbers to remove of each text in order: all runs of two or more lines that begin earlier too."""
+    first, out = {}, []
+    for k, text in enumerate(texts):
+        lines, gone = text.split("\n"), set()
+        for a in range(len(lines)):
+            for b in range(a + 2, len(lines) + 1):
+                run = tuple(lines[a:b])
+                where = first.setdefault(run, (k, a))
+                if where != (k, a) and "".join(run).strip():
+                    gone |= set(range(max(a, where[1] + b - a) if where[0] == k else a, b))
+        out.append(gone)
+    return out
+
+
+def test_line_dedup_removes_all_repeated_runs(spark, docs, rows):
+    rng = random.Random(9)
+    awkward = []
+    for i in range(120):                                             # runs of every length between other lines, periodic ones, blank lines
+        size = rng.randint(2, 8)
+        at = rng.randrange(40)
+        awkward.append((1000 + i, "\n".join([f"before {i}"] + [f"passage {at + j}" for j in range(size)] + [f"after {i}"]), None, None))
+    for i in range(40):
+        awkward.append((2000 + i, "\n".join(rng.choices(["a", "b", "", " ", f"own {i}"], k=rng.randint(1, 9))), None, None))
+    awkward += [(3000, "x\nx\nx\nx", None, None), (3001, "é\nß", None, None), (3002, "1\né\nß\n2", None, None)]
+    for given, frame in ((rows, docs), (awkward, X.frame(spark, awkward))):
+        order = sorted({(i, t) for i, t, *_ in given if t is not None})
+        gone = dict(zip(order, runs_removed([t for _, t in order])))
+        want = Counter()
+        for i, text, *_ in given:
+            if text is None:
+                want[(i, None, 0, 0)] += 1
+                continue
+            cut = gone[(i, text)]
+            kept = [x for k, x in enumerate(text.split("\n")) if k not in cut]
+            want[(i, "\n".join(kept), text.count("\n") + 1, len(cut))] += 1
+        got = linechunks.dedup(frame).select("doc_id", "text", "n_lines", "n_removed_lines").collect()
+        assert Counter(tuple(r) for r in got) == want
+        assert sum(n for (*_, removed), n in want.items() if removed) > 5
+
+
 def test_line_dedup_of_nothing(spark):
     assert linechunks.dedup(X.frame(spark, [])).count() == 0
 
