@@ -19,9 +19,9 @@ from sacctlens.session import checkpoint_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or with no language's prototype at a positive cosine, go; all others stay as they are."""
-    langs, prototypes = langid.learn(docs.filter(~held_out(F.col("doc_id"))))
-    return langid.accepted(docs, langs, prototypes)
+    """Documents without letters, or further from every language than its own documents are, go; all others stay as they are."""
+    langs, prototypes, bound = langid.learn_bound(docs.filter(~held_out(F.col("doc_id"))))
+    return langid.accepted(docs, langs, prototypes, bound=bound)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

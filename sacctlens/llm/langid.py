@@ -9,6 +9,13 @@ Letters are lower-cased code points for which ``str.isalpha`` holds, put into
 ``SLOTS`` slots by code point; everything else separates words.  Any script
 works; letters that share a slot share a vector.
 
+Text of no learned language is told by its cosine.  A text's vector is its language's
+direction, which grows with its trigrams n, plus noise, which grows with the root of
+the sum of their squared counts, so the cosine is about sqrt(m / (m + b)) with
+m = n^2 / sum of squared counts and some b.  ``learn_bound`` takes b from all training
+documents, each against the others of its language, as the quantile ``KEPT_SHARE``;
+``accepted`` keeps a text whose cosine is that of this b or better.
+
 Training takes one row of sums per task and language through a shuffle; the
 driver holds the prototypes only (languages x DIM numbers).
 
@@ -20,6 +27,7 @@ rows count each; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +45,9 @@ UNKNOWN = "und"
 SEED = 20240501
 #: Trigram vectors kept per task.
 KEPT = 32768
+#: Share of the training documents that the bound of ``accepted`` lets pass, and bins per power of two for finding it.
+KEPT_SHARE = 0.995
+BINS = 64
 
 _slot_table: np.ndarray | None = None
 
@@ -102,9 +113,13 @@ class Vectors:
         return counts.astype(np.float32) @ self.rows[at]
 
 
-def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dim: int = DIM) -> tuple[list[str], np.ndarray]:
-    """Languages in order and their prototypes (unit length) from labelled texts."""
-    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("lang is not null and text is not null")
+def _labelled(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    return docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("lang is not null and text is not null")
+
+
+def totals(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dim: int = DIM) -> tuple[list[str], np.ndarray]:
+    """Languages in order and the sums of their labelled texts' vectors."""
+    rows = _labelled(docs, text_col, lang_col)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, total = letter_vectors(dim), {}
@@ -127,18 +142,70 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dim:
     got = (parts.select("lang", F.posexplode("v").alias("pos", "x")).groupBy("lang", "pos").agg(F.sum("x").alias("x"))
            .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("v")).orderBy("lang").collect())
     langs = [r.lang for r in got]
-    proto = np.array([[x.x for x in r.v] for r in got], np.float64).reshape(len(langs), dim)
-    norms = np.linalg.norm(proto, axis=1, keepdims=True)
-    return langs, proto / np.where(norms > 0, norms, 1)
+    return langs, np.array([[x.x for x in r.v] for r in got], np.float64).reshape(len(langs), dim)
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    norms = np.linalg.norm(rows, axis=1, keepdims=True)
+    return rows / np.where(norms > 0, norms, 1)
+
+
+def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dim: int = DIM) -> tuple[list[str], np.ndarray]:
+    """Languages in order and their prototypes (unit length) from labelled texts."""
+    langs, sums = totals(docs, text_col, lang_col, dim)
+    return langs, _unit(sums)
+
+
+def counted(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and counts of a text's trigrams."""
+    codes = np.sort(trigrams(text or ""))
+    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))) if len(codes) else np.zeros(0, np.int64)
+    return codes[first], np.diff(first, append=len(codes))
+
+
+def evidence(counts: np.ndarray) -> float:
+    """The number of trigrams, as far as they are not repetitions."""
+    n = counts.astype(np.float64)
+    return float(n.sum() ** 2 / (n @ n))
+
+
+def learn_bound(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dim: int = DIM,
+                share: float = KEPT_SHARE) -> tuple[list[str], np.ndarray, float]:
+    """As ``learn``, and the bound for ``accepted``: infinite when no document has others of its language."""
+    langs, sums = totals(docs, text_col, lang_col, dim)
+    place = {lang: k for k, lang in enumerate(langs)}
+
+    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, found = Vectors(dim), {}
+        for batch in batches:
+            for text, lang in zip(batch.column("text"), batch.column("lang")):
+                codes, counts = counted(text.as_py())
+                if not len(codes):
+                    continue
+                v = vectors.bundle(codes, counts).astype(np.float64)
+                others = sums[place[lang.as_py()]] - v
+                size = np.linalg.norm(others) * np.linalg.norm(v)
+                if size > 0:
+                    cosine = min(1.0, max(1e-3, float(others @ v) / size))
+                    b = math.ceil(BINS * math.log2(max(1.0, evidence(counts) * (1 / cosine ** 2 - 1))))
+                    found[b] = found.get(b, 0) + 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["bin", "n"])
+
+    got = sorted(_labelled(docs, text_col, lang_col).mapInArrow(bins, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect())
+    upto = np.cumsum([r.n for r in got])
+    bound = 2.0 ** (got[int(np.searchsorted(upto, share * upto[-1]))].bin / BINS) if got else math.inf
+    return langs, _unit(sums), bound
 
 
 def nearest_prototype(text: str | None, vectors: Vectors, langs: list[str], matrix: np.ndarray) -> tuple[str, float]:
     """The language whose prototype (column of ``matrix``) is nearest, and the cosine (0 to 1)."""
-    codes = np.sort(trigrams(text or ""))
+    return _nearest(*counted(text), vectors, langs, matrix)
+
+
+def _nearest(codes: np.ndarray, counts: np.ndarray, vectors: Vectors, langs: list[str], matrix: np.ndarray) -> tuple[str, float]:
     if not len(codes) or not langs:
         return UNKNOWN, 0.0
-    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
-    v = vectors.bundle(codes[first], np.diff(first, append=len(codes)))
+    v = vectors.bundle(codes, counts)
     norm = float(np.sqrt(v.astype(np.float64) @ v))
     if norm == 0:
         return UNKNOWN, 0.0
@@ -168,12 +235,16 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, langs, prototypes).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def accepted(docs: DataFrame, langs: list[str], prototypes: np.ndarray, text_col: str = "text", least: float = 0.0) -> DataFrame:
-    """The documents, all columns, whose nearest prototype has a cosine above ``least``."""
+def accepted(docs: DataFrame, langs: list[str], prototypes: np.ndarray, text_col: str = "text", least: float = 0.0, bound: float = math.inf) -> DataFrame:
+    """The documents, all columns, whose nearest prototype has a cosine above ``least`` and not below that of ``bound``."""
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, matrix = Vectors(prototypes.shape[1]), prototypes.T.astype(np.float32)
         for batch in batches:
-            got = [nearest_prototype(text.as_py(), vectors, langs, matrix) for text in batch.column(text_col)]
-            yield batch.filter(pa.array([label != UNKNOWN and score > least for label, score in got], pa.bool_()))
+            kept = []
+            for text in batch.column(text_col):
+                codes, counts = counted(text.as_py())
+                label, score = _nearest(codes, counts, vectors, langs, matrix)
+                kept.append(label != UNKNOWN and score > least and score ** 2 * (1 + bound / evidence(counts)) >= 1)
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -1,4 +1,5 @@
 import os
+import random
 import re
 import sys
 from collections import Counter
@@ -83,6 +84,24 @@ def test_stages_equal_brute_force(spark, tmp_path):
         docs = out
 
 
+def test_language_id_rejects_unknown_text(spark):
+    """Gibberish of any script and an unlearned language go, the documents of the learned ones stay."""
+    rng = random.Random(4)
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    rows = [tuple(r) for r in docs.collect()]
+    at = docs.columns.index("lang")
+    known, unlearned = [r for r in rows if r[at] != "fr"], [(r[0], r[1], None, *r[3:]) for r in rows if r[at] == "fr"]
+    noise = []
+    for k, letters in enumerate(("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщ", [chr(0x4E00 + c) for c in range(2000)])):
+        for i in range(40):
+            text = " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(30 + 10 * i))
+            noise.append((10_000 + 100 * k + i, text, None, "src0", len(text)))
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, spark.createDataFrame(known + unlearned + noise, docs.schema), SF001).collect()}
+    assert not kept & {r[0] for r in noise}
+    assert len(unlearned) > 20 and len(kept & {r[0] for r in unlearned}) <= 0.05 * len(unlearned)
+    assert len(kept & {r[0] for r in known}) >= 0.99 * len(known)
+
+
 def test_line_dedup_leaves_nothing_of_copies(spark):
     """Whole copies go without debris, repeated passages go from the lines around them."""
     schema = spark.read.parquet(f"{SF001}/documents.parquet").schema
