@@ -7,9 +7,8 @@ symbol 0 stands beyond the ends of a text.  The network predicts each word from
 the symbol's class (32 of them) and the symbol within its class.  A document's
 score is the sum of the conditional log-probabilities of its words.
 
-Training covers every document: a task trains on its own texts, one position in
-``TRAIN_EVERY`` (the offset moves with the document), from the same start; the
-tasks' parameters are averaged by positions in a tree of shuffles.  What is
+Training covers every word of every document: a task trains on all positions of its
+own texts (``every`` thins them out), from the same start; the tasks' parameters are averaged by positions in a tree of shuffles.  What is
 gathered (counts and parameters per task) grows with the input; the driver holds
 one network of fixed size.
 
@@ -36,7 +35,7 @@ TOP = 511
 CLASSES = 32
 SIDE = 2
 HIDDEN = 32
-TRAIN_EVERY = 8
+TRAIN_EVERY = 1
 BATCH = 2048
 RATE = 0.1
 SEED = 11

@@ -179,6 +179,19 @@ def test_lm_rows(spark, docs):
     assert maskedlm.score(empty, *maskedlm.fit(empty)).count() == 0
 
 
+def test_lm_trains_on_every_position(spark):
+    """Where no position is multiple of 8, thinning would leave the network at its start."""
+    rows = [(0, "", None, None)] + [(i, "la lo", None, None) for i in range(1, 7)]
+    few = X.frame(spark, rows).coalesce(1)
+    symbol, net = maskedlm.fit(few)
+    counts = maskedlm.count_slots(few.select("text"))
+    start = maskedlm.Network.start(np.bincount(symbol, weights=counts, minlength=maskedlm.SYMBOLS))
+    learned = np.flatnonzero((net.parts[0] != start.parts[0]).any(axis=(0, 2)))
+    of = lambda w: symbol[maskedlm.slots_of(pa.array([w]))[0][0]]
+    assert set(learned) == {0, of("la"), of("lo")}
+    assert maskedlm.score(few.filter("doc_id = 1"), symbol, net).first().log_likelihood > maskedlm.score(few.filter("doc_id = 1"), symbol, start).first().log_likelihood
+
+
 def test_lm_counts_cover_all_documents(docs):
     want = np.zeros(maskedlm.SLOTS, np.int64)
     for _, text, *_ in X.corpus():
