@@ -4,8 +4,14 @@ Words map to ``SYMBOLS`` symbols: the ``TOP`` most frequent of 2^16 hash slots,
 counted over all documents, have their own; other slots share the rest by hash;
 symbol 0 stands beyond the ends of a text.  The network predicts each word from
 ``SIDE`` symbols on both of its sides: a tanh layer over one table per place, then
-the symbol's class (32 of them) and the symbol within its class.  A document's
-score is the sum of the conditional log-probabilities of its words.
+the symbol's class (32 of them) and the symbol within its class.  The word within its
+symbol follows from a table of all words' counts, which grows with the corpus and
+stays in Spark: p(word | symbol) is the word's share of its symbol's occurrences.
+A document's score is the sum of the conditional log-probabilities of its words.
+
+Tasks write their texts' symbol scores and word numbers in chunks of bounded size,
+each with the list of its distinct words; these lists, not the texts, are joined to
+the counts, and what is found returns to the chunk.
 
 Training covers every word of every document: a task trains on all positions of its
 own texts (``every`` thins them out), from the same start; the tasks' parameters are averaged by positions in a tree of shuffles.  What is
@@ -13,12 +19,15 @@ gathered (counts and parameters per task) grows with the input; the driver holds
 one network of fixed size.
 
 Defined results: a null or empty text has 0 words, sum 0 and a null mean; without
-any word in the corpus, the network stays at its start; repeated rows train and
+any word in the corpus, the network stays at its start; a word that the table of
+counts does not hold counts as half an occurrence; words are told apart by 64-bit
+hashes; repeated rows train and
 score as often as they occur; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,14 +51,26 @@ SEED = 11
 #: Pieces that a network is cut into on its way through the shuffles.
 CHUNKS = 64
 LOTS = 64
+#: Text of one chunk of scores: few enough words for two bytes each.
+CHUNK_BYTES = 2 << 20
 _PLACES = [-k for k in range(SIDE, 0, -1)] + list(range(1, SIDE + 1))
 
 
-def slots_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash slots of all words, and the rows' word offsets."""
+def hashes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and the rows' word offsets."""
     buf, offs = buffers(texts)
     starts, ends, rows = word_spans(buf, offs)
-    return (span_hashes(buf, starts, ends) >> np.uint64(48)).astype(np.int64), rows
+    return span_hashes(buf, starts, ends), rows
+
+
+def slot_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(48)).astype(np.int64)
+
+
+def slots_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hash slots of all words, and the rows' word offsets."""
+    hashes, rows = hashes_of(texts)
+    return slot_of(hashes), rows
 
 
 def padded(slots: np.ndarray, rows: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,6 +107,26 @@ def count_slots(texts: DataFrame) -> np.ndarray:
     return out
 
 
+def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """word (its hash), n: occurrences of every word over all documents, as a written table."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in steps(batch):
+                words, n = np.unique(hashes_of(batch.column("text").slice(lo, hi - lo))[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["word", "n"])
+
+    texts = docs.select(F.col(text_col).alias("text")).filter("text is not null")
+    return materialize(texts.mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+
+
+def slot_counts(words: DataFrame) -> np.ndarray:
+    """Occurrences of each slot, from the table of words."""
+    out = np.zeros(SLOTS, np.int64)
+    for r in words.groupBy(F.shiftrightunsigned("word", 48).alias("slot")).agg(F.sum("n").alias("n")).collect():
+        out[r.slot] = r.n
+    return out
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     z = np.exp(z - z.max(axis=1, keepdims=True))
     return z / z.sum(axis=1, keepdims=True)
@@ -237,17 +278,66 @@ def train(texts: DataFrame, symbol: np.ndarray, start: Network, every: int = TRA
     return Network(np.concatenate([np.frombuffer(r.piece, "<f8") / r.n for r in got]))
 
 
-def fit(docs: DataFrame, text_col: str = "text", every: int = TRAIN_EVERY) -> tuple[np.ndarray, Network]:
-    """Symbol table and network, from all documents."""
+def fit(docs: DataFrame, text_col: str = "text", every: int = TRAIN_EVERY, words: DataFrame | None = None) -> tuple[np.ndarray, Network]:
+    """Symbol table and network, from all documents; ``words`` are their counts, if at hand."""
     texts = docs.select(F.col(text_col).alias("text")).filter("text is not null")
-    counts = count_slots(texts)
+    counts = count_slots(texts) if words is None else slot_counts(words)
     symbol = symbol_table(counts)
     start = Network.start(np.bincount(symbol, weights=counts, minlength=SYMBOLS))
     return symbol, train(texts, symbol, start, every)
 
 
-def score(docs: DataFrame, symbol: np.ndarray, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, log_likelihood, mean_log_likelihood of every document."""
+def score(docs: DataFrame, symbol: np.ndarray, net: Network, id_col: str = "doc_id", text_col: str = "text", words: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_words, log_likelihood, mean_log_likelihood of every document.
+
+    Without ``words``, the likelihood is that of the symbols only.
+    """
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    out = _symbol_scores(texts, symbol, net) if words is None else _word_scores(texts, symbol, net, words)
+    return out.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
+
+
+def _word_scores(texts: DataFrame, symbol: np.ndarray, net: Network, words: DataFrame) -> DataFrame:
+    flat = net.flat
+    occurrences = np.bincount(symbol, weights=slot_counts(words), minlength=SYMBOLS)
+
+    def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network, number = Network(flat), TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for lo, hi in steps(batch, most=CHUNK_BYTES):
+                part = batch.slice(lo, hi - lo)
+                hashes, rows = hashes_of(part.column("text"))
+                total = np.concatenate(([0.0], np.cumsum(network.log_probabilities(*padded(slot_of(hashes), rows, symbol)))))
+                distinct, at = np.unique(hashes, return_inverse=True)
+                # A sum needs no order: sorted within each text, the differences are small.
+                at = np.sort(np.repeat(np.arange(len(part)), np.diff(rows)) << 32 | at).astype("<u2" if len(distinct) <= 1 << 16 else "<u4")
+                at = np.diff(at, prepend=at.dtype.type(0)).view(np.uint8).reshape(len(at), -1).T
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([number]), pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([np.diff(rows).tolist()], pa.list_(pa.int64())),
+                    pa.array([(total[rows[1:]] - total[rows[:-1]]).tolist()], pa.list_(pa.float64())),
+                    pa.array([distinct.view(np.int64)], pa.list_(pa.int64())), pa.array([zlib.compress(at.tobytes(), 1)], pa.binary())],
+                    names=["chunk", "doc_ids", "n_words", "scores", "words", "at"])
+                number += 1
+
+    def ended(chunks: pa.Table, found: pa.Table) -> pa.Table:
+        ids, n_words, scores = (chunks.column(c).combine_chunks().flatten() for c in ("doc_ids", "n_words", "scores"))
+        hashes = chunks.column("words").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        n = np.zeros(len(hashes))
+        n[found.column("k").to_numpy()] = found.column("n").to_numpy()
+        within = np.log(np.maximum(n, 0.5)) - np.log(np.maximum(occurrences[symbol[slot_of(hashes)]], 0.5))
+        kind = np.dtype("<u2" if len(hashes) <= 1 << 16 else "<u4")
+        planes = np.frombuffer(zlib.decompress(chunks.column("at")[0].as_py()), np.uint8).reshape(kind.itemsize, -1)
+        at = np.cumsum(np.ascontiguousarray(planes.T).view(kind).ravel(), dtype=kind)
+        rows = np.concatenate(([0], np.cumsum(n_words.to_numpy())))
+        total = np.concatenate(([0.0], np.cumsum(within[at])))
+        return pa.table({"doc_id": ids, "n_words": n_words, "log_likelihood": pa.array(scores.to_numpy() + total[rows[1:]] - total[rows[:-1]])})
+
+    sent = materialize(texts.mapInArrow(begun, "chunk long, doc_ids array<long>, n_words array<long>, scores array<double>, words array<long>, at binary"))
+    found = sent.select(F.col("chunk").alias("of"), F.posexplode("words").alias("k", "word")).join(words.hint("merge"), "word").select("of", "k", "n")
+    return sent.groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(ended, "doc_id long, n_words long, log_likelihood double")
+
+
+def _symbol_scores(texts: DataFrame, symbol: np.ndarray, net: Network) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_likelihood", pa.float64())])
     flat = net.flat
 
@@ -260,6 +350,4 @@ def score(docs: DataFrame, symbol: np.ndarray, net: Network, id_col: str = "doc_
                 total = np.concatenate(([0.0], np.cumsum(network.log_probabilities(*padded(slots, rows, symbol)))))
                 yield record(schema, doc_id=part.column("doc_id"), n_words=np.diff(rows), log_likelihood=total[rows[1:]] - total[rows[:-1]])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(scored, "doc_id long, n_words long, log_likelihood double")
-            .withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))))
+    return texts.mapInArrow(scored, "doc_id long, n_words long, log_likelihood double")

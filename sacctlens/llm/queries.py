@@ -35,7 +35,8 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return maskedlm.score(docs, *maskedlm.fit(docs))
+    words = maskedlm.count_words(docs)
+    return maskedlm.score(docs, *maskedlm.fit(docs, words=words), words=words)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
+import math
 import os
 import random
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -179,6 +181,34 @@ def test_lm_rows(spark, docs):
     assert maskedlm.score(empty, *maskedlm.fit(empty)).count() == 0
 
 
+def test_lm_scores_the_word_within_its_symbol(spark, docs):
+    texts = [t or "" for _, t, *_ in X.corpus()]
+    words = maskedlm.count_words(docs)
+    count = Counter(w for t in texts for w in X.words(t))
+    assert sorted(r.n for r in words.collect()) == sorted(count.values())
+    assert np.array_equal(maskedlm.slot_counts(words), maskedlm.count_slots(docs.select("text")))
+    symbol, net = maskedlm.fit(docs, words=words)
+    of = {w: symbol[maskedlm.slots_of(pa.array([w]))[0][0]] for w in count}
+    size = Counter()
+    for w, n in count.items():
+        size[of[w]] += n
+    plain = {r.doc_id: r.log_likelihood for r in maskedlm.score(docs, symbol, net).collect()}
+    got = maskedlm.score(docs, symbol, net, words=words).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, *_ in X.corpus())
+    by_id = dict((i, t) for i, t, *_ in X.corpus())
+    for r in got:
+        want = plain[r.doc_id] + sum(math.log(count[w] / size[of[w]]) for w in X.words(by_id[r.doc_id]))
+        assert r.n_words == len(X.words(by_id[r.doc_id])) and r.log_likelihood == pytest.approx(want, rel=1e-6, abs=1e-6)
+    # a word of the same symbol that the corpus lacks scores lower
+    known = max((w for w in count if size[of[w]] > count[w] > 1), key=count.get)
+    other = next(w for w in (f"zq{i}" for i in range(10**6)) if symbol[maskedlm.slots_of(pa.array([w]))[0][0]] == of[known] and w not in count)
+    pair = X.frame(spark, [(1, known, None, None), (2, other, None, None)])
+    low = {r.doc_id: r.log_likelihood for r in maskedlm.score(pair, symbol, net, words=words).collect()}
+    assert low[2] < low[1]
+    empty = X.frame(spark, [])
+    assert maskedlm.score(empty, symbol, net, words=maskedlm.count_words(empty)).count() == 0
+
+
 def test_lm_trains_on_every_position(spark):
     """Where no position is multiple of 8, thinning would leave the network at its start."""
     rows = [(0, "", None, None)] + [(i, "la lo", None, None) for i in range(1, 7)]
