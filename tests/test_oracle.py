@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as E
 from sacctlens.plans.oracle import oracle_sql
 from sacctlens.plans.queries import QUERIES
-from conftest import SF01
+from paths import SF01
 from oracle_check import compare, duck
 
 SQL = oracle_sql()

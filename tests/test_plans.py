@@ -6,7 +6,7 @@ import pytest
 
 from sacctlens.plans.explain import final_plan_text, plan_text
 from sacctlens.plans.queries import QUERIES
-from conftest import SF01
+from paths import SF01
 
 
 def _plan(df, run=False):

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from paths import SF01
 from sacctlens import schema as S
 from sacctlens.functions import calendar as C
 from sacctlens.operators import compare as CMP

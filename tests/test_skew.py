@@ -5,7 +5,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from conftest import SF01
+from paths import SF01
 from oracle_check import compare, duck
 from sacctlens.plans.explain import final_plan_text
 from sacctlens.plans.oracle import oracle_sql
