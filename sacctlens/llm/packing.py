@@ -42,7 +42,7 @@ LENGTH = 4096
 END_ID = 2
 SENTENCE_CUT = 4
 HARD_CUT = 16
-GRAIN = 16
+GRAIN = 32
 LOT = 1 << 19
 KNOWN = 1 << 20
 STEP_BYTES = 2 << 20
