@@ -52,6 +52,9 @@ MOST = 2000
 SHARD = 1 << 19
 WORDS = 1 << 20
 DIGIT = 6
+STEP_BYTES = 2 << 20
+#: Distinct proposals that a task holds before it sends them.
+HELD = 1 << 20
 #: A longer candidate drops its parts from this share of their count on; scores are per SCALE.
 KEPT_SHARE = 80
 SCALE = 2_000_000
@@ -78,7 +81,7 @@ def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     first[a], last[b] = solid[a], solid[b]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     row = np.searchsorted(offs, starts, side="right") - 1
-    piece = np.cumsum(ends_piece)[starts] if len(starts) else starts
+    piece = np.cumsum(ends_piece, dtype=np.int32 if len(buf) < 1 << 31 else np.int64)[starts]
     fresh = np.ones(len(starts), bool)
     fresh[1:] = (piece[1:] != piece[:-1]) | (row[1:] != row[:-1])
     return buf, starts, ends, row, fresh
@@ -101,7 +104,7 @@ def _prepared(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple]:
     """Words of a batch's steps: bytes, starts, ends, language number of each word, beginnings of pieces, languages."""
-    for lo, hi in steps(batch):
+    for lo, hi in steps(batch, most=STEP_BYTES):
         part = batch.slice(lo, hi - lo)
         coded = part.column("lang").dictionary_encode()
         langs = coded.dictionary.to_pylist()
@@ -422,11 +425,10 @@ def _ranges(phrases: DataFrame, columns: list[str], shard: int) -> DataFrame:
 
 
 def _tries(ranges: DataFrame) -> Iterator[tuple]:
-    """shard, low, high and broadcast trie, one after another."""
+    """shard, low, high and a function that broadcasts the trie."""
     sc = ranges.sparkSession.sparkContext
     for r in ranges.select("shard", "low", "high").orderBy("shard").collect():
-        held = sc.broadcast(ranges.filter(F.col("shard") == r.shard).select("trie").first().trie)
-        yield r.shard, r.low, r.high, held
+        yield r.shard, r.low, r.high, lambda shard=r.shard: sc.broadcast(ranges.filter(F.col("shard") == shard).select("trie").first().trie)
 
 
 def _packed(words: np.ndarray) -> np.ndarray:
@@ -435,75 +437,110 @@ def _packed(words: np.ndarray) -> np.ndarray:
     return np.stack([(w[:, k] << np.uint64(32)) | w[:, k + 1] for k in range(0, w.shape[1], 2)], axis=1)
 
 
-def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _counted(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and their numbers of times."""
     order = np.argsort(keys[:, 0]) if keys.shape[1] == 1 else np.lexsort((keys[:, 1], keys[:, 0]))
     keys = keys[order]
-    edge = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1))))
-    return keys[edge], np.diff(np.append(edge, len(keys)))
+    edge = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1)))) if len(keys) else np.zeros(0, np.int64)
+    if times is None:
+        return keys[edge], np.diff(np.append(edge, len(keys)))
+    return keys[edge], np.add.reduceat(times[order], edge) if len(edge) else times
+
+
+class Proposals:
+    """Keys proposed by a task with their numbers of times, summed up before they are sent."""
+
+    def __init__(self, width: int):
+        self.width, self.keys, self.times, self.size = width, [], [], 0
+
+    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys, times = _counted(keys)
+        self.keys.append(keys)
+        self.times.append(times)
+        self.size += len(keys)
+        if self.size > HELD:
+            keys, times = _counted(np.concatenate(self.keys), np.concatenate(self.times))
+            self.keys, self.times, self.size = [keys], [times], len(keys)
+            if self.size > HELD // 2:
+                yield from self.send()
+
+    def send(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            keys, times = _counted(np.concatenate(self.keys), np.concatenate(self.times))
+            self.keys, self.times, self.size = [], [], 0
+            for lo in range(0, len(keys), 1 << 16):
+                part = slice(lo, lo + (1 << 16))
+                yield pa.RecordBatch.from_arrays([*(pa.array(keys[part, k].astype(np.int64)) for k in range(self.width)), pa.array(times[part])],
+                                                 names=["k", "l", "n"] if self.width == 2 else ["k", "n"])
 
 
 def propose_pairs(runs: DataFrame) -> DataFrame:
     """w1, w2, n of all adjacent frequent words."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Proposals(1)
         for batch in batches:
             for body in batch.column(0):
                 ids = np.frombuffer(body.as_buffer(), "<i4")
                 at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-                if len(at):
-                    keys, n = _counted(_packed(np.stack([ids[at], ids[at + 1]], axis=1)))
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0].view(np.int64)), pa.array(n)], names=["k", "n"])
+                yield from found.add(_packed(np.stack([ids[at], ids[at + 1]], axis=1)))
+        yield from found.send()
 
     return (runs.mapInArrow(work, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
             .select(F.shiftright("k", 32).cast("int").alias("w1"), F.col("k").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("w2"), "n"))
 
 
-def mark_pairs(runs: DataFrame, pairs: DataFrame, shard: int) -> DataFrame:
-    """runs, marks: a byte per position, 1 where a frequent pair starts; a pass per trie of pairs."""
+def longer_keys(ids: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Keys of all phrases of three and four (fourth word 0: three) whose pairs are all marked."""
+    ok = marks > 0
+    three = ok[:-1] & ok[1:]
+    at = np.flatnonzero(three)
+    more = np.flatnonzero(three[:-1] & ok[2:])
+    rows = np.zeros((len(at) + len(more), 4), np.int32)
+    for k in range(3):
+        rows[:len(at), k], rows[len(at):, k] = ids[at + k], ids[more + k]
+    rows[len(at):, 3] = ids[more + 3]
+    return _packed(rows)
+
+
+def propose_longer(runs: DataFrame, pairs: DataFrame, shard: int) -> DataFrame:
+    """w1, w2, w3, w4 (0 for phrases of three), n: what occurs with all its pairs frequent.
+
+    One pass per trie of pairs marks the positions where one starts (a byte each, written
+    along with the runs between passes); the last pass proposes.
+    """
     marked = runs.withColumn("marks", F.lit(None).cast("binary"))
-    ranges = _ranges(pairs, ["w1", "w2"], shard)
-    several = ranges.count() > 1
-    for _, low, high, held in _tries(ranges):
-        def work(batches: Iterator[pa.RecordBatch], low=low, high=high, held=held) -> Iterator[pa.RecordBatch]:
+    tries = list(_tries(_ranges(pairs, ["w1", "w2"], shard)))
+    proposed = runs.sparkSession.createDataFrame([], "k long, l long, n long")
+    for turn, (_, low, high, send) in enumerate(tries, 1):
+        held = send()
+
+        def marks_of(batches: Iterator[pa.RecordBatch], low=low, high=high, held=held) -> Iterator[tuple]:
             trie = Trie.unpack(held.value)
             for batch in batches:
-                for i in range(batch.num_rows):
-                    ids = np.frombuffer(batch.column(0)[i].as_buffer(), "<i4")
-                    old = batch.column(1)[i]
+                for body, old in zip(batch.column(0), batch.column(1)):
+                    ids = np.frombuffer(body.as_buffer(), "<i4")
                     marks = np.frombuffer(old.as_buffer(), np.uint8).copy() if old.is_valid else np.zeros(len(ids), np.uint8)
                     for at, state in trie.walk(ids, trie.starts(ids, low, high)):
                         marks[at[trie.end[state] > 0]] = 1
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([marks.tobytes()], pa.binary())], names=["runs", "marks"])
-
-        marked = marked.mapInArrow(work, "runs binary, marks binary")
-        if several:
-            marked = materialize(marked)
-            held.destroy()
-    return marked
+                    yield body, ids, marks
 
+        def mark(batches: Iterator[pa.RecordBatch], marks_of=marks_of) -> Iterator[pa.RecordBatch]:
+            for body, _, marks in marks_of(batches):
+                yield pa.RecordBatch.from_arrays([pa.array([body.as_py()], pa.binary()), pa.array([marks.tobytes()], pa.binary())], names=["runs", "marks"])
 
-def propose_longer(marked: DataFrame) -> DataFrame:
-    """w1, w2, w3, w4 (0 for phrases of three), n: what occurs with all its pairs frequent."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                if not batch.column(1)[i].is_valid:
-                    continue
-                ids = np.frombuffer(batch.column(0)[i].as_buffer(), "<i4")
-                ok = np.frombuffer(batch.column(1)[i].as_buffer(), np.uint8) > 0
-                three = ok[:-1] & ok[1:]
-                at = np.flatnonzero(three)
-                more = np.flatnonzero(three[:-1] & ok[2:])
-                rows = np.zeros((len(at) + len(more), 4), np.int32)
-                for k in range(3):
-                    rows[:len(at), k], rows[len(at):, k] = ids[at + k], ids[more + k]
-                rows[len(at):, 3] = ids[more + 3]
-                if len(rows):
-                    keys, n = _counted(_packed(rows))
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0].view(np.int64)), pa.array(keys[:, 1].view(np.int64)), pa.array(n)], names=["k", "l", "n"])
+        def propose(batches: Iterator[pa.RecordBatch], marks_of=marks_of) -> Iterator[pa.RecordBatch]:
+            found = Proposals(2)
+            for _, ids, marks in marks_of(batches):
+                yield from found.add(longer_keys(ids, marks))
+            yield from found.send()
 
+        if turn < len(tries):
+            marked = materialize(marked.mapInArrow(mark, "runs binary, marks binary"))
+            held.destroy()
+        else:
+            proposed = marked.mapInArrow(propose, "k long, l long, n long")
     part = lambda c, high: (F.shiftright(c, 32) if high else F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))).cast("int")
-    return (marked.mapInArrow(work, "k long, l long, n long").groupBy("k", "l").agg(F.sum("n").alias("n"))
+    return (proposed.groupBy("k", "l").agg(F.sum("n").alias("n"))
             .select(part("k", True).alias("w1"), part("k", False).alias("w2"), part("l", True).alias("w3"), part("l", False).alias("w4"), "n"))
 
 
@@ -511,7 +548,9 @@ def count_phrases(runs: DataFrame, candidates: DataFrame, shard: int) -> DataFra
     """w1..w4, f: occurrences of every candidate, by one pass per trie."""
     ranges = _ranges(candidates, ["w1", "w2", "w3", "w4"], shard)
     spark, counts = runs.sparkSession, None
-    for number, low, high, held in _tries(ranges):
+    for number, low, high, send in _tries(ranges):
+        held = send()
+
         def work(batches: Iterator[pa.RecordBatch], low=low, high=high, held=held, number=number) -> Iterator[pa.RecordBatch]:
             trie = Trie.unpack(held.value)
             total = np.zeros(trie.count + 1, np.int64)
@@ -551,7 +590,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, text_col: str = "text", l
     words = materialize(numbered(materialize(counted.filter(F.col("n") >= least)), words_shard))
     runs = encode(docs, words, text_col, lang_col)
     pairs = materialize(propose_pairs(runs).filter(F.col("n") >= least))
-    longer = materialize(propose_longer(mark_pairs(runs, pairs, shard)).filter(F.col("n") >= least))
+    longer = materialize(propose_longer(runs, pairs, shard).filter(F.col("n") >= least))
     three, four = longer.filter("w4 = 0"), longer.filter("w4 > 0")
     # A phrase of four whose parts of three are not both proposed cannot be frequent.
     head = three.select("w1", "w2", "w3")

@@ -65,7 +65,7 @@ def phrase_rows(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed, least, most, shard, words_shard", [(1, 6, 2000, 1 << 19, 1 << 20), (2, 3, 25, 40, 9), (3, 30, 2000, 1 << 19, 16)])
+@pytest.mark.parametrize("seed, least, most, shard, words_shard", [(1, 6, 2000, 1 << 19, 1 << 20), (2, 3, 25, 400, 60), (3, 30, 2000, 1 << 19, 16)])
 def test_phrases_equal_brute_force(spark, seed, least, most, shard, words_shard):
     """With one trie and dictionary, and with many small ones."""
     rows = phrase_rows(seed)
