@@ -16,7 +16,7 @@ the pieces into words at spaces and tabs.  Everything is per language.
     after another is broadcast (its size is bounded by ``SHARD``) and read by all
     tasks: the positions whose word may begin a phrase of the range hold a state each;
     all states advance together, word by word, digit by digit; accepting states are
-    bincounted.  The sums over tasks are the phrases' counts.
+    bincounted.  The tasks' vectors of counts are added up, ``FAN`` at a time.
 5.  Scores, the dropping of parts of longer candidates and the first ``most`` of each
     language are joins and windows over the counts.
 
@@ -40,10 +40,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sacctlens.llm.common import materialize
 from sacctlens.llm.textkit import buffers, mix, span_hashes, steps
+from sacctlens.sources.local import local_rows
 
 LEAST = 30
 LONGEST = 4
@@ -55,6 +57,9 @@ DIGIT = 6
 STEP_BYTES = 2 << 20
 #: Distinct proposals that a task holds before it sends them.
 HELD = 1 << 20
+#: Counts in one vector that a task sends, and vectors that are added up at a time.
+CHUNK = 4096
+FAN = 256
 #: A longer candidate drops its parts from this share of their count on; scores are per SCALE.
 KEPT_SHARE = 80
 SCALE = 2_000_000
@@ -404,23 +409,30 @@ def _displace(parent: np.ndarray, symbol: np.ndarray, nodes: int) -> tuple[np.nd
 
 
 def _ranges(phrases: DataFrame, columns: list[str], shard: int) -> DataFrame:
-    """low, high, trie, first: double-array tries of the phrases' ranges, and the rows of each; written as a table."""
-    n = phrases.count()
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [np.stack([b.column(k).to_numpy() for k in range(len(columns))], axis=1) for b in batches if b.num_rows]
-        if not rows:
-            return
-        rows = np.concatenate(rows)
-        for lo in range(0, len(rows), 2 * shard):            # ranges are cut by estimate: none outgrows its bound
+    """shard, low, high, trie, rows: double-array tries of the phrases' ranges, and the rows of each; written as a table."""
+    spark = phrases.sparkSession
+    parts = max(1, -(-phrases.count() // shard))
+    placed = materialize(phrases.select(*columns).repartitionByRange(parts, *columns).withColumn("part", F.spark_partition_id()))
+    # Neighbouring partitions share a range while it stays within its bound, however many there are.
+    groups, size, group = [], 0, 0
+    for part, n in sorted((r.part, r.n) for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()):
+        if size and size + n > shard:
+            group, size = group + 1, 0
+        size += n
+        groups.append((part, group))
+
+    def build(table: pa.Table) -> pa.Table:
+        rows = np.stack([table[c].to_numpy() for c in columns], axis=1)
+        rows = rows[np.lexsort(rows.T[::-1])]
+        out = []
+        for lo in range(0, len(rows), 2 * shard):            # partitions are cut by estimate: no range outgrows its bound
             part = rows[lo:lo + 2 * shard]
-            trie = Trie.build(part)
-            yield pa.RecordBatch.from_arrays([pa.array([int(part[0, 0])]), pa.array([int(part[-1, 0])]), pa.array([trie.pack()], pa.large_binary()).cast(pa.binary()),
-                                              pa.array([part.astype("<i4").tobytes()], pa.binary())], names=["low", "high", "trie", "rows"])
+            out.append((int(part[0, 0]), int(part[-1, 0]), Trie.build(part).pack(), part.astype("<i4").tobytes()))
+        low, high, trie, body = zip(*out)
+        return pa.table({"low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64()), "trie": pa.array(trie, pa.binary()), "rows": pa.array(body, pa.binary())})
 
-    shards = max(1, -(-n // shard))
-    ordered = phrases.select(*columns).repartitionByRange(shards, *columns).sortWithinPartitions(*columns)
-    made = materialize(ordered.mapInArrow(build, "low long, high long, trie binary, rows binary"))
+    grouped = placed.join(F.broadcast(local_rows(spark, groups or [(0, 0)], "part int, range int")), "part")
+    made = materialize(grouped.select("range", *columns).groupBy("range").applyInArrow(build, "low long, high long, trie binary, rows binary"))
     return made.withColumn("shard", F.row_number().over(Window.orderBy("low", "high", F.xxhash64("rows"))))
 
 
@@ -544,10 +556,23 @@ def propose_longer(runs: DataFrame, pairs: DataFrame, shard: int) -> DataFrame:
             .select(part("k", True).alias("w1"), part("k", False).alias("w2"), part("l", True).alias("w3"), part("l", False).alias("w4"), "n"))
 
 
+def _summed(vectors: DataFrame) -> DataFrame:
+    """shard, chunk, counts: vectors of counts added up over tasks, at most FAN of them in one group at a time."""
+    def add(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(v.as_buffer(), "<i8") for v in table["counts"]], axis=0)
+        return pa.table({"shard": table["shard"][:1], "chunk": table["chunk"][:1], "task": table["task"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    while True:
+        vectors = materialize(vectors.withColumn("task", F.expr(f"cast(task div {FAN} AS int)")).groupBy("shard", "chunk", "task")
+                              .applyInArrow(add, "shard int, chunk int, task int, counts binary"))
+        if not vectors.agg(F.max("task").alias("task")).first().task:
+            return vectors.select("shard", "chunk", "counts")
+
+
 def count_phrases(runs: DataFrame, candidates: DataFrame, shard: int) -> DataFrame:
     """w1..w4, f: occurrences of every candidate, by one pass per trie."""
     ranges = _ranges(candidates, ["w1", "w2", "w3", "w4"], shard)
-    spark, counts = runs.sparkSession, None
+    spark, sums = runs.sparkSession, None
     for number, low, high, send in _tries(ranges):
         held = send()
 
@@ -559,14 +584,23 @@ def count_phrases(runs: DataFrame, candidates: DataFrame, shard: int) -> DataFra
                     ids = np.frombuffer(body.as_buffer(), "<i4")
                     for _, state in trie.walk(ids, trie.starts(ids, low, high)):
                         total += np.bincount(trie.end[state], minlength=len(total))
-            found = np.flatnonzero(total[1:])
-            for lo in range(0, len(found), 1 << 16):
-                some = found[lo:lo + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), number, np.int32)), pa.array(some.astype(np.int32)), pa.array(total[some + 1])], names=["shard", "place", "f"])
-
-        got = materialize(runs.select("runs").mapInArrow(work, "shard int, place int, f long").groupBy("shard", "place").agg(F.sum("f").alias("f")))
+            task = TaskContext.get().partitionId()
+            for lo in range(0, trie.count, CHUNK):
+                part = total[1 + lo:1 + lo + CHUNK]
+                if part.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([lo // CHUNK], pa.int32()), pa.array([task], pa.int32()),
+                                                      pa.array([part.astype("<i8").tobytes()], pa.binary())], names=["shard", "chunk", "task", "counts"])
+
+        got = _summed(runs.select("runs").mapInArrow(work, "shard int, chunk int, task int, counts binary"))
         held.destroy()
-        counts = got if counts is None else counts.unionByName(got)
+        sums = got if sums is None else sums.unionByName(got)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, chunk, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                f = np.frombuffer(body.as_buffer(), "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(f), number, np.int32)), pa.array(np.arange(chunk * CHUNK, chunk * CHUNK + len(f), dtype=np.int32)), pa.array(f)],
+                                                 names=["shard", "place", "f"])
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -578,8 +612,9 @@ def count_phrases(runs: DataFrame, candidates: DataFrame, shard: int) -> DataFra
                                                       *(pa.array(some[:, k].copy()) for k in range(4))], names=["shard", "place", "w1", "w2", "w3", "w4"])
 
     names = ranges.select("shard", "rows").mapInArrow(named, "shard int, place int, w1 int, w2 int, w3 int, w4 int")
-    if counts is None:
-        counts = spark.createDataFrame([], "shard int, place int, f long")
+    if sums is None:
+        sums = spark.createDataFrame([], "shard int, chunk int, counts binary")
+    counts = sums.mapInArrow(listed, "shard int, place int, f long")
     return names.join(counts, ["shard", "place"]).select("w1", "w2", "w3", "w4", "f")
 
 
