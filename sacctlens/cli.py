@@ -25,7 +25,6 @@ from sacctlens.operators import params as PRM
 from sacctlens.operators import periods as P
 from sacctlens.session import checkpoint_dir
 from sacctlens.sinks import writers as W
-from sacctlens.sources import eventlogs as EL
 from sacctlens.sources import jobs as J
 from sacctlens.sources import summaries as SU
 
@@ -105,17 +104,19 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
                                    f"{args.out}/{C.MONTH_ABBR[m - 1]}")
     elif args.command == "runs":
         runs = CMP.log_benchmark_runs(spark, args.logs_dir, args.dstat_dir, args.config_name, n=args.runs)
-        picked = runs.select("log_id", "readable").orderBy("run_no").collect()      # at most --runs rows
+        picked = runs.orderBy("run_no").collect()                                   # at most --runs rows: the logs are read once
         if not picked:
             raise SystemExit(f"error: no event log in {args.logs_dir}")
         if len(picked) < args.runs:
             _warn(f"{len(picked)} of {args.runs} runs found in {args.logs_dir}")
-        broken = [r.log_id for r in picked if not r.readable]
-        for log_id in broken:
-            _warn(f"{log_id} cannot be decoded; its metrics are 0")
-        logs = EL.read_event_logs(spark, args.logs_dir, EL.undecodable_logs(spark, args.logs_dir))
-        for r in EL.malformed_lines(logs).where("bad_lines > 0").orderBy("log_id").collect():
-            _warn(f"{r.log_id}: {r.bad_lines} malformed lines skipped")
+        for r in picked:
+            if not r.readable:
+                _warn(f"{r.log_id} cannot be decoded; its metrics are 0")
+            elif r.still_open:
+                _warn(f"{r.log_id} is still being written; its metrics are those so far")
+            if r.bad_lines:
+                _warn(f"{r.log_id}: {r.bad_lines} malformed lines skipped")
+        runs = spark.createDataFrame(picked, runs.schema)
         W.write_summary_documents(CMP.summary_document(runs), args.out)
     else:
         docs = SU.read_summary_documents(spark, args.summaries).cache()

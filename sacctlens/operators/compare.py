@@ -46,24 +46,22 @@ def recent_metrics(events: DataFrame, n: int = 3) -> DataFrame:
 def log_run_aggregates(spark, logs_dir: str, config: str) -> DataFrame:
     """Run aggregates of every log in ``logs_dir``; unreadable logs get all-zero figures.
 
-    The log listing (no contents read) is left-joined to the aggregates of the
-    readable events, so a log of which any part cannot be decoded still counts
-    as a run, with zero metrics throughout and ``readable`` false, ordered by
-    its file time.
+    One pass and one aggregate: every file closes with a status row, so a log of which
+    a part cannot be decoded or opened still counts as a run, with zero metrics
+    throughout and ``readable`` false, ordered by its file time.  A log that is still
+    written counts with what it holds so far (``still_open``).
     """
     from sacctlens.sources import eventlogs as EL
 
     keys = ["config", "log_id"]
-    broken = EL.undecodable_logs(spark, logs_dir)
-    events = EL.log_run_events(EL.read_event_logs(spark, logs_dir, broken), config)
-    agg = R.run_aggregates(events, keys)
-    listed = EL.list_event_logs(spark, logs_dir).select(F.lit(config).alias("config"), "log_id", "file_mtime_ms")
+    events = EL.log_run_events(EL.scan_event_logs(spark, logs_dir), config)
+    agg = R.run_aggregates(events, keys, [F.max("file_mtime_ms").alias("file_mtime_ms"), *EL.status_aggs()])
     zero = F.lit(0).cast("bigint")
-    return listed.join(agg, keys, "left").select(
-        *keys, "file_mtime_ms", (~F.col("log_id").isin(broken)).alias("readable"),
-        *[F.coalesce(c, zero).alias(c) for c in ("app_start_ms", "app_end_ms", "stages", "tasks",
-                                                 "read_bytes", "write_bytes")],
-        "first_launch_ms", "last_finish_ms")
+    return agg.select(
+        *keys, "file_mtime_ms", "readable", "still_open", "bad_lines",
+        *[F.when(F.col("readable"), F.col(c)).otherwise(zero).alias(c)
+          for c in ("app_start_ms", "app_end_ms", "stages", "tasks", "read_bytes", "write_bytes")],
+        *[F.when(F.col("readable"), F.col(c)).alias(c) for c in ("first_launch_ms", "last_finish_ms")])
 
 
 def log_run_metrics(spark, logs_dir: str, config: str) -> DataFrame:
@@ -82,14 +80,15 @@ def log_benchmark_runs(spark, logs_dir: str, dstat_dir: str | None, config: str,
 
     picked = R.pick_recent(log_run_aggregates(spark, logs_dir, config), n=n, run="log_id",
                            fallback="file_mtime_ms")
-    runs = R.metrics_from_aggregates(picked, ("config", "log_id", "run_no", "readable"))
+    about = ("log_id", "readable", "still_open", "bad_lines")
+    runs = R.metrics_from_aggregates(picked, ("config", "run_no", *about))
     base_cols = [c for c in S.RUN_METRIC_COLUMNS if c != "peak_memory_mb"]
     if dstat_dir is None:
-        return runs.select("config", "run_no", F.col("run_no").cast("bigint").alias("run"), "log_id", "readable",
+        return runs.select("config", "run_no", F.col("run_no").cast("bigint").alias("run"), *about,
                            *base_cols, F.lit(0.0).alias("peak_memory_mb"))
     peaks = R.sample_peaks(SM.read_resource_samples(spark, dstat_dir), key="run_no")
     return (runs.join(peaks, "run_no", "left")
-            .select("config", "run_no", F.col("run_no").cast("bigint").alias("run"), "log_id", "readable", *base_cols,
+            .select("config", "run_no", F.col("run_no").cast("bigint").alias("run"), *about, *base_cols,
                     F.coalesce("peak_memory_mb", F.lit(0.0)).alias("peak_memory_mb")))
 
 

@@ -13,25 +13,25 @@ dropped, blank lines are skipped by the reader, ``.crc`` and ``appstatus_``
 files are ignored.  Everything is distributed: files are split across tasks
 and the per-run figures are algebraic aggregates (see ``operators.runs``).
 
-A read error is never ignored.  Logs whose compressed stream is cut off or
-damaged are found beforehand by ``undecodable_logs`` and left out as a whole, so
-a log gives either all of its figures or none.
+Two readers:
+
+* ``scan_event_logs`` — the normal way: one pass gives the events and every file's
+  status (``sources.logsource``); no file fails the job, whatever its size or state;
+* ``read_event_logs`` — Spark's own JSON reader; a file that cannot be read to its end
+  fails the job.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sacctlens import schema as S
+from sacctlens.sources import logsource
 
 ROLLED_PART = r"^events_\d+_"
-#: Suffixes of the streams that can be checked before reading.
-CHECKED_SUFFIXES = ("gz", "zst", "zstd")
 _COMPRESSION_SUFFIX = r"\.(gz|zst|zstd|lz4|snappy|lzf|inprogress)$"
 
 EVENT_KINDS = {
@@ -78,52 +78,37 @@ def read_event_logs(spark: SparkSession, logs_dir: str, leave_out: Sequence[str]
     )
 
 
-def stream_is_whole(suffix: str, pieces: Iterator[bytes]) -> bool:
-    """Whether a compressed stream (one or more members) decodes to its end."""
-    if suffix == "gz":
-        new, errors = (lambda: zlib.decompressobj(wbits=31)), (zlib.error,)
-    else:
-        import zstandard
-        new, errors = (lambda: zstandard.ZstdDecompressor().decompressobj()), (zstandard.ZstdError,)
-    member, open_ = None, False
-    try:
-        for piece in pieces:
-            while piece:
-                if member is None:
-                    member = new()
-                member.decompress(piece)
-                open_, piece = not member.eof, member.unused_data if member.eof else b""
-                if member.eof:
-                    member = None
-    except errors:
-        return False
-    return not open_
+def scan_event_logs(spark: SparkSession, logs_dir: str, split: int = logsource.SPLIT) -> DataFrame:
+    """Raw event rows as ``read_event_logs`` gives them, plus ``status``, in one pass over the files.
 
+    ``status`` is null on events and set on one row per file (or range of a plain file),
+    which holds no event.  Lines that are no JSON land in ``_bad``.
+    """
+    spark.dataSource.register(logsource.EventLogSource)
+    rows = spark.read.format(logsource.FORMAT).option("split", split).load(logs_dir.rstrip("/"))
+    event = F.from_json("line", S.EVENT_LOG_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    return rows.select(event.alias("e"), "log_id", "file_name", "file_mtime_ms", "status") \
+               .select("e.*", "log_id", "file_name", "file_mtime_ms", "status")
 
-def undecodable_logs(spark: SparkSession, logs_dir: str) -> list[str]:
-    """Ids of the logs with a compressed file that is cut off or damaged, in order.
 
-    Each compressed file is decoded once by a task (a codec stream is one task
-    anyway); only the names of the broken logs reach the driver.  Spark hands a
-    file over whole, so a compressed file above its binary-file limit (2 GiB)
-    fails the job rather than pass unchecked.  Plain files cannot be undecodable.
-    """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", f"*.{{{','.join(CHECKED_SUFFIXES)}}}").load(logs_dir.rstrip("/")))
-    keep, log_id = _log_file_filter_and_id(F.col("path"), F.regexp_extract("path", r"([^/]+)$", 1), logs_dir)
-    rows = files.where(keep).select(log_id.alias("log_id"), F.regexp_extract("path", r"\.(\w+)$", 1).alias("suffix"), "content")
+def log_statuses(scanned: DataFrame) -> DataFrame:
+    """Per log: ``readable``, ``still_open``, ``bad_lines``, ``events``, from one aggregate over ``scan_event_logs``."""
+    return scanned.groupBy("log_id").agg(*status_aggs())
 
-    def broken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = 1 << 20
-        for batch in batches:
-            bad = []
-            for i, (name, suffix) in enumerate(zip(batch.column("log_id").to_pylist(), batch.column("suffix").to_pylist())):
-                body = memoryview(batch.column("content")[i].as_buffer())
-                if not stream_is_whole(suffix, (bytes(body[at:at + step]) for at in range(0, len(body), step))):
-                    bad.append(name)
-            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], names=["log_id"])
 
-    return [r.log_id for r in rows.mapInArrow(broken, "log_id string").distinct().orderBy("log_id").collect()]
+def status_aggs() -> list:
+    """Aggregates over scanned rows: whether all of a log's files could be read, whether it is still written, its malformed lines and events."""
+    status = F.col("status")
+    return [F.coalesce(F.bool_and(F.when(status.isNotNull(), status.isin(*logsource.READABLE))), F.lit(False)).alias("readable"),
+            F.coalesce(F.bool_or(status == "open"), F.lit(False)).alias("still_open"),
+            F.count_if(F.col("_bad").isNotNull()).alias("bad_lines"),
+            F.count_if(F.col("Event").isNotNull()).alias("events")]
+
+
+def undecodable_logs(spark: SparkSession, logs_dir: str) -> list[str]:
+    """Ids of the logs with a file that cannot be read to its end, in order (names only reach the driver)."""
+    broken = log_statuses(scan_event_logs(spark, logs_dir)).where(~F.col("readable"))
+    return [r.log_id for r in broken.select("log_id").orderBy("log_id").collect()]
 
 
 def list_event_logs(spark: SparkSession, logs_dir: str) -> DataFrame:
@@ -150,7 +135,11 @@ def malformed_lines(logs: DataFrame) -> DataFrame:
 
 
 def log_run_events(logs: DataFrame, config: str) -> DataFrame:
-    """Event rows -> run-event model (run key ``log_id``), valid lines only."""
+    """Event rows -> run-event model (run key ``log_id``), valid lines only.
+
+    Of a scan, the rows with a file's status or a malformed line stay too, with a null
+    ``kind`` (no figure counts them) and the columns ``status``, ``_bad`` and ``Event``.
+    """
     ev = F.col("Event")
     kind = None
     for event, k in EVENT_KINDS.items():
@@ -162,7 +151,10 @@ def log_run_events(logs: DataFrame, config: str) -> DataFrame:
     read = (F.coalesce(F.col(f"{srm}.`Remote Bytes Read`"), F.lit(0))
             + F.coalesce(F.col(f"{srm}.`Local Bytes Read`"), F.lit(0)))
     written = F.coalesce(F.col("`Task Metrics`.`Shuffle Write Metrics`.`Shuffle Bytes Written`"), F.lit(0))
-    return logs.where(F.col("_bad").isNull() & ev.isin(*EVENT_KINDS)).select(
+    wanted, more = F.col("_bad").isNull() & ev.isin(*EVENT_KINDS), []
+    if "status" in logs.columns:
+        wanted, more = wanted | F.col("_bad").isNotNull() | F.col("status").isNotNull(), ["status", "_bad", "Event"]
+    return logs.where(wanted).select(
         F.col("log_id"),
         F.lit(config).alias("config"),
         kind.alias("kind"),
@@ -170,7 +162,7 @@ def log_run_events(logs: DataFrame, config: str) -> DataFrame:
         F.coalesce(F.col("`Stage Info`.`Number of Tasks`"), F.lit(0)).cast("bigint").alias("n_tasks"),
         read.cast("bigint").alias("read_bytes"),
         written.cast("bigint").alias("write_bytes"),
-        F.col("file_mtime_ms"),
+        F.col("file_mtime_ms"), *more,
     )
 
 
