@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from sacctlens import schema as S
 from sacctlens.functions import calendar as C
+from sacctlens.functions import enrich as E
 from sacctlens.operators import compare as CMP
 from sacctlens.operators import params as PRM
 from sacctlens.operators import periods as P
@@ -91,7 +92,8 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         if args.parquet:
             jobs = J.read_jobs_parquet(spark, args.datadir)
         else:
-            jobs = J.read_enriched_jobs(spark, args.datadir, args.year, J.months_for_report(max(months)))
+            rows, faults = J.count_faults(J.read_jobs_checked(spark, args.datadir, args.year, J.months_for_report(max(months))))
+            jobs = E.enrich(rows)
         if len(months) == 1:
             W.write_params_tex(PRM.report_tex_lines(jobs, args.year, months[0], args.ytd_start), args.out)
         else:
@@ -102,6 +104,10 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
                 windows = P.windows_from_grain(grain, args.year, m)
                 W.write_params_tex(PRM.report_tex_lines(None, args.year, m, args.ytd_start, windows),
                                    f"{args.out}/{C.MONTH_ABBR[m - 1]}")
+        if not args.parquet:
+            for month, n in faults().items():
+                if any(n[f] for f in J.FAULTS):
+                    _warn(f"jobs_{month}: {n['short']} rows with too few cells, {n['long']} with too many, {n['unparsable']} with numbers that do not parse")
     elif args.command == "runs":
         runs = CMP.log_benchmark_runs(spark, args.logs_dir, args.dstat_dir, args.config_name, n=args.runs)
         picked = runs.orderBy("run_no").collect()                                   # at most --runs rows: the logs are read once

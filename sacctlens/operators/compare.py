@@ -6,7 +6,10 @@
   (``summary_document``: the same plus the runs, in one aggregate);
 * ``speedup_vs_baseline`` — baseline mean wall time / configuration mean wall time;
 * ``config_summary_display`` — the ordered, formatted comparison table;
-* ``multiset_diff``    — rows only in one of two frames, as one count row.
+* ``multiset_diff``    — rows only in one of two frames, as one count row;
+* ``row_differences``  — those rows, found through checksums of hash buckets;
+* ``golden_diff``      — the lines in which a report file differs from a golden one;
+* ``merge_summaries``  — published summaries of a configuration put together.
 """
 
 from __future__ import annotations
@@ -92,20 +95,50 @@ def log_benchmark_runs(spark, logs_dir: str, dstat_dir: str | None, config: str,
                     F.coalesce("peak_memory_mb", F.lit(0.0)).alias("peak_memory_mb")))
 
 
-def _summary_aggs(metrics: Sequence[str], digits: int) -> list:
+def _rounded(c, digits: int | None):
+    return c if digits is None else F.round(c, digits)
+
+
+def _summary_aggs(metrics: Sequence[str], digits: int | None) -> list:
     aggs = [F.count(F.lit(1)).alias("n_runs")]
     for m in metrics:
-        aggs.append(F.round(F.avg(m), digits).alias(f"mean_{m}"))
-        aggs.append(F.round(F.stddev_samp(m), digits).alias(f"std_{m}"))
+        aggs.append(_rounded(F.avg(m), digits).alias(f"mean_{m}"))
+        aggs.append(_rounded(F.stddev_samp(m), digits).alias(f"std_{m}"))
     return aggs
 
 
 def config_summary(runs: DataFrame, metrics: Sequence[str] = tuple(S.RUN_METRIC_COLUMNS),
-                   digits: int = ROUND_DIGITS) -> DataFrame:
-    """n_runs, mean_<m>, std_<m> (sample, n-1; null when n = 1) per configuration."""
+                   digits: int | None = ROUND_DIGITS) -> DataFrame:
+    """n_runs, mean_<m>, std_<m> (sample, n-1; null when n = 1) per configuration; ``digits`` None: not rounded."""
     return runs.groupBy("config").agg(*_summary_aggs(metrics, digits))
 
 
+def merge_summaries(summaries: DataFrame, metrics: Sequence[str] = tuple(S.RUN_METRIC_COLUMNS),
+                    digits: int | None = ROUND_DIGITS) -> DataFrame:
+    """Several summaries of a configuration (n, mean, sample deviation) as one: that of all their runs.
+
+    Parallel variance: with N = sum n and the common mean m, the squared deviations are
+    sum (n - 1) std^2 + sum n (mean - m)^2, the second part being taken around the common
+    mean itself, so large means cost no digits.  Summaries without runs, and absent or
+    NaN deviations of single runs, count as nothing; the runs behind two summaries of one
+    configuration must be different ones.  One shuffle by configuration.
+    """
+    of = Window.partitionBy("config")
+    n = F.col("n_runs").cast("double")
+    some = summaries.where(F.col("n_runs") > 0)
+    some = some.select("config", "n_runs", *[c for m in metrics for c in (
+        F.col(f"mean_{m}"), F.coalesce(F.nanvl(F.col(f"std_{m}").cast("double"), F.lit(0.0)), F.lit(0.0)).alias(f"std_{m}"))])
+    common = some.select("*", *[(F.sum(n * F.col(f"mean_{m}")).over(of) / F.sum(n).over(of)).alias(f"_common_{m}") for m in metrics])
+    total = F.sum("n_runs")
+    aggs = [total.cast("bigint").alias("n_runs")]
+    for m in metrics:
+        apart = F.col(f"mean_{m}") - F.col(f"_common_{m}")
+        squares = F.sum((n - 1) * F.col(f"std_{m}") * F.col(f"std_{m}") + n * apart * apart)
+        aggs += [_rounded(F.first(f"_common_{m}"), digits).alias(f"mean_{m}"),
+                 _rounded(F.when(total > 1, F.sqrt(squares / (total - 1))), digits).alias(f"std_{m}")]
+    return common.groupBy("config").agg(*aggs)
+
+
 def summary_document(runs: DataFrame, metrics: Sequence[str] = tuple(S.RUN_METRIC_COLUMNS),
                      digits: int = ROUND_DIGITS) -> DataFrame:
     """One row per configuration: runs (array of structs, at most n each) + summary.
@@ -183,3 +216,61 @@ def multiset_diff(left: DataFrame, right: DataFrame, drop_zero: str | None = Non
         F.coalesce(F.sum(F.when(F.col("_d") < 0, -F.col("_d"))), F.lit(0)).cast("bigint").alias("right_only"),
     )
     return out.withColumn("identical", (F.col("left_only") == 0) & (F.col("right_only") == 0))
+
+
+#: Buckets of ``bucket_checksums``; the differing ones are broadcast (8 bytes each).
+BUCKETS = 1 << 14
+
+
+def _row_hash(columns: Sequence[str], seed: int):
+    # A null leaves xxhash64 as it is, so whether a value is null is hashed as well.
+    return F.xxhash64(F.lit(seed), *[x for c in columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())])
+
+
+def bucket_checksums(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """bucket, n, total, mixed: rows by hash, with sums over a bucket that do not depend on the rows' order.
+
+    Two 64-bit hashes of each row are summed (as decimals) and xor-ed; the partial
+    aggregate leaves at most ``buckets`` rows per task to shuffle.
+    """
+    return (df.select(F.pmod(_row_hash(df.columns, 1), F.lit(buckets)).alias("bucket"), _row_hash(df.columns, 2).alias("h"))
+            .groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(20,0)")).alias("total"), F.bit_xor("h").alias("mixed")))
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Buckets whose checksums differ (at most ``buckets`` rows); none where the frames hold the same rows."""
+    a, b = bucket_checksums(left, buckets), bucket_checksums(right.select(*left.columns), buckets)
+    a, b = (x.select("bucket", F.struct("n", "total", "mixed").alias(name)) for x, name in ((a, "a"), (b, "b")))
+    return a.join(b, "bucket", "full_outer").where(~F.col("a").eqNullSafe(F.col("b"))).select("bucket")
+
+
+def row_differences(left: DataFrame, right: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """The rows that occur more often on one side, with ``surplus`` (left minus right, never 0).
+
+    Only rows of differing buckets are shuffled: equal frames move checksums alone.
+    """
+    columns = left.columns
+    where = F.broadcast(differing_buckets(left, right, buckets))
+
+    def inside(df: DataFrame, sign: int) -> DataFrame:
+        named = df.select(*columns, F.pmod(_row_hash(columns, 1), F.lit(buckets)).alias("_bucket"), F.lit(sign).alias("_sign"))
+        return named.join(where, F.col("_bucket") == F.col("bucket"), "left_semi").drop("_bucket")
+
+    return (inside(left, 1).unionByName(inside(right.select(*columns), -1)).groupBy(*columns)
+            .agg(F.sum("_sign").cast("bigint").alias("surplus")).where("surplus <> 0"))
+
+
+def golden_diff(spark, produced: str, golden: str) -> DataFrame:
+    """line_no, produced, golden: the lines in which an output file (or folder of one part) differs from a golden file.
+
+    Lines are compared by place and byte by byte; a missing last line end shows as the
+    line after it (empty where the file ends with a line end, null where it does not).
+    Report files are small: each is one row.  No rows: the files are the same bytes.
+    """
+    def lines(path: str, name: str) -> DataFrame:
+        body = spark.read.format("binaryFile").option("pathGlobFilter", "[!_.]*").load(path).select("path", "content")
+        whole = body.select(F.posexplode(F.split(F.decode("content", "ISO-8859-1"), "\n", -1)).alias("k", "line"))
+        return whole.select((F.col("k") + 1).alias("line_no"), F.encode("line", "ISO-8859-1").cast("string").alias(name))
+
+    return (lines(produced, "produced").join(lines(golden, "golden"), "line_no", "full_outer")
+            .where(~F.col("produced").eqNullSafe(F.col("golden"))).select("line_no", "produced", "golden"))

@@ -17,6 +17,9 @@ window logic runs on that:
 from __future__ import annotations
 
 import datetime as _dt
+import time
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +29,8 @@ from sacctlens.functions import calendar as C
 from sacctlens.sources.local import local_rows
 from sacctlens.operators.usage import SIX_METRICS, month_grain, resum_six, with_hours
 
+GRAIN_SCHEMA = "year int, month int, cluster string, " + ", ".join(f"{m} bigint" for m in SIX_METRICS) + ", version bigint"
+
 
 def window_tags(spark, year: int, month: int) -> DataFrame:
     """(tag, year, month) membership rows of one report (<= 1 + 3 + 12 rows)."""
@@ -62,6 +67,67 @@ def save_month_grain(jobs: DataFrame, path: str, mode: str = "overwrite") -> Dat
     return jobs.sparkSession.read.parquet(path)
 
 
+#: Years a request may name; the months needed for all of them are broadcast (3,600 rows at most).
+YEARS = (1900, 2199)
+
+
+def requested_members(requests: DataFrame) -> DataFrame:
+    """(report_year, report_month, tag, year, month): the months in each window of each distinct request."""
+    month = F.col("report_month")
+    windows = F.map_from_arrays(F.array(*map(F.lit, S.TAGS)), F.array(
+        F.array(month), F.sequence(F.greatest(month - 2, F.lit(1)), month), F.sequence(F.lit(1), month)))
+    wanted = (requests.select(F.col("year").cast("int").alias("report_year"), F.col("month").cast("int").alias("report_month"))
+              .where(F.col("report_month").between(1, 12) & F.col("report_year").between(*YEARS)).distinct())
+    return (wanted.select("report_year", "report_month", F.explode(windows).alias("tag", "months"))
+            .select("report_year", "report_month", "tag", F.col("report_year").alias("year"), F.explode("months").alias("month")))
+
+
+def reports_requested(jobs: DataFrame, requests: DataFrame) -> DataFrame:
+    """The window report of every (year, month) in ``requests``, from one scan of the jobs.
+
+    The months that any window needs are broadcast (bounded by ``YEARS``), so on the
+    (year, month) layout Spark prunes the partitions at run time: no folder outside
+    them is opened.  Rows: (year, month, tag, cluster, six metrics, hours), all nine of
+    a report (zeros where nothing ran); repeated requests count once, impossible months go.
+    """
+    spark = jobs.sparkSession
+    members = requested_members(requests)
+    # One key: with two, Spark would prune by years and by months apart and open their combinations.
+    needed = members.select((F.col("year") * 100 + F.col("month")).alias("_needed")).distinct()
+    grain = month_grain(jobs.join(F.broadcast(needed), jobs["year"] * 100 + jobs["month"] == needed["_needed"], "left_semi"))
+    per_window = members.join(grain, ["year", "month"]).groupBy("report_year", "report_month", "tag", "cluster").agg(*resum_six())
+    clusters = F.explode(F.array(*map(F.lit, S.CLUSTERS))).alias("cluster")
+    spine = members.where(F.col("month") == F.col("report_month")).select("report_year", "report_month", "tag", clusters)
+    dense = spine.join(per_window, ["report_year", "report_month", "tag", "cluster"], "left").fillna(0, subset=SIX_METRICS)
+    return with_hours(dense.withColumnsRenamed({"report_year": "year", "report_month": "month"}))
+
+
+def refresh_month_grain(jobs: DataFrame, path: str, months: Sequence[tuple[int, int]]) -> None:
+    """Compute the grain of the named (year, month) anew and add it to ``path`` as their newest version.
+
+    Only those months of ``jobs`` are read.  Every cluster gets a row (zeros where
+    nothing ran), so a month that lost its jobs is replaced, too.  Versions are only
+    added: a job that fails leaves the last ones in force, and ``read_grain_versions``
+    can go back.
+    """
+    spark = jobs.sparkSession
+    named = local_rows(spark, [(int(y), int(m)) for y, m in months], "year int, month int")
+    # Plain conditions on the partition columns: other months' folders are not listed for the scan.
+    grain = month_grain(jobs.where(reduce(lambda a, b: a | b, [(F.col("year") == int(y)) & (F.col("month") == int(m)) for y, m in months])))
+    spine = named.select("year", "month", F.explode(F.array(*map(F.lit, S.CLUSTERS))).alias("cluster"))
+    dense = spine.join(F.broadcast(grain), ["year", "month", "cluster"], "left").fillna(0, subset=SIX_METRICS)   # 3 rows a month
+    dense.withColumn("version", F.lit(time.time_ns())).coalesce(1).write.mode("append").partitionBy("version").parquet(path)
+
+
+def read_grain_versions(spark, path: str, as_of: int | None = None) -> DataFrame:
+    """The month grain in its newest version per month (not newer than ``as_of``)."""
+    versions = spark.read.schema(GRAIN_SCHEMA).parquet(path)
+    if as_of is not None:
+        versions = versions.where(F.col("version") <= as_of)
+    newest = F.max("version").over(Window.partitionBy("year", "month"))
+    return versions.withColumn("_newest", newest).where("version = _newest").drop("version", "_newest")
+
+
 def windows_from_grain(grain: DataFrame, year: int, month: int) -> DataFrame:
     """The 3 x 3 window report from a month-grain frame (e.g. a streamed table)."""
     spark = grain.sparkSession

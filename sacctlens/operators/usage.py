@@ -113,24 +113,34 @@ def gpu_allocation_rules(jobs: DataFrame) -> DataFrame:
                  F.sum("vnodes").cast("bigint").alias("sum_vnodes")))
 
 
+def grouped_both_ways(jobs: DataFrame) -> DataFrame:
+    """Jobs and seconds per (cluster, outcome) and per (cluster, agency), from one pass (grouping sets).
+
+    ``by_outcome`` tells the two apart; the columns that a row is not grouped by are null.
+    """
+    return (jobs.groupingSets([["cluster", "outcome"], ["cluster", "agency"]], "cluster", "outcome", "agency")
+            .agg((F.grouping("agency") == 1).alias("by_outcome"), F.count(F.lit(1)).alias("jobs"),
+                 F.coalesce(F.sum("job_seconds"), F.lit(0).cast("bigint")).alias("seconds")))
+
+
 def separate_aggregates_long(jobs: DataFrame) -> DataFrame:
-    """The six metrics the multi-pass way, as (cluster, metric, value) rows.
+    """The six metrics from plain aggregates by group, as (cluster, metric, value) rows.
 
-    The library's separate aggregates over the jobs, reshaped: outcome counts,
-    non-local count and sum, EHPC count and sum.  A group absent from an
-    aggregate has no row (it is zero).
+    Outcome counts, non-local and EHPC counts and sums, all read off one grouping-sets
+    aggregate, so the jobs are read once.  A group absent from an aggregate has no row
+    (it is zero).
     """
-    def long(agg: DataFrame, columns: dict[str, str]) -> DataFrame:
-        return (agg.select("cluster", *[F.col(c).cast("bigint").alias(m) for c, m in columns.items()])
-                .unpivot("cluster", list(columns.values()), "metric", "value"))
-
-    outcomes = outcome_by_cluster(jobs).select(
-        "cluster",
-        F.when(F.col("outcome") == "COMPLETED", F.lit("completed_jobs")).otherwise(F.lit("failed_jobs")).alias("metric"),
-        F.col("n_jobs").alias("value"))
-    return (outcomes
-            .unionByName(long(usage_nonlocal(jobs), {"jobs": "jobs_nonlocal", "seconds": "seconds_nonlocal"}))
-            .unionByName(long(usage_ehpc(jobs), {"jobs": "jobs_ehpc", "seconds": "seconds_ehpc"})))
+    def entry(metric, value, when) -> Column:
+        return F.when(when, F.struct(F.lit(metric).alias("metric"), F.col(value).cast("bigint").alias("value")))
+
+    by_outcome, by_agency = F.col("by_outcome"), ~F.col("by_outcome")
+    entries = F.array_compact(F.array(
+        entry("completed_jobs", "jobs", by_outcome & (F.col("outcome") == "COMPLETED")),
+        entry("failed_jobs", "jobs", by_outcome & (F.col("outcome") != "COMPLETED")),
+        *[entry(f"{value}_{name}", value, by_agency & population()) for name, population in (("nonlocal", _nonlocal), ("ehpc", _ehpc))
+          for value in ("jobs", "seconds")]))
+    return (grouped_both_ways(jobs).select("cluster", F.explode(entries).alias("e"))
+            .groupBy("cluster", F.col("e.metric").alias("metric")).agg(F.sum("e.value").cast("bigint").alias("value")))
 
 
 def single_pass_long(jobs: DataFrame) -> DataFrame:

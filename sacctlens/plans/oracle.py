@@ -8,7 +8,6 @@ SQL CTEs over the pre-registered test-table views.  Sums are cast to BIGINT
 from __future__ import annotations
 
 from sacctlens import schema as S
-from sacctlens.functions import calendar as C
 from sacctlens.plans.queries import (ADAPTER_BASELINE, ADAPTER_CONFIG_ORDER, RECENT_RUNS, REPORT_MONTH,
                                      REPORT_YEAR)
 
@@ -82,9 +81,11 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
 
 
-def _tags_values() -> str:
-    rows = [(t, REPORT_YEAR, m) for t, ms in C.window_months(REPORT_MONTH).items() for m in ms]
-    return _values(rows)
+def _members(requests: str) -> str:
+    """(report_year, report_month, tag, year, month): the month, the quarter up to it within its year, the year up to it."""
+    return f"""SELECT y AS report_year, m AS report_month, 'month' AS tag, y AS year, m AS month FROM ({requests}) r(y, m)
+  UNION ALL SELECT y, m, 'quarter', y, CAST(unnest(generate_series(greatest(1, m - 2), m)) AS INTEGER) FROM ({requests}) r(y, m)
+  UNION ALL SELECT y, m, 'ytd', y, CAST(unnest(generate_series(1, m)) AS INTEGER) FROM ({requests}) r(y, m)"""
 
 
 def _report_windows_ctes() -> str:
@@ -94,7 +95,7 @@ def _report_windows_ctes() -> str:
     return f"""WITH {_jobs_cte(_report_where())},
 grain AS (SELECT year, month, cluster, {_SIX} FROM jobs
           WHERE year = {REPORT_YEAR} AND month BETWEEN 1 AND {REPORT_MONTH} GROUP BY year, month, cluster),
-members(tag, year, month) AS (VALUES {_tags_values()}),
+members AS ({_members(f"SELECT {REPORT_YEAR}, {REPORT_MONTH}")}),
 win AS (SELECT tag, cluster, {resum} FROM grain JOIN members USING (year, month) GROUP BY tag, cluster),
 spine(tag, cluster) AS (VALUES {spine}),
 rw AS (SELECT s.tag, s.cluster, {filled} FROM spine s LEFT JOIN win w USING (tag, cluster))"""
@@ -266,6 +267,21 @@ long AS ({parts})
 SELECT *, {_HOURS} FROM long"""
 
 
+def _reports_requested_sql() -> str:
+    resum = ", ".join(f"CAST(SUM({m}) AS BIGINT) AS {m}" for m in _SIX_NAMES)
+    filled = ", ".join(f"COALESCE(w.{m}, 0) AS {m}" for m in _SIX_NAMES)
+    return f"""WITH {_jobs_cte()},
+grain AS (SELECT year, month, cluster, {_SIX} FROM jobs GROUP BY year, month, cluster),
+requests AS (SELECT DISTINCT year, month FROM jobs WHERE month IN (3, 6, 9, 12)),
+members AS ({_members("SELECT year, month FROM requests")}),
+win AS (SELECT report_year, report_month, tag, cluster, {resum} FROM members JOIN grain USING (year, month)
+        GROUP BY report_year, report_month, tag, cluster),
+spine AS (SELECT year, month, tag, cluster FROM requests, (VALUES ('month'), ('quarter'), ('ytd')) t(tag), (VALUES ('ARM'), ('AMD'), ('GPU')) c(cluster)),
+long AS (SELECT s.year, s.month, s.tag, s.cluster, {filled} FROM spine s
+         LEFT JOIN win w ON w.report_year = s.year AND w.report_month = s.month AND w.tag = s.tag AND w.cluster = s.cluster)
+SELECT *, {_HOURS} FROM long"""
+
+
 def _output_diff_sql() -> str:
     return f"""WITH {_jobs_cte()},
 sep AS (
@@ -318,7 +334,7 @@ FROM summary"""
 def oracle_sql() -> dict[str, str]:
     J = _jobs_cte()
     y, m = REPORT_YEAR, REPORT_MONTH
-    needed = sorted({x for ms in C.window_months(m).values() for x in ms})
+    needed = list(range(1, m + 1))               # the year up to the month holds the other windows
     job_cols = ("job_id, line_no, year, month, estate, outcome, cluster, agency, "
                 "old_vnodes, vnodes, job_seconds")
     out = {
@@ -350,6 +366,9 @@ def oracle_sql() -> dict[str, str]:
         "single_pass_metrics": f"""WITH {J}, g AS (
             SELECT year, month, cluster, {_SIX} FROM jobs GROUP BY year, month, cluster)
             SELECT *, {_HOURS} FROM g""",
+        "refreshed_month_grain": f"""WITH {J}, g AS (
+            SELECT year, month, cluster, {_SIX} FROM jobs GROUP BY year, month, cluster)
+            SELECT *, {_HOURS} FROM g""",
         "report_windows": _report_windows_ctes() + f"\nSELECT *, {_HOURS} FROM rw",
         "report_all_months": _all_months_sql(),
         "period_calendar": f"""WITH {J},
@@ -382,6 +401,13 @@ def oracle_sql() -> dict[str, str]:
                          / mean_wall_time_s, 6) AS speedup
             FROM summary""",
         "output_diff": _output_diff_sql(),
+        "reports_requested": _reports_requested_sql(),
+        "merged_config_summary": _run_ctes() + "\nSELECT * FROM summary",
+        "row_differences": f"""WITH {J}, both_sides AS (
+            SELECT job_id, line_no, old_vnodes AS vnodes, 1 AS side FROM jobs
+            UNION ALL SELECT job_id, line_no, vnodes, -1 FROM jobs)
+            SELECT job_id, line_no, vnodes, CAST(SUM(side) AS BIGINT) AS surplus FROM both_sides
+            GROUP BY job_id, line_no, vnodes HAVING SUM(side) <> 0""",
         "config_summary_display": _run_ctes() + "\n" + _display_sql(),
     }
     return out

@@ -9,6 +9,7 @@ other query runs over the whole tables.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from sacctlens.operators import params as PRM
 from sacctlens.operators import periods as P
 from sacctlens.operators import runs as R
 from sacctlens.operators import usage as U
+from sacctlens.session import checkpoint_dir
 from sacctlens.sources import testtables as TT
 
 # Report month used by the report queries (the data spans 1995-01 .. 2001-11).
@@ -106,6 +108,23 @@ def q_report_all_months(spark, sf_dir):
     return P.report_all_months(TT.jobs(spark, sf_dir))
 
 
+def q_reports_requested(spark, sf_dir):
+    """The reports of all quarter ends that the jobs reach, as a table of requests."""
+    requests = TT.line_jobs(spark, sf_dir).where(F.col("month") % 3 == 0).select("year", "month")
+    return P.reports_requested(TT.jobs(spark, sf_dir), requests)
+
+
+def q_refreshed_month_grain(spark, sf_dir):
+    """A grain that lacked the failed jobs of even months, after those months were refreshed; months and clusters with jobs."""
+    jobs = TT.jobs(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/month-grain-{uuid.uuid4().hex}"
+    months = [(r.year, r.month) for r in TT.line_jobs(spark, sf_dir).select("year", "month").distinct().collect()]
+    P.refresh_month_grain(jobs.where((F.col("month") % 2 == 1) | (F.col("outcome") == "COMPLETED")), path, months)
+    P.refresh_month_grain(jobs, path, [(y, m) for y, m in months if m % 2 == 0])
+    grain = P.read_grain_versions(spark, path)
+    return U.with_hours(grain.where(F.col("completed_jobs") + F.col("failed_jobs") > 0))
+
+
 def q_period_calendar(spark, sf_dir):
     return P.period_calendar(TT.line_jobs(spark, sf_dir))
 
@@ -141,6 +160,14 @@ def q_config_summary(spark, sf_dir):
     return _summary(spark, sf_dir)
 
 
+def q_merged_config_summary(spark, sf_dir):
+    """The summary of all runs, put together from one of the odd and one of the even run numbers."""
+    runs = CMP.benchmark_runs(TT.run_events(spark, sf_dir), TT.samples(spark, sf_dir), n=RECENT_RUNS)
+    halves = runs.withColumn("config", F.concat_ws("/", "config", (F.col("run_no") % 2).cast("string")))
+    published = CMP.config_summary(halves, digits=None).withColumn("config", F.substring_index("config", "/", 1))
+    return CMP.merge_summaries(published)
+
+
 def q_config_summary_display(spark, sf_dir):
     return CMP.config_summary_display(_summary(spark, sf_dir), ADAPTER_CONFIG_ORDER)
 
@@ -158,6 +185,13 @@ def q_output_diff(spark, sf_dir):
     return CMP.multiset_diff(U.separate_aggregates_long(jobs), U.single_pass_long(jobs), drop_zero="value")
 
 
+def q_row_differences(spark, sf_dir):
+    """The jobs whose billing units differ between the old and the current rule."""
+    jobs = TT.line_jobs(spark, sf_dir).select("*", E.old_vnodes().alias("old_vnodes"), E.vnodes().alias("new_vnodes"))
+    side = lambda units: jobs.select("job_id", "line_no", F.col(units).alias("vnodes"))
+    return CMP.row_differences(side("old_vnodes"), side("new_vnodes"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jobs_enriched": q_jobs_enriched,
     "month_pruned_scan": q_month_pruned_scan,
@@ -181,4 +215,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "config_summary_display": q_config_summary_display,
     "speedup_vs_baseline": q_speedup_vs_baseline,
     "output_diff": q_output_diff,
+    "reports_requested": q_reports_requested,
+    "refreshed_month_grain": q_refreshed_month_grain,
+    "merged_config_summary": q_merged_config_summary,
+    "row_differences": q_row_differences,
 }

@@ -91,3 +91,11 @@ def test_compare_command_names_unreadable_summaries(spark, tmp_path, capsys):
     main(["compare", "--summaries", str(tmp_path / "m"), "--out", str(tmp_path / "out")], spark=spark)
     assert "broken.json" in capsys.readouterr().err
     assert open(_part(str(tmp_path / "out" / "csv"))).read().splitlines()[1].startswith("baseline,2.00 ± 0.00")
+
+
+def test_report_warns_of_rows_that_do_not_fit(spark, tmp_path, capsys):
+    rows = "Partition|Account|State|AllocCPUS|AllocTRES|ElapsedRaw|NNodes\nnormal-arm|f1|COMPLETED|48||3600|1\nnormal-arm|f1|COMPLETED\nnormal-arm|f1|COMPLETED|x||1|1\n"
+    (tmp_path / "jobs_Jan.txt").write_text(rows)
+    for months in (["--month", "Jan"], ["--months", "Jan"], ["--months", "Jan,Feb"]):
+        main(["report", "--datadir", str(tmp_path), "--year", "2025", *months, "--out", str(tmp_path / "out" / "-".join(months))], spark)
+        assert "jobs_Jan: 1 rows with too few cells, 0 with too many, 1 with numbers that do not parse" in capsys.readouterr().err
