@@ -15,13 +15,16 @@ blocks); nothing is broadcast, and no block or chunk outgrows its row count.
 
 Defined results: vectors that are null, empty, or hold null or non-finite
 components take no part, nor do rows without an id; vectors meet only vectors
-of their own length; quantised components are limited to +-2^26, so that scores
-fit a long; a query never meets rows that carry its own id; repeated rows are
-candidates each, and equal queries count once.
+of their own length; ranks follow the exact integer scores, whatever their size, and a
+score beyond a long shows as the nearest long; quantised components are limited to
++-2^56 (a component of 2.8e14); a query never meets rows that carry its own id;
+repeated rows are candidates each, and equal queries count once.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -31,27 +34,35 @@ from sacctlens.llm.textkit import record
 BLOCK_ROWS = 16384
 CHUNK_QUERIES = 256
 SCALE = 256
-LIMIT = 1 << 26
+SCORE = pa.decimal128(38, 0)
+#: Products of two components, summed over 2^14 dimensions, stay below 10^38.
+LIMIT = 1 << 56
+LONG = (-(1 << 63), (1 << 63) - 1)
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """vec_id, x (array<int>): floor(256 * component) of the rows that take part."""
+    """vec_id, x (array<long>): floor(256 * component) of the rows that take part."""
     v = F.col(vec_col)
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     return vectors.filter(F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~bad).select(
         F.col(id_col).cast("long").alias("vec_id"),
-        F.transform(v, lambda x: F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.floor(x.cast("double") * SCALE).cast("long"))).cast("int")).alias("x"),
+        F.transform(v, lambda x: F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), _floored(x.cast("double") * SCALE)))).alias("x"),
         F.size(v).alias("n_dim"))
 
 
+def _floored(x):
+    """floor as a long; numbers beyond a long (whose floor Spark's cast would wrap) as its bounds."""
+    return F.when(x >= float(1 << 62), F.lit(1 << 62)).when(x <= -float(1 << 62), F.lit(-(1 << 62))).otherwise(F.floor(x).cast("long"))
+
+
 def slices_of(values: np.ndarray, low: np.ndarray, bits: int) -> np.ndarray:
     """[dims, bits, words] bitmaps of values - low; rows are bits of 64-bit words."""
     rows, dims = values.shape
     words = -(-rows // 64)
     out = np.zeros((dims, bits, words * 8), np.uint8)
-    shifted = (values - low).T
+    shifted = (values - low).astype(np.uint64).T
     for b in range(bits):
-        packed = np.packbits((shifted >> b) & 1, axis=1, bitorder="little")
+        packed = np.packbits(((shifted >> np.uint64(b)) & np.uint64(1)).astype(bool), axis=1, bitorder="little")
         out[:, b, :packed.shape[1]] = packed
     return out.view("<u8")
 
@@ -110,6 +121,12 @@ def top_rows(total: list[np.ndarray], alive: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate((rows(sure), rows(tied)[:need]))
 
 
+def scores_of(values: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Exact inner products: 64-bit integers, or Python's where those might not do."""
+    most = int(np.abs(values).max(initial=0)) * sum(map(abs, query.tolist()))
+    return values @ query if most <= LONG[1] else values.astype(object) @ query.astype(object)
+
+
 def search_block(ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
     """Query number, vec_id and score of each query's best k rows of one block."""
     order = np.argsort(ids, kind="stable")
@@ -131,10 +148,17 @@ def search_block(ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, que
             own[lo:hi] = 1
             alive = exists & ~np.packbits(own, bitorder="little").view("<u8")
         best = top_rows(add_slices(slices, q, flipped), alive, k)
-        out.append((np.full(len(best), nth), ids[best], values[best] @ q))
+        out.append((np.full(len(best), nth), ids[best], scores_of(values[best], q)))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
+def as_decimals(scores: np.ndarray) -> pa.Array:
+    """Integers of any size as a decimal column."""
+    if scores.dtype != object:
+        return pa.array(scores, pa.int64()).cast(SCORE)
+    return pa.array([Decimal(int(x)) for x in scores], SCORE)
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
            block_rows: int = BLOCK_ROWS, chunk_queries: int = CHUNK_QUERIES) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k best rows, ties to the smaller id."""
@@ -151,19 +175,19 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
     asking = (asked.withColumns({"chunk": put(n_chunks), "block": all_of(n_blocks)})
               .select(*columns, F.lit(True).alias("asks")))
     unit = held.unionByName(asking).groupBy("n_dim", "block", "chunk")
-    schema = pa.schema([("query_id", pa.int64()), ("q_hash", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    schema = pa.schema([("query_id", pa.int64()), ("q_hash", pa.int64()), ("vec_id", pa.int64()), ("score", SCORE)])
 
     def solve(t: pa.Table) -> pa.Table:
         x = t.column("x").combine_chunks()
-        matrix = x.flatten().to_numpy().reshape(len(x), -1) if len(x) else np.zeros((0, 1), np.int32)
+        matrix = x.flatten().to_numpy().reshape(len(x), -1) if len(x) else np.zeros((0, 1), np.int64)
         asks, ids = t.column("asks").to_numpy(), t.column("vec_id").to_numpy()
         if asks.all() or not asks.any():
             return schema.empty_table()
         at, vec_id, score = search_block(ids[~asks], matrix[~asks], ids[asks], matrix[asks], k)
         q_hash = t.column("q_hash").combine_chunks().filter(pa.array(asks)).to_numpy()
-        return pa.Table.from_batches([record(schema, query_id=ids[asks][at], q_hash=q_hash[at], vec_id=vec_id, score=score)])
+        return pa.Table.from_batches([record(schema, query_id=ids[asks][at], q_hash=q_hash[at], vec_id=vec_id, score=as_decimals(score))])
 
-    found = unit.applyInArrow(solve, "query_id long, q_hash long, vec_id long, score long")
+    found = unit.applyInArrow(solve, "query_id long, q_hash long, vec_id long, score decimal(38,0)")
     best = Window.partitionBy("query_id", "q_hash").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", F.greatest(F.lit(LONG[0]), F.least(F.lit(LONG[1]), F.col("score"))).cast("long").alias("score")))

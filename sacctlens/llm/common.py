@@ -34,3 +34,14 @@ def held_out(doc_id: Column) -> Column:
 def spread(df: DataFrame) -> int:
     """Partitions to shuffle into: the session's setting."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def unused(columns, *names: str) -> list[str]:
+    """The names, each with underscores added until no column is called so (in any letter case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -44,7 +44,7 @@ BASE = SLOTS + 1
 UNKNOWN = "und"
 SEED = 20240501
 #: Trigram vectors kept per task.
-KEPT = 32768
+KEPT = 16384
 #: Share of the training documents that the bound of ``accepted`` lets pass, and bins per power of two for finding it.
 KEPT_SHARE = 0.995
 BINS = 64

@@ -32,12 +32,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sacctlens.llm.common import materialize
+from sacctlens.llm.common import materialize, unused
 from sacctlens.llm.textkit import buffers, mix, span_hashes, steps
 
 WINDOW = 2
 DIVISOR = 3
 MIN_LINES = 2
+STEP_BYTES = 2 << 20
 
 
 def chunk_edges(text_rows: pa.Array, window: int = WINDOW, divisor: int = DIVISOR):
@@ -100,7 +101,7 @@ def line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in steps(batch):
+            for lo, hi in steps(batch, most=STEP_BYTES):
                 part = batch.slice(lo, hi - lo)
                 buf, offs, starts, ends, line_offs, begins = chunk_edges(part.column("text"), window or WINDOW, divisor)
                 if not len(begins):
@@ -160,22 +161,23 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
 
     A column that bears the name of a count is replaced; ``counts`` renames them.
     """
+    cut_id, cut_hash, cuts, removed, cleaned = unused([*docs.columns, *counts], "_cut_id", "_cut_hash", "_cuts", "_cut_lines", "_cleaned")
     gone = (repeated_chunks(docs, id_col, text_col, window, divisor)
-            .groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("_cuts"),
-                                                F.collect_set(F.struct("lo", "n_lines")).alias("_counts"))
-            .select(F.col("doc_id").alias("_cut_id"), F.col("text_hash").alias("_cut_hash"), "_cuts",
-                    F.aggregate("_counts", F.lit(0), lambda n, x: n + x["n_lines"]).cast("long").alias("_cut_lines")))
-    joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_cut_id")) & (F.xxhash64(text_col) == F.col("_cut_hash")), "left")
+            .groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias(cuts),
+                                                F.collect_set(F.struct("lo", "n_lines")).alias("counted"))
+            .select(F.col("doc_id").alias(cut_id), F.col("text_hash").alias(cut_hash), cuts,
+                    F.aggregate("counted", F.lit(0), lambda n, x: n + x["n_lines"]).cast("long").alias(removed)))
+    joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col(cut_id)) & (F.xxhash64(text_col) == F.col(cut_hash)), "left")
     raw = F.col(text_col).cast("binary")
     size = F.octet_length(text_col).cast("long")
     # What is kept lies between the cuts; a cut takes one newline with it.
-    edges = F.concat(F.array(F.struct(F.lit(-1).cast("long").alias("lo"), F.lit(-1).cast("long").alias("hi"))), F.col("_cuts"),
+    edges = F.concat(F.array(F.struct(F.lit(-1).cast("long").alias("lo"), F.lit(-1).cast("long").alias("hi"))), F.col(cuts),
                      F.array(F.struct((size + 1).alias("lo"), (size + 1).alias("hi"))))
-    spans = F.transform(F.sequence(F.lit(1), F.size("_cuts") + 1),
+    spans = F.transform(F.sequence(F.lit(1), F.size(cuts) + 1),
                         lambda i: F.struct((F.element_at(edges, i)["hi"] + 1).alias("a"), (F.element_at(edges, i + 1)["lo"] - 1).alias("b")))
     kept = F.transform(F.filter(spans, lambda s: s["b"] >= s["a"]),
                        lambda s: F.substring(raw, s["a"].cast("int") + 1, (s["b"] - s["a"]).cast("int")).cast("string"))
-    cleaned = F.when(F.col("_cuts").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    text = F.when(F.col(cuts).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     lines = F.when(F.col(text_col).isNotNull(), F.length(F.col(text_col)) - F.length(F.translate(F.col(text_col), "\n", "")) + 1).otherwise(F.lit(0))
-    return joined.withColumns({counts[0]: lines.cast("long"), counts[1]: F.coalesce("_cut_lines", F.lit(0)).cast("long"), "_cleaned": cleaned}).select(
-        *[F.col("_cleaned").alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in counts], *counts)
+    return joined.withColumns({counts[0]: lines.cast("long"), counts[1]: F.coalesce(removed, F.lit(0)).cast("long"), cleaned: text}).select(
+        *[F.col(cleaned).alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in counts], *counts)

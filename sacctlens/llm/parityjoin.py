@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sacctlens.llm.common import materialize, spread
+from sacctlens.llm.common import materialize, spread, unused
 from sacctlens.llm.components import components
 from sacctlens.llm.textkit import blobs, buffers, mix, span_hashes, steps, word_spans
 
@@ -493,6 +493,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows without an id stay; of several rows with the id that stays, all stay.
     """
+    name, = unused(docs.columns, "_gone")
     gone = (near_copies(docs, id_col, text_col, size, num).filter("component_id <> doc_id")
-            .select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+            .select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(gone, F.col(id_col).cast("long") == F.col(name), "left_anti")

@@ -1,3 +1,4 @@
+import math
 import os
 import random
 import sys
@@ -172,3 +173,22 @@ def test_plain_mentions_agree_across_random_texts():
         assert n == 6 and len(new.split()) == 6
         pairs = set(zip(mails, new.split()))
         assert len(pairs) == len(set(mails))
+
+
+def test_top_k_of_large_components(spark):
+    """Components up to 1e9 and beyond, mixed signs: exact ranks; scores beyond a long show as its bounds."""
+    rng = random.Random(11)
+    rows = [(1, [300000.0, 1.0]), (2, [300000.0, 0.0]), (50, [400000.0, 0.0])]
+    rows += [(100 + i, [rng.choice([-1, 1]) * 10 ** rng.uniform(0, 9) for _ in range(2)]) for i in range(200)]
+    rows += [(400 + i, [1e9 * (-1) ** i, -1e9]) for i in range(4)] + [(500, [1e300, 1.0]), (501, [-1e300, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    limit = 1 << 56
+    exact = {i: [max(-limit, min(limit, math.floor(256 * x))) for x in v] for i, v in rows}
+    bound = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+    want = []
+    for q in (i for i in exact if i % 50 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(exact[q], v)), i) for i, v in exact.items() if i != q)[:5]
+        want += [(q, rank, i, bound(-s)) for rank, (s, i) in enumerate(scores, 1)]
+    for block_rows, chunk in ((16384, 256), (16, 3)):
+        got = bitsliced.search(frame, frame.filter("vec_id % 50 = 0"), 5, block_rows=block_rows, chunk_queries=chunk).collect()
+        assert sorted(map(tuple, got)) == sorted(want)

@@ -4,40 +4,26 @@ import re
 import sys
 from collections import Counter
 
-import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import corpus_pipeline  # noqa: E402
 import fixtures as X  # noqa: E402
-from sacctlens.llm import linechunks  # noqa: E402
+from test_text_operators import runs_removed  # noqa: E402
 
 SF001 = "/root/testdata/sf0.001"
 
 
 def deduped(rows):
-    """The texts without repeated multi-line chunks (None: nothing is left)."""
-    def chunks(text):
-        begins = linechunks.chunk_edges(pa.array([text]))[-1]
-        lines = text.split("\n")
-        edges = [*begins.tolist(), len(lines)]
-        return [(a, lines[a:b]) for a, b in zip(edges, edges[1:])]
-
-    first, out = {}, []
-    for r in sorted(rows, key=lambda r: r["doc_id"]):
-        for a, lines in chunks(r["text"]):
-            if len(lines) > 1 and "".join(lines).strip():
-                first.setdefault("\n".join(lines), (r["doc_id"], a))
-    for r in rows:
-        kept, gone = [], 0
-        for a, lines in chunks(r["text"]):
-            if len(lines) > 1 and "".join(lines).strip() and first["\n".join(lines)] != (r["doc_id"], a):
-                gone += len(lines)
-            else:
-                kept += lines
-        if kept:
-            out.append({**r, "text": "\n".join(kept)} | ({"n_chars": len("\n".join(kept))} if gone else {}))
+    """The texts without the later occurrences of repeated runs of two or more lines; documents of which nothing is left go."""
+    rows = sorted(rows, key=lambda r: r["doc_id"])
+    out = []
+    for r, cut in zip(rows, runs_removed([r["text"] for r in rows])):
+        lines = r["text"].split("\n")
+        kept = "\n".join(x for k, x in enumerate(lines) if k not in cut)
+        if len(cut) < len(lines):
+            out.append({**r, "text": kept} | ({"n_chars": len(kept)} if cut else {}))
     return out
 
 
@@ -127,7 +113,8 @@ def test_run_and_empty_documents(spark, tmp_path):
 def test_stages_keep_extra_columns(spark, tmp_path):
     from pyspark.sql import functions as F
     docs = spark.read.parquet(f"{SF001}/documents.parquet").withColumns(
-        {c: F.concat(F.lit(c), F.col("doc_id")) for c in ("n_lines", "size", "chunks", "component_id", "n", "copies", "_id", "check")})
+        {c: F.concat(F.lit(c), F.col("doc_id")) for c in ("n_lines", "size", "chunks", "component_id", "n", "copies", "_id", "check", "_cuts", "_CUT_id", "_cut_hash", "_cut_lines", "_cleaned",
+                                                                              "_lines_before", "_lines_removed", "_gone", "counted", "text_hash")})
     for name, stage in corpus_pipeline.STAGES[:-1]:
         stage(spark, docs, SF001).write.parquet(str(tmp_path / name))
         out = spark.read.parquet(str(tmp_path / name))
