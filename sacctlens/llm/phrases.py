@@ -62,6 +62,7 @@ CHUNK = 4096
 FAN = 256
 #: A longer candidate drops its parts from this share of their count on; scores are per SCALE.
 KEPT_SHARE = 80
+SALTS = 64
 SCALE = 2_000_000
 
 GAP = np.zeros(256, bool)
@@ -666,7 +667,11 @@ def collocations(docs: DataFrame, least: int = LEAST, most: int = MOST, text_col
               .groupBy("lang", "phrase").agg(F.max("f").alias("held")))
     kept = lowest.join(inside, ["lang", "phrase"], "left").filter(
         F.col("held").isNull() | F.expr(f"cast(held AS decimal(38,0)) * 100 < cast(a AS decimal(38,0)) * {KEPT_SHARE}"))
-    best = Window.partitionBy("lang").orderBy(F.desc("low.score"), F.desc("a"), "phrase")
-    return (kept.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= most)
+    # The best of each of SALTS shares of a language first: no task sees all of its candidates.
+    order = [F.desc("low.score"), F.desc("a"), "phrase"]
+    share = Window.partitionBy("lang", "share").orderBy(*order)
+    likely = (kept.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SALTS))).withColumn("nth", F.row_number().over(share))
+              .filter(F.col("nth") <= most))
+    return (likely.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= most)
             .join(totals, "lang")
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("low.l").alias("l"), F.col("low.r").alias("r"), "n", F.col("low.score").alias("score")))
