@@ -160,6 +160,52 @@ def test_no_clash_and_no_real_value(spark, monkeypatch):
     assert S.pseudonymise(X.frame(spark, []), b"k").count() == 0
 
 
+FORMATS = {
+    "phone": ["+14155550123", "+49 30 1234567", "06 12 34 56 78", "+33 1 23 45 67 89", "+34 612 34 56 78", "612 34 56 78", "030 1234567", "Tel. 0301234567",
+              "(415) 555-0123", "+1 (415) 555-0123"],
+    "ipv6": ["2001:db8::1", "fe80::12:3", "2001:DB8:0:0:8:800:200C:417A"],
+    "ip": ["1.1.1.1", "10.20.30.40"],
+    "given": ["name: Peter Smith", "Nom : Peter Smith", "Kind regards,\nPeter Smith\n", "Peter Smith <write@us>", "Laura Smith came", "Dr. Peter Smith"],
+}
+
+
+def test_each_format_is_found_and_replaced():
+    for kind, texts in FORMATS.items():
+        for text in texts:
+            text = f"So, {text} and so on"if "\n" not in text else text
+            found = S.find(text)
+            assert found and found[0][2].split(":")[0] == kind, text
+            new, n = S.replace(text, b"k", {})
+            assert n == len(found) and [k for *_, k, _ in S.find(new)] == [k for *_, k, _ in found], (text, new)
+            assert all(text[a:b] not in new for a, b, *_ in found), (text, new)
+    for text in ("12:30:45 and 1:2", "std::abc a::b ::1", "version 1.2.3.4.5", "2024-01-02 10 20 30 40", "Name: the rest", "Tel. Aviv 1234567", "0.25 12345678"):
+        assert S.find(text) == [], text
+
+
+def test_numbers_and_people_are_one_entity_in_any_form(spark):
+    for forms in (["+49 30 1234567", "030 1234567"], ["+1 415 555 0123", "(415) 555-0123", "1-415-555-0123", "+14155550123"], ["+33 1 23 45 67 89", "01 23 45 67 89"]):
+        assert len({S.find(f)[0][3] for f in forms}) == 1
+    texts = ["Dr Maria Lopez", "Mrs Maria Lopez", "Prof. Zora Lopez", "Mrs Zora Hill", "Mr Kim Hill", "Mrs Kim Hill", "name: Zora Hill"]
+    got = {r.doc_id: r.text.split() for r in S.pseudonymise(X.frame(spark, [(i, t, None, None) for i, t in enumerate(texts)]), b"k").collect()}
+    names = {}
+    for i, text in enumerate(texts):
+        for old, new in zip(text.split()[1:], got[i][1:]):
+            assert names.setdefault(old, new) == new
+    assert len(set(names.values())) == len(names) == 5
+    assert {names["Maria"], names["Zora"]} <= {n for n, g in S.KNOWN.items() if g == "f"} | {names["Zora"] if names["Zora"].endswith("a") else ""}
+    assert names["Kim"] in S.GIVEN[("latin", "n")] or names["Kim"].endswith("e")
+
+
+def test_used_up_name_spaces_end(spark):
+    """All one-letter mails of a reserved domain, and all addresses of one-digit groups, are real."""
+    rows = [(i, f"{c}@example.com", None, None) for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    rows += [(100 + a, " ".join(f"{a}.{b}.{c}.{d}" for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)), None, None) for a in range(1, 10)]
+    got = S.pseudonymise(X.frame(spark, rows), b"k").collect()
+    real = {w for _, t, *_ in rows for w in t.split()}
+    new = [w for r in got for w in r.text.split()]
+    assert len(new) == len(real) == len(set(new)) and not real & set(new)
+
+
 def test_find_is_linear_on_odd_texts():
     for text in ("a" * 300000, "1" * 300000, "1 " * 150000, "@" * 100000, "a@" * 100000, "Mr. " * 50000, "Dr Abc " * 20000):
         S.replace(text, b"k", {})
