@@ -247,7 +247,8 @@ def test_leaks_reach_the_target_recall(spark):
         else:
             body = []
         rows.append((d, " ".join(prose(rng.randint(0, 80)) + body + prose(rng.randint(0, 80))), None, None))
-    rows += [(900, None, None, None), (901, "", None, None), (902, "too short", None, None)]
+    rows += [(900, None, None, None), (901, "", None, None), (902, "Too short", None, None), (903, "This is too short.", None, None)]
+    exact.add((902, 90))                     # two words: only as the whole text
     bench = spark.createDataFrame(items, "item_id long, text string")
     docs = X.frame(spark, rows)
     got = cgk.leaks(docs, bench).collect()
@@ -262,6 +263,46 @@ def test_leaks_reach_the_target_recall(spark):
     assert cgk.leaks(docs, bench.limit(0)).count() == 0
 
 
+def noisy(rng, text, rate):
+    """Each character changed, followed by another, or gone, with that probability."""
+    out = []
+    for c in text:
+        if rng.random() >= rate:
+            out.append(c)
+        elif (x := rng.random()) < 2 / 3:
+            out += [rng.choice("abcdefghij")] if x < 1 / 3 else [c, rng.choice("abcdefghij")]
+    return "".join(out)
+
+
+def test_recall_by_length_and_damage():
+    """Damaged copies within MAX_EDITS in running text of the same few words; nothing else is found."""
+    rng = random.Random(3)
+    vocab = ["".join(rng.choices("abcdefghijklmnoprst", k=rng.randint(2, 9))) for _ in range(8000)]
+    weights = [1 / (k + 10) for k in range(len(vocab))]
+    prose = lambda k: " ".join(rng.choices(vocab, weights, k=k))
+    lengths = [8, 15, 38, 120, 240]
+    items = [(i, prose(lengths[i % 5])) for i in range(200)]
+    index = cgk.Index(items)
+    least = {"words": [0.95] * 5, 0.0: [1.0] * 5, 0.05: [0.7, 0.95, 0.95, 0.95, 0.95], 0.1: [0.4, 0.85, 0.9, 0.95, 0.95]}
+    for damage, bounds in least.items():
+        hurt = lambda t: " ".join(edited(rng, t.split(), max(1, len(t.split()) // 10))) if damage == "words" else noisy(rng, t, damage)
+        docs = [f"{prose(40)} {hurt(t)} {prose(40)}" for _, t in items]
+        got = {(r, i) for r, i, *_ in index.leaks(pa.array(docs))}
+        assert all(r == i for r, i in got)
+        for k, bound in enumerate(bounds):
+            mine = [i for i, t in items[k::5] if cgk.closest(t, cgk.masks(t), docs[i]) <= int(cgk.MAX_EDITS * len(t))]
+            assert sum((i, i) in got for i in mine) >= bound * len(mine), (damage, lengths[k])
+
+
+def test_short_items_and_scripts_without_spaces():
+    items = [(1, "日本語の試験問題です。答えは何ですか"), (2, "What is this?"), (3, "yes"), (4, None), (5, "ภาษาไทยเป็นภาษาที่มีวรรณยุกต์"), (6, "what IS this"), (7, "..."), (8, "中文")]
+    texts = ["前文。日本語の試験間題です。答えは何ですか。後", "so what is, this", "Yes.", "yes no", None, "", "กกภาษาไทยเป็นภาษาที่มีวรรณยุกต์ขข", "what is", "...", "中 文", "什么中文"]
+    got = cgk.Index(items).leaks(pa.array(texts, pa.string()))
+    assert [(r, i, d) for r, i, d, *_ in got] == [(0, 1, 1), (1, 2, 0), (1, 6, 0), (2, 3, 0), (6, 5, 0), (9, 8, 0)]
+    assert [f for *_, f in got[1:4]] == [1, 1, 0]
+    assert cgk.Index([]).leaks(pa.array(texts, pa.string())) == []
+
+
 def test_several_groups_of_items(spark, monkeypatch):
     items = [(i, " ".join(f"{w}{i}" for w in "ab cd ef gh ij kl mn op qr st".split())) for i in range(20)]
     docs = X.frame(spark, [(i, "x y " + t + " z", None, None) for i, t in items])
