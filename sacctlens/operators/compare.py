@@ -56,9 +56,16 @@ def log_run_aggregates(spark, logs_dir: str, config: str) -> DataFrame:
     """
     from sacctlens.sources import eventlogs as EL
 
+    return scanned_run_aggregates(EL.scan_event_logs(spark, logs_dir), config)
+
+
+def scanned_run_aggregates(scanned: DataFrame, config: str, streamed: bool = False) -> DataFrame:
+    """Run aggregates and state of every log from scanned event rows (``streamed``: of a stream)."""
+    from sacctlens.sources import eventlogs as EL
+
     keys = ["config", "log_id"]
-    events = EL.log_run_events(EL.scan_event_logs(spark, logs_dir), config)
-    agg = R.run_aggregates(events, keys, [F.max("file_mtime_ms").alias("file_mtime_ms"), *EL.status_aggs()])
+    events = EL.log_run_events(scanned, config)
+    agg = R.run_aggregates(events, keys, [F.max("file_mtime_ms").alias("file_mtime_ms"), *EL.status_aggs(streamed)])
     zero = F.lit(0).cast("bigint")
     return agg.select(
         *keys, "file_mtime_ms", "readable", "still_open", "bad_lines",

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sacctlens import schema as S
-from sacctlens.sources import logsource
+from sacctlens.sources import logsource, logstream
 
 ROLLED_PART = r"^events_\d+_"
 _COMPRESSION_SUFFIX = r"\.(gz|zst|zstd|lz4|snappy|lzf|inprogress)$"
@@ -85,7 +85,11 @@ def scan_event_logs(spark: SparkSession, logs_dir: str, split: int = logsource.S
     which holds no event.  Lines that are no JSON land in ``_bad``.
     """
     spark.dataSource.register(logsource.EventLogSource)
-    rows = spark.read.format(logsource.FORMAT).option("split", split).load(logs_dir.rstrip("/"))
+    return parsed_lines(spark.read.format(logsource.FORMAT).option("split", split).load(logs_dir.rstrip("/")))
+
+
+def parsed_lines(rows: DataFrame) -> DataFrame:
+    """Lines and status rows of the log sources -> event rows; what is no JSON lands in ``_bad``."""
     event = F.from_json("line", S.EVENT_LOG_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     return rows.select(event.alias("e"), "log_id", "file_name", "file_mtime_ms", "status") \
                .select("e.*", "log_id", "file_name", "file_mtime_ms", "status")
@@ -96,11 +100,16 @@ def log_statuses(scanned: DataFrame) -> DataFrame:
     return scanned.groupBy("log_id").agg(*status_aggs())
 
 
-def status_aggs() -> list:
-    """Aggregates over scanned rows: whether all of a log's files could be read, whether it is still written, its malformed lines and events."""
+def status_aggs(streamed: bool = False) -> list:
+    """Aggregates over scanned rows: whether all of a log's files could be read, whether it is still written, its malformed lines and events.
+
+    In a stream a file has no status before it is complete, and a log is written until a row says that it has ended.
+    """
     status = F.col("status")
-    return [F.coalesce(F.bool_and(F.when(status.isNotNull(), status.isin(*logsource.READABLE))), F.lit(False)).alias("readable"),
-            F.coalesce(F.bool_or(status == "open"), F.lit(False)).alias("still_open"),
+    readable = status.isin(*logsource.READABLE, logstream.ENDED_ROW)
+    still_open = ~F.coalesce(F.bool_or(status == logstream.ENDED_ROW), F.lit(False)) if streamed else F.coalesce(F.bool_or(status == "open"), F.lit(False))
+    return [F.coalesce(F.bool_and(F.when(status.isNotNull(), readable)), F.lit(streamed)).alias("readable"),
+            still_open.alias("still_open"),
             F.count_if(F.col("_bad").isNotNull()).alias("bad_lines"),
             F.count_if(F.col("Event").isNotNull()).alias("events")]
 
