@@ -16,14 +16,16 @@ partners can lie there, for the band below.
 candidates (all to the smallest id) and, from three sets on, its member list, for
 later.  Sets that are equal form classes first, and one member stands for each.
 
-*Filter and verification.*  A second parity sketch of four to eight bits a shingle
-travels with each set: its Hamming distance never exceeds the difference, so pairs
-beyond D are dropped unseen.  The rest are verified on the whole texts.
+*Filter and verification.*  A second parity sketch of 1.5 to 3 bits a shingle, and at
+least ``SKETCH_BITS``, travels with each set: its Hamming distance never exceeds the
+difference, so pairs beyond D are dropped unseen.  The rest are verified on the whole
+texts.  At 1.5 bits, two sets of n that differ in 0.5 n are expected 0.36 n apart, beyond
+D = 0.29 n, so pairs below a similarity of 0.6 seldom reach their texts.
 
 *What the stars left out.*  After the components of the verified pairs are known,
-member lists that still span several components get ``ROUNDS`` further stars, each
-around another member and only for members outside its component.  Lists that
-span several components even then are compared in blocks, all pairs across
+member lists that still span several components get up to ``ROUNDS`` further stars
+(fewer if a star leaves nearly all lists as they were), each around another member and
+only for members outside its component.  Lists that span several components even then are compared in blocks, all pairs across
 components, through the same filter and verification.  So no link between
 components is lost, and no group is expanded into all its pairs.
 
@@ -54,6 +56,8 @@ SINGLE_PARTS = 256
 #: Parts of a larger band, as a share of its largest size.
 PART_SHARE = 0.7
 BUCKET_KEYS = 1_000_000
+#: Bits of the smallest sketches: below, chance lets too many pairs pass.
+SKETCH_BITS = 512
 BLOCK = 512
 HUB_ROWS = 256
 #: Pairs compared at once in a task, and bytes of sketches gathered for them.
@@ -63,6 +67,8 @@ SKETCH_BYTES = 16 << 20
 OPEN_PAIRS = 1 << 19
 #: Further stars per member list before its components are compared pair by pair.
 ROUNDS = 2
+#: Another star follows if it has at most this share of the members to look at that the one before had.
+HELPED = 0.9
 #: Up to this many ids (8 bytes each) are sent to every task.
 SENT_IDS = 1 << 20
 
@@ -139,8 +145,8 @@ def keys_of(shingles: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def sketch_of(shingles: np.ndarray) -> np.ndarray:
-    """Parity bits: each shingle flips one of the 4n (next power of two) bits."""
-    bits = max(64, 1 << (4 * len(shingles) - 1).bit_length())
+    """Parity bits: each shingle flips one of the 1.5n (next power of two, at least ``SKETCH_BITS``) bits."""
+    bits = max(SKETCH_BITS, 1 << (3 * len(shingles) // 2 - 1).bit_length()) if len(shingles) else SKETCH_BITS
     flips = np.bincount((mix(shingles) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8), bitorder="little")
 
@@ -237,20 +243,17 @@ def shared_keys(docs: DataFrame, buckets: int, size: int = SIZE, num: int = NUM)
 
 
 def _pack(names: np.ndarray, owner: np.ndarray, keys: np.ndarray) -> bytes:
-    """Documents with their key counts, then five bytes of every key."""
+    """Documents with their key counts, then four bytes of every key (in a bucket of a million keys
+    about a hundred pairs agree by chance; the filter drops them)."""
     first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
     count = np.diff(first, append=len(owner)).astype("<u4")
-    short = (keys >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-    return b"".join((np.uint32(len(first)).tobytes(), names[owner[first]].tobytes(), count.tobytes(), short.tobytes()))
+    return b"".join((np.uint32(len(first)).tobytes(), names[owner[first]].tobytes(), count.tobytes(), (keys >> np.uint64(32)).astype("<u4").tobytes()))
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int(np.frombuffer(blob, "<u4", 1)[0])
     doc, count = np.frombuffer(blob, "<i8", n, 4), np.frombuffer(blob, "<u4", n, 4 + 8 * n)
-    short = np.frombuffer(blob, np.uint8, -1, 4 + 12 * n).reshape(-1, 5)
-    key = np.zeros((len(short), 8), np.uint8)
-    key[:, :5] = short
-    return np.repeat(doc, count), key.view("<u8").ravel()
+    return np.repeat(doc, count), np.frombuffer(blob, "<u4", -1, 4 + 12 * n)
 
 
 def named_by(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -460,7 +463,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pairs = (found.filter("run is null").select("a", "b").distinct().join(low, "a").join(high, "b").filter("ra <> rb")
              .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
     pairs = materialize(pairs)
-    unique_sets = sets.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # Written, so that each later use filters it by the ids it needs before anything is shuffled.
+    unique_sets = materialize(sets.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
     known = texts.filter("doc_id is not null and text is not null")
     first = materialize(verified(materialize(filtered(pairs, unique_sets, num)), known, size, num).unionByName(equal))
     labels = components(first)
@@ -473,17 +477,24 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         spans = F.broadcast(spans)
     runs = materialize(lists.join(spans, "run", "left_semi").join(members.withColumnsRenamed({"doc_id": "b"}), "b")
                        .select("run", F.col("rep").alias("b")).distinct())
+    before = None
     for step in range(ROUNDS + 1):
-        if step < ROUNDS:
+        last = step == ROUNDS
+        if not last:
             runs, candidates = star_around(runs, labels, step)
-            runs, candidates = materialize(runs), materialize(candidates)
-            if not runs.limit(1).count():       # every list lies within one component
+            runs = materialize(runs)
+            members_left = runs.count()
+            if not members_left:                # every list lies within one component
                 break
+            last, before = before is not None and members_left > HELPED * before, members_left
+        if last:
+            candidates = materialize(across(runs, labels, unique_sets, num))
         else:
-            candidates = across(runs, labels, unique_sets, num)
-        candidates = materialize(filtered(candidates, unique_sets, num) if step < ROUNDS else candidates)
+            candidates = materialize(filtered(materialize(candidates), unique_sets, num))
         if candidates.limit(1).count():
             labels = merged(labels, materialize(verified(candidates, known, size, num)))
+        if last:
+            break
     return (every.join(labels, every.doc_id == labels.node, "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
