@@ -20,7 +20,8 @@ later.  Sets that are equal form classes first, and one member stands for each.
 least ``SKETCH_BITS``, travels with each set: its Hamming distance never exceeds the
 difference, so pairs beyond D are dropped unseen.  The rest are verified on the whole
 texts.  At 1.5 bits, two sets of n that differ in 0.5 n are expected 0.36 n apart, beyond
-D = 0.29 n, so pairs below a similarity of 0.6 seldom reach their texts.
+D = 0.29 n, so pairs below a similarity of 0.6 seldom reach their texts.  In long member
+lists, whose pairs grow with the square of the list, a sketch of 4 to 8 bits takes its place.
 
 *What the stars left out.*  After the components of the verified pairs are known,
 member lists that still span several components get up to ``ROUNDS`` further stars
@@ -58,6 +59,9 @@ PART_SHARE = 0.7
 BUCKET_KEYS = 1_000_000
 #: Bits of the smallest sketches: below, chance lets too many pairs pass.
 SKETCH_BITS = 512
+#: Bits for two shingles: of the sketches that all pairs meet with, and of those in lists of more than ``LONG_LIST`` members.
+COARSE, FINE = 3, 8
+LONG_LIST = 64
 BLOCK = 512
 HUB_ROWS = 256
 #: Pairs compared at once in a task, and bytes of sketches gathered for them.
@@ -144,9 +148,9 @@ def keys_of(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out)
 
 
-def sketch_of(shingles: np.ndarray) -> np.ndarray:
-    """Parity bits: each shingle flips one of the 1.5n (next power of two, at least ``SKETCH_BITS``) bits."""
-    bits = max(SKETCH_BITS, 1 << (3 * len(shingles) // 2 - 1).bit_length()) if len(shingles) else SKETCH_BITS
+def sketch_of(shingles: np.ndarray, per_two: int = COARSE) -> np.ndarray:
+    """Parity bits: each shingle flips one of the bits, ``per_two`` for two shingles (next power of two, at least ``SKETCH_BITS``)."""
+    bits = max(SKETCH_BITS, 1 << max(0, per_two * len(shingles) // 2 - 1).bit_length())
     flips = np.bincount((mix(shingles) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8), bitorder="little")
 
@@ -176,7 +180,7 @@ def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def describe_sets(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """doc_id, n, s1, s2 (hash of the whole set), sketch."""
+    """doc_id, n, s1, s2 (hash of the whole set), sketch, fine."""
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in steps(batch):
@@ -185,9 +189,10 @@ def describe_sets(docs: DataFrame, size: int = SIZE) -> DataFrame:
                 total = lambda seed: pa.array([int(np.add.reduce(mix(s ^ np.uint64(seed)), dtype=np.uint64).view(np.int64)) if len(s) else 0 for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), total(0x51), total(0xA7),
-                    blobs(sketch_of(s).tobytes() if len(s) else b"" for s in sets)], names=["doc_id", "n", "s1", "s2", "sketch"])
+                    *[blobs(sketch_of(s, per_two).tobytes() if len(s) else b"" for s in sets) for per_two in (COARSE, FINE)]],
+                    names=["doc_id", "n", "s1", "s2", "sketch", "fine"])
 
-    return docs.mapInArrow(described, "doc_id long, n long, s1 long, s2 long, sketch binary")
+    return docs.mapInArrow(described, "doc_id long, n long, s1 long, s2 long, sketch binary, fine binary")
 
 
 def shared_keys(docs: DataFrame, buckets: int, size: int = SIZE, num: int = NUM) -> DataFrame:
@@ -353,8 +358,12 @@ def across(runs: DataFrame, labels: DataFrame, sets: DataFrame, num: int = NUM)
     """
     named = materialize(runs.join(labels, runs.b == labels.node, "left").select("run", "b", F.coalesce("component", "b").alias("label")))
     spans = materialize(named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"))
-                        .filter("low <> high").select("run", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
-    rows = (named.join(spans, "run").join(sets.select(F.col("doc_id").alias("b"), "n", "sketch"), "b")
+                        .filter("low <> high").select("run", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"), (F.col("members") > LONG_LIST).alias("long")))
+    listed = materialize(named.join(spans, "run"))
+    short, long = listed.filter("not long"), listed.filter("long")
+    of_long = named_by(long.select(F.col("b").alias("a"), "b"), sets)
+    rows = (short.join(sets.select(F.col("doc_id").alias("b"), "n", "sketch"), "b")
+            .unionByName(long.join(of_long.select(F.col("doc_id").alias("b"), "n", F.col("fine").alias("sketch")), "b"))
             .withColumn("mine", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("run", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "b", "label", "n", "sketch"))

@@ -64,9 +64,11 @@ def test_near_copies_equal_brute_force(docs, rows):
     assert Counter((r.doc_id, r.n_shingles) for r in got) == Counter((i, len(X.shingles(t))) for i, t, *_ in rows)
 
 
-def test_near_copies_around_a_hub_that_is_not_the_smallest(spark, monkeypatch):
+@pytest.mark.parametrize("long_list", [parityjoin.LONG_LIST, 5])
+def test_near_copies_around_a_hub_that_is_not_the_smallest(spark, monkeypatch, long_list):
     """The copies link with the original only, which has the largest id."""
     monkeypatch.setattr(parityjoin, "BLOCK", 4)
+    monkeypatch.setattr(parityjoin, "LONG_LIST", long_list)
     monkeypatch.setattr(parityjoin, "SENT_IDS", 0)        # the way for many ids
     rng = random.Random(5)
     base = [f"w{i}" for i in range(200)]
