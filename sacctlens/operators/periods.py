@@ -19,9 +19,8 @@ from __future__ import annotations
 import datetime as _dt
 import time
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sacctlens import schema as S
@@ -102,6 +101,11 @@ def reports_requested(jobs: DataFrame, requests: DataFrame) -> DataFrame:
     return with_hours(dense.withColumnsRenamed({"report_year": "year", "report_month": "month"}))
 
 
+def _year_month(year: Column, month: Column) -> Column:
+    """One long for a (year, month) of ints, another one for every other pair."""
+    return year.cast("bigint") * F.lit(1 << 32) + month.cast("bigint")
+
+
 def refresh_month_grain(jobs: DataFrame, path: str, months: Sequence[tuple[int, int]]) -> None:
     """Compute the grain of the named (year, month) anew and add it to ``path`` as their newest version.
 
@@ -112,8 +116,9 @@ def refresh_month_grain(jobs: DataFrame, path: str, months: Sequence[tuple[int,
     """
     spark = jobs.sparkSession
     named = local_rows(spark, [(int(y), int(m)) for y, m in months], "year int, month int")
-    # Plain conditions on the partition columns: other months' folders are not listed for the scan.
-    grain = month_grain(jobs.where(reduce(lambda a, b: a | b, [(F.col("year") == int(y)) & (F.col("month") == int(m)) for y, m in months])))
+    # One hashed list of literals, whatever the number of months: a condition per month would be planned and
+    # tested month by month.  It names partition columns only, so other months' folders are not listed for the scan.
+    grain = month_grain(jobs.where(_year_month(F.col("year"), F.col("month")).isin(sorted({(int(y) << 32) + int(m) for y, m in months}))))
     spine = named.select("year", "month", F.explode(F.array(*map(F.lit, S.CLUSTERS))).alias("cluster"))
     dense = spine.join(F.broadcast(grain), ["year", "month", "cluster"], "left").fillna(0, subset=SIX_METRICS)   # 3 rows a month
     dense.withColumn("version", F.lit(time.time_ns())).coalesce(1).write.mode("append").partitionBy("version").parquet(path)

@@ -70,6 +70,17 @@ def test_refresh_reads_only_the_named_months(spark, tmp_path):
     assert P.read_grain_versions(spark, str(tmp_path / "grain")).agg(F.sum(F.col("completed_jobs") + F.col("failed_jobs"))).first()[0] == 3
 
 
+def test_refresh_of_many_months_is_one_condition(spark, tmp_path, monkeypatch):
+    seen, grain = [], P.month_grain
+    monkeypatch.setattr(P, "month_grain", lambda jobs: seen.append(plan_text(jobs)) or grain(jobs))
+    months = [(y, m) for y in range(2000, 2010) for m in range(1, 13)]
+    jobs = E.enrich(raw_jobs(spark, 6, [*months, (2024, 113), (2025, 13), (-1, 1), (None, 1)], n=1))
+    P.refresh_month_grain(jobs, str(tmp_path / "grain"), [*months, (2025, 13)])
+    assert seen[0].count(" OR ") < 20 and "INSET" in seen[0].upper()
+    got = P.read_grain_versions(spark, str(tmp_path / "grain")).where(F.col("completed_jobs") + F.col("failed_jobs") > 0)
+    assert sorted(map(tuple, got.select("year", "month").collect())) == sorted([*months, (2025, 13)])
+
+
 def _spoil(path, year, month):
     """Whoever opens this month's files fails."""
     folder = f"{path}/year={year}/month={month}"
