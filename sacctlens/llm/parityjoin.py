@@ -26,8 +26,8 @@ lists, whose pairs grow with the square of the list, a sketch of 4 to 8 bits tak
 *What the stars left out.*  After the components of the verified pairs are known,
 member lists that still span several components get up to ``ROUNDS`` further stars
 (fewer if a star leaves nearly all lists as they were), each around another member and
-only for members outside its component.  Lists that span several components even then are compared in blocks, all pairs across
-components, through the same filter and verification.  So no link between
+only for members outside its component.  Lists that span several components even then are compared, those with the same smallest
+member together and long ones in blocks: all pairs across components, through the same filter and verification.  So no link between
 components is lost, and no group is expanded into all its pairs.
 
 Defined results: a null text, or one without words, has an empty set, links with
@@ -43,6 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from sacctlens.llm.common import materialize, spread, unused
@@ -62,7 +63,11 @@ SKETCH_BITS = 512
 #: Bits for two shingles: of the sketches that all pairs meet with, and of those in lists of more than ``LONG_LIST`` members.
 COARSE, FINE = 3, 8
 LONG_LIST = 64
-BLOCK = 512
+BLOCK = 2048
+#: Memberships of lists with one smallest member that meet in one group.
+LOT_MEMBERS = 8192
+#: The same of lists that are cut into blocks.
+CUT_MEMBERS = 1 << 14
 HUB_ROWS = 256
 #: Pairs compared at once in a task, and bytes of sketches gathered for them.
 PAIRS_AT_ONCE = 1 << 20
@@ -275,10 +280,13 @@ def filtered(pairs: DataFrame, sets: DataFrame, num: int = NUM) -> DataFrame:
 
     ``pairs`` is read several times: pass a materialised one.
     """
-    sets = named_by(pairs, sets)
-    of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+    size_of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"))
     near = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * num)
-    rows = pairs.join(of("a"), "a").join(of("b"), "b").filter(near).select("a", "b", "n_a", "n_b", "s_a", "s_b")
+    # Sizes first: sketches, which are long, travel only for pairs whose sizes can link.
+    sized = materialize(pairs.join(size_of("a"), "a").join(size_of("b"), "b").filter(near).select("a", "b", "n_a", "n_b").distinct())
+    sets = named_by(sized, sets)
+    of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+    rows = sized.join(of("a"), ["a", "n_a"]).join(of("b"), ["b", "n_b"]).select("a", "b", "n_a", "n_b", "s_a", "s_b")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -354,107 +362,209 @@ def across(runs: DataFrame, labels: DataFrame, sets: DataFrame, num: int = NUM)
     """The pairs (a, b), a < b, between the components that one member list spans, as far
     as sizes and parity sketches leave them open.
 
-    Lists are cut into blocks of about ``BLOCK`` members; two blocks meet at a time.
+    Lists with the same smallest member share most of their members: they meet together, so that
+    a member's sketch is sent, and a pair compared and said, once for all of them.  Members of lists
+    of over ``BLOCK`` are cut into blocks of about that many, two of which meet at a time; such lists
+    meet together where this sends fewer sketches.
     """
     named = materialize(runs.join(labels, runs.b == labels.node, "left").select("run", "b", F.coalesce("component", "b").alias("label")))
-    spans = materialize(named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"))
-                        .filter("low <> high").select("run", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"), (F.col("members") > LONG_LIST).alias("long")))
-    listed = materialize(named.join(spans, "run"))
-    short, long = listed.filter("not long"), listed.filter("long")
-    of_long = named_by(long.select(F.col("b").alias("a"), "b"), sets)
-    rows = (short.join(sets.select(F.col("doc_id").alias("b"), "n", "sketch"), "b")
-            .unionByName(long.join(of_long.select(F.col("doc_id").alias("b"), "n", F.col("fine").alias("sketch")), "b"))
+    spans = materialize(named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"), F.min("b").alias("head"))
+                        .filter("low <> high").select("run", "members", "head", (F.col("members") > LONG_LIST).alias("fine"), (F.col("members") > BLOCK).alias("cut"))
+                        .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")))
+    short, cut = spans.filter("not cut"), spans.filter("cut")
+    all_members = named.join(cut, "run").groupBy("head").agg(F.countDistinct("b").alias("all"))
+    heads = (cut.groupBy("head").agg(F.sum("members").alias("members"), F.sum(F.col("members") * F.col("blocks")).alias("apart")).join(all_members, "head")
+             .withColumn("blocks", F.ceil(F.col("all") / BLOCK).cast("int"))
+             .withColumn("lots", F.ceil(F.col("members") * 2 / F.col("blocks") / CUT_MEMBERS))
+             .filter(F.col("all") * F.col("blocks") * F.col("lots") <= F.col("apart")).select("head", F.col("blocks").alias("_blocks"), "lots"))
+    cut = materialize(cut.join(heads, "head", "left"))
+    lots = short.groupBy("head", "fine").agg(F.ceil(F.sum("members") / LOT_MEMBERS).alias("lots"))
+    together = (short.join(lots, ["head", "fine"]).select("run", "head", "fine", "cut", "blocks", "lots")
+                .unionByName(cut.filter("lots is not null").select("run", "head", "fine", "cut", F.col("_blocks").alias("blocks"), "lots"))
+                .withColumn("lot", F.pmod(F.xxhash64("run"), F.col("lots")).cast("int")).drop("lots"))
+    return _across_heads(named, together, sets, num).unionByName(_across_long(named, cut.filter("lots is null"), sets, num)).distinct()
+
+
+def _across_heads(named: DataFrame, together: DataFrame, sets: DataFrame, num: int) -> DataFrame:
+    """The open pairs of lists, by smallest member, lot of lists and two blocks of members."""
+    group = ["head", "fine", "cut", "lot"]
+    listed = materialize(named.join(together, "run").withColumn("mine", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")))
+    lists = listed.groupBy(*group, "blocks", "run", "mine").agg(F.collect_list("b").alias("list"))
+    members = listed.select(*group, "blocks", "mine", "b", "label").distinct()
+    fine = members.filter("fine")
+    of_fine = named_by(fine.select(F.col("b").alias("a"), "b"), sets).select(F.col("doc_id").alias("b"), "n", F.col("fine").alias("sketch"))
+    rows = (members.filter("not fine").join(sets.select(F.col("doc_id").alias("b"), "n", "sketch"), "b").unionByName(fine.join(of_fine, "b"))
+            .unionByName(lists, allowMissingColumns=True)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other")}).drop("blocks", "other"))
+    keys = (*group, "x", "y")
+    met = rows.repartition(spread(named), *keys).sortWithinPartitions(*keys, "run", "mine")
+
+    def compare_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _once(_grouped(batches, keys, lambda t, start: _open_in_lists(t, start, num)))
+
+    return met.mapInArrow(compare_lists, "a long, b long")
+
+
+def _across_long(named: DataFrame, spans: DataFrame, sets: DataFrame, num: int) -> DataFrame:
+    """The open pairs of lists of over ``BLOCK`` members that meet alone, by two blocks of a list."""
+    listed = materialize(named.join(spans.select("run", "blocks"), "run"))
+    of_long = named_by(listed.select(F.col("b").alias("a"), "b"), sets)
+    rows = (listed.join(of_long.select(F.col("doc_id").alias("b"), "n", F.col("fine").alias("sketch")), "b")
             .withColumn("mine", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("run", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "b", "label", "n", "sketch"))
     met = rows.repartition(spread(rows), "run", "x", "y").sortWithinPartitions("run", "x", "y", "mine")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            if held is not None:
-                t = pa.concat_tables([held, t])
-            if not len(t):
-                continue
-            start = _group_starts(t)
-            held = t.slice(start[-1])           # the last group may go on
-            if start[-1]:
-                yield from _open_pairs(t.slice(0, start[-1]), num)
-        if held is not None:
-            yield from _open_pairs(held, num)
-
     def compare_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The same pair is open in many lists: drop what a task has just said.
-        kept, n = [], 0
-        for batch in compare(batches):
-            kept.append(np.column_stack([c.to_numpy() for c in batch.columns]))
-            n += len(batch)
-            if n > OPEN_PAIRS:
-                kept = [np.unique(np.concatenate(kept), axis=0)]
-                n = len(kept[0])
-                if n > OPEN_PAIRS // 2:
-                    yield _pairs(kept[0])
-                    kept, n = [], 0
-        if kept:
-            yield _pairs(np.unique(np.concatenate(kept), axis=0))
-
-    return met.mapInArrow(compare_once, "a long, b long").distinct()
+        return _once(_grouped(batches, ("run", "x", "y"), lambda t, start: _open_pairs(t, num)))
 
+    return met.mapInArrow(compare_once, "a long, b long")
 
-def _pairs(pairs: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
+def _grouped(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], open_pairs) -> Iterator[pa.RecordBatch]:
+    """What ``open_pairs`` finds in whole groups, several at a time, of rows sorted by ``keys``."""
+    held = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        if held is not None:
+            t = pa.concat_tables([held, t])
+        if not len(t):
+            continue
+        start = _group_starts(t, keys)
+        held = t.slice(start[-1])           # the last group may go on
+        if start[-1]:
+            yield from open_pairs(t.slice(0, start[-1]), start[:-1])
+    if held is not None and len(held):
+        yield from open_pairs(held, np.zeros(1, np.int64))
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same pair is open in many lists: drop what a task has just said."""
+    kept, n = [], 0
+    for batch in batches:
+        kept.append(np.column_stack([c.to_numpy() for c in batch.columns]))
+        n += len(batch)
+        if n > OPEN_PAIRS:
+            kept = [np.unique(np.concatenate(kept), axis=0)]
+            n = len(kept[0])
+            if n > OPEN_PAIRS // 2:
+                yield _pairs(kept[0])
+                kept, n = [], 0
+    if kept:
+        yield _pairs(np.unique(np.concatenate(kept), axis=0))
 
-def _group_starts(t: pa.Table) -> np.ndarray:
-    run, x, y = (t.column(c).to_numpy() for c in ("run", "x", "y"))
-    return np.flatnonzero(np.concatenate(([True], (run[1:] != run[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))))
 
+def _pairs(pairs: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-def _open_pairs(t: pa.Table, num: int) -> Iterator[pa.RecordBatch]:
-    """Pairs across labels, within each group (run, x, y), that the filters leave open."""
-    start = _group_starts(t)
-    x, y, mine, doc, label, n = (t.column(c).to_numpy() for c in ("x", "y", "mine", "b", "label", "n"))
-    raw = [np.frombuffer(s.as_py(), np.uint8) for s in t.column("sketch")]
-    length = np.array([len(s) for s in raw])
-    group_end = np.repeat(np.append(start[1:], len(doc)), np.diff(start, append=len(doc)))
-    # A row meets the rows after it; where two blocks meet, a left row meets the right ones.
-    lefts = np.repeat(np.add.reduceat((mine == x).astype(np.int64), start), np.diff(start, append=len(doc)))
-    group_start = np.repeat(start, np.diff(start, append=len(doc)))
-    lo = np.where(x == y, np.arange(len(doc)) + 1, group_start + lefts)
-    count = np.where((x == y) | (mine == x), group_end - lo, 0)
-    # Sketches of each size: a set's own, or folded from the next larger.
-    place, matrix = {}, {}
-    for size in np.unique(length):
-        here = np.flatnonzero((length == size) | (length == 2 * size))
-        place[size] = np.full(len(doc), -1)
-        place[size][here] = np.arange(len(here))
-        matrix[size] = np.stack([folded(raw[k], size) for k in here]).view("<u8")
-    total = np.cumsum(count)
-    at = 0
-    while at < len(doc):
-        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS_AT_ONCE, side="right")))
-        c = count[at:to]
-        i = np.repeat(np.arange(at, to), c)
-        j = np.repeat(lo[at:to] - np.cumsum(c) + c, c) + np.arange(int(c.sum()))
-        at = to
-        small, large = np.minimum(length[i], length[j]), np.maximum(length[i], length[j])
-        ok = ((label[i] != label[j]) & (doc[i] != doc[j]) & (large <= 2 * small)
-              & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * num))
-        i, j, small = i[ok], j[ok], small[ok]
-        found = []
+
+def _group_starts(t: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    new = np.zeros(len(t) - 1, bool)
+    for c in keys:
+        x = t.column(c).to_numpy()
+        new |= x[1:] != x[:-1]
+    return np.flatnonzero(np.concatenate(([True], new)))
+
+
+class _Sets:
+    """Members (rows of a table) with their sketches of each size: a set's own, or folded from the next larger."""
+
+    def __init__(self, t: pa.Table, num: int):
+        self.num = num
+        self.doc, self.label, self.n = (t.column(c).to_numpy() for c in ("b", "label", "n"))
+        raw = [np.frombuffer(s.as_py(), np.uint8) for s in t.column("sketch")]
+        self.length = np.array([len(s) for s in raw], np.int64)
+        self.place, self.matrix = {}, {}
+        for size in np.unique(self.length):
+            here = np.flatnonzero((self.length == size) | (self.length == 2 * size))
+            self.place[size] = np.full(len(raw), -1)
+            self.place[size][here] = np.arange(len(here))
+            self.matrix[size] = np.stack([folded(raw[k], size) for k in here]).view("<u8")
+
+    def may_meet(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Pairs of members of different components, in sizes that can link."""
+        small, large = np.minimum(self.length[i], self.length[j]), np.maximum(self.length[i], self.length[j])
+        return ((self.label[i] != self.label[j]) & (self.doc[i] != self.doc[j]) & (large <= 2 * small)
+                & (np.minimum(self.n[i], self.n[j]) * 100 >= np.maximum(self.n[i], self.n[j]) * self.num))
+
+    def open(self, i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Those of the pairs of members (rows i and j) that the sketches leave open."""
+        doc, n, found = self.doc, self.n, []
+        small = np.minimum(self.length[i], self.length[j])
         for size in np.unique(small):
             p, q = i[small == size], j[small == size]
+            matrix, place = self.matrix[size], self.place[size]
             step = max(1, SKETCH_BYTES // int(size))
             for k in range(0, len(p), step):
                 a, b = p[k:k + step], q[k:k + step]
-                apart = np.bitwise_count(matrix[size][place[size][a]] ^ matrix[size][place[size][b]]).sum(axis=1, dtype=np.int64)
-                near = apart <= (100 - num) * (n[a] + n[b]) // (100 + num)
+                apart = np.bitwise_count(matrix[place[a]] ^ matrix[place[b]]).sum(axis=1, dtype=np.int64)
+                near = apart <= (100 - self.num) * (n[a] + n[b]) // (100 + self.num)
                 found.append(np.column_stack((np.minimum(doc[a], doc[b])[near], np.maximum(doc[a], doc[b])[near])))
         if found:
             yield _pairs(np.unique(np.concatenate(found), axis=0))
 
 
+def _chunks(lo: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j): row i with each of the ``count[i]`` rows from ``lo[i]`` on, some at a time."""
+    total, at = np.cumsum(count), 0
+    while at < len(count):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS_AT_ONCE, side="right")))
+        c = count[at:to]
+        yield np.repeat(np.arange(at, to), c), np.repeat(lo[at:to] - np.cumsum(c) + c, c) + np.arange(int(c.sum()))
+        at = to
+
+
+def _open_pairs(t: pa.Table, num: int) -> Iterator[pa.RecordBatch]:
+    """Pairs across labels, within each group (run, x, y), that the filters leave open."""
+    start = _group_starts(t, ("run", "x", "y"))
+    x, y, mine = (t.column(c).to_numpy() for c in ("x", "y", "mine"))
+    sets, rows = _Sets(t, num), np.diff(start, append=len(t))
+    group_end = np.repeat(start + rows, rows)
+    # A row meets the rows after it; where two blocks meet, a left row meets the right ones.
+    lefts = np.repeat(np.add.reduceat((mine == x).astype(np.int64), start), rows)
+    lo = np.where(x == y, np.arange(len(t)) + 1, np.repeat(start, rows) + lefts)
+    for i, j in _chunks(lo, np.where((x == y) | (mine == x), group_end - lo, 0)):
+        ok = sets.may_meet(i, j)
+        yield from sets.open(i[ok], j[ok])
+
+
+def _open_in_lists(t: pa.Table, start: np.ndarray, num: int) -> Iterator[pa.RecordBatch]:
+    """Pairs across labels, within each list of a group, that the filters leave open.
+
+    A row is a member, with its sketch, or a list's members in one block; the members of a
+    group are those of all its lists.  Where two blocks meet, a list's left block meets its right one.
+    """
+    rows = np.diff(start, append=len(t))
+    is_list = t.column("list").is_valid().to_numpy()
+    lists = t.filter(pa.array(is_list))
+    of = np.repeat(np.arange(len(start)), rows)
+    at, own = of[is_list], of[~is_list]
+    listed = lists.column("list").combine_chunks()
+    size = pc.list_value_length(listed).to_numpy(zero_copy_only=False).astype(np.int64)
+    x, y, mine, run = (lists.column(c).to_numpy() for c in ("x", "y", "mine", "run"))
+    sets = _Sets(t.filter(pa.array(~is_list)), num)
+    names, code = np.unique(sets.doc, return_inverse=True)
+    key = own * len(names) + code
+    order = np.argsort(key, kind="stable")
+    row = order[np.searchsorted(key[order], np.repeat(at, size) * len(names) + np.searchsorted(names, listed.flatten().to_numpy(zero_copy_only=False)))]
+    end = np.cumsum(size)
+    crossed = np.append((at[1:] == at[:-1]) & (run[1:] == run[:-1]), False) & (x != y) & (mine == x)
+    of_next = np.append(end[1:], 0)
+    here, of_list = np.arange(len(row)), np.repeat(np.arange(len(size)), size)
+    lo = np.where(np.repeat(x == y, size), here + 1, np.repeat(end, size))
+    hi = np.repeat(np.where(x == y, end, np.where(crossed, of_next, end)), size)
+    for i, j in _chunks(lo, hi - lo):
+        several = len(i) and of_list[i[0]] != of_list[i[-1]]
+        i, j = row[i], row[j]
+        ok = sets.may_meet(i, j)
+        i, j = i[ok], j[ok]
+        if several:                             # a pair of several lists once
+            pair = np.unique(np.minimum(i, j) * len(own) + np.maximum(i, j))
+            i, j = pair // len(own), pair % len(own)
+        yield from sets.open(i, j)
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, num: int = NUM,
                 bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row of ``docs``."""

@@ -335,3 +335,38 @@ def test_pairs_across_components_equal_brute_force(monkeypatch):
     table = pa.table(dict(zip(("run", "x", "y", "mine", "b", "label", "n", "sketch"), map(pa.array, zip(*rows)))))
     got = [(a, b) for batch in parityjoin._open_pairs(table, 75) for a, b in zip(*(c.to_pylist() for c in batch.columns))]
     assert set(got) == want and want
+
+
+@pytest.mark.parametrize("block, cut", [(2048, 1 << 14), (8, 1 << 14), (8, 20)])
+def test_lists_with_one_smallest_member_meet_together(spark, monkeypatch, block, cut):
+    monkeypatch.setattr(parityjoin, "BLOCK", block)
+    monkeypatch.setattr(parityjoin, "LONG_LIST", 12)
+    monkeypatch.setattr(parityjoin, "CUT_MEMBERS", cut)
+    monkeypatch.setattr(parityjoin, "PAIRS_AT_ONCE", 500)
+    rng = np.random.default_rng(1)
+    base = np.unique(rng.integers(0, 1 << 63, 300).astype(np.uint64))
+    sets = [np.unique(np.concatenate((base[rng.permutation(len(base))[:270]], rng.integers(0, 1 << 63, 20).astype(np.uint64)))) for _ in range(40)]
+    runs = {run: [run % 3, *sorted(set(rng.integers(3, 40, int(rng.integers(2, 25))).tolist()))] for run in range(60)}
+    want = {(a, b) for m in runs.values() for a in m for b in m if a < b and a // 2 != b // 2 and parityjoin.linked(sets[a], sets[b])}
+    inside = {(a, b) for m in runs.values() for a in m for b in m if a < b and a // 2 != b // 2}
+    frame = spark.createDataFrame([(r, b) for r, m in runs.items() for b in m], "run long, b long")
+    labels = spark.createDataFrame([(d, d // 2) for d in range(40)], "node long, component long")
+    table = spark.createDataFrame([(d, len(s), *(bytearray(parityjoin.sketch_of(s, k).tobytes()) for k in (parityjoin.COARSE, parityjoin.FINE))) for d, s in enumerate(sets)],
+                                  "doc_id long, n long, sketch binary, fine binary")
+    got = {(r.a, r.b) for r in parityjoin.across(frame, labels, table).collect()}
+    assert want and want <= got <= inside
+
+
+def test_a_pair_of_many_lists_is_said_once(monkeypatch):
+    """Forty lists that share their smallest member and most others: the pair is compared and said once."""
+    rng = np.random.default_rng(2)
+    shingles = np.unique(rng.integers(0, 1 << 63, 200).astype(np.uint64))
+    sketch = parityjoin.sketch_of(shingles).tobytes()
+    members = [(None, 0, d, d, len(shingles), sketch, None) for d in range(10)]
+    lists = [(run, 0, None, None, None, None, sorted(rng.permutation(10)[:int(rng.integers(2, 10))].tolist())) for run in range(40)]
+    types = {"run": pa.int64(), "mine": pa.int32(), "b": pa.int64(), "label": pa.int64(), "n": pa.int64(), "sketch": pa.binary(), "list": pa.list_(pa.int64())}
+    table = pa.table({k: pa.array(v, t) for (k, t), v in zip(types.items(), zip(*members, *lists))})
+    for c in ("x", "y"):
+        table = table.append_column(c, pa.array(np.zeros(len(table), np.int32)))
+    got = [p for batch in parityjoin._open_in_lists(table, np.zeros(1, np.int64), 75) for p in zip(*(c.to_pylist() for c in batch.columns))]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for *_, m in lists for a in m for b in m if a < b}
