@@ -45,6 +45,8 @@ HARD_CUT = 16
 GRAIN = 32
 LOT = 1 << 19
 KNOWN = 1 << 20
+#: New words that go through the tokenizer as one text.
+JOINED = 256
 STEP_BYTES = 2 << 20
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -98,6 +100,7 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # a task is one core's work
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.ends_word = word_ends(self.tokenizer)
         self.forget()
 
     def forget(self) -> None:
@@ -107,6 +110,32 @@ class WordIds:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each word's place and number of ids, and the ids.
+
+        Words of letters alone go in as one text, with spaces between them, and are told apart by
+        the tokens that end a word; where these are not one a word, each word goes in by itself.
+        """
+        place, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        joined = [k for k, w in enumerate(words) if w.isalpha()] if self.ends_word.any() else []
+        alone, pool, at = np.ones(len(words), bool), [], 0
+        some = [joined[lo:lo + JOINED] for lo in range(0, len(joined), JOINED)]
+        for mine, ids in zip(some, self.encode([" ".join([words[k] for k in mine]) for mine in some])):
+            ids = np.array(ids, np.uint32)
+            end = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(end) == len(mine) and end[-1] == len(ids):
+                start = np.concatenate(([0], end[:-1]))
+                place[mine], size[mine] = at + start, end - start
+                pool.append(ids)
+                at += len(ids)
+                alone[mine] = False
+        alone = np.flatnonzero(alone)
+        found = self.encode([words[k] for k in alone.tolist()])
+        size[alone] = np.fromiter(map(len, found), np.int64, len(found))
+        place[alone] = at + np.cumsum(size[alone]) - size[alone]
+        pool.append(np.fromiter((i for ids in found for i in ids), np.uint32, int(size[alone].sum())))
+        return place, size, np.concatenate(pool)
+
     def ids(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows' texts, and the rows' offsets into them."""
         if len(self.h1) > KNOWN:
@@ -126,10 +155,8 @@ class WordIds:
         new = np.flatnonzero(~known)
         if len(new):
             raw = buf.tobytes()
-            found = self.encode([raw[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
-            size = np.fromiter(map(len, found), np.int64, len(found))
-            pool = np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
-            self.at = np.insert(self.at, place[new], len(self.pool) + np.cumsum(size) - size)
+            at, size, pool = self.of_words([raw[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+            self.at = np.insert(self.at, place[new], len(self.pool) + at)
             self.size = np.insert(self.size, place[new], size)
             self.h2 = np.insert(self.h2, place[new], h2[first[new]])
             self.h1 = np.insert(self.h1, place[new], distinct[new])
@@ -148,6 +175,16 @@ class WordIds:
         return np.array([i for ids in found for i in ids], np.uint32), np.concatenate(([0], np.cumsum([len(ids) for ids in found]))).astype(np.int64)
 
 
+def word_ends(tokenizer) -> np.ndarray:
+    """Whether the token of each id ends a word; nowhere, if the tokenizer does not mark that."""
+    vocabulary = tokenizer.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    if suffix:
+        ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return ends
+
+
 def sentence_ends(tokenizer) -> np.ndarray:
     """Whether the token of each id ends with a full stop, exclamation or question mark."""
     vocabulary = tokenizer.get_vocab()

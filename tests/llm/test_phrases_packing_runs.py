@@ -282,3 +282,16 @@ def test_equal_hashes_do_not_make_words_equal(monkeypatch):
     monkeypatch.setattr(periodic, "span_hashes", lambda b, s, e, seed: real(b, s, e, seed) % np.uint64(2) if seed < 2 else real(b, s, e, seed))
     n = periodic.word_numbers(buf, starts, ends).tolist()
     assert n[0] == n[2] and n[1] == n[5] and len(set(n)) == 5
+
+
+def test_new_words_share_a_text_and_keep_their_own_ids():
+    words = packing.WordIds(TOKENIZER)
+    new = ["plain", "unquestionableness", "don't", "x1", "a.b", "straße", "日本語", "éa", "e\u0301a", ".", "ﬁx", "ªb", *(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(600))]
+    want, calls, encode = words.encode(new), [], words.encode
+    words.encode = lambda texts: calls.extend(texts) or encode(texts)
+    at, size, pool = words.of_words(new)
+    assert [pool[a:a + n].tolist() for a, n in zip(at, size)] == want
+    assert len(calls) < 20                                  # not a text for each word
+    words.ends_word[:] = False                              # a tokenizer that does not mark where words end
+    at, size, pool = words.of_words(new)
+    assert [pool[a:a + n].tolist() for a, n in zip(at, size)] == want
