@@ -9,9 +9,11 @@ symbol follows from a table of all words' counts, which grows with the corpus an
 stays in Spark: p(word | symbol) is the word's share of its symbol's occurrences.
 A document's score is the sum of the conditional log-probabilities of its words.
 
-Tasks write their texts' symbol scores and word numbers in chunks of bounded size,
-each with the list of its distinct words; these lists, not the texts, are joined to
-the counts, and what is found returns to the chunk.
+Every task has the counts of the most frequent words (at most ``OFTEN``, whatever the
+corpus size) and adds their share itself.  Tasks write their texts' scores and the
+numbers of all other words in chunks of bounded size, each with the list of its
+distinct other words; these lists, not the texts, are joined to the counts, and what is
+found returns to the chunk.
 
 Training covers every word of every document: a task trains on all positions of its
 own texts (``every`` thins them out), from the same start; the tasks' parameters are averaged by positions in a tree of shuffles.  What is
@@ -53,6 +55,8 @@ CHUNKS = 64
 LOTS = 64
 #: Text of one chunk of scores: few enough words for two bytes each.
 CHUNK_BYTES = 2 << 20
+#: Words whose counts are sent to every task (16 bytes each); all others meet theirs in a join.
+OFTEN = 1 << 16
 _PLACES = [-k for k in range(SIDE, 0, -1)] + list(range(1, SIDE + 1))
 
 
@@ -127,9 +131,30 @@ def slot_counts(words: DataFrame) -> np.ndarray:
     return out
 
 
+def frequent_words(words: DataFrame, most: int = OFTEN) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``most`` of the most frequent words (sorted hashes), and their counts.
+
+    All words from some count on, a 16th of a power of two: no task ranks them.
+    """
+    step = F.floor(F.log2("n") * 16)
+    total, least = 0, None
+    for r in sorted(words.groupBy(step.alias("step")).count().collect(), key=lambda r: -r.step):
+        total += r["count"]
+        if total > most:
+            break
+        least = r.step
+    got = words.filter(step >= least).select("word", "n").collect() if least is not None else []
+    hashes, n = np.array([r.word for r in got], np.int64).view(np.uint64), np.array([r.n for r in got], np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], n[order]
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z = np.exp(z - z.max(axis=1, keepdims=True))
-    return z / z.sum(axis=1, keepdims=True)
+    """Of each column, in place."""
+    z -= z.max(axis=0)
+    z = np.exp(z, out=z)
+    z /= z.sum(axis=0)
+    return z
 
 
 class Network:
@@ -163,35 +188,65 @@ class Network:
         return net
 
     def hidden(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
-        total = np.tile(self.parts[1], (len(at), 1))
-        for k, place in enumerate(_PLACES):
-            total += self.parts[0][k][symbols[at + place]]
+        total = self.parts[0][0].take(symbols[at + _PLACES[0]], axis=0)
+        total += self.parts[1]
+        for k, place in enumerate(_PLACES[1:], 1):
+            total += self.parts[0][k].take(symbols[at + place], axis=0)
         return np.tanh(total, out=total)
 
+    def outputs(self, h: np.ndarray, edge: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of rows sorted by class (those of class k from ``edge[k]`` on): what the softmax over the
+        classes, and that within the row's class, are taken of; a column for each row."""
+        _, _, w, b, v, c = self.parts
+        within = np.empty((SYMBOLS // CLASSES, len(h)), np.float32)
+        for k in np.flatnonzero(np.diff(edge)):
+            np.matmul(v[k].T, h[edge[k]:edge[k + 1]].T, out=within[:, edge[k]:edge[k + 1]])
+        within += c.T.take(cls, axis=1)
+        return w.T @ h.T + b[:, None], within
+
     def log_probabilities(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Conditional log-probability of the symbol at each place, given both sides."""
-        _, _, w, b, v, c = self.parts
         width, out = SYMBOLS // CLASSES, np.empty(len(at), np.float64)
-        for lo in range(0, len(at), 32768):
-            here = at[lo:lo + 32768]
-            h = self.hidden(symbols, here)
-            target = symbols[here]
-            cls, within = target // width, target % width
-            z = h @ w + b
-            z -= z.max(axis=1, keepdims=True)
-            got = z[np.arange(len(here)), cls] - np.log(np.exp(z).sum(axis=1))
-            order = np.argsort(cls, kind="stable")
-            edge = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-            for k in range(CLASSES):
-                mine = order[edge[k]:edge[k + 1]]
-                if len(mine):
-                    z = h[mine] @ v[k] + c[k]
-                    z -= z.max(axis=1, keepdims=True)
-                    got[mine] += z[np.arange(len(mine)), within[mine]] - np.log(np.exp(z).sum(axis=1))
-            out[lo:lo + 32768] = got
+        for lo in range(0, len(at), 4096):
+            here = at[lo:lo + 4096]
+            order, edge = _by_class(symbols[here])
+            here = here[order]
+            target, total = symbols[here], 0.0
+            cls = target // width
+            for z, own in zip(self.outputs(self.hidden(symbols, here), edge, cls), (cls, target % width)):
+                z -= z.max(axis=0)
+                total = total + z[own, np.arange(len(here))] - np.log(np.exp(z, out=z).sum(axis=0))
+            out[lo + order] = total
         return out
 
 
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of symbols by class, and where each class begins (CLASSES + 1)."""
+    cls = (target // (SYMBOLS // CLASSES)).astype(np.uint16)
+    return np.argsort(cls, kind="stable"), np.concatenate(([0], np.cumsum(np.bincount(cls, minlength=CLASSES))))
+
+
+def _summed(rows: np.ndarray, keys: np.ndarray, at_once: int = 12) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, and the sums of their rows; row i % len(rows) is that of key i."""
+    order = np.argsort(keys, kind="stable")
+    keys, order = keys[order], order % len(rows)
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    count = np.diff(first, append=len(keys))
+    # Frequent keys by themselves; the first, second ... rows of all others together, those with more rows first.
+    rank = np.argsort(-np.minimum(count, at_once + 1), kind="stable")
+    first, count = first[rank], count[rank]
+    total = rows[order[first]]
+    long = int((count > at_once).sum())
+    if long:
+        end = np.cumsum(count[:long])
+        at = np.arange(end[-1]) + np.repeat(first[:long] - end + count[:long], count[:long])
+        total[:long] = np.add.reduceat(rows[order[at]], end - count[:long], axis=0)
+    for k in range(1, at_once):
+        more = int((count > k).sum())
+        total[long:more] += rows[order[first[long:more] + k]]
+    return keys[first], total
+
+
 class Trainer:
     """Adagrad on one task's positions."""
 
@@ -200,37 +255,40 @@ class Trainer:
         self.positions = 0
 
     def _move(self, part: int, index, grad: np.ndarray) -> None:
-        self.g[part][index] += grad * grad
-        self.net.parts[part][index] -= RATE * grad / np.sqrt(self.g[part][index])
+        g = self.g[part][index]
+        g += grad * grad
+        self.g[part][index] = g
+        self.net.parts[part][index] -= RATE * grad / np.sqrt(g)
 
     def learn(self, symbols: np.ndarray, at: np.ndarray) -> None:
-        _, _, w, b, v, c = self.net.parts
+        _, _, w, _, v, _ = self.net.parts
         width = SYMBOLS // CLASSES
         for lo in range(0, len(at), BATCH):
             here = at[lo:lo + BATCH]
             n = len(here)
-            h = self.net.hidden(symbols, here)
+            order, edge = _by_class(symbols[here])
+            here = here[order]
             target = symbols[here]
-            cls, within = target // width, target % width
-            d = _softmax(h @ w + b)
-            d[np.arange(n), cls] -= 1
+            cls = target // width
+            h = self.net.hidden(symbols, here)
+            d, e = (_softmax(z) for z in self.net.outputs(h, edge, cls))
+            d[cls, np.arange(n)] -= 1
+            e[target % width, np.arange(n)] -= 1
             d /= n
-            back = d @ w.T
-            moves = [(2, ..., h.T @ d), (3, ..., d.sum(axis=0))]
-            for k in np.unique(cls):
-                mine = np.flatnonzero(cls == k)
-                d = _softmax(h[mine] @ v[k] + c[k])
-                d[np.arange(len(mine)), within[mine]] -= 1
-                d /= n
-                back[mine] += d @ v[k].T
-                moves += [(4, k, h[mine].T @ d), (5, k, d.sum(axis=0))]
+            e /= n
+            back = (w @ d).T
+            of_v, of_c = np.zeros_like(v), np.zeros((CLASSES, width), np.float32)
+            seen = np.flatnonzero(np.diff(edge))
+            of_c[seen] = np.add.reduceat(e, edge[seen], axis=1).T
+            for k in seen:
+                mine = slice(edge[k], edge[k + 1])
+                back[mine] += (v[k] @ e[:, mine]).T
+                np.matmul(h[mine].T, e[:, mine].T, out=of_v[k])
+            back = np.ascontiguousarray(back)
             back *= 1 - h * h
-            moves.append((1, ..., back.sum(axis=0)))
-            for k, place in enumerate(_PLACES):
-                word = symbols[here + place]
-                order = np.argsort(word, kind="stable")
-                first = np.flatnonzero(np.concatenate(([True], np.diff(word[order]) > 0)))
-                moves.append((0, (k, word[order[first]]), np.add.reduceat(back[order], first, axis=0)))
+            moves = [(2, ..., h.T @ d.T), (3, ..., d.sum(axis=1)), (4, ..., of_v), (5, ..., of_c), (1, ..., back.sum(axis=0))]
+            keys, total = _summed(back, np.concatenate([symbols[here + place] + k * SYMBOLS for k, place in enumerate(_PLACES)]).astype(np.uint16))
+            moves.append((0, (keys // SYMBOLS, keys % SYMBOLS), total))
             for part, index, grad in moves:
                 self._move(part, index, grad)
             self.positions += n
@@ -287,19 +345,25 @@ def fit(docs: DataFrame, text_col: str = "text", every: int = TRAIN_EVERY, words
     return symbol, train(texts, symbol, start, every)
 
 
-def score(docs: DataFrame, symbol: np.ndarray, net: Network, id_col: str = "doc_id", text_col: str = "text", words: DataFrame | None = None) -> DataFrame:
+def score(docs: DataFrame, symbol: np.ndarray, net: Network, id_col: str = "doc_id", text_col: str = "text", words: DataFrame | None = None,
+          often: int = OFTEN) -> DataFrame:
     """doc_id, n_words, log_likelihood, mean_log_likelihood of every document.
 
-    Without ``words``, the likelihood is that of the symbols only.
+    Without ``words``, the likelihood is that of the symbols only.  ``often`` bounds
+    the words whose counts every task gets; the result is the same for any.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    out = _symbol_scores(texts, symbol, net) if words is None else _word_scores(texts, symbol, net, words)
+    out = _symbol_scores(texts, symbol, net) if words is None else _word_scores(texts, symbol, net, words, often)
     return out.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 
-def _word_scores(texts: DataFrame, symbol: np.ndarray, net: Network, words: DataFrame) -> DataFrame:
+def _word_scores(texts: DataFrame, symbol: np.ndarray, net: Network, words: DataFrame, often: int) -> DataFrame:
     flat = net.flat
     occurrences = np.bincount(symbol, weights=slot_counts(words), minlength=SYMBOLS)
+    frequent, times = frequent_words(words, often)
+
+    def share(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.log(np.maximum(n, 0.5)) - np.log(np.maximum(occurrences[symbol[slot_of(hashes)]], 0.5))
 
     def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, number = Network(flat), TaskContext.get().partitionId() << 32
@@ -307,32 +371,41 @@ def _word_scores(texts: DataFrame, symbol: np.ndarray, net: Network, words: Data
             for lo, hi in steps(batch, most=CHUNK_BYTES):
                 part = batch.slice(lo, hi - lo)
                 hashes, rows = hashes_of(part.column("text"))
-                total = np.concatenate(([0.0], np.cumsum(network.log_probabilities(*padded(slot_of(hashes), rows, symbol)))))
                 distinct, at = np.unique(hashes, return_inverse=True)
+                place = np.searchsorted(frequent, distinct)
+                known = np.append(frequent, np.uint64(0))[place] == distinct
+                known &= place < len(frequent)
+                within = np.zeros(len(distinct))
+                within[known] = share(distinct[known], times[place[known]])
+                total = network.log_probabilities(*padded(slot_of(hashes), rows, symbol)) + within[at]
+                total = np.concatenate(([0.0], np.cumsum(total)))
+                rare, left = distinct[~known], ~known[at]
+                of = np.repeat(np.arange(len(part)), np.diff(rows))[left]
                 # A sum needs no order: sorted within each text, the differences are small.
-                at = np.sort(np.repeat(np.arange(len(part)), np.diff(rows)) << 32 | at).astype("<u2" if len(distinct) <= 1 << 16 else "<u4")
-                at = np.diff(at, prepend=at.dtype.type(0)).view(np.uint8).reshape(len(at), -1).T
+                at = np.sort(of << 32 | (np.cumsum(~known) - 1)[at[left]]).astype("<u2" if len(rare) <= 1 << 16 else "<u4")
+                at = np.diff(at, prepend=at.dtype.type(0)).view(np.uint8).reshape(len(at), at.itemsize).T
                 yield pa.RecordBatch.from_arrays([
                     pa.array([number]), pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([np.diff(rows).tolist()], pa.list_(pa.int64())),
+                    pa.array([np.bincount(of, minlength=len(part)).tolist()], pa.list_(pa.int64())),
                     pa.array([(total[rows[1:]] - total[rows[:-1]]).tolist()], pa.list_(pa.float64())),
-                    pa.array([distinct.view(np.int64)], pa.list_(pa.int64())), pa.array([zlib.compress(at.tobytes(), 1)], pa.binary())],
-                    names=["chunk", "doc_ids", "n_words", "scores", "words", "at"])
+                    pa.array([rare.view(np.int64)], pa.list_(pa.int64())), pa.array([zlib.compress(at.tobytes(), 1)], pa.binary())],
+                    names=["chunk", "doc_ids", "n_words", "n_rare", "scores", "words", "at"])
                 number += 1
 
     def ended(chunks: pa.Table, found: pa.Table) -> pa.Table:
-        ids, n_words, scores = (chunks.column(c).combine_chunks().flatten() for c in ("doc_ids", "n_words", "scores"))
+        ids, n_words, n_rare, scores = (chunks.column(c).combine_chunks().flatten() for c in ("doc_ids", "n_words", "n_rare", "scores"))
         hashes = chunks.column("words").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64)
         n = np.zeros(len(hashes))
         n[found.column("k").to_numpy()] = found.column("n").to_numpy()
-        within = np.log(np.maximum(n, 0.5)) - np.log(np.maximum(occurrences[symbol[slot_of(hashes)]], 0.5))
+        within = share(hashes, n)
         kind = np.dtype("<u2" if len(hashes) <= 1 << 16 else "<u4")
         planes = np.frombuffer(zlib.decompress(chunks.column("at")[0].as_py()), np.uint8).reshape(kind.itemsize, -1)
         at = np.cumsum(np.ascontiguousarray(planes.T).view(kind).ravel(), dtype=kind)
-        rows = np.concatenate(([0], np.cumsum(n_words.to_numpy())))
+        rows = np.concatenate(([0], np.cumsum(n_rare.to_numpy())))
         total = np.concatenate(([0.0], np.cumsum(within[at])))
         return pa.table({"doc_id": ids, "n_words": n_words, "log_likelihood": pa.array(scores.to_numpy() + total[rows[1:]] - total[rows[:-1]])})
 
-    sent = materialize(texts.mapInArrow(begun, "chunk long, doc_ids array<long>, n_words array<long>, scores array<double>, words array<long>, at binary"))
+    sent = materialize(texts.mapInArrow(begun, "chunk long, doc_ids array<long>, n_words array<long>, n_rare array<long>, scores array<double>, words array<long>, at binary"))
     found = sent.select(F.col("chunk").alias("of"), F.posexplode("words").alias("k", "word")).join(words.hint("merge"), "word").select("of", "k", "n")
     return sent.groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(ended, "doc_id long, n_words long, log_likelihood double")
 

@@ -209,6 +209,71 @@ def test_lm_scores_the_word_within_its_symbol(spark, docs):
     assert maskedlm.score(empty, symbol, net, words=maskedlm.count_words(empty)).count() == 0
 
 
+def test_lm_scores_do_not_depend_on_the_words_sent(spark, docs):
+    words = maskedlm.count_words(docs)
+    n = sorted((r.n for r in words.collect()), reverse=True)
+    for most in (0, 3, 50, len(n)):
+        hashes, times = maskedlm.frequent_words(words, most)
+        assert len(hashes) <= most and (np.diff(hashes.astype(object)) > 0).all()
+        assert sorted(times, reverse=True) == n[:len(times)] and (most < len(n) or len(times) == len(n))
+    symbol, net = maskedlm.fit(docs, words=words)
+    want = {r.doc_id: r for r in maskedlm.score(docs, symbol, net, words=words, often=0).collect()}
+    for often in (50, len(n)):
+        got = maskedlm.score(docs, symbol, net, words=words, often=often).collect()
+        assert len(got) == docs.count()
+        for r in got:
+            assert r.n_words == want[r.doc_id].n_words
+            assert r.log_likelihood == pytest.approx(want[r.doc_id].log_likelihood, rel=1e-9, abs=1e-9)
+
+
+def test_lm_scores_tables_without_words(spark):
+    rows = X.frame(spark, [(1, "", None, None), (2, None, None, None), (3, " \n ", None, None)])
+    words = maskedlm.count_words(rows)
+    got = maskedlm.score(rows, *maskedlm.fit(rows, words=words), words=words).collect()
+    assert sorted((r.doc_id, r.n_words, r.log_likelihood, r.mean_log_likelihood) for r in got) == [(i, 0, 0.0, None) for i in (1, 2, 3)]
+
+
+@pytest.mark.parametrize("n", [1, 7, 3000])
+def test_row_sums_equal_brute_force(n):
+    rng = np.random.default_rng(n)
+    rows = rng.normal(size=(n, 4)).astype(np.float32)
+    keys = np.minimum(rng.geometric(0.02, 4 * n), 900).astype(np.uint16)
+    want = {}
+    for i, k in enumerate(keys.tolist()):
+        want[k] = want.get(k, 0) + rows[i % n].astype(float)
+    for at_once in (1, 2, 12):
+        got, total = maskedlm._summed(rows, keys, at_once)
+        assert sorted(got.tolist()) == sorted(want)
+        assert np.allclose(total, [want[k] for k in got.tolist()], atol=1e-4)
+
+
+def test_a_step_equals_the_plain_one():
+    """One batch of the trainer against the same step, written position by position."""
+    rng = np.random.default_rng(5)
+    start = maskedlm.Network.start(np.arange(maskedlm.SYMBOLS, dtype=float))
+    symbols = rng.integers(0, 200, 60)
+    at, width = np.arange(2, 58), maskedlm.SYMBOLS // maskedlm.CLASSES
+    want = [np.zeros(s) for s in start.SHAPES]
+    tables, bias, w, b, v, c = (p.astype(float) for p in start.parts)
+    places = [-2, -1, 1, 2]
+    for i in at:
+        h = np.tanh(bias + sum(tables[k][symbols[i + p]] for k, p in enumerate(places)))
+        cls, own = divmod(symbols[i], width)
+        d, e = (np.exp(z) / np.exp(z).sum() for z in (h @ w + b, h @ v[cls] + c[cls]))
+        d[cls] -= 1
+        e[own] -= 1
+        d, e = d / len(at), e / len(at)
+        back = (w @ d + v[cls] @ e) * (1 - h * h)
+        for part, index, g in ((1, ..., back), (2, ..., np.outer(h, d)), (3, ..., d), (4, cls, np.outer(h, e)), (5, cls, e)):
+            want[part][index] += g
+        for k, p in enumerate(places):
+            want[0][k, symbols[i + p]] += back
+    net = maskedlm.Network(start.flat.copy())
+    maskedlm.Trainer(net).learn(symbols, at)
+    for part, g, old in zip(net.parts, want, start.parts):
+        assert np.allclose(part, old - maskedlm.RATE * g / np.sqrt(1e-4 + g * g), atol=1e-4)
+
+
 def test_lm_trains_on_every_position(spark):
     """Where no position is multiple of 8, thinning would leave the network at its start."""
     rows = [(0, "", None, None)] + [(i, "la lo", None, None) for i in range(1, 7)]
