@@ -252,17 +252,31 @@ def shared_keys(docs: DataFrame, buckets: int, size: int = SIZE, num: int = NUM)
             .groupBy("bucket").applyInArrow(meet, "a long, b long, run long"))
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """All first bytes, then all second ones: of small numbers, runs of zeros that the shuffle packs."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _from_planes(blob: bytes, kind: str, n: int, at: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8, size * n, at).reshape(size, n).T).view(kind).ravel()
+
+
 def _pack(names: np.ndarray, owner: np.ndarray, keys: np.ndarray) -> bytes:
     """Documents with their key counts, then four bytes of every key (in a bucket of a million keys
-    about a hundred pairs agree by chance; the filter drops them)."""
+    about a hundred pairs agree by chance; the filter drops them).
+
+    The more buckets, the fewer keys a document has in one: so ids go as differences, in planes of bytes.
+    """
     first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
     count = np.diff(first, append=len(owner)).astype("<u4")
-    return b"".join((np.uint32(len(first)).tobytes(), names[owner[first]].tobytes(), count.tobytes(), (keys >> np.uint64(32)).astype("<u4").tobytes()))
+    ids = names[owner[first]]
+    return b"".join((np.uint32(len(first)).tobytes(), _planes(np.diff(ids, prepend=ids.dtype.type(0))), _planes(count), (keys >> np.uint64(32)).astype("<u4").tobytes()))
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int(np.frombuffer(blob, "<u4", 1)[0])
-    doc, count = np.frombuffer(blob, "<i8", n, 4), np.frombuffer(blob, "<u4", n, 4 + 8 * n)
+    doc, count = np.cumsum(_from_planes(blob, "<i8", n, 4)), _from_planes(blob, "<u4", n, 4 + 8 * n)
     return np.repeat(doc, count), np.frombuffer(blob, "<u4", -1, 4 + 12 * n)
 
 
@@ -391,9 +405,9 @@ def _across_heads(named: DataFrame, together: DataFrame, sets: DataFrame, num: i
     listed = materialize(named.join(together, "run").withColumn("mine", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")))
     lists = listed.groupBy(*group, "blocks", "run", "mine").agg(F.collect_list("b").alias("list"))
     members = listed.select(*group, "blocks", "mine", "b", "label").distinct()
-    fine = members.filter("fine")
-    of_fine = named_by(fine.select(F.col("b").alias("a"), "b"), sets).select(F.col("doc_id").alias("b"), "n", F.col("fine").alias("sketch"))
-    rows = (members.filter("not fine").join(sets.select(F.col("doc_id").alias("b"), "n", "sketch"), "b").unionByName(fine.join(of_fine, "b"))
+    coarse, fine = members.filter("not fine"), members.filter("fine")
+    of = lambda some, sketch: named_by(some.select(F.col("b").alias("a"), "b"), sets).select(F.col("doc_id").alias("b"), "n", F.col(sketch).alias("sketch"))
+    rows = (coarse.join(of(coarse, "sketch"), "b").unionByName(fine.join(of(fine, "fine"), "b"))
             .unionByName(lists, allowMissingColumns=True)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other")}).drop("blocks", "other"))
@@ -570,6 +584,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """doc_id, n_shingles, component_id: one row per row of ``docs``."""
     texts = _docs(docs, id_col, text_col)
     every = materialize(describe_sets(texts, size))
+    # A written table: each later use filters it by the ids it needs (members of classes but the
+    # representatives are never named) before anything is shuffled.
     sets = every.filter("doc_id is not null and n > 0")
     classes = sets.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
     # One set per id: an id with several texts belongs to several classes.
@@ -582,10 +598,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pairs = (found.filter("run is null").select("a", "b").distinct().join(low, "a").join(high, "b").filter("ra <> rb")
              .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
     pairs = materialize(pairs)
-    # Written, so that each later use filters it by the ids it needs before anything is shuffled.
-    unique_sets = materialize(sets.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
     known = texts.filter("doc_id is not null and text is not null")
-    first = materialize(verified(materialize(filtered(pairs, unique_sets, num)), known, size, num).unionByName(equal))
+    first = materialize(verified(materialize(filtered(pairs, sets, num)), known, size, num).unionByName(equal))
     labels = components(first)
     # Most lists lie within one component by now; only the others go on, by representatives.
     lists = found.filter("run is not null").select("run", "b")
@@ -607,9 +621,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 break
             last, before = before is not None and members_left > HELPED * before, members_left
         if last:
-            candidates = materialize(across(runs, labels, unique_sets, num))
+            candidates = materialize(across(runs, labels, sets, num))
         else:
-            candidates = materialize(filtered(materialize(candidates), unique_sets, num))
+            candidates = materialize(filtered(materialize(candidates), sets, num))
         if candidates.limit(1).count():
             labels = merged(labels, materialize(verified(candidates, known, size, num)))
         if last:

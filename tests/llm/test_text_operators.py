@@ -107,6 +107,30 @@ def test_keys_of_linked_sets_meet():
                 assert parityjoin.may_link(len(a), len(b), x, y)
 
 
+@pytest.mark.parametrize("ids", [list(range(10**7, 10**7 + 900)), [5, -3, 2**63 - 1, -2**63, 0], [7]])
+def test_blobs_of_keys_come_back(ids):
+    rng = np.random.default_rng(2)
+    names, count = np.array(ids, "<i8"), rng.integers(1, 4, len(ids))
+    owner = np.repeat(np.arange(len(ids)), count)
+    keys = rng.integers(0, 1 << 63, len(owner)).astype(np.uint64)
+    blob = parityjoin._pack(names, owner, keys)
+    doc, key = parityjoin._unpack(blob)
+    assert doc.tolist() == names[owner].tolist() and key.tolist() == (keys >> np.uint64(32)).tolist()
+    # with many buckets a document has a key or two in each: beside these, it takes little more than a byte
+    if len(ids) > 100:
+        assert len(pa.compress(blob, "lz4_raw", asbytes=True)) < 4 * len(keys) + 1.5 * len(ids)
+
+
+def test_sketches_are_written_once(spark, monkeypatch):
+    written = []
+    keep = parityjoin.materialize
+    monkeypatch.setattr(parityjoin, "materialize", lambda df: written.append(df.columns) or keep(df))
+    rows = [(i, "a b c d e f g h " + "x" * (i % 3), None, None) for i in range(9)]
+    got = {r.doc_id: r.component_id for r in parityjoin.near_copies(X.frame(spark, rows)).collect()}
+    assert got == X.near_groups(rows)
+    assert sum("sketch" in columns for columns in written) == 1
+
+
 # --- op10
 
 def chunks_of(text, window, divisor):
