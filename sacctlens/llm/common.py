@@ -13,16 +13,24 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame) -> DataFrame:
+#: Rows of a small table that one task writes.
+ROWS_A_FILE = 1 << 14
+
+
+def materialize(df: DataFrame, most: int | None = None) -> DataFrame:
     """Cut lineage: the rows as a written table in the session's shared checkpoint folder.
 
+    Where about ``most`` short rows come at most, and this takes fewer tasks than a shuffle
+    has, only so many write: a file costs more than the rows of a small table.
+
     A table rather than ``checkpoint()``: a checkpointed frame carries the
     constraints of its plan along, and in loops these outgrow the driver.  Tables
     stay until the folder is cleaned.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/sacctlens-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    tasks = None if most is None else max(1, -(-most // ROWS_A_FILE))
+    (df if tasks is None or tasks >= spread(df) else df.coalesce(tasks)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -69,9 +69,12 @@ LOT_MEMBERS = 8192
 #: The same of lists that are cut into blocks.
 CUT_MEMBERS = 1 << 14
 HUB_ROWS = 256
-#: Pairs compared at once in a task, and bytes of sketches gathered for them.
+#: Pairs enumerated at once in a task, and bytes of sketches gathered at once for them.
 PAIRS_AT_ONCE = 1 << 20
-SKETCH_BYTES = 16 << 20
+SKETCH_BYTES = 2 << 20
+#: From this many pairs on, a group's lists are marked in a table of members by members, strips of so many cells at a time.
+MARKED_PAIRS = 1 << 12
+MARKED_CELLS = 1 << 22
 #: Open pairs that a task gathers before it passes them on.
 OPEN_PAIRS = 1 << 19
 #: Further stars per member list before its components are compared pair by pair.
@@ -297,7 +300,7 @@ def filtered(pairs: DataFrame, sets: DataFrame, num: int = NUM) -> DataFrame:
     size_of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"))
     near = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * num)
     # Sizes first: sketches, which are long, travel only for pairs whose sizes can link.
-    sized = materialize(pairs.join(size_of("a"), "a").join(size_of("b"), "b").filter(near).select("a", "b", "n_a", "n_b").distinct())
+    sized = materialize(pairs.join(size_of("a"), "a").join(size_of("b"), "b").filter(near).select("a", "b", "n_a", "n_b").distinct(), pairs.count())
     sets = named_by(sized, sets)
     of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     rows = sized.join(of("a"), ["a", "n_a"]).join(of("b"), ["b", "n_b"]).select("a", "b", "n_a", "n_b", "s_a", "s_b")
@@ -323,7 +326,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int = SIZE, num: int = NUM
     """
     docs = named_by(pairs, docs)
     # Written first, so that the join below may split a hub's pairs.
-    hubs = materialize(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_ROWS).cast("int").alias("lots")))
+    hubs = materialize(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_ROWS).cast("int").alias("lots")), pairs.count())
     partners = pairs.join(hubs, "a").select("a", F.pmod(F.xxhash64("b"), F.col("lots")).cast("int").alias("lot"), "b")
     own = hubs.select("a", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), F.col("a").alias("b"))
     needed = partners.unionByName(own)
@@ -350,29 +353,40 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int = SIZE, num: int = NUM
     return dealt.mapInArrow(test, "a long, b long")
 
 
-def star_around(runs: DataFrame, labels: DataFrame, nth: int) -> tuple[DataFrame, DataFrame]:
-    """The member lists that span several components, and pairs (a, b), a < b, of one
+def labelled(runs: DataFrame, labels: DataFrame) -> DataFrame:
+    """run, b, label: the members with the components they are in."""
+    return materialize(runs.join(labels, runs.b == labels.node, "left").select("run", "b", F.coalesce("component", "b").alias("label")), runs.count())
+
+
+def star_around(named: DataFrame, nth: int) -> tuple[DataFrame, DataFrame]:
+    """The member lists that span several components (run, b, label), and pairs (a, b), a < b, of one
     member of each (another one for each ``nth``) with the members outside its component."""
-    named = materialize(runs.join(labels, runs.b == labels.node, "left").select("run", "b", F.coalesce("component", "b").alias("label")))
+    most = named.count()
     spans = materialize(named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                                  F.min(F.struct(F.xxhash64("b", F.lit(nth)).alias("h"), "b", "label")).alias("hub"))
-                        .filter("low <> high").select("run", F.col("hub.b").alias("hub"), F.col("hub.label").alias("hub_label")))
+                        .filter("low <> high").select("run", F.col("hub.b").alias("hub"), F.col("hub.label").alias("hub_label")), most)
     rows = named.join(spans, "run")
     pairs = rows.filter("label <> hub_label").select(F.least("b", "hub").alias("a"), F.greatest("b", "hub").alias("b")).distinct()
-    return rows.select("run", "b"), pairs
+    return rows.select("run", "b", "label"), pairs
 
 
 def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, component) after further edges (a, b)."""
     name = labels.withColumnsRenamed({"node": "_n", "component": "_c"})
     lift = lambda e, c: e.join(name, e[c] == name._n, "left").withColumn(c, F.coalesce("_c", c)).drop("_n", "_c")
-    joined = components(lift(lift(edges, "a"), "b").filter("a <> b")).withColumnsRenamed({"node": "_n", "component": "_c"})
+    most = edges.count()
+    joined = components(lift(lift(edges, "a"), "b").filter("a <> b"), most).withColumnsRenamed({"node": "_n", "component": "_c"})
     nodes = (labels.unionByName(joined.select(F.col("_n").alias("node"), F.col("_n").alias("component")))
              .groupBy("node").agg(F.min("component").alias("component")))
-    return materialize(nodes.join(joined, nodes.component == joined._n, "left").select("node", F.coalesce("_c", "component").alias("component")))
+    return materialize(nodes.join(joined, nodes.component == joined._n, "left").select("node", F.coalesce("_c", "component").alias("component")), labels.count() + 2 * most)
 
 
 def across(runs: DataFrame, labels: DataFrame, sets: DataFrame, num: int = NUM) -> DataFrame:
+    """The pairs (a, b), a < b, between the components that one member list spans (see ``between``)."""
+    return between(labelled(runs, labels), sets, num)
+
+
+def between(named: DataFrame, sets: DataFrame, num: int = NUM) -> DataFrame:
     """The pairs (a, b), a < b, between the components that one member list spans, as far
     as sizes and parity sketches leave them open.
 
@@ -381,17 +395,17 @@ def across(runs: DataFrame, labels: DataFrame, sets: DataFrame, num: int = NUM)
     of over ``BLOCK`` are cut into blocks of about that many, two of which meet at a time; such lists
     meet together where this sends fewer sketches.
     """
-    named = materialize(runs.join(labels, runs.b == labels.node, "left").select("run", "b", F.coalesce("component", "b").alias("label")))
+    most = named.count()
     spans = materialize(named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"), F.min("b").alias("head"))
                         .filter("low <> high").select("run", "members", "head", (F.col("members") > LONG_LIST).alias("fine"), (F.col("members") > BLOCK).alias("cut"))
-                        .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")))
+                        .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")), most)
     short, cut = spans.filter("not cut"), spans.filter("cut")
     all_members = named.join(cut, "run").groupBy("head").agg(F.countDistinct("b").alias("all"))
     heads = (cut.groupBy("head").agg(F.sum("members").alias("members"), F.sum(F.col("members") * F.col("blocks")).alias("apart")).join(all_members, "head")
              .withColumn("blocks", F.ceil(F.col("all") / BLOCK).cast("int"))
              .withColumn("lots", F.ceil(F.col("members") * 2 / F.col("blocks") / CUT_MEMBERS))
              .filter(F.col("all") * F.col("blocks") * F.col("lots") <= F.col("apart")).select("head", F.col("blocks").alias("_blocks"), "lots"))
-    cut = materialize(cut.join(heads, "head", "left"))
+    cut = materialize(cut.join(heads, "head", "left"), most)
     lots = short.groupBy("head", "fine").agg(F.ceil(F.sum("members") / LOT_MEMBERS).alias("lots"))
     together = (short.join(lots, ["head", "fine"]).select("run", "head", "fine", "cut", "blocks", "lots")
                 .unionByName(cut.filter("lots is not null").select("run", "head", "fine", "cut", F.col("_blocks").alias("blocks"), "lots"))
@@ -402,7 +416,7 @@ def across(runs: DataFrame, labels: DataFrame, sets: DataFrame, num: int = NUM)
 def _across_heads(named: DataFrame, together: DataFrame, sets: DataFrame, num: int) -> DataFrame:
     """The open pairs of lists, by smallest member, lot of lists and two blocks of members."""
     group = ["head", "fine", "cut", "lot"]
-    listed = materialize(named.join(together, "run").withColumn("mine", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")))
+    listed = materialize(named.join(together, "run").withColumn("mine", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")), named.count())
     lists = listed.groupBy(*group, "blocks", "run", "mine").agg(F.collect_list("b").alias("list"))
     members = listed.select(*group, "blocks", "mine", "b", "label").distinct()
     coarse, fine = members.filter("not fine"), members.filter("fine")
@@ -422,7 +436,7 @@ def _across_heads(named: DataFrame, together: DataFrame, sets: DataFrame, num: i
 
 def _across_long(named: DataFrame, spans: DataFrame, sets: DataFrame, num: int) -> DataFrame:
     """The open pairs of lists of over ``BLOCK`` members that meet alone, by two blocks of a list."""
-    listed = materialize(named.join(spans.select("run", "blocks"), "run"))
+    listed = materialize(named.join(spans.select("run", "blocks"), "run"), named.count())
     of_long = named_by(listed.select(F.col("b").alias("a"), "b"), sets)
     rows = (listed.join(of_long.select(F.col("doc_id").alias("b"), "n", F.col("fine").alias("sketch")), "b")
             .withColumn("mine", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
@@ -494,7 +508,8 @@ class _Sets:
             here = np.flatnonzero((self.length == size) | (self.length == 2 * size))
             self.place[size] = np.full(len(raw), -1)
             self.place[size][here] = np.arange(len(here))
-            self.matrix[size] = np.stack([folded(raw[k], size) for k in here]).view("<u8")
+            # By words: the members' first ones, then their second ones.
+            self.matrix[size] = np.ascontiguousarray(np.stack([folded(raw[k], size) for k in here]).view("<u8").T)
 
     def may_meet(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Pairs of members of different components, in sizes that can link."""
@@ -509,12 +524,22 @@ class _Sets:
         for size in np.unique(small):
             p, q = i[small == size], j[small == size]
             matrix, place = self.matrix[size], self.place[size]
-            step = max(1, SKETCH_BYTES // int(size))
+            step, some = max(1, SKETCH_BYTES // int(size)), -(-len(matrix) // 4)
             for k in range(0, len(p), step):
                 a, b = p[k:k + step], q[k:k + step]
-                apart = np.bitwise_count(matrix[place[a]] ^ matrix[place[b]]).sum(axis=1, dtype=np.int64)
-                near = apart <= (100 - self.num) * (n[a] + n[b]) // (100 + self.num)
-                found.append(np.column_stack((np.minimum(doc[a], doc[b])[near], np.maximum(doc[a], doc[b])[near])))
+                most = ((100 - self.num) * (n[a] + n[b]) // (100 + self.num)).astype(np.int32)
+                x, y, apart = place[a], place[b], np.zeros(len(a), np.int32)
+                # A part of the words tells most pairs to be too far apart; the others go on.
+                for lo in range(0, len(matrix), some):
+                    for word in matrix[lo:lo + some]:
+                        apart += np.bitwise_count(word[x] ^ word[y])
+                    near = np.flatnonzero(apart <= most)
+                    if len(near) < len(apart):
+                        a, b, x, y, most, apart = (c[near] for c in (a, b, x, y, most, apart))
+                    if not len(near):
+                        break
+                if len(a):
+                    found.append(np.column_stack((np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b]))))
         if found:
             yield _pairs(np.unique(np.concatenate(found), axis=0))
 
@@ -568,7 +593,18 @@ def _open_in_lists(t: pa.Table, start: np.ndarray, num: int) -> Iterator[pa.Reco
     here, of_list = np.arange(len(row)), np.repeat(np.arange(len(size)), size)
     lo = np.where(np.repeat(x == y, size), here + 1, np.repeat(end, size))
     hi = np.repeat(np.where(x == y, end, np.where(crossed, of_next, end)), size)
-    for i, j in _chunks(lo, hi - lo):
+    # Where a group's lists hold many of its members' pairs, their pairs are marked; of the others, each list is gone through.
+    count, first = hi - lo, np.append(np.searchsorted(own, np.arange(len(start))), len(own))
+    pairs = np.bincount(np.repeat(at, size), weights=count, minlength=len(start))
+    for g in np.flatnonzero((pairs >= MARKED_PAIRS) & (4 * pairs >= np.diff(first) ** 2)):
+        here_lists = np.arange(*np.searchsorted(at, (g, g + 1)))
+        count[end[here_lists[0]] - size[here_lists[0]]:end[here_lists[-1]]] = 0
+        part = lambda k: row[end[k] - size[k]:end[k]]
+        marked = [(left := part(k), left if x[k] == y[k] else part(k + 1)) for k in here_lists if x[k] == y[k] or crossed[k]]
+        for i, j in _marked(marked, int(first[g]), int(first[g + 1])):
+            ok = sets.may_meet(i, j)
+            yield from sets.open(i[ok], j[ok])
+    for i, j in _chunks(lo, count):
         several = len(i) and of_list[i[0]] != of_list[i[-1]]
         i, j = row[i], row[j]
         ok = sets.may_meet(i, j)
@@ -579,6 +615,24 @@ def _open_in_lists(t: pa.Table, start: np.ndarray, num: int) -> Iterator[pa.Reco
         yield from sets.open(i, j)
 
 
+def _marked(lists: list[tuple[np.ndarray, np.ndarray]], lo: int, hi: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs (i, j), i < j, of rows from lo to hi that a left and a right side of one of the lists hold, each once."""
+    sides = [(np.sort(a - lo), b - lo) for a, b in lists]
+    # Two blocks meet both ways, as the smaller row may be on either side.
+    sides += [(np.sort(b - lo), a - lo) for a, b in lists if a is not b]
+    members = hi - lo
+    strip = max(1, MARKED_CELLS // members)
+    for at in range(0, members, strip):
+        seen = np.zeros((min(strip, members - at), members), bool)
+        for left, right in sides:
+            left = left[np.searchsorted(left, at):np.searchsorted(left, at + strip)] - at
+            if len(left):
+                seen[left[:, None], right] = True
+        i, j = np.nonzero(seen)
+        after = i + at < j
+        yield i[after] + (at + lo), j[after] + lo
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, num: int = NUM,
                 bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row of ``docs``."""
@@ -589,41 +643,44 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = every.filter("doc_id is not null and n > 0")
     classes = sets.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
     # One set per id: an id with several texts belongs to several classes.
-    members = materialize(sets.join(classes, ["n", "s1", "s2"]).select("doc_id", "rep").distinct())
+    shingles, rows = every.agg(F.sum("n"), F.count(F.lit(1))).first()
+    members = materialize(sets.join(classes, ["n", "s1", "s2"]).select("doc_id", "rep").distinct(), rows)
     equal = members.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    shingles = every.agg(F.sum("n")).first()[0] or 0
-    buckets = max(1, -(-int(shingles * 0.65) // bucket_keys))
+    buckets = max(1, -(-int((shingles or 0) * 0.65) // bucket_keys))
     found = materialize(shared_keys(texts, buckets, size, num))
+    most = found.count()
     low, high = members.withColumnsRenamed({"doc_id": "a", "rep": "ra"}), members.withColumnsRenamed({"doc_id": "b", "rep": "rb"})
     pairs = (found.filter("run is null").select("a", "b").distinct().join(low, "a").join(high, "b").filter("ra <> rb")
              .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
-    pairs = materialize(pairs)
+    pairs = materialize(pairs, most)
     known = texts.filter("doc_id is not null and text is not null")
-    first = materialize(verified(materialize(filtered(pairs, sets, num)), known, size, num).unionByName(equal))
-    labels = components(first)
+    first = materialize(verified(materialize(filtered(pairs, sets, num), pairs.count()), known, size, num).unionByName(equal))
+    labels = components(first, first.count())
     # Most lists lie within one component by now; only the others go on, by representatives.
     lists = found.filter("run is not null").select("run", "b")
     spans = materialize(lists.join(labels, lists.b == labels.node, "left").groupBy("run")
                         .agg(F.min(F.coalesce("component", "b")).alias("low"), F.max(F.coalesce("component", "b")).alias("high"))
-                        .filter("low <> high").select("run"))
+                        .filter("low <> high").select("run"), most)
     if spans.count() <= SENT_IDS:
         spans = F.broadcast(spans)
     runs = materialize(lists.join(spans, "run", "left_semi").join(members.withColumnsRenamed({"doc_id": "b"}), "b")
-                       .select("run", F.col("rep").alias("b")).distinct())
+                       .select("run", F.col("rep").alias("b")).distinct(), most)
     before = None
     for step in range(ROUNDS + 1):
-        last = step == ROUNDS
+        last, named = step == ROUNDS, labelled(runs, labels)
         if not last:
-            runs, candidates = star_around(runs, labels, step)
-            runs = materialize(runs)
-            members_left = runs.count()
+            runs, candidates = star_around(named, step)
+            most = named.count()
+            named = materialize(runs, most)
+            members_left = named.count()
             if not members_left:                # every list lies within one component
                 break
+            runs = named.select("run", "b")
             last, before = before is not None and members_left > HELPED * before, members_left
         if last:
-            candidates = materialize(across(runs, labels, sets, num))
+            candidates = materialize(between(named, sets, num))
         else:
-            candidates = materialize(filtered(materialize(candidates), sets, num))
+            candidates = materialize(filtered(materialize(candidates, most), sets, num), most)
         if candidates.limit(1).count():
             labels = merged(labels, materialize(verified(candidates, known, size, num)))
         if last:

@@ -10,7 +10,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import fixtures as X  # noqa: E402
-from sacctlens.llm import cgk, linechunks, parityjoin, superkmers, textkit  # noqa: E402
+from sacctlens.llm import cgk, common, components, linechunks, parityjoin, superkmers, textkit  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -394,3 +394,43 @@ def test_a_pair_of_many_lists_is_said_once(monkeypatch):
         table = table.append_column(c, pa.array(np.zeros(len(table), np.int32)))
     got = [p for batch in parityjoin._open_in_lists(table, np.zeros(1, np.int64), 75) for p in zip(*(c.to_pylist() for c in batch.columns))]
     assert len(got) == len(set(got)) and set(got) == {(a, b) for *_, m in lists for a in m for b in m if a < b}
+
+
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_a_pair_of_many_lists_is_compared_once(monkeypatch, blocks):
+    """Large lists that share their members, in several strips: a pair's sketches meet once, whatever the number of lists."""
+    monkeypatch.setattr(parityjoin, "PAIRS_AT_ONCE", 500)
+    monkeypatch.setattr(parityjoin, "MARKED_CELLS", 1000, raising=False)
+    compared, before = [], parityjoin._Sets.open
+    monkeypatch.setattr(parityjoin._Sets, "open", lambda self, i, j: (compared.extend(
+        (min(a, b), max(a, b)) for a, b in zip(self.doc[i].tolist(), self.doc[j].tolist())), before(self, i, j))[1])
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 1 << 63, 300).astype(np.uint64))
+    sets = [np.unique(np.concatenate((base[rng.permutation(len(base))[:int(rng.integers(200, 300))]], rng.integers(0, 1 << 63, 20).astype(np.uint64)))) for _ in range(120)]
+    sketches = [parityjoin.sketch_of(x).tobytes() for x in sets]
+    runs = [sorted(rng.permutation(120)[:int(rng.integers(80, 120))].tolist()) for _ in range(30)]
+    rows = []
+    for x in range(blocks):
+        for y in range(x, blocks):
+            mine = sorted({x, y})
+            rows += [(x, y, None, d % blocks, d, d // 3, len(sets[d]), sketches[d], None) for m in mine for d in range(m, 120, blocks)]
+            rows += [(x, y, run, m, None, None, None, None, [d for d in members if d % blocks == m]) for run, members in enumerate(runs) for m in mine]
+    types = {"x": pa.int32(), "y": pa.int32(), "run": pa.int64(), "mine": pa.int32(), "b": pa.int64(), "label": pa.int64(), "n": pa.int64(),
+             "sketch": pa.binary(), "list": pa.list_(pa.int64())}
+    table = pa.table({k: pa.array(v, t) for (k, t), v in zip(types.items(), zip(*rows))})
+    start = parityjoin._group_starts(table, ("x", "y"))
+    got = [p for batch in parityjoin._open_in_lists(table, start, 75) for p in zip(*(c.to_pylist() for c in batch.columns))]
+    met = {(a, b) for m in runs for a in m for b in m if a < b and a // 3 != b // 3}
+    want = {(a, b) for a, b in met if parityjoin.may_link(len(sets[a]), len(sets[b]), sketches[a], sketches[b])}
+    assert want and want < met and sorted(got) == sorted(want)
+    assert len(compared) == len(set(compared))
+
+
+def test_small_tables_are_written_by_few_tasks(spark, monkeypatch):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 40, 2)], "a long, b long")
+    wrote = []
+    monkeypatch.setattr(components, "materialize", lambda *x: wrote.append(common.materialize(*x)) or wrote[-1])
+    got = {(r.node, r.component) for r in components.components(edges, 20).collect()}
+    assert got == {(i, i // 2 * 2) for i in range(40)}
+    assert len(wrote) > 2 and all(len(t.inputFiles()) == 1 for t in wrote)
+    assert len(common.materialize(edges.repartition(3, "a"), 3 * common.ROWS_A_FILE).inputFiles()) == 3
