@@ -17,11 +17,15 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
 ROWS_A_FILE = 1 << 14
 
 
-def materialize(df: DataFrame, most: int | None = None) -> DataFrame:
-    """Cut lineage: the rows as a written table in the session's shared checkpoint folder.
+def few(df: DataFrame, most: int | None) -> DataFrame:
+    """Where about ``most`` short rows come at most, and these take fewer tasks than a shuffle has,
+    the rows in so many partitions: written, a file costs more than the rows of a small table."""
+    tasks = None if most is None else max(1, -(-most // ROWS_A_FILE))
+    return df if tasks is None or tasks >= spread(df) else df.coalesce(tasks)
 
-    Where about ``most`` short rows come at most, and this takes fewer tasks than a shuffle
-    has, only so many write: a file costs more than the rows of a small table.
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: the rows as a written table in the session's shared checkpoint folder.
 
     A table rather than ``checkpoint()``: a checkpointed frame carries the
     constraints of its plan along, and in loops these outgrow the driver.  Tables
@@ -29,8 +33,7 @@ def materialize(df: DataFrame, most: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/sacctlens-{uuid.uuid4().hex}"
-    tasks = None if most is None else max(1, -(-most // ROWS_A_FILE))
-    (df if tasks is None or tasks >= spread(df) else df.coalesce(tasks)).write.parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -46,7 +46,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from sacctlens.llm.common import materialize, spread, unused
+from sacctlens.llm.common import few, materialize, spread, unused
 from sacctlens.llm.components import components
 from sacctlens.llm.textkit import blobs, buffers, mix, span_hashes, steps, word_spans
 
@@ -300,7 +300,7 @@ def filtered(pairs: DataFrame, sets: DataFrame, num: int = NUM) -> DataFrame:
     size_of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"))
     near = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * num)
     # Sizes first: sketches, which are long, travel only for pairs whose sizes can link.
-    sized = materialize(pairs.join(size_of("a"), "a").join(size_of("b"), "b").filter(near).select("a", "b", "n_a", "n_b").distinct(), pairs.count())
+    sized = materialize(few(pairs.join(size_of("a"), "a").join(size_of("b"), "b").filter(near).select("a", "b", "n_a", "n_b").distinct(), pairs.count()))
     sets = named_by(sized, sets)
     of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     rows = sized.join(of("a"), ["a", "n_a"]).join(of("b"), ["b", "n_b"]).select("a", "b", "n_a", "n_b", "s_a", "s_b")
@@ -326,7 +326,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int = SIZE, num: int = NUM
     """
     docs = named_by(pairs, docs)
     # Written first, so that the join below may split a hub's pairs.
-    hubs = materialize(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_ROWS).cast("int").alias("lots")), pairs.count())
+    hubs = materialize(few(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_ROWS).cast("int").alias("lots")), pairs.count()))
     partners = pairs.join(hubs, "a").select("a", F.pmod(F.xxhash64("b"), F.col("lots")).cast("int").alias("lot"), "b")
     own = hubs.select("a", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), F.col("a").alias("b"))
     needed = partners.unionByName(own)
@@ -355,16 +355,16 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int = SIZE, num: int = NUM
 
 def labelled(runs: DataFrame, labels: DataFrame) -> DataFrame:
     """run, b, label: the members with the components they are in."""
-    return materialize(runs.join(labels, runs.b == labels.node, "left").select("run", "b", F.coalesce("component", "b").alias("label")), runs.count())
+    return materialize(few(runs.join(labels, runs.b == labels.node, "left").select("run", "b", F.coalesce("component", "b").alias("label")), runs.count()))
 
 
 def star_around(named: DataFrame, nth: int) -> tuple[DataFrame, DataFrame]:
     """The member lists that span several components (run, b, label), and pairs (a, b), a < b, of one
     member of each (another one for each ``nth``) with the members outside its component."""
     most = named.count()
-    spans = materialize(named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+    spans = materialize(few(named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                                  F.min(F.struct(F.xxhash64("b", F.lit(nth)).alias("h"), "b", "label")).alias("hub"))
-                        .filter("low <> high").select("run", F.col("hub.b").alias("hub"), F.col("hub.label").alias("hub_label")), most)
+                        .filter("low <> high").select("run", F.col("hub.b").alias("hub"), F.col("hub.label").alias("hub_label")), most))
     rows = named.join(spans, "run")
     pairs = rows.filter("label <> hub_label").select(F.least("b", "hub").alias("a"), F.greatest("b", "hub").alias("b")).distinct()
     return rows.select("run", "b", "label"), pairs
@@ -378,7 +378,7 @@ def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     joined = components(lift(lift(edges, "a"), "b").filter("a <> b"), most).withColumnsRenamed({"node": "_n", "component": "_c"})
     nodes = (labels.unionByName(joined.select(F.col("_n").alias("node"), F.col("_n").alias("component")))
              .groupBy("node").agg(F.min("component").alias("component")))
-    return materialize(nodes.join(joined, nodes.component == joined._n, "left").select("node", F.coalesce("_c", "component").alias("component")), labels.count() + 2 * most)
+    return materialize(few(nodes.join(joined, nodes.component == joined._n, "left").select("node", F.coalesce("_c", "component").alias("component")), labels.count() + 2 * most))
 
 
 def across(runs: DataFrame, labels: DataFrame, sets: DataFrame, num: int = NUM) -> DataFrame:
@@ -396,16 +396,16 @@ def between(named: DataFrame, sets: DataFrame, num: int = NUM) -> DataFrame:
     meet together where this sends fewer sketches.
     """
     most = named.count()
-    spans = materialize(named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"), F.min("b").alias("head"))
+    spans = materialize(few(named.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"), F.min("b").alias("head"))
                         .filter("low <> high").select("run", "members", "head", (F.col("members") > LONG_LIST).alias("fine"), (F.col("members") > BLOCK).alias("cut"))
-                        .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")), most)
+                        .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")), most))
     short, cut = spans.filter("not cut"), spans.filter("cut")
     all_members = named.join(cut, "run").groupBy("head").agg(F.countDistinct("b").alias("all"))
     heads = (cut.groupBy("head").agg(F.sum("members").alias("members"), F.sum(F.col("members") * F.col("blocks")).alias("apart")).join(all_members, "head")
              .withColumn("blocks", F.ceil(F.col("all") / BLOCK).cast("int"))
              .withColumn("lots", F.ceil(F.col("members") * 2 / F.col("blocks") / CUT_MEMBERS))
              .filter(F.col("all") * F.col("blocks") * F.col("lots") <= F.col("apart")).select("head", F.col("blocks").alias("_blocks"), "lots"))
-    cut = materialize(cut.join(heads, "head", "left"), most)
+    cut = materialize(few(cut.join(heads, "head", "left"), most))
     lots = short.groupBy("head", "fine").agg(F.ceil(F.sum("members") / LOT_MEMBERS).alias("lots"))
     together = (short.join(lots, ["head", "fine"]).select("run", "head", "fine", "cut", "blocks", "lots")
                 .unionByName(cut.filter("lots is not null").select("run", "head", "fine", "cut", F.col("_blocks").alias("blocks"), "lots"))
@@ -416,7 +416,7 @@ def between(named: DataFrame, sets: DataFrame, num: int = NUM) -> DataFrame:
 def _across_heads(named: DataFrame, together: DataFrame, sets: DataFrame, num: int) -> DataFrame:
     """The open pairs of lists, by smallest member, lot of lists and two blocks of members."""
     group = ["head", "fine", "cut", "lot"]
-    listed = materialize(named.join(together, "run").withColumn("mine", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")), named.count())
+    listed = materialize(few(named.join(together, "run").withColumn("mine", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")), named.count()))
     lists = listed.groupBy(*group, "blocks", "run", "mine").agg(F.collect_list("b").alias("list"))
     members = listed.select(*group, "blocks", "mine", "b", "label").distinct()
     coarse, fine = members.filter("not fine"), members.filter("fine")
@@ -436,7 +436,7 @@ def _across_heads(named: DataFrame, together: DataFrame, sets: DataFrame, num: i
 
 def _across_long(named: DataFrame, spans: DataFrame, sets: DataFrame, num: int) -> DataFrame:
     """The open pairs of lists of over ``BLOCK`` members that meet alone, by two blocks of a list."""
-    listed = materialize(named.join(spans.select("run", "blocks"), "run"), named.count())
+    listed = materialize(few(named.join(spans.select("run", "blocks"), "run"), named.count()))
     of_long = named_by(listed.select(F.col("b").alias("a"), "b"), sets)
     rows = (listed.join(of_long.select(F.col("doc_id").alias("b"), "n", F.col("fine").alias("sketch")), "b")
             .withColumn("mine", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
@@ -644,7 +644,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = sets.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
     # One set per id: an id with several texts belongs to several classes.
     shingles, rows = every.agg(F.sum("n"), F.count(F.lit(1))).first()
-    members = materialize(sets.join(classes, ["n", "s1", "s2"]).select("doc_id", "rep").distinct(), rows)
+    members = materialize(few(sets.join(classes, ["n", "s1", "s2"]).select("doc_id", "rep").distinct(), rows))
     equal = members.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     buckets = max(1, -(-int((shingles or 0) * 0.65) // bucket_keys))
     found = materialize(shared_keys(texts, buckets, size, num))
@@ -652,26 +652,26 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     low, high = members.withColumnsRenamed({"doc_id": "a", "rep": "ra"}), members.withColumnsRenamed({"doc_id": "b", "rep": "rb"})
     pairs = (found.filter("run is null").select("a", "b").distinct().join(low, "a").join(high, "b").filter("ra <> rb")
              .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
-    pairs = materialize(pairs, most)
+    pairs = materialize(few(pairs, most))
     known = texts.filter("doc_id is not null and text is not null")
-    first = materialize(verified(materialize(filtered(pairs, sets, num), pairs.count()), known, size, num).unionByName(equal))
+    first = materialize(verified(materialize(few(filtered(pairs, sets, num), pairs.count())), known, size, num).unionByName(equal))
     labels = components(first, first.count())
     # Most lists lie within one component by now; only the others go on, by representatives.
     lists = found.filter("run is not null").select("run", "b")
-    spans = materialize(lists.join(labels, lists.b == labels.node, "left").groupBy("run")
+    spans = materialize(few(lists.join(labels, lists.b == labels.node, "left").groupBy("run")
                         .agg(F.min(F.coalesce("component", "b")).alias("low"), F.max(F.coalesce("component", "b")).alias("high"))
-                        .filter("low <> high").select("run"), most)
+                        .filter("low <> high").select("run"), most))
     if spans.count() <= SENT_IDS:
         spans = F.broadcast(spans)
-    runs = materialize(lists.join(spans, "run", "left_semi").join(members.withColumnsRenamed({"doc_id": "b"}), "b")
-                       .select("run", F.col("rep").alias("b")).distinct(), most)
+    runs = materialize(few(lists.join(spans, "run", "left_semi").join(members.withColumnsRenamed({"doc_id": "b"}), "b")
+                       .select("run", F.col("rep").alias("b")).distinct(), most))
     before = None
     for step in range(ROUNDS + 1):
         last, named = step == ROUNDS, labelled(runs, labels)
         if not last:
             runs, candidates = star_around(named, step)
             most = named.count()
-            named = materialize(runs, most)
+            named = materialize(few(runs, most))
             members_left = named.count()
             if not members_left:                # every list lies within one component
                 break
@@ -680,7 +680,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if last:
             candidates = materialize(between(named, sets, num))
         else:
-            candidates = materialize(filtered(materialize(candidates, most), sets, num), most)
+            candidates = materialize(few(filtered(materialize(few(candidates, most)), sets, num), most))
         if candidates.limit(1).count():
             labels = merged(labels, materialize(verified(candidates, known, size, num)))
         if last:

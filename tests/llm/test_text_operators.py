@@ -433,4 +433,4 @@ def test_small_tables_are_written_by_few_tasks(spark, monkeypatch):
     got = {(r.node, r.component) for r in components.components(edges, 20).collect()}
     assert got == {(i, i // 2 * 2) for i in range(40)}
     assert len(wrote) > 2 and all(len(t.inputFiles()) == 1 for t in wrote)
-    assert len(common.materialize(edges.repartition(3, "a"), 3 * common.ROWS_A_FILE).inputFiles()) == 3
+    assert len(common.materialize(common.few(edges.repartition(3, "a"), 3 * common.ROWS_A_FILE)).inputFiles()) == 3
