@@ -41,7 +41,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from sacctlens.llm.textkit import buffers, mix, span_hashes, steps, word_spans
+from sacctlens.llm.textkit import SMALL_STEP, buffers, lean, mix, span_hashes, steps, word_spans
 
 MIN_WORDS = 8
 LONE_WORDS = 3
@@ -274,9 +274,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     for items in groups(benchmark, item_col, item_text_col):
         index = Index(items, **options)
 
+        @lean
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for lo, hi in steps(batch):
+                for lo, hi in steps(batch, most=SMALL_STEP):
                     part = batch.slice(lo, hi - lo)
                     got = index.leaks(part.column("text"))
                     cols = list(zip(*got)) if got else [[]] * 5
@@ -294,9 +295,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     for items in groups(benchmark, item_col, item_text_col):
         index = Index(items, **options)
 
+        @lean
         def keep(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for lo, hi in steps(batch, text_col):
+                for lo, hi in steps(batch, text_col, SMALL_STEP):
                     part = batch.slice(lo, hi - lo)
                     bad = {row for row, *_ in index.leaks(part.column(text_col))}
                     yield part.filter(pa.array([i not in bad for i in range(len(part))], pa.bool_()))

@@ -33,12 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sacctlens.llm.common import materialize, unused
-from sacctlens.llm.textkit import buffers, mix, span_hashes, steps
+from sacctlens.llm.textkit import SMALL_STEP, buffers, lean, mix, span_hashes, steps
 
 WINDOW = 2
 DIVISOR = 3
 MIN_LINES = 2
-STEP_BYTES = 2 << 20
 
 
 def chunk_edges(text_rows: pa.Array, window: int = WINDOW, divisor: int = DIVISOR):
@@ -99,9 +98,10 @@ def line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("first_line", pa.int32()), ("n_lines", pa.int32()),
                         ("h1", pa.int64()), ("h2", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("at", pa.list_(pa.int64()))])
 
+    @lean
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in steps(batch, most=STEP_BYTES):
+            for lo, hi in steps(batch, most=SMALL_STEP):
                 part = batch.slice(lo, hi - lo)
                 buf, offs, starts, ends, line_offs, begins = chunk_edges(part.column("text"), window or WINDOW, divisor)
                 if not len(begins):

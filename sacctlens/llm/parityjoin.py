@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sacctlens.llm.common import few, materialize, spread, unused
 from sacctlens.llm.components import components
-from sacctlens.llm.textkit import blobs, buffers, mix, span_hashes, steps, word_spans
+from sacctlens.llm.textkit import SMALL_STEP, blobs, buffers, lean, mix, span_hashes, steps, word_spans
 
 SIZE = 5
 NUM = 75
@@ -189,9 +189,10 @@ def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def describe_sets(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """doc_id, n, s1, s2 (hash of the whole set), sketch, fine."""
+    @lean
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in steps(batch):
+            for lo, hi in steps(batch, most=SMALL_STEP):
                 part = batch.slice(lo, hi - lo)
                 sets = shingle_sets(part.column("text"), size)
                 total = lambda seed: pa.array([int(np.add.reduce(mix(s ^ np.uint64(seed)), dtype=np.uint64).view(np.int64)) if len(s) else 0 for s in sets], pa.int64())
@@ -205,13 +206,14 @@ def describe_sets(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
 def shared_keys(docs: DataFrame, buckets: int, size: int = SIZE, num: int = NUM) -> DataFrame:
     """a, b, run: candidate pairs a < b (run null), and members b of the keys (run) that three or more share."""
+    @lean
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(num)
         for batch in batches:
             for lo, hi in steps(batch):
                 part = batch.slice(lo, hi - lo)
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-                sets = shingle_sets(part.column("text"), size)
+                sets = (s for x, y in steps(part, most=SMALL_STEP) for s in shingle_sets(part.column("text").slice(x, y - x), size))
                 found = [(int(i), keys_of(s, bands)) for i, s in zip(ids, sets) if len(s)]
                 if not found:
                     continue
@@ -305,6 +307,7 @@ def filtered(pairs: DataFrame, sets: DataFrame, num: int = NUM) -> DataFrame:
     of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     rows = sized.join(of("a"), ["a", "n_a"]).join(of("b"), ["b", "n_b"]).select("a", "b", "n_a", "n_b", "s_a", "s_b")
 
+    @lean
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             d = batch.to_pydict()
@@ -333,11 +336,12 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int = SIZE, num: int = NUM
     texts = needed.join(docs.withColumnRenamed("doc_id", "b"), "b").select("a", "lot", "b", (F.col("a") == F.col("b")).alias("hub"), "text")
     dealt = texts.repartition(spread(docs), "a", "lot").sortWithinPartitions("a", "lot", F.desc("hub"))
 
+    @lean
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own_sets = None, []
         for batch in batches:
             found_a, found_b = [], []
-            for lo, hi in steps(batch):
+            for lo, hi in steps(batch, most=SMALL_STEP):
                 part = batch.slice(lo, hi - lo)
                 sets = shingle_sets(part.column("text"), size)
                 for a, lot, b, hub, s in zip(part.column("a").to_pylist(), part.column("lot").to_pylist(), part.column("b").to_pylist(), part.column("hub").to_pylist(), sets):
@@ -428,6 +432,7 @@ def _across_heads(named: DataFrame, together: DataFrame, sets: DataFrame, num: i
     keys = (*group, "x", "y")
     met = rows.repartition(spread(named), *keys).sortWithinPartitions(*keys, "run", "mine")
 
+    @lean
     def compare_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _once(_grouped(batches, keys, lambda t, start: _open_in_lists(t, start, num)))
 
@@ -444,6 +449,7 @@ def _across_long(named: DataFrame, spans: DataFrame, sets: DataFrame, num: int)
             .select("run", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "b", "label", "n", "sketch"))
     met = rows.repartition(spread(rows), "run", "x", "y").sortWithinPartitions("run", "x", "y", "mine")
 
+    @lean
     def compare_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _once(_grouped(batches, ("run", "x", "y"), lambda t, start: _open_pairs(t, num)))
 

@@ -6,7 +6,8 @@ ASCII, so splitting UTF-8 bytes equals splitting code points.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ import pyarrow.compute as pc
 
 #: Text bytes that one numpy step works on; a longer single text is one step.
 STEP_BYTES = 4 << 20
+#: The same for steps that hold some ten times their text.
+SMALL_STEP = 1 << 20
 
 #: Bytes that separate words.
 SPACE = np.zeros(256, dtype=bool)
@@ -59,6 +62,28 @@ def steps(batch: pa.RecordBatch, text: str = "text", most: int = STEP_BYTES) ->
         lo = hi
 
 
+def give_back() -> None:
+    """What this process has freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.pythonapi, "malloc_trim", None)  # glibc's; others need no call or have none
+    if trim is not None:
+        trim(0)
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same task function, after which the worker keeps nothing it has freed.
+
+    Spark's Python workers outlive their tasks, and what they hold counts beside the executor's heap.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def word_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and the word offsets (n + 1) of the rows."""
     if not len(buf):

@@ -122,3 +122,63 @@ def test_stages_keep_extra_columns(spark, tmp_path):
         assert out.filter("n_lines <> concat('n_lines', doc_id) or _id <> concat('_id', doc_id) or n <> concat('n', doc_id)").count() == 0
         docs = out
     corpus_pipeline.STAGES[-1][1](spark, docs, SF001).count()
+
+
+HELD = """
+import re, sys
+import pyarrow as pa
+from pyspark import cloudpickle
+import pyspark.worker
+
+def anon():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+
+def task(work):
+    with open(sys.argv[2], "rb") as f:
+        for _ in work(iter(pa.ipc.open_stream(f))):
+            pass
+
+with open(sys.argv[1], "rb") as f:
+    work = cloudpickle.load(f)
+task(lambda batches: work(b.slice(0, 40) for b in batches))
+before = anon()
+task(work)
+print(anon() - before)
+"""
+
+
+def test_workers_keep_no_memory_between_tasks(spark, tmp_path, monkeypatch):
+    """Spark's Python workers live on: what a task has freed goes back to the system at its end."""
+    import subprocess
+
+    import pyarrow as pa
+    from pyspark import cloudpickle
+    from sacctlens.llm import cgk, langid, linechunks, parityjoin
+
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(5000)]
+    texts = ["\n".join(" ".join(rng.choices(words, k=10)) for _ in range(60)) for _ in range(4000)]
+    n = len(texts)
+    batch = pa.record_batch({"doc_id": pa.array(range(n), pa.int64()), "text": texts, "lang": ["en"] * n, "text_hash": pa.array(range(n), pa.int64())})
+    with pa.ipc.new_stream(str(tmp_path / "rows"), batch.schema) as w:
+        w.write_batch(batch)
+
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts[:20])], "doc_id long, text string, lang string")
+    bench = spark.createDataFrame([(1, " ".join(words[:40]))], "item_id long, text string")
+    works = []
+    kept = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, work, *a, **k: works.append(work) or kept(self, work, *a, **k))
+    langid.accepted(docs, *langid.learn_bound(docs)[:2], bound=1.0)
+    linechunks.line_chunks(docs)
+    parityjoin.describe_sets(docs)
+    parityjoin.shared_keys(docs, 8)
+    cgk.decontaminate(docs, bench)
+    assert len(works) == 7
+    held = []
+    for k, work in enumerate(works):
+        path = tmp_path / f"work{k}"
+        path.write_bytes(cloudpickle.dumps(work))
+        out = subprocess.run([sys.executable, "-c", HELD, str(path), str(tmp_path / "rows")], capture_output=True, text=True, check=True,
+                             env=os.environ | {"PYTHONPATH": os.pathsep.join(p for p in sys.path if p), "OMP_NUM_THREADS": "1"})
+        held.append(round(float(out.stdout)))
+    assert sum(held) < 70, held
